@@ -1,0 +1,44 @@
+"""Dimension joins with a size-checked broadcast.
+
+A dimension is broadcast only after a bounded probe proves it has at most
+``max_rows`` rows; beyond that the join stays a shuffle join, which AQE may
+still turn into a broadcast from runtime sizes, and whose skewed partitions AQE
+splits.  The probe counts ``limit(max_rows + 1)`` with no columns read, so it
+costs a footer-level scan of the dimension, and its answer is memoised per
+session and plan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a projected dimension (a few keys and short strings) that are safe to
+# ship to every executor; overridable per session.
+DEFAULT_MAX_ROWS = 2_000_000
+MAX_ROWS_CONF = "tillflow.broadcast.maxRows"
+
+_probe_memo: dict[tuple[int, int, int], bool] = {}
+
+
+def max_rows_for(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
+    return int(value) if value else DEFAULT_MAX_ROWS
+
+
+def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows."""
+    limit = max_rows if max_rows is not None else max_rows_for(df)
+    key = (id(df.sparkSession), df.semanticHash(), limit)
+    if key not in _probe_memo:
+        _probe_memo[key] = df.limit(limit + 1).count() <= limit
+    return _probe_memo[key]
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column,
+                   how: str = "inner", max_rows: int | None = None) -> DataFrame:
+    return fact.join(maybe_broadcast(dim, max_rows), on, how)
