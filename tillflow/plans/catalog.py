@@ -9,10 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillflow.functions.expressions import fold_columns, full_name, incentive, money, month_of
 from tillflow.operators import enrich as E
+from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
+from tillflow.plans import sinks as S
+from tillflow.plans.broadcast import maybe_broadcast
+from tillflow.plans.scratch import fresh_dir
+from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
+                             SALES_TEAM_EXTRACT_COLUMNS)
+from tillflow.sources import drops as DR
+from tillflow.sources import files as FS
 from tillflow.sources import tables as TB
+from tillflow.sources.drops import drops_for
+from tillflow.streaming import file_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +78,181 @@ QUERIES: dict[str, Query] = {
     "customer_mart_extract": customer_mart_extract,
     "sales_team_mart_extract": sales_team_mart_extract,
 }
+
+
+# --- more marts over the same enrichment --------------------------------------
+
+def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = E.enrich(TB.sales(spark, sf_dir), TB.customer_with_renames(spark, sf_dir),
+                 TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
+    return M.customer_monthly_spend(M.customer_extract(e))
+
+
+def daily_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.daily_store_sales(enriched(spark, sf_dir))
+
+
+def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.product_monthly_sales(TB.sales(spark, sf_dir), TB.product(spark, sf_dir))
+
+
+# Fixed value: the region whose store list the orphan report is checked against.
+ORPHAN_REGION = "AMERICA"
+
+
+def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.orphan_sales(TB.sales(spark, sf_dir), TB.customer(spark, sf_dir),
+                          TB.store_in_region(spark, sf_dir, ORPHAN_REGION),
+                          TB.sales_team(spark, sf_dir))
+
+
+def scalar_semantics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scalar functions of the marts on NULL and non-NULL inputs, per order."""
+    o = TB.table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))  # NULL for P
+    rush = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("rush"))  # NULL otherwise
+    return o.select(
+        "o_orderkey",
+        month_of("o_orderdate").alias("order_month"),
+        full_name("o_orderpriority", status).alias("label"),
+        F.concat_ws(FOLD_SEPARATOR, status, rush).alias("folded"),
+        F.when(status == "F", F.lit("closed")).otherwise(F.lit("open")).alias("state"),
+        incentive(money("o_totalprice"), F.lit(True)).alias("cents"),
+    )
+
+
+# --- files: drops, manifest, gate, ingest, quarantine -------------------------
+
+def _ingested(spark: SparkSession, sf_dir: str):
+    landing = drops_for(spark, sf_dir)
+    return FS.ingest(spark, landing, fresh_dir(spark, "ingest-stage"))
+
+
+def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FS.file_manifest(spark, drops_for(spark, sf_dir))
+
+
+def csv_header_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = FS.file_manifest(spark, drops_for(spark, sf_dir))
+    gate = FS.header_gate(manifest.where(F.col("kind") == FS.KIND_CSV))
+    return gate.select(
+        "source_folder",
+        F.concat_ws(",", "header").alias("header"),
+        "accepted",
+        F.concat_ws(",", "missing_columns").alias("missing_columns"),
+        F.concat_ws(",", "extra_columns").alias("extra_columns"),
+    ).distinct()
+
+
+def csv_ingest_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir)[0]
+
+
+def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FS.quarantine_report(_ingested(spark, sf_dir)[1])
+
+
+def fold_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = DR.sales_with_extras(spark, sf_dir)
+    return s.select(*MANDATORY_COLUMNS,
+                    fold_columns(["payment_mode", "coupon_code"]).alias(ADDITIONAL_COLUMN))
+
+
+# --- ledger --------------------------------------------------------------------
+
+def ledger_current_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.current_status(TB.daily_file_events(spark, sf_dir))
+
+
+def ledger_open_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.open_files(TB.files_in_landing(spark, sf_dir), TB.daily_file_events(spark, sf_dir))
+
+
+# --- sinks ---------------------------------------------------------------------
+
+def parquet_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "customer-extract")
+    S.write_mart(customer_mart_extract(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+def partitioned_mart_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "sales-team-partitioned")
+    extract = sales_team_mart_extract(spark, sf_dir)
+    S.write_partitioned(extract, path, ["sales_month", "store_id"])
+    return S.read_partitioned(spark, path, extract.schema).select(*SALES_TEAM_EXTRACT_COLUMNS)
+
+
+# Fixed value: the first of two loads holds the sales shipped before this day.
+FIRST_LOAD_BEFORE = "1997-07-15"
+
+
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two run-stamped snapshots of the customer mart (an early load, then the
+    full one); reading the latest gives the full mart."""
+    root = fresh_dir(spark, "customer-mart-snapshots")
+    ext = customer_mart_extract(spark, sf_dir)
+    early = ext.where(F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
+    S.write_snapshot(M.customer_monthly_spend(early), root, run_id=1)
+    S.write_snapshot(M.customer_monthly_spend(ext), root, run_id=2)
+    return S.read_latest(spark, root)
+
+
+def mart_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales arrive in two loads; after the second, only the months it touches
+    are recomputed from the partitioned fact mart and replaced in the monthly
+    mart.  The result equals a full recomputation."""
+    base = fresh_dir(spark, "month-refresh")
+    facts_path, mart_path = f"{base}/facts", f"{base}/monthly"
+    ext = sales_team_mart_extract(spark, sf_dir)
+    cut = F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date")
+    first, second = ext.where(cut), ext.where(~cut | F.col("sales_date").isNull())
+
+    S.write_partitioned(first, facts_path, ["sales_month"])
+    facts = S.read_partitioned(spark, facts_path, ext.schema)
+    mart = M.top_seller_incentive(M.salesperson_monthly_sales(facts))
+    S.refresh_months(mart, mart_path)
+
+    S.write_partitioned(second, facts_path, ["sales_month"], mode="append")
+    facts = S.read_partitioned(spark, facts_path, ext.schema)
+    touched = second.select("sales_month").distinct()
+    affected = facts.join(maybe_broadcast(touched), "sales_month", "left_semi")
+    S.refresh_months(M.top_seller_incentive(M.salesperson_monthly_sales(affected)), mart_path)
+    return S.read_partitioned(spark, mart_path, mart.schema).select(*mart.columns)
+
+
+# --- stream --------------------------------------------------------------------
+
+def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drops are written to a fresh landing folder, streamed once with
+    availableNow (files archived as they are finished), and the customer mart
+    is computed from what the stream ingested."""
+    run = fresh_dir(spark, "stream")
+    landing = DR.write_drops(spark, sf_dir, f"{run}/drops")
+    ST.ingest_available_now(spark, landing, f"{run}/out", f"{run}/checkpoint",
+                            archive_dir=f"{run}/archive")
+    ingested = ST.ingested_sales(spark, f"{run}/out")
+    e = E.enrich(ingested, TB.customer(spark, sf_dir), TB.store(spark, sf_dir),
+                 TB.sales_team(spark, sf_dir))
+    return M.customer_monthly_spend(M.customer_extract(e))
+
+
+QUERIES.update({
+    "customer_spend_shared_key": customer_spend_shared_key,
+    "daily_store_sales": daily_store_sales,
+    "product_sales": product_sales,
+    "orphan_sales": orphan_sales,
+    "scalar_semantics": scalar_semantics,
+    "file_manifest": file_manifest,
+    "csv_header_gate": csv_header_gate,
+    "csv_ingest_union": csv_ingest_union,
+    "fold_extra_columns": fold_extra_columns,
+    "quarantine_report": quarantine_report,
+    "ledger_current_status": ledger_current_status,
+    "ledger_open_files": ledger_open_files,
+    "parquet_mart_roundtrip": parquet_mart_roundtrip,
+    "partitioned_mart_month": partitioned_mart_month,
+    "latest_snapshot": latest_snapshot,
+    "mart_month_refresh": mart_month_refresh,
+    "stream_ingest_available_now": stream_ingest_available_now,
+})

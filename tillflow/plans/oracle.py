@@ -100,3 +100,148 @@ FROM salesperson_monthly""",
     "customer_mart_extract": f"WITH {ENRICHED} SELECT * FROM customer_extract",
     "sales_team_mart_extract": f"WITH {ENRICHED} SELECT * FROM sales_team_extract",
 }
+
+# The sales facts with the two extra columns of the drop files.
+WITH_EXTRAS = """,
+sales_x AS (
+  SELECT *, CASE o_orderstatus WHEN 'F' THEN 'card' WHEN 'O' THEN 'cash' END AS payment_mode,
+         CASE WHEN l_returnflag = 'R' THEN 'RET-' || l_linestatus END AS coupon_code
+  FROM sales)"""
+
+SALES_COLS = ("customer_id, store_id, product_name, sales_date, sales_person_id, price, "
+              "quantity, total_cost")
+
+# Rows that reach the sales union: accepted layouts, well-formed rows.
+ACCEPTED_WHERE = ("o_orderpriority <> '4-NOT SPECIFIED' "
+                  "AND NOT (o_orderpriority = '2-HIGH' AND l_discount > 0.095)")
+
+INGESTED = RETAIL + WITH_EXTRAS + f""",
+ingested AS (
+  SELECT {SALES_COLS},
+         CASE WHEN o_orderpriority = '3-MEDIUM' THEN concat_ws(', ', payment_mode, coupon_code)
+         END AS additional_column
+  FROM sales_x WHERE {ACCEPTED_WHERE})"""
+
+# The drop layouts; a layout exists when its priority has sales.
+LAYOUTS = """
+layouts(priority, source_folder, header, accepted, missing_columns, extra_columns) AS (VALUES
+  ('1-URGENT', 'plain_urgent',
+   'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost',
+   true, '', ''),
+  ('2-HIGH', 'plain_high',
+   'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost',
+   true, '', ''),
+  ('3-MEDIUM', 'extra',
+   'customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode,coupon_code',
+   true, '', 'payment_mode,coupon_code'),
+  ('4-NOT SPECIFIED', 'missing',
+   'customer_id,product_name,sales_date,sales_person_id,price,quantity,total_cost,payment_mode',
+   false, 'store_id', 'payment_mode'),
+  ('5-LOW', 'reordered',
+   'total_cost,quantity,price,sales_person_id,sales_date,product_name,store_id,customer_id',
+   true, '', ''))"""
+
+LEDGER = """
+days AS (
+  SELECT CAST(o_orderdate AS DATE) AS day,
+         max(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS has_partial,
+         max(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS has_open
+  FROM orders GROUP BY 1),
+files AS (
+  SELECT 'sales_' || strftime(day, '%Y%m%d') || '.csv' AS file_name,
+         'landing/' || strftime(day, '%Y-%m') AS file_location, day, has_partial, has_open
+  FROM days),
+events AS (
+  SELECT file_name, file_location, 'A' AS status, CAST(day + INTERVAL 1 DAY AS TIMESTAMP) AS event_ts, 1 AS seq FROM files
+  UNION ALL
+  SELECT file_name, file_location, 'A', CAST(day + INTERVAL 2 DAY AS TIMESTAMP), 2 FROM files WHERE has_partial = 1
+  UNION ALL
+  SELECT file_name, file_location, 'I', CAST(day + INTERVAL 3 DAY AS TIMESTAMP), 3 FROM files WHERE has_open = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY event_ts DESC, seq DESC) AS rn,
+         max(event_ts) OVER (PARTITION BY file_name) AS updated_at,
+         count(*) OVER (PARTITION BY file_name) AS event_count
+  FROM events),
+current_status AS (
+  SELECT file_name, file_location, status, updated_at, event_count FROM ranked WHERE rn = 1)"""
+
+CUSTOMER_RENAMES = """,
+dim_customer_2 AS (
+  SELECT * FROM dim_customer
+  UNION ALL
+  SELECT customer_id, first_name, upper('x' || last_name), address, pincode, phone_number
+  FROM dim_customer WHERE address = 'BUILDING'),
+extract_2 AS (
+  SELECT c.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
+         s.sales_date, s.total_cost
+  FROM sales s JOIN dim_customer_2 c ON s.customer_id = c.customer_id
+  JOIN dim_store st ON st.id = s.store_id
+  JOIN dim_sales_team t ON t.id = s.sales_person_id)"""
+
+ORACLES.update({
+    "customer_spend_shared_key": f"WITH {RETAIL}{CUSTOMER_RENAMES}" + customer_monthly_sql("extract_2"),
+    "daily_store_sales": f"""WITH {ENRICHED}
+SELECT store_id, sales_date, CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales,
+       count(*) AS sales_count
+FROM enriched GROUP BY store_id, sales_date""",
+    "product_sales": f"""WITH {RETAIL},
+by_name AS (SELECT p_name AS product_name,
+                   max(CAST(p_retailprice AS DECIMAL(18,2))) AS list_price
+            FROM part GROUP BY p_name)
+SELECT s.product_name, strftime(s.sales_date, '%Y-%m') AS sales_month,
+       CAST(sum(s.quantity) AS BIGINT) AS units,
+       CAST(sum(s.total_cost) AS DECIMAL(18,2)) AS revenue, b.list_price
+FROM sales s JOIN by_name b ON s.product_name = b.product_name
+GROUP BY s.product_name, strftime(s.sales_date, '%Y-%m'), b.list_price""",
+    "orphan_sales": f"""WITH {RETAIL},
+region_stores AS (SELECT n_nationkey AS id FROM nation JOIN region ON n_regionkey = r_regionkey
+                  WHERE r_name = 'AMERICA'),
+flagged AS (
+  SELECT {SALES_COLS},
+         NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = s.customer_id) AS missing_customer,
+         NOT EXISTS (SELECT 1 FROM region_stores r WHERE r.id = s.store_id) AS missing_store,
+         NOT EXISTS (SELECT 1 FROM dim_sales_team t WHERE t.id = s.sales_person_id) AS missing_sales_person
+  FROM sales s)
+SELECT * FROM flagged WHERE missing_customer OR missing_store OR missing_sales_person""",
+    "scalar_semantics": """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS order_month,
+       o_orderpriority || ' ' || NULLIF(o_orderstatus, 'P') AS label,
+       concat_ws(', ', NULLIF(o_orderstatus, 'P'),
+                 CASE WHEN o_orderpriority = '1-URGENT' THEN 'rush' END) AS folded,
+       CASE WHEN NULLIF(o_orderstatus, 'P') = 'F' THEN 'closed' ELSE 'open' END AS state,
+       CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01, 2) AS DECIMAL(18,2)) AS cents
+FROM orders""",
+    "csv_header_gate": f"""WITH {LAYOUTS}
+SELECT source_folder, header, accepted, missing_columns, extra_columns FROM layouts
+WHERE priority IN (SELECT o.o_orderpriority FROM orders o
+                   JOIN lineitem l ON l.l_orderkey = o.o_orderkey)""",
+    "csv_ingest_union": f"WITH {INGESTED} SELECT * FROM ingested",
+    "fold_extra_columns": f"""WITH {RETAIL}{WITH_EXTRAS}
+SELECT {SALES_COLS}, concat_ws(', ', payment_mode, coupon_code) AS additional_column
+FROM sales_x""",
+    "quarantine_report": f"""WITH {RETAIL}
+SELECT 'MISSING_COLUMNS' AS reason, 'missing' AS source_folder, 'store_id' AS missing_columns,
+       count(*) AS record_count
+FROM sales WHERE o_orderpriority = '4-NOT SPECIFIED' HAVING count(*) > 0
+UNION ALL
+SELECT 'CORRUPT_ROW', 'plain_high', NULL, count(*)
+FROM sales WHERE o_orderpriority = '2-HIGH' AND l_discount > 0.095 HAVING count(*) > 0
+UNION ALL
+SELECT 'NOT_CSV', 'misc', NULL, count(*) FROM region HAVING count(*) > 0""",
+    "ledger_current_status": f"WITH {LEDGER} SELECT * FROM current_status",
+    "ledger_open_files": f"""WITH {LEDGER}
+SELECT DISTINCT f.file_name FROM files f
+WHERE f.has_partial = 1
+  AND EXISTS (SELECT 1 FROM current_status c WHERE c.file_name = f.file_name AND c.status = 'A')""",
+    "parquet_mart_roundtrip": f"WITH {ENRICHED} SELECT * FROM customer_extract",
+    "partitioned_mart_month": f"WITH {ENRICHED} SELECT * FROM sales_team_extract",
+    "latest_snapshot": f"WITH {ENRICHED}" + customer_monthly_sql("customer_extract"),
+    "mart_month_refresh": TOP_SELLER_INCENTIVE,
+    "stream_ingest_available_now": f"""WITH {INGESTED},
+extract_i AS (
+  SELECT c.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
+         i.sales_date, i.total_cost
+  FROM ingested i JOIN dim_customer c ON i.customer_id = c.customer_id
+  JOIN dim_store st ON st.id = i.store_id
+  JOIN dim_sales_team t ON t.id = i.sales_person_id)""" + customer_monthly_sql("extract_i"),
+})

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
-from tillflow.plans.broadcast import join_dimension
+from tillflow.plans.broadcast import join_dimension, maybe_broadcast
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +93,7 @@ def store_in_region(spark: SparkSession, sf_dir: str, region_name: str) -> DataF
     """Store list of one business region (the stores one regional system knows)."""
     region = table(spark, sf_dir, "region").where(F.col("r_name") == region_name)
     nation = table(spark, sf_dir, "nation")
-    keys = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey,
+    keys = nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey,
                        "left_semi").select(F.col("n_nationkey").alias("id"))
     return store(spark, sf_dir).join(keys, "id", "left_semi")
 
@@ -122,3 +122,40 @@ def product(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         money("p_retailprice").alias("current_price"),
     )
+
+
+def daily_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sales file per order date: (file_name, file_location, day, has_partial,
+    has_open) -- whether the day has partly shipped / still open orders."""
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderstatus")
+    days = orders.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(
+        F.max((F.col("o_orderstatus") == "P").cast("int")).alias("has_partial"),
+        F.max((F.col("o_orderstatus") == "O").cast("int")).alias("has_open"),
+    )
+    return days.select(
+        F.concat(F.lit("sales_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv")).alias("file_name"),
+        F.concat(F.lit("landing/"), F.date_format("day", "yyyy-MM")).alias("file_location"),
+        "day", "has_partial", "has_open",
+    )
+
+
+def daily_file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger events of the daily files: every file is opened the next day; a
+    day with partly shipped orders is opened again the day after (a retry); a
+    day without open orders is closed on the third day."""
+    from tillflow.operators.ledger import close_events, open_events
+
+    files = daily_files(spark, sf_dir)
+
+    def at(days: int):
+        return F.date_add("day", days).cast("timestamp_ntz")
+
+    return (open_events(files, at(1), "daily", seq=1)
+            .unionByName(open_events(files.where("has_partial = 1"), at(2), "retry", seq=2))
+            .unionByName(close_events(files.where("has_open = 0"), at(3), "close", seq=3)))
+
+
+def files_in_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files present in the landing folder at the start of a run: the days with
+    partly shipped orders (re-delivered)."""
+    return daily_files(spark, sf_dir).where("has_partial = 1").select("file_name")
