@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import full_name, incentive, money, month_of
-from tillflow.plans.broadcast import maybe_broadcast
+from tillflow.plans.broadcast import join_aggregate
 from tillflow.schema import CUSTOMER_EXTRACT_COLUMNS, SALES_TEAM_EXTRACT_COLUMNS
 
 
@@ -88,11 +88,10 @@ def top_seller_incentive(monthly: DataFrame) -> DataFrame:
     tops = monthly.groupBy("store_id", "sales_month").agg(
         F.max("total_sales").alias("_top"),
     ).withColumnRenamed("store_id", "_store").withColumnRenamed("sales_month", "_month")
-    j = monthly.join(
-        maybe_broadcast(tops),
+    j = join_aggregate(
+        monthly, tops,
         monthly["store_id"].eqNullSafe(F.col("_store"))
         & monthly["sales_month"].eqNullSafe(F.col("_month")),
-        "inner",
     )
     is_top = (F.col("total_sales") == F.col("_top")) | F.col("_top").isNull()
     return j.select("store_id", "sales_person_id", "full_name", "sales_month",
@@ -117,4 +116,4 @@ def product_monthly_sales(sales: DataFrame, product: DataFrame) -> DataFrame:
         F.sum("quantity").alias("units"),
         money(F.sum("total_cost")).alias("revenue"),
     )
-    return monthly.join(maybe_broadcast(by_name), "product_name", "inner")
+    return join_aggregate(monthly, by_name, "product_name")

@@ -1,11 +1,20 @@
-"""Dimension joins with a size-checked broadcast.
-
-A dimension is broadcast only after a bounded probe proves it has at most
-``max_rows`` rows; beyond that the join stays a shuffle join, which AQE may
-still turn into a broadcast from runtime sizes, and whose skewed partitions AQE
-splits.  The probe counts ``limit(max_rows + 1)`` with no columns read, so it
-costs a footer-level scan of the dimension, and its answer is memoised per
-session and plan.
+"""Joins with a size-checked broadcast.
+
+Two kinds of small side, two checks:
+
+* a dimension read from a table (``join_dimension`` / ``maybe_broadcast``) is
+  broadcast only after a bounded probe proves it has at most ``max_rows`` rows;
+  the probe counts ``limit(max_rows + 1)`` with no columns read, so it costs a
+  row count of the table, and its answer is memoised per session and plan.
+  Beyond the bound the join stays a shuffle join;
+* a side that is itself an aggregate (the maximum per store and month, the
+  distinct keys of a dimension) is not probed -- a probe would compute it
+  twice.  ``join_aggregate`` leaves it a plain join: the aggregate ends in a
+  shuffle, and AQE broadcasts it only when that shuffle's measured output is
+  below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+
+Either way a shuffle join is the fallback, and AQE splits skewed partitions of
+the large side, so a hot key does not end up in one task.
 """
 
 from __future__ import annotations
@@ -42,3 +51,9 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
 def join_dimension(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column,
                    how: str = "inner", max_rows: int | None = None) -> DataFrame:
     return fact.join(maybe_broadcast(dim, max_rows), on, how)
+
+
+def join_aggregate(df: DataFrame, agg: DataFrame, on: str | list[str] | Column,
+                   how: str = "inner") -> DataFrame:
+    """Join with an aggregated side; AQE picks broadcast from its measured size."""
+    return df.join(agg, on, how)

@@ -16,7 +16,7 @@ from tillflow.operators import enrich as E
 from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
 from tillflow.plans import sinks as S
-from tillflow.plans.broadcast import maybe_broadcast
+from tillflow.plans.broadcast import join_aggregate
 from tillflow.plans.scratch import fresh_dir
 from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
                              SALES_TEAM_EXTRACT_COLUMNS)
@@ -216,7 +216,7 @@ def mart_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.write_partitioned(second, facts_path, ["sales_month"], mode="append")
     facts = S.read_partitioned(spark, facts_path, ext.schema)
     touched = second.select("sales_month").distinct()
-    affected = facts.join(maybe_broadcast(touched), "sales_month", "left_semi")
+    affected = join_aggregate(facts, touched, "sales_month", "left_semi")
     S.refresh_months(M.top_seller_incentive(M.salesperson_monthly_sales(affected)), mart_path)
     return S.read_partitioned(spark, mart_path, mart.schema).select(*mart.columns)
 

@@ -18,11 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
-from tillflow.plans.broadcast import join_dimension, maybe_broadcast
+from tillflow.plans.broadcast import join_aggregate, join_dimension, maybe_broadcast
+
+
+_TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the file listing and footer read happen once per session
+    (the tables are read-only inputs)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _name_part(c: str, part: int):
@@ -103,7 +112,7 @@ def sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One manager per nation: an aggregate (partial per task, one row per nation),
     # not a window that would hold a whole nation in one task.
     managers = supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
-    j = join_dimension(supplier, managers, "s_nationkey")
+    j = join_aggregate(supplier, managers, "s_nationkey")
     return j.select(
         F.col("s_suppkey").alias("id"),
         _name_part("s_name", 1).alias("first_name"),
