@@ -117,3 +117,66 @@ def product_monthly_sales(sales: DataFrame, product: DataFrame) -> DataFrame:
         money(F.sum("total_cost")).alias("revenue"),
     )
     return join_aggregate(monthly, by_name, "product_name")
+
+
+# --- marts straight from sales, aggregating before the large joins -------------
+#
+# When every dimension passes the broadcast probe, ``enrich`` is one pipeline of
+# broadcast joins feeding a partial aggregate, and the marts are built from its
+# extract as above.  When the customer dimension is too large to broadcast, that
+# plan shuffles every sale by customer.  The forms below aggregate first: sales
+# are summed per customer and month (or per customer, store, person and month)
+# with partial aggregation, and only those sums meet the large dimension.  The
+# inner joins of ``enrich`` survive as weights -- each sale counts once per
+# matching row of every dimension (0 drops it, 2 doubles it) -- so the totals
+# equal the window sums over the enriched rows, duplicate dimension keys
+# included.  A customer holding a third of all sales becomes one row per month
+# before any shuffle by customer.
+
+def _key_counts(dim: DataFrame, key: str, as_name: str, count_name: str) -> DataFrame:
+    return dim.groupBy(F.col(key).alias(as_name)).agg(F.count(F.lit(1)).alias(count_name))
+
+
+def _attribute_rows(dim: DataFrame, key: str, as_name: str, attrs: list) -> DataFrame:
+    """Distinct attribute rows per key, each with the key's row count."""
+    counts = _key_counts(dim, key, as_name, "_rows")
+    variants = dim.select(F.col(key).alias(as_name), *attrs).distinct()
+    return join_aggregate(variants, counts, as_name)
+
+
+def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                                      sales_team: DataFrame) -> DataFrame:
+    """Same rows as ``customer_monthly_spend(customer_extract(enrich(...)))``."""
+    facts = sales.select("customer_id", "store_id", "sales_person_id",
+                         month_of("sales_date").alias("sales_date_month"), "total_cost")
+    facts = join_aggregate(facts, _key_counts(store, "id", "store_id", "_ns"), "store_id")
+    facts = join_aggregate(facts, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
+                           "sales_person_id")
+    sums = facts.groupBy("customer_id", "sales_date_month").agg(
+        F.sum(F.col("total_cost") * (F.col("_ns") * F.col("_nt"))).alias("_sum"))
+    people = _attribute_rows(customer, "customer_id", "customer_id", [
+        full_name("first_name", "last_name").alias("full_name"), "address", "phone_number"])
+    j = join_aggregate(sums, people, "customer_id")
+    return j.select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
+                    money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
+
+
+def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                                         sales_team: DataFrame) -> DataFrame:
+    """Same rows as ``salesperson_monthly_sales(sales_team_extract(enrich(...)))``."""
+    facts = sales.select("customer_id", "store_id", "sales_person_id",
+                         month_of("sales_date").alias("sales_month"), "total_cost")
+    per_customer = facts.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
+        F.sum("total_cost").alias("_a"))
+    per_customer = join_aggregate(per_customer,
+                                  _key_counts(customer, "customer_id", "customer_id", "_nc"),
+                                  "customer_id")
+    per_customer = join_aggregate(per_customer, _key_counts(store, "id", "store_id", "_ns"),
+                                  "store_id")
+    sums = per_customer.groupBy("store_id", "sales_person_id", "sales_month").agg(
+        F.sum(F.col("_a") * (F.col("_nc") * F.col("_ns"))).alias("_sum"))
+    people = _attribute_rows(sales_team, "id", "sales_person_id", [
+        full_name("first_name", "last_name").alias("full_name")])
+    j = join_aggregate(sums, people, "sales_person_id")
+    return j.select("store_id", "sales_person_id", "full_name", "sales_month",
+                    money(F.col("_sum") * F.col("_rows")).alias("total_sales"))

@@ -16,7 +16,7 @@ from tillflow.operators import enrich as E
 from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
 from tillflow.plans import sinks as S
-from tillflow.plans.broadcast import join_aggregate
+from tillflow.plans.broadcast import is_bounded, join_aggregate
 from tillflow.plans.scratch import fresh_dir
 from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
                              SALES_TEAM_EXTRACT_COLUMNS)
@@ -34,8 +34,35 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
                     TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
 
 
+def _dims(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None):
+    return (customer if customer is not None else TB.customer(spark, sf_dir),
+            TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
+
+
+def _all_broadcast(*dims: DataFrame) -> bool:
+    return all(is_bounded(d) for d in dims)
+
+
+def salesperson_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                             sales_team: DataFrame) -> DataFrame:
+    """Broadcast dimensions: enrich, then aggregate.  A dimension beyond the
+    broadcast bound: aggregate first, then join."""
+    if _all_broadcast(customer, store, sales_team):
+        return M.salesperson_monthly_sales(
+            M.sales_team_extract(E.enrich(sales, customer, store, sales_team)))
+    return M.salesperson_monthly_sales_from_sales(sales, customer, store, sales_team)
+
+
+def customer_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                          sales_team: DataFrame) -> DataFrame:
+    if _all_broadcast(customer, store, sales_team):
+        return M.customer_monthly_spend(
+            M.customer_extract(E.enrich(sales, customer, store, sales_team)))
+    return M.customer_monthly_spend_from_sales(sales, customer, store, sales_team)
+
+
 def salesperson_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.salesperson_monthly_sales(M.sales_team_extract(enriched(spark, sf_dir)))
+    return salesperson_monthly_from(TB.sales(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def top_seller_incentive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +74,7 @@ def sales_rank_in_store_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_monthly_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.customer_monthly_spend(M.customer_extract(enriched(spark, sf_dir)))
+    return customer_monthly_from(TB.sales(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def enrich_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,9 +110,8 @@ QUERIES: dict[str, Query] = {
 # --- more marts over the same enrichment --------------------------------------
 
 def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = E.enrich(TB.sales(spark, sf_dir), TB.customer_with_renames(spark, sf_dir),
-                 TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
-    return M.customer_monthly_spend(M.customer_extract(e))
+    return customer_monthly_from(TB.sales(spark, sf_dir),
+                                 *_dims(spark, sf_dir, TB.customer_with_renames(spark, sf_dir)))
 
 
 def daily_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,10 +257,7 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = DR.write_drops(spark, sf_dir, f"{run}/drops")
     ST.ingest_available_now(spark, landing, f"{run}/out", f"{run}/checkpoint",
                             archive_dir=f"{run}/archive")
-    ingested = ST.ingested_sales(spark, f"{run}/out")
-    e = E.enrich(ingested, TB.customer(spark, sf_dir), TB.store(spark, sf_dir),
-                 TB.sales_team(spark, sf_dir))
-    return M.customer_monthly_spend(M.customer_extract(e))
+    return customer_monthly_from(ST.ingested_sales(spark, f"{run}/out"), *_dims(spark, sf_dir))
 
 
 QUERIES.update({
