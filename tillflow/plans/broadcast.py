@@ -57,3 +57,14 @@ def join_aggregate(df: DataFrame, agg: DataFrame, on: str | list[str] | Column,
                    how: str = "inner") -> DataFrame:
     """Join with an aggregated side; AQE picks broadcast from its measured size."""
     return df.join(agg, on, how)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """A fact scan with fewer input splits than task slots (one large Parquet row
+    group cannot be split) is spread round-robin over the slots, so the joins
+    and partial aggregates after it run in parallel.  Input with at least as
+    many splits as slots -- any cluster-sized input -- is left untouched."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

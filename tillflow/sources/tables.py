@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
-from tillflow.plans.broadcast import join_aggregate, join_dimension, maybe_broadcast
+from tillflow.plans.broadcast import (join_aggregate, join_dimension, maybe_broadcast,
+                                      spread_small_scan)
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
@@ -48,7 +49,7 @@ def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Data
                  "l_extendedprice", "l_shipdate"]
     line_cols += [c for c in extra if c.startswith("l_") and c not in line_cols]
     order_cols = ["o_orderkey", "o_custkey"] + [c for c in extra if c.startswith("o_")]
-    lineitem = table(spark, sf_dir, "lineitem").select(*line_cols)
+    lineitem = spread_small_scan(table(spark, sf_dir, "lineitem").select(*line_cols))
     orders = table(spark, sf_dir, "orders").select(*order_cols)
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
