@@ -239,9 +239,14 @@ def mart_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = M.top_seller_incentive(M.salesperson_monthly_sales(facts))
     S.refresh_months(mart, mart_path)
 
-    S.write_partitioned(second, facts_path, ["sales_month"], mode="append")
+    # The second load lands once; its months come from its partition folders,
+    # then it is appended to the fact mart.
+    incoming = f"{base}/incoming"
+    S.write_partitioned(second, incoming, ["sales_month"])
+    landed = S.read_partitioned(spark, incoming, ext.schema)
+    touched = landed.select("sales_month").distinct()
+    S.write_partitioned(landed, facts_path, ["sales_month"], mode="append")
     facts = S.read_partitioned(spark, facts_path, ext.schema)
-    touched = second.select("sales_month").distinct()
     affected = join_aggregate(facts, touched, "sales_month", "left_semi")
     S.refresh_months(M.top_seller_incentive(M.salesperson_monthly_sales(affected)), mart_path)
     return S.read_partitioned(spark, mart_path, mart.schema).select(*mart.columns)
