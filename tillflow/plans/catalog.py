@@ -29,8 +29,13 @@ from tillflow.streaming import file_stream as ST
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without the product lookup (no mart reads product name or price)."""
+    return TB.sales(spark, sf_dir, with_product=False)
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.enrich(TB.sales(spark, sf_dir), TB.customer(spark, sf_dir),
+    return E.enrich(facts(spark, sf_dir), TB.customer(spark, sf_dir),
                     TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
 
 
@@ -62,7 +67,7 @@ def customer_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFram
 
 
 def salesperson_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return salesperson_monthly_from(TB.sales(spark, sf_dir), *_dims(spark, sf_dir))
+    return salesperson_monthly_from(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def top_seller_incentive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,15 +79,15 @@ def sales_rank_in_store_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_monthly_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_monthly_from(TB.sales(spark, sf_dir), *_dims(spark, sf_dir))
+    return customer_monthly_from(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def enrich_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.enrich_customer(TB.sales(spark, sf_dir), TB.customer(spark, sf_dir))
+    return E.enrich_customer(facts(spark, sf_dir), TB.customer(spark, sf_dir))
 
 
 def enrich_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.enrich_store(TB.sales(spark, sf_dir), TB.customer(spark, sf_dir),
+    return E.enrich_store(facts(spark, sf_dir), TB.customer(spark, sf_dir),
                           TB.store(spark, sf_dir))
 
 
@@ -110,7 +115,7 @@ QUERIES: dict[str, Query] = {
 # --- more marts over the same enrichment --------------------------------------
 
 def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_monthly_from(TB.sales(spark, sf_dir),
+    return customer_monthly_from(facts(spark, sf_dir),
                                  *_dims(spark, sf_dir, TB.customer_with_renames(spark, sf_dir)))
 
 

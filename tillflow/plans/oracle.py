@@ -18,7 +18,7 @@ sales AS (
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN part p ON l.l_partkey = p.p_partkey),
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey),
 dim_customer AS (
   SELECT c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
          split_part(c_name, '#', 2) AS last_name, c_mktsegment AS address,

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
+from tillflow.schema import MONEY
 from tillflow.plans.broadcast import (join_aggregate, join_dimension, maybe_broadcast,
                                       spread_small_scan)
 
@@ -39,9 +40,16 @@ def _name_part(c: str, part: int):
     return F.split_part(F.col(c), F.lit("#"), F.lit(part))
 
 
-def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
+          with_product: bool = True) -> DataFrame:
     """Sales facts in the mandatory-column layout.
 
+    The product name and price are looked up in the part catalog (a left join:
+    the lookup never adds or drops a sale).  With ``with_product=False`` the
+    lookup is skipped and both columns stay NULL -- the marts never read them,
+    and at scale the part catalog is too big to broadcast, so the lookup would
+    cost a shuffle of every sale.
+
     ``extra`` names driver columns to carry along (used to derive the drop
     files); they are not part of the retail model.
     """
@@ -52,18 +60,22 @@ def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> Data
     lineitem = spread_small_scan(table(spark, sf_dir, "lineitem").select(*line_cols))
     orders = table(spark, sf_dir, "orders").select(*order_cols)
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
 
     j = join_dimension(lineitem, orders, lineitem.l_orderkey == orders.o_orderkey)
     j = join_dimension(j, supplier, j.l_suppkey == supplier.s_suppkey)
-    j = join_dimension(j, part, j.l_partkey == part.p_partkey)
+    if with_product:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+        j = join_dimension(j, part, j.l_partkey == part.p_partkey, "left")
+        product_name, price = F.col("p_name"), money("p_retailprice")
+    else:
+        product_name, price = F.lit(None).cast("string"), F.lit(None).cast(MONEY)
     return j.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("s_nationkey").alias("store_id"),
-        F.col("p_name").alias("product_name"),
+        product_name.alias("product_name"),
         F.col("l_shipdate").cast("date").alias("sales_date"),
         F.col("l_suppkey").alias("sales_person_id"),
-        money("p_retailprice").alias("price"),
+        price.alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
         *[F.col(c) for c in extra],
