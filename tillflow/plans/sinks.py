@@ -60,3 +60,10 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
 def refresh_months(new_rows: DataFrame, path: str, month_col: str = "sales_month") -> None:
     """Replaces the month partitions present in ``new_rows``; others stay."""
     write_partitioned(new_rows, path, [month_col], mode="overwrite", dynamic=True)
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` rows, for a look at an intermediate result (the retail
+    job's ``show``).  Each call runs the plan up to a limit; keep it out of
+    jobs."""
+    return df.limit(n)
