@@ -64,3 +64,45 @@ def test_incentive_equals_rank_form(spark):
                 .otherwise(F.lit(0)), 2).cast("decimal(18,2)").alias("incentive"))
     ours = M.top_seller_incentive(monthly)
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def _adversarial(spark, seed):
+    """Sales where customer 1 holds a third of all rows, with NULL keys and
+    amounts, keys missing from dimensions, and duplicate dimension keys."""
+    from tillflow.schema import CUSTOMER_SCHEMA, SALES_SCHEMA, SALES_TEAM_SCHEMA, STORE_SCHEMA
+
+    rnd = random.Random(seed)
+    sales = []
+    for i in range(600):
+        cust = 1 if i % 3 == 0 else rnd.choice([2, 3, 4, 5, 99, None])
+        sales.append((cust, rnd.choice([10, 11, 12, None]), "pen",
+                      None if rnd.random() < 0.05 else dt.date(2001, rnd.randint(1, 4), 1),
+                      rnd.choice([100, 101, 102, 999]), D("1.00"), 1,
+                      None if rnd.random() < 0.1 else D(rnd.randint(1, 9999)) / 100, None))
+    customer = [(1, "a", "b", "x", "1", "2"), (2, "c", "d", "y", "1", "2"),
+                (2, "c", "e", "y", "1", "2"), (3, None, "f", "z", "1", "2"),
+                (4, "g", "h", "w", "1", "2"), (4, "g", "h", "w", "1", "2")]  # exact copy
+    store = [(10, "s", "m"), (11, "t", "n"), (11, "t2", "n2")]
+    team = [(100, "p", "q", 100, "Y", "x", "1"), (101, "r", "s", 100, "N", "x", "1"),
+            (101, "r", "s2", 100, "N", "x", "1"), (102, "u", None, 100, "N", "x", "1")]
+    return (spark.createDataFrame(sales, SALES_SCHEMA), spark.createDataFrame(customer, CUSTOMER_SCHEMA),
+            spark.createDataFrame(store, STORE_SCHEMA), spark.createDataFrame(team, SALES_TEAM_SCHEMA))
+
+
+def test_aggregate_first_forms_equal_enrich_forms_on_skewed_data(spark):
+    from tillflow.operators import enrich as E
+
+    for seed in range(2):
+        s, c, st, t = _adversarial(spark, seed)
+        e = E.enrich(s, c, st, t)
+        pairs = [
+            (M.customer_monthly_spend_from_sales(s, c, st, t),
+             M.customer_monthly_spend(M.customer_extract(e))),
+            (M.salesperson_monthly_sales_from_sales(s, c, st, t),
+             M.salesperson_monthly_sales(M.sales_team_extract(e))),
+        ]
+        for first, via_enrich in pairs:
+            assert first.exceptAll(via_enrich).count() == 0
+            assert via_enrich.exceptAll(first).count() == 0
+        ext = M.customer_extract(e)
+        assert M.customer_monthly_spend(ext).exceptAll(_window_distinct(ext)).count() == 0

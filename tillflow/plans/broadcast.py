@@ -3,10 +3,12 @@
 Two kinds of small side, two checks:
 
 * a dimension read from a table (``join_dimension`` / ``maybe_broadcast``) is
-  broadcast only after a bounded probe proves it has at most ``max_rows`` rows;
-  the probe counts ``limit(max_rows + 1)`` with no columns read, so it costs a
-  row count of the table, and its answer is memoised per session and plan.
-  Beyond the bound the join stays a shuffle join;
+  broadcast only after a probe proves it has at most ``max_rows`` rows.  The
+  probe is a plain ``count()`` with no columns read: Parquet answers it from
+  file footers, and every task sends one partial count (a ``limit`` probe
+  would funnel up to ``max_rows`` rows per task into a single task).  Its
+  answer is memoised per session and plan.  Beyond the bound the join stays a
+  shuffle join;
 * a side that is itself an aggregate (the maximum per store and month, the
   distinct keys of a dimension) is not probed -- a probe would compute it
   twice.  ``join_aggregate`` leaves it a plain join: the aggregate ends in a
@@ -40,7 +42,7 @@ def is_bounded(df: DataFrame, max_rows: int | None = None) -> bool:
     limit = max_rows if max_rows is not None else max_rows_for(df)
     key = (id(df.sparkSession), df.semanticHash(), limit)
     if key not in _probe_memo:
-        _probe_memo[key] = df.limit(limit + 1).count() <= limit
+        _probe_memo[key] = df.count() <= limit
     return _probe_memo[key]
 
 
