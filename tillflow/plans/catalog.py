@@ -260,14 +260,23 @@ def mart_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stream --------------------------------------------------------------------
 
 def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drops are written to a fresh landing folder, streamed once with
-    availableNow (files archived as they are finished), and the customer mart
-    is computed from what the stream ingested."""
+    """Drops are written to a fresh landing folder and streamed once with
+    availableNow (files archived as they are finished); the stream keeps the
+    customer mart up to date month by month, and the query reads that mart."""
     run = fresh_dir(spark, "stream")
     landing = DR.write_drops(spark, sf_dir, f"{run}/drops")
+    dims = _dims(spark, sf_dir)
+
+    def build(sales: DataFrame) -> DataFrame:
+        return customer_monthly_from(sales, *dims)
+
+    # Files per micro-batch (fixed): several batches, so later ones refresh
+    # months that earlier ones wrote.
     ST.ingest_available_now(spark, landing, f"{run}/out", f"{run}/checkpoint",
-                            archive_dir=f"{run}/archive")
-    return customer_monthly_from(ST.ingested_sales(spark, f"{run}/out"), *_dims(spark, sf_dir))
+                            archive_dir=f"{run}/archive", mart_builder=build,
+                            max_files_per_batch=16)
+    schema = build(ST.ingested_sales(spark, f"{run}/out")).schema
+    return ST.stream_mart(spark, f"{run}/out", schema).select(*schema.fieldNames())
 
 
 QUERIES.update({

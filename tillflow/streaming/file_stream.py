@@ -10,7 +10,10 @@ retail job's staging table.  Each micro-batch runs the batch ingest of
   quarantine to ``<out>/quarantine`` -- both with dynamic partition overwrite,
   so a micro-batch replayed after a failure replaces its own output;
 * the ledger gets an A event per accepted file before the write and an I event
-  after it (append-only, see ``operators.ledger``).
+  after it (append-only, see ``operators.ledger``);
+* with a mart builder, the months the micro-batch touched are recomputed from
+  all ingested facts and replaced in ``<out>/mart`` (dynamic overwrite by
+  month) -- the stream needs no state of its own, and a replay changes nothing.
 
 ``trigger(availableNow=True)`` processes what is there and stops.  With an
 archive folder the source moves finished files there (``cleanSource``); it
@@ -23,9 +26,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collections.abc import Callable
+
+from tillflow.functions.expressions import month_of
 from tillflow.operators.ledger import close_events, open_events
+from tillflow.plans.sinks import refresh_months
 from tillflow.sources import files as FS
 
+MartBuilder = Callable[[DataFrame], DataFrame]
+
 DEFAULT_MAX_FILES = 1000
 
 # The fixed schema of the binaryFile source (a stream must be given it).
@@ -37,7 +46,16 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def _ingest_batch(spark: SparkSession, out: str):
+def _refresh_mart(spark: SparkSession, out: str, batch_sales: DataFrame,
+                  build: MartBuilder, month_col: str) -> None:
+    touched = batch_sales.select(month_of("sales_date").alias("_month")).distinct()
+    facts = spark.read.parquet(f"{out}/facts").drop("batch_id")
+    affected = facts.join(touched, month_of("sales_date").eqNullSafe(F.col("_month")),
+                          "left_semi")
+    refresh_months(build(affected), f"{out}/mart", month_col)
+
+
+def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, month_col: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         manifest = FS.classify(batch).where(F.col("kind") != FS.KIND_HIDDEN)
         gate = FS.header_gate(manifest.where(F.col("kind") == FS.KIND_CSV)).checkpoint(eager=True)
@@ -51,6 +69,8 @@ def _ingest_batch(spark: SparkSession, out: str):
         (FS.sales_rows(staged).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
          .parquet(f"{out}/facts"))
+        if build is not None:
+            _refresh_mart(spark, out, FS.sales_rows(staged), build, month_col)
         (FS.quarantine(spark, manifest, gate, staged).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "reason").parquet(f"{out}/quarantine"))
@@ -62,15 +82,20 @@ def _ingest_batch(spark: SparkSession, out: str):
 
 def ingest_available_now(spark: SparkSession, landing: str, out: str, checkpoint: str,
                          archive_dir: str | None = None,
-                         max_files_per_batch: int = DEFAULT_MAX_FILES) -> None:
-    """Processes every file below ``landing`` not yet seen by ``checkpoint``."""
+                         max_files_per_batch: int = DEFAULT_MAX_FILES,
+                         mart_builder: MartBuilder | None = None,
+                         mart_month_col: str = "sales_date_month") -> None:
+    """Processes every file below ``landing`` not yet seen by ``checkpoint``.
+    ``mart_builder`` maps sales rows to a mart with a ``mart_month_col``
+    column; it is kept up to date in ``<out>/mart``."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true")
               .option("maxFilesPerTrigger", max_files_per_batch))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     files = reader.load(landing).select("path", "length", "modificationTime")
-    query = (files.writeStream.foreachBatch(_ingest_batch(spark, out))
+    query = (files.writeStream
+             .foreachBatch(_ingest_batch(spark, out, mart_builder, mart_month_col))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -78,3 +103,8 @@ def ingest_available_now(spark: SparkSession, landing: str, out: str, checkpoint
 
 def ingested_sales(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/facts").drop("batch_id")
+
+
+def stream_mart(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The mart kept by the stream, read with its schema (month as text)."""
+    return spark.read.schema(schema).parquet(f"{out}/mart")
