@@ -111,3 +111,14 @@ def test_stream_keeps_mart_equal_to_batch(spark, tmp_dir):
     want = sorted(tuple(r) for r in build(ST.ingested_sales(spark, out)).collect())
     assert got == want
     assert (1, "2001-01", D("5.00")) in got
+
+
+def test_ledger_events_of_a_batch_are_replaced_on_replay(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "out")
+    files = spark.createDataFrame([("a.csv", "p/a.csv")], "file_name string, file_location string")
+    for _ in range(2):  # the same micro-batch twice
+        ST._write_events(L.open_events(files, F.current_timestamp(), "batch-0", seq=1), out)
+        ST._write_events(L.close_events(files, F.current_timestamp(), "batch-0", seq=2), out)
+    ledger = spark.read.parquet(os.path.join(out, "ledger"))
+    assert ledger.count() == 2
+    assert [(r["status"], r["event_count"]) for r in L.current_status(ledger).collect()] == [("I", 2)]

@@ -10,7 +10,8 @@ retail job's staging table.  Each micro-batch runs the batch ingest of
   quarantine to ``<out>/quarantine`` -- both with dynamic partition overwrite,
   so a micro-batch replayed after a failure replaces its own output;
 * the ledger gets an A event per accepted file before the write and an I event
-  after it (append-only, see ``operators.ledger``);
+  after it (see ``operators.ledger``), stored per (micro-batch, status), so a
+  replay rewrites its own events;
 * with a mart builder, the months the micro-batch touched are recomputed from
   all ingested facts and replaced in ``<out>/mart`` (dynamic overwrite by
   month) -- the stream needs no state of its own, and a replay changes nothing.
@@ -46,6 +47,13 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def _write_events(events: DataFrame, out: str) -> None:
+    """Ledger events of one micro-batch and status; a replayed batch replaces
+    its own events instead of adding copies."""
+    (events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "status").parquet(f"{out}/ledger"))
+
+
 def _refresh_mart(spark: SparkSession, out: str, batch_sales: DataFrame,
                   build: MartBuilder, month_col: str) -> None:
     touched = batch_sales.select(month_of("sales_date").alias("_month")).distinct()
@@ -62,7 +70,7 @@ def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, mont
         accepted = gate.where("accepted").select("file_name", F.col("path").alias("file_location"))
         run_id = f"batch-{batch_id}"
         now = F.current_timestamp()
-        open_events(accepted, now, run_id, seq=1).write.mode("append").parquet(f"{out}/ledger")
+        _write_events(open_events(accepted, now, run_id, seq=1), out)
         stage = f"{out}/staged/batch_id={batch_id}"
         FS.read_accepted(spark, gate).write.mode("overwrite").parquet(stage)
         staged = spark.read.parquet(stage)
@@ -74,8 +82,7 @@ def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, mont
         (FS.quarantine(spark, manifest, gate, staged).withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "reason").parquet(f"{out}/quarantine"))
-        close_events(accepted, F.current_timestamp(), run_id, seq=2).write.mode("append").parquet(
-            f"{out}/ledger")
+        _write_events(close_events(accepted, F.current_timestamp(), run_id, seq=2), out)
 
     return run
 
