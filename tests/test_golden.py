@@ -144,3 +144,22 @@ def test_month_text_matches_first_seven_characters(spark):
     df = spark.createDataFrame([(dt.date(1, 2, 3),), (dt.date(2001, 11, 30),), (None,)], "d date")
     got = [r[0] for r in df.select(month_of("d")).collect()]
     assert got == ["0001-02", "2001-11", None]
+
+
+def test_distributed_rank_equals_window_rank(spark):
+    import random
+
+    from tillflow.operators import ranking as R
+
+    got = {r["sales_person_id"]: r["sales_rank"]
+           for r in M.sales_rank(_monthly(spark), window_max_rows=0).collect()}
+    assert got == {p: rank for _, p, _, rank, _ in RANK_CASES}
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([1, 2, None]), p, f"n{p}", rnd.choice(["2001-01", None]),
+             None if rnd.random() < 0.1 else D(rnd.choice([5, 7, 7, 9, 12])))
+            for p in range(300)]
+    df = spark.createDataFrame(rows, MONTHLY).repartition(7)
+    a = R.distributed_rank(df, ["store_id", "sales_month"], "total_sales", "r")
+    b = R.window_rank(df, ["store_id", "sales_month"], "total_sales", "r")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import full_name, incentive, money, month_of
+from tillflow.operators.ranking import rank_desc
 from tillflow.plans.broadcast import join_aggregate
 from tillflow.schema import CUSTOMER_EXTRACT_COLUMNS, SALES_TEAM_EXTRACT_COLUMNS
 
@@ -71,12 +72,13 @@ def salesperson_monthly_sales(extract: DataFrame) -> DataFrame:
     return out.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales")
 
 
-def sales_rank(monthly: DataFrame) -> DataFrame:
+def sales_rank(monthly: DataFrame, window_max_rows: int | None = None) -> DataFrame:
     """Rank by total within store and month: ties share a rank and leave a gap,
-    NULL totals come last.  The window holds one store-month of the already
-    aggregated mart (one row per sales person), never raw sales."""
-    w = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc())
-    return monthly.withColumn("sales_rank", F.rank().over(w))
+    NULL totals come last.  A store-month of the aggregated mart holds one row
+    per sales person; while the largest fits one task a window ranks it,
+    otherwise the ranks come from a global sort (``operators.ranking``)."""
+    return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "sales_rank",
+                     window_max_rows)
 
 
 def top_seller_incentive(monthly: DataFrame) -> DataFrame:
