@@ -222,10 +222,10 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two run-stamped snapshots of the customer mart (an early load, then the
     full one); reading the latest gives the full mart."""
     root = fresh_dir(spark, "customer-mart-snapshots")
-    ext = customer_mart_extract(spark, sf_dir)
-    early = ext.where(F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
-    S.write_snapshot(M.customer_monthly_spend(early), root, run_id=1)
-    S.write_snapshot(M.customer_monthly_spend(ext), root, run_id=2)
+    sales, dims = facts(spark, sf_dir), _dims(spark, sf_dir)
+    early = sales.where(F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
+    S.write_snapshot(customer_monthly_from(early, *dims), root, run_id=1)
+    S.write_snapshot(customer_monthly_from(sales, *dims), root, run_id=2)
     return S.read_latest(spark, root)
 
 
