@@ -66,7 +66,9 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     group cannot be split) is spread round-robin over the slots, so the joins
     and partial aggregates after it run in parallel.  Input with at least as
     many splits as slots -- any cluster-sized input -- is left untouched."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no local SparkContext (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df

@@ -15,15 +15,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a session without a local SparkContext (Spark Connect)
+        return None
+
+
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         # Unset only outside a cluster: give this session its own folder.
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir()
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
