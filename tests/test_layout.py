@@ -1,0 +1,35 @@
+"""Bucketed copies of line items and orders: the order-key join needs no
+exchange, and the marts are unchanged."""
+
+from __future__ import annotations
+
+from conftest import SF_SMALL
+
+from oracle_check import compare, duck
+
+
+def test_bucketed_fact_join_has_no_exchange(spark):
+    conf = {"tillflow.facts.buckets": "4", "tillflow.broadcast.maxRows": "0",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        from tillflow.sources import tables as TB
+
+        plan = TB.sales(spark, SF_SMALL, with_product=False)._jdf.queryExecution() \
+            .executedPlan().toString()
+        lines = plan.split("\n")
+        at = next(i for i, l in enumerate(lines) if "SortMergeJoin [l_orderkey" in l)
+        depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+        below = []
+        for l in lines[at + 1:]:
+            if len(l) - len(l.lstrip(" :+-")) <= depth:
+                break
+            below.append(l)
+        assert not any("Exchange" in l for l in below)
+        assert any("tillflow_l_orderkey_4" in l for l in below)
+        r = compare(spark, "top_seller_incentive", SF_SMALL, duck(SF_SMALL))
+        assert r["ok"], r
+    finally:
+        for k in conf:
+            spark.conf.unset(k)

@@ -1,0 +1,36 @@
+"""Bucketed copies of the two largest tables, for shuffle-free fact joins.
+
+Line items and orders are joined on the order key by every mart.  At cluster
+scale neither side can be broadcast, so each query would shuffle both.  With
+``tillflow.facts.buckets`` set (0, the default, is off), both tables are
+written once -- bucketed and sorted by the order key, to the shared scratch
+folder -- and read back through the session catalog.  Spark then joins them
+bucket by bucket with no exchange.  The copy is made once per session (or
+once per metastore, where tables persist).
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tillflow.plans.scratch import stable_dir
+
+BUCKETS_CONF = "tillflow.facts.buckets"
+
+
+def fact_buckets(spark: SparkSession) -> int:
+    value = spark.conf.get(BUCKETS_CONF, None)
+    return int(value) if value else 0
+
+
+def bucketed(spark: SparkSession, df: DataFrame, source: str, key: str, buckets: int) -> DataFrame:
+    """``df`` (a whole table read from ``source``) as a table bucketed and
+    sorted by ``key``."""
+    digest = hashlib.sha1(source.encode()).hexdigest()[:10]
+    name = f"tillflow_{key}_{buckets}_{digest}"
+    if not spark.catalog.tableExists(name):
+        (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+         .option("path", stable_dir(spark, f"bucketed/{name}")).saveAsTable(name))
+    return spark.table(name)

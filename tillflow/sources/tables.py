@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
+from tillflow.plans.layout import bucketed, fact_buckets
 from tillflow.schema import MONEY
 from tillflow.plans.broadcast import (join_aggregate, join_dimension, maybe_broadcast,
                                       spread_small_scan)
@@ -26,10 +27,14 @@ from tillflow.plans.broadcast import (join_aggregate, join_dimension, maybe_broa
 _TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; the file listing and footer read happen once per session
     (the tables are read-only inputs)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    path = _path(sf_dir, name)
     key = (id(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
@@ -57,8 +62,16 @@ def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
                  "l_extendedprice", "l_shipdate"]
     line_cols += [c for c in extra if c.startswith("l_") and c not in line_cols]
     order_cols = ["o_orderkey", "o_custkey"] + [c for c in extra if c.startswith("o_")]
-    lineitem = spread_small_scan(table(spark, sf_dir, "lineitem").select(*line_cols))
-    orders = table(spark, sf_dir, "orders").select(*order_cols)
+    buckets = fact_buckets(spark)
+    if buckets:
+        # bucketed by the order key on both sides: the join below needs no exchange
+        lineitem = bucketed(spark, table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem"),
+                            "l_orderkey", buckets).select(*line_cols)
+        orders = bucketed(spark, table(spark, sf_dir, "orders"), _path(sf_dir, "orders"),
+                          "o_orderkey", buckets).select(*order_cols)
+    else:
+        lineitem = spread_small_scan(table(spark, sf_dir, "lineitem").select(*line_cols))
+        orders = table(spark, sf_dir, "orders").select(*order_cols)
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
     j = join_dimension(lineitem, orders, lineitem.l_orderkey == orders.o_orderkey)
