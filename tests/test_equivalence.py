@@ -100,6 +100,7 @@ def test_aggregate_first_forms_equal_enrich_forms_on_skewed_data(spark):
              M.customer_monthly_spend(M.customer_extract(e))),
             (M.salesperson_monthly_sales_from_sales(s, c, st, t),
              M.salesperson_monthly_sales(M.sales_team_extract(e))),
+            (M.daily_store_sales_from_sales(s, c, st, t), M.daily_store_sales(e)),
         ]
         for first, via_enrich in pairs:
             assert first.exceptAll(via_enrich).count() == 0

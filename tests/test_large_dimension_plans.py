@@ -11,7 +11,7 @@ from conftest import SF_SMALL
 from oracle_check import compare, duck
 
 NAMES = ["customer_monthly_spend", "customer_spend_shared_key", "salesperson_monthly_sales",
-         "top_seller_incentive", "sales_rank_in_store_month", "enrich_full"]
+         "top_seller_incentive", "sales_rank_in_store_month", "enrich_full", "daily_store_sales"]
 
 
 @pytest.fixture(scope="module")

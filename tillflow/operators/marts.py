@@ -182,3 +182,23 @@ def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame,
     j = join_aggregate(sums, people, "sales_person_id")
     return j.select("store_id", "sales_person_id", "full_name", "sales_month",
                     money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
+
+
+def daily_store_sales_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                                 sales_team: DataFrame) -> DataFrame:
+    """Same rows as ``daily_store_sales(enrich(...))``: sales are summed per
+    (customer, store, person, day) first, each group weighted by its matching
+    dimension rows, then summed per (store, day); the sale count is weighted
+    the same way."""
+    pre = sales.groupBy("customer_id", "store_id", "sales_person_id", "sales_date").agg(
+        F.sum("total_cost").alias("_a"), F.count(F.lit(1)).alias("_c"))
+    pre = join_aggregate(pre, _key_counts(customer, "customer_id", "customer_id", "_nc"),
+                         "customer_id")
+    pre = join_aggregate(pre, _key_counts(store, "id", "store_id", "_ns"), "store_id")
+    pre = join_aggregate(pre, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
+                         "sales_person_id")
+    weight = F.col("_nc") * F.col("_ns") * F.col("_nt")
+    return pre.groupBy("store_id", "sales_date").agg(
+        money(F.sum(F.col("_a") * weight)).alias("total_sales"),
+        F.sum(F.col("_c") * weight).alias("sales_count"),
+    )

@@ -120,7 +120,10 @@ def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.daily_store_sales(enriched(spark, sf_dir))
+    sales, dims = facts(spark, sf_dir), _dims(spark, sf_dir)
+    if _all_broadcast(*dims):
+        return M.daily_store_sales(E.enrich(sales, *dims))
+    return M.daily_store_sales_from_sales(sales, *dims)
 
 
 def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
