@@ -18,10 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
+from tillflow.plans.broadcast import join_dimension, maybe_broadcast, spread_small_scan
 from tillflow.plans.layout import bucketed, fact_buckets
 from tillflow.schema import MONEY
-from tillflow.plans.broadcast import (join_aggregate, join_dimension, maybe_broadcast,
-                                      spread_small_scan)
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
@@ -136,9 +135,11 @@ def store_in_region(spark: SparkSession, sf_dir: str, region_name: str) -> DataF
 def sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     # One manager per nation: an aggregate (partial per task, one row per nation),
-    # not a window that would hold a whole nation in one task.
+    # not a window that would hold a whole nation in one task.  Its probe is a
+    # pass over the supplier keys (dimension-sized), and broadcasting it keeps
+    # the supplier table from being shuffled by its 25 nation keys.
     managers = supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
-    j = join_aggregate(supplier, managers, "s_nationkey")
+    j = join_dimension(supplier, managers, "s_nationkey")
     return j.select(
         F.col("s_suppkey").alias("id"),
         _name_part("s_name", 1).alias("first_name"),
