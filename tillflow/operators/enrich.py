@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.plans.broadcast import join_aggregate, join_dimension
+from tillflow.plans.broadcast import join_dimension
 
 # Fact columns that the marts do not use; dropped right after the first join.
 _UNUSED_FACT_COLUMNS = ["product_name", "price", "quantity", "additional_column"]
@@ -80,8 +80,8 @@ def orphan_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
                  sales_team: DataFrame) -> DataFrame:
     """Sales that the inner joins of ``enrich`` drop, with the missing sides marked.
 
-    Each dimension contributes its distinct keys only (an aggregate, broadcast
-    by AQE when small), so a fact row is never multiplied here.
+    Each dimension contributes its distinct keys only (a dimension aggregate,
+    broadcast behind the size probe), so a fact row is never multiplied here.
     """
     def keys(dim: DataFrame, key: str, as_name: str, flag: str) -> DataFrame:
         return (dim.select(F.col(key).alias(as_name)).distinct()
@@ -94,7 +94,7 @@ def orphan_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
     ]
     out = sales
     for dim_keys, key, flag, _ in checks:
-        out = join_aggregate(out, dim_keys, key, "left")
+        out = join_dimension(out, dim_keys, key, "left")
     flags = [F.col(flag).isNull().alias(name) for _, _, flag, name in checks]
     out = out.select(*sales.columns, *flags)
     return out.where(F.col("missing_customer") | F.col("missing_store")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import full_name, incentive, money, month_of
 from tillflow.operators.ranking import rank_desc
-from tillflow.plans.broadcast import join_aggregate
+from tillflow.plans.broadcast import join_aggregate, join_dimension
 from tillflow.schema import CUSTOMER_EXTRACT_COLUMNS, SALES_TEAM_EXTRACT_COLUMNS
 
 
@@ -133,7 +133,10 @@ def product_monthly_sales(sales: DataFrame, product: DataFrame) -> DataFrame:
 # matching row of every dimension (0 drops it, 2 doubles it) -- so the totals
 # equal the window sums over the enriched rows, duplicate dimension keys
 # included.  A customer holding a third of all sales becomes one row per month
-# before any shuffle by customer.
+# before any shuffle by customer.  The weight and attribute tables are
+# aggregates of dimensions, so they go through the size probe (a dimension-
+# sized pass) and are broadcast when small: sales are never shuffled towards
+# the store or sales-team counts.
 
 def _key_counts(dim: DataFrame, key: str, as_name: str, count_name: str) -> DataFrame:
     return dim.groupBy(F.col(key).alias(as_name)).agg(F.count(F.lit(1)).alias(count_name))
@@ -143,7 +146,7 @@ def _attribute_rows(dim: DataFrame, key: str, as_name: str, attrs: list) -> Data
     """Distinct attribute rows per key, each with the key's row count."""
     counts = _key_counts(dim, key, as_name, "_rows")
     variants = dim.select(F.col(key).alias(as_name), *attrs).distinct()
-    return join_aggregate(variants, counts, as_name)
+    return join_dimension(variants, counts, as_name)
 
 
 def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
@@ -151,14 +154,14 @@ def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, sto
     """Same rows as ``customer_monthly_spend(customer_extract(enrich(...)))``."""
     facts = sales.select("customer_id", "store_id", "sales_person_id",
                          month_of("sales_date").alias("sales_date_month"), "total_cost")
-    facts = join_aggregate(facts, _key_counts(store, "id", "store_id", "_ns"), "store_id")
-    facts = join_aggregate(facts, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
+    facts = join_dimension(facts, _key_counts(store, "id", "store_id", "_ns"), "store_id")
+    facts = join_dimension(facts, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
                            "sales_person_id")
     sums = facts.groupBy("customer_id", "sales_date_month").agg(
         F.sum(F.col("total_cost") * (F.col("_ns") * F.col("_nt"))).alias("_sum"))
     people = _attribute_rows(customer, "customer_id", "customer_id", [
         full_name("first_name", "last_name").alias("full_name"), "address", "phone_number"])
-    j = join_aggregate(sums, people, "customer_id")
+    j = join_dimension(sums, people, "customer_id")
     return j.select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
                     money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
 
@@ -170,16 +173,16 @@ def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame,
                          month_of("sales_date").alias("sales_month"), "total_cost")
     per_customer = facts.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
         F.sum("total_cost").alias("_a"))
-    per_customer = join_aggregate(per_customer,
+    per_customer = join_dimension(per_customer,
                                   _key_counts(customer, "customer_id", "customer_id", "_nc"),
                                   "customer_id")
-    per_customer = join_aggregate(per_customer, _key_counts(store, "id", "store_id", "_ns"),
+    per_customer = join_dimension(per_customer, _key_counts(store, "id", "store_id", "_ns"),
                                   "store_id")
     sums = per_customer.groupBy("store_id", "sales_person_id", "sales_month").agg(
         F.sum(F.col("_a") * (F.col("_nc") * F.col("_ns"))).alias("_sum"))
     people = _attribute_rows(sales_team, "id", "sales_person_id", [
         full_name("first_name", "last_name").alias("full_name")])
-    j = join_aggregate(sums, people, "sales_person_id")
+    j = join_dimension(sums, people, "sales_person_id")
     return j.select("store_id", "sales_person_id", "full_name", "sales_month",
                     money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
 
@@ -192,10 +195,10 @@ def daily_store_sales_from_sales(sales: DataFrame, customer: DataFrame, store: D
     the same way."""
     pre = sales.groupBy("customer_id", "store_id", "sales_person_id", "sales_date").agg(
         F.sum("total_cost").alias("_a"), F.count(F.lit(1)).alias("_c"))
-    pre = join_aggregate(pre, _key_counts(customer, "customer_id", "customer_id", "_nc"),
+    pre = join_dimension(pre, _key_counts(customer, "customer_id", "customer_id", "_nc"),
                          "customer_id")
-    pre = join_aggregate(pre, _key_counts(store, "id", "store_id", "_ns"), "store_id")
-    pre = join_aggregate(pre, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
+    pre = join_dimension(pre, _key_counts(store, "id", "store_id", "_ns"), "store_id")
+    pre = join_dimension(pre, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
                          "sales_person_id")
     weight = F.col("_nc") * F.col("_ns") * F.col("_nt")
     return pre.groupBy("store_id", "sales_date").agg(

@@ -9,11 +9,13 @@ Two kinds of small side, two checks:
   would funnel up to ``max_rows`` rows per task into a single task).  Its
   answer is memoised per session and plan.  Beyond the bound the join stays a
   shuffle join;
-* a side that is itself an aggregate (the maximum per store and month, the
-  distinct keys of a dimension) is not probed -- a probe would compute it
-  twice.  ``join_aggregate`` leaves it a plain join: the aggregate ends in a
-  shuffle, and AQE broadcasts it only when that shuffle's measured output is
-  below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+  Aggregates of a dimension (per-key row counts, distinct keys, managers per
+  nation) go the same way: their probe is a dimension-sized pass;
+* a side aggregated from sales (the maximum per store and month, the months a
+  load touched) is not probed -- a probe would run the sales pipeline twice.
+  ``join_aggregate`` leaves it a plain join: the aggregate ends in a shuffle,
+  and AQE broadcasts it only when that shuffle's measured output is below
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 
 Either way a shuffle join is the fallback, and AQE splits skewed partitions of
 the large side, so a hot key does not end up in one task.
