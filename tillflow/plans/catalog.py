@@ -16,7 +16,7 @@ from tillflow.operators import enrich as E
 from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
 from tillflow.plans import sinks as S
-from tillflow.plans.broadcast import is_bounded, join_aggregate
+from tillflow.plans.broadcast import join_aggregate
 from tillflow.plans.scratch import fresh_dir
 from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
                              SALES_TEAM_EXTRACT_COLUMNS)
@@ -44,25 +44,18 @@ def _dims(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None):
             TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
 
 
-def _all_broadcast(*dims: DataFrame) -> bool:
-    return all(is_bounded(d) for d in dims)
-
+# The monthly and daily marts are built aggregate-first from sales (see
+# operators/marts.py): at cluster scale it keeps the customer join off the
+# sales rows, and measured on sf0.1 it is also the faster plan when every
+# dimension is broadcast (customer mart 2.3 s against 3.1 s).
 
 def salesperson_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
                              sales_team: DataFrame) -> DataFrame:
-    """Broadcast dimensions: enrich, then aggregate.  A dimension beyond the
-    broadcast bound: aggregate first, then join."""
-    if _all_broadcast(customer, store, sales_team):
-        return M.salesperson_monthly_sales(
-            M.sales_team_extract(E.enrich(sales, customer, store, sales_team)))
     return M.salesperson_monthly_sales_from_sales(sales, customer, store, sales_team)
 
 
 def customer_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
                           sales_team: DataFrame) -> DataFrame:
-    if _all_broadcast(customer, store, sales_team):
-        return M.customer_monthly_spend(
-            M.customer_extract(E.enrich(sales, customer, store, sales_team)))
     return M.customer_monthly_spend_from_sales(sales, customer, store, sales_team)
 
 
@@ -120,10 +113,7 @@ def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales, dims = facts(spark, sf_dir), _dims(spark, sf_dir)
-    if _all_broadcast(*dims):
-        return M.daily_store_sales(E.enrich(sales, *dims))
-    return M.daily_store_sales_from_sales(sales, *dims)
+    return M.daily_store_sales_from_sales(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
