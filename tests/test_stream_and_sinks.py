@@ -122,3 +122,8 @@ def test_ledger_events_of_a_batch_are_replaced_on_replay(spark, tmp_dir):
     ledger = spark.read.parquet(os.path.join(out, "ledger"))
     assert ledger.count() == 2
     assert [(r["status"], r["event_count"]) for r in L.current_status(ledger).collect()] == [("I", 2)]
+
+
+def test_preview_is_a_limit(spark):
+    df = spark.range(100)
+    assert S.preview(df).count() == 20 and S.preview(df, 5).count() == 5
