@@ -163,3 +163,21 @@ def test_distributed_rank_equals_window_rank(spark):
     a = R.distributed_rank(df, ["store_id", "sales_month"], "total_sales", "r")
     b = R.window_rank(df, ["store_id", "sales_month"], "total_sales", "r")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fold_columns_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    text = st.one_of(st.none(), st.text(alphabet="ab ,x", max_size=4))
+    rows_strategy = st.lists(st.tuples(text, text, text), min_size=1, max_size=40)
+
+    @settings(max_examples=5, deadline=None)
+    @given(rows_strategy)
+    def check(rows):
+        df = spark.createDataFrame(rows, "x string, y string, z string")
+        got = [r[0] for r in df.select(fold_columns(["x", "y", "z"])).collect()]
+        # NULLs skipped, the rest joined by ", "; all NULL gives ''
+        assert got == [", ".join(v for v in row if v is not None) for row in rows]
+
+    check()
