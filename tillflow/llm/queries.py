@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, mixing, toxicity
+from tillflow.llm import decontaminate, mixing, near_text, toxicity
 from tillflow.llm.common import table
 
 
@@ -17,8 +17,12 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               table(spark, sf_dir, "benchmark"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_decontaminate, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_decontaminate, op6_near_duplicates, op10_toxicity)}
