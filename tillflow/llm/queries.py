@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillflow.llm import decontaminate, line_dedup, mixing, near_text, toxicity
+from tillflow.llm import decontaminate, line_dedup, mixing, near_text, near_vectors, toxicity
 from tillflow.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.range_join(table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup_report(table(spark, sf_dir, "documents"))
 
@@ -29,4 +33,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_decontaminate, op6_near_duplicates, op8_line_dedup, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_decontaminate, op6_near_duplicates, op7_near_vectors, op8_line_dedup, op10_toxicity)}
