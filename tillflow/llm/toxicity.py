@@ -329,9 +329,9 @@ def train(docs: DataFrame, labels: DataFrame, *, extra_terms=None, **options) ->
                 + [part.column("toxic").cast(pa.int32())], names=[*FEATURES, "toxic"])
 
     rows = sample.mapInArrow(measure, ", ".join(f"{f} double" for f in FEATURES) + ", toxic int")
-    got = rows.orderBy(*FEATURES, "toxic").collect()  # SAMPLE_ROWS rows of five numbers at most
-    x = np.array([[r[f] for f in FEATURES] for r in got], float).reshape(len(got), 4)
-    return ToxicityModel(scanner, fit(x, np.array([r["toxic"] for r in got], float)))
+    got = sorted(tuple(r) for r in rows.collect())  # SAMPLE_ROWS rows of five numbers at most
+    x = np.array(got, float).reshape(len(got), 5)
+    return ToxicityModel(scanner, fit(x[:, :4], x[:, 4]))
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, *, text: str = "text",
