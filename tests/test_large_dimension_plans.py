@@ -1,7 +1,5 @@
-"""With the broadcast bound at 0 every dimension counts as large: the adapter
-joins become shuffle joins and the marts take the aggregate-first form; with
-the rank-window bound at 0 every store-month counts as too large for one task,
-so ranks come from the global sort.  The results must not change."""
+"""Without broadcasts every dimension counts as large and all joins are shuffle
+joins.  The results must not change."""
 
 from __future__ import annotations
 
@@ -11,17 +9,14 @@ from conftest import SF_SMALL
 from oracle_check import compare, duck
 
 NAMES = ["customer_monthly_spend", "customer_spend_shared_key", "salesperson_monthly_sales",
-         "top_seller_incentive", "sales_rank_in_store_month", "enrich_full", "daily_store_sales"]
+         "top_seller_incentive", "sales_rank_in_store_month", "enrich_full", "daily_store_sales",
+         "product_sales", "orphan_sales_of_region"]
 
 
 @pytest.fixture(scope="module")
 def no_broadcast(spark):
-    spark.conf.set("tillflow.broadcast.maxRows", "0")
-    spark.conf.set("tillflow.rank.windowMaxRows", "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield spark
-    spark.conf.unset("tillflow.broadcast.maxRows")
-    spark.conf.unset("tillflow.rank.windowMaxRows")
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 

@@ -13,6 +13,24 @@ def test_scratch_root_is_the_session_checkpoint_folder(spark):
     assert stable_dir(spark, "y") == stable_dir(spark, "y")
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+
+
 def test_path_exists(spark):
     path = fresh_dir(spark, "exists")
     assert not path_exists(spark, path)

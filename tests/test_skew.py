@@ -1,5 +1,5 @@
-"""A customer holding a third of all sales: with the customer table beyond the
-broadcast bound, AQE splits the hot partition of the shuffle join, and the
+"""A customer holding a third of all sales: with the customer table too large to
+broadcast, AQE splits the hot partition of the shuffle join, and the
 aggregate-first mart reduces the hot key before any shuffle by customer."""
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from tillflow.operators import marts as M
 from tillflow.schema import MONEY
 
 SKEW_CONF = {
-    "tillflow.broadcast.maxRows": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -72,3 +71,29 @@ def test_hot_customer_join_is_split_and_results_hold(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rank_of_a_hot_group_equals_the_window(spark):
+    """A group with a third of all rows, long blocks of equal values and NULLs, over
+    many more range partitions than groups."""
+    from pyspark.sql import Window
+
+    from tillflow.operators.ranking import rank_desc
+
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.col("id") % 40).cast("int").alias("g"),
+        F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 2 == 0, F.lit(7))
+        .otherwise(F.col("id") % 97).cast("long").alias("v"), "id")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = rank_desc(rows, ["g"], "v", "r")
+        want = rows.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("int"))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        one = rows.select(F.lit("x").alias("g"), F.lit(1).alias("v"), "id")  # a single block
+        assert {r["r"] for r in rank_desc(one, ["g"], "v", "r").collect()} == {1}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -31,12 +31,13 @@ def month_of(d: str | Column) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
-def fold_columns(cols: list[str]) -> Column:
+def fold_columns(cols: list[str | Column]) -> Column:
     """Extra columns folded into one text: values as text, NULLs skipped,
     all-NULL gives ''.  No extras at all gives a typed NULL."""
     if not cols:
         return F.lit(None).cast("string")
-    return F.concat_ws(FOLD_SEPARATOR, *[F.col(f"`{c}`").cast("string") for c in cols])
+    return F.concat_ws(FOLD_SEPARATOR, *[
+        (F.col(f"`{c}`") if isinstance(c, str) else c).cast("string") for c in cols])
 
 
 def incentive(total: str | Column, is_top: Column) -> Column:

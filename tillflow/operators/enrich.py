@@ -3,9 +3,9 @@
 Inner equi-joins, as in the retail job: a sale without a matching dimension row
 is dropped from every mart (``orphan_sales`` reports those).  Dimension columns
 are renamed before each join, so no name is ever ambiguous and no qualified
-``drop`` is needed.  Each dimension is broadcast only behind the size probe of
-``plans.broadcast``; a dimension beyond it is a shuffle join (AQE splits skewed
-fact partitions, so a hot customer does not end up in one task).
+``drop`` is needed.  How a dimension is joined is Spark's choice by its size in
+bytes (``autoBroadcastJoinThreshold``, statistics, AQE); in a shuffle join AQE
+splits skewed fact partitions, so a hot customer does not end up in one task.
 """
 
 from __future__ import annotations
@@ -13,10 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.plans.broadcast import join_dimension
-
-# Fact columns that the marts do not use; dropped right after the first join.
-_UNUSED_FACT_COLUMNS = ["product_name", "price", "quantity", "additional_column"]
+# What the marts read of a sale.
+FACT_COLUMNS = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]
 
 
 def _customer_side(customer: DataFrame) -> DataFrame:
@@ -43,12 +41,11 @@ def _sales_team_side(sales_team: DataFrame) -> DataFrame:
 
 
 def enrich_customer(sales: DataFrame, customer: DataFrame) -> DataFrame:
-    facts = sales.drop(*_UNUSED_FACT_COLUMNS)
-    return join_dimension(facts, _customer_side(customer), "customer_id")
+    return sales.select(*FACT_COLUMNS).join(_customer_side(customer), "customer_id")
 
 
 def enrich_store(sales: DataFrame, customer: DataFrame, store: DataFrame) -> DataFrame:
-    return join_dimension(enrich_customer(sales, customer), _store_side(store), "store_id")
+    return enrich_customer(sales, customer).join(_store_side(store), "store_id")
 
 
 ENRICHED_COLUMNS = [
@@ -69,10 +66,8 @@ def enrich(sales: DataFrame, customer: DataFrame, store: DataFrame,
     partitioned by, so a shuffle join there reuses that partitioning -- then
     the store, and the customer last.
     """
-    facts = sales.drop(*_UNUSED_FACT_COLUMNS)
-    j = join_dimension(facts, _sales_team_side(sales_team), "sales_person_id")
-    j = join_dimension(j, _store_side(store), "store_id")
-    j = join_dimension(j, _customer_side(customer), "customer_id")
+    j = sales.select(*FACT_COLUMNS).join(_sales_team_side(sales_team), "sales_person_id")
+    j = j.join(_store_side(store), "store_id").join(_customer_side(customer), "customer_id")
     return j.select(*ENRICHED_COLUMNS)
 
 
@@ -80,22 +75,19 @@ def orphan_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
                  sales_team: DataFrame) -> DataFrame:
     """Sales that the inner joins of ``enrich`` drop, with the missing sides marked.
 
-    Each dimension contributes its distinct keys only (a dimension aggregate,
-    broadcast behind the size probe), so a fact row is never multiplied here.
+    The keys that sales carry are reduced to distinct ones before they meet a
+    dimension; only keys that it lacks (few, or none) are joined back.
     """
-    def keys(dim: DataFrame, key: str, as_name: str, flag: str) -> DataFrame:
-        return (dim.select(F.col(key).alias(as_name)).distinct()
-                .withColumn(flag, F.lit(True)))
-
     checks = [
-        (keys(customer, "customer_id", "customer_id", "_c"), "customer_id", "_c", "missing_customer"),
-        (keys(store, "id", "store_id", "_s"), "store_id", "_s", "missing_store"),
-        (keys(sales_team, "id", "sales_person_id", "_t"), "sales_person_id", "_t", "missing_sales_person"),
+        (customer.select(F.col("customer_id").alias("k")), "customer_id", "missing_customer"),
+        (store.select(F.col("id").alias("k")), "store_id", "missing_store"),
+        (sales_team.select(F.col("id").alias("k")), "sales_person_id", "missing_sales_person"),
     ]
     out = sales
-    for dim_keys, key, flag, _ in checks:
-        out = join_dimension(out, dim_keys, key, "left")
-    flags = [F.col(flag).isNull().alias(name) for _, _, flag, name in checks]
-    out = out.select(*sales.columns, *flags)
+    for dim, key, flag in checks:
+        used = sales.select(F.col(key).alias("k")).distinct()
+        lacking = used.join(dim, "k", "left_anti").withColumn(flag, F.lit(True))
+        out = (out.join(lacking, out[key].eqNullSafe(lacking["k"]), "left").drop("k")
+               .withColumn(flag, F.coalesce(flag, F.lit(False))))
     return out.where(F.col("missing_customer") | F.col("missing_store")
                      | F.col("missing_sales_person"))

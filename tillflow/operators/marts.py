@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import full_name, incentive, money, month_of
 from tillflow.operators.ranking import rank_desc
-from tillflow.plans.broadcast import join_aggregate, join_dimension
 from tillflow.schema import CUSTOMER_EXTRACT_COLUMNS, SALES_TEAM_EXTRACT_COLUMNS
 
 
@@ -72,13 +71,10 @@ def salesperson_monthly_sales(extract: DataFrame) -> DataFrame:
     return out.select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales")
 
 
-def sales_rank(monthly: DataFrame, window_max_rows: int | None = None) -> DataFrame:
+def sales_rank(monthly: DataFrame) -> DataFrame:
     """Rank by total within store and month: ties share a rank and leave a gap,
-    NULL totals come last.  A store-month of the aggregated mart holds one row
-    per sales person; while the largest fits one task a window ranks it,
-    otherwise the ranks come from a global sort (``operators.ranking``)."""
-    return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "sales_rank",
-                     window_max_rows)
+    NULL totals come last (``operators.ranking``)."""
+    return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "sales_rank")
 
 
 def top_seller_incentive(monthly: DataFrame) -> DataFrame:
@@ -90,8 +86,8 @@ def top_seller_incentive(monthly: DataFrame) -> DataFrame:
     tops = monthly.groupBy("store_id", "sales_month").agg(
         F.max("total_sales").alias("_top"),
     ).withColumnRenamed("store_id", "_store").withColumnRenamed("sales_month", "_month")
-    j = join_aggregate(
-        monthly, tops,
+    j = monthly.join(
+        tops,
         monthly["store_id"].eqNullSafe(F.col("_store"))
         & monthly["sales_month"].eqNullSafe(F.col("_month")),
     )
@@ -108,35 +104,32 @@ def daily_store_sales(enriched: DataFrame) -> DataFrame:
     )
 
 
-def product_monthly_sales(sales: DataFrame, product: DataFrame) -> DataFrame:
+def product_monthly_sales(sales: DataFrame, product: DataFrame,
+                          key: str = "product_id") -> DataFrame:
     """Units and revenue per product name and month, with the product's list
-    price.  Several product rows can share a name, so the product dimension is
-    first reduced to one row per name; joining it raw would multiply sales."""
-    by_name = product.groupBy(F.col("name").alias("product_name")).agg(
+    price.  Sales are summed per product key and month before they meet the
+    product table, so a sale is never shuffled towards it; several products can
+    share a name, whose list price is the highest of theirs."""
+    monthly = sales.groupBy(F.col(key).alias("id"), month_of("sales_date").alias("sales_month")).agg(
+        F.sum("quantity").alias("_units"), F.sum("total_cost").alias("_revenue"))
+    by_name = product.groupBy(F.col("name").alias("_name")).agg(
         F.max("current_price").alias("list_price"))
-    monthly = sales.groupBy("product_name", month_of("sales_date").alias("sales_month")).agg(
-        F.sum("quantity").alias("units"),
-        money(F.sum("total_cost")).alias("revenue"),
-    )
-    return join_aggregate(monthly, by_name, "product_name")
+    named = monthly.join(product.select("id", F.col("name").alias("product_name")), "id")
+    sums = named.groupBy("product_name", "sales_month").agg(
+        F.sum("_units").alias("units"), money(F.sum("_revenue")).alias("revenue"))
+    return sums.join(by_name, F.col("product_name") == F.col("_name")).drop("_name")
 
 
 # --- marts straight from sales, aggregating before the large joins -------------
 #
-# When every dimension passes the broadcast probe, ``enrich`` is one pipeline of
-# broadcast joins feeding a partial aggregate, and the marts are built from its
-# extract as above.  When the customer dimension is too large to broadcast, that
-# plan shuffles every sale by customer.  The forms below aggregate first: sales
-# are summed per customer and month (or per customer, store, person and month)
-# with partial aggregation, and only those sums meet the large dimension.  The
-# inner joins of ``enrich`` survive as weights -- each sale counts once per
-# matching row of every dimension (0 drops it, 2 doubles it) -- so the totals
-# equal the window sums over the enriched rows, duplicate dimension keys
-# included.  A customer holding a third of all sales becomes one row per month
-# before any shuffle by customer.  The weight and attribute tables are
-# aggregates of dimensions, so they go through the size probe (a dimension-
-# sized pass) and are broadcast when small: sales are never shuffled towards
-# the store or sales-team counts.
+# Sales are summed per customer and month (or per customer, store, person and
+# month or day) with partial aggregation, and only those sums meet the customer
+# table, which at scale is too large to broadcast.  The inner joins of ``enrich``
+# survive as weights -- each sale counts once per matching row of every
+# dimension (0 drops it, 2 doubles it) -- so the totals equal the sums over the
+# enriched rows, duplicate dimension keys included.  A customer holding a third
+# of all sales becomes one row per month before any shuffle by customer.  The
+# same plan serves every size; how each join runs is left to statistics and AQE.
 
 def _key_counts(dim: DataFrame, key: str, as_name: str, count_name: str) -> DataFrame:
     return dim.groupBy(F.col(key).alias(as_name)).agg(F.count(F.lit(1)).alias(count_name))
@@ -146,7 +139,7 @@ def _attribute_rows(dim: DataFrame, key: str, as_name: str, attrs: list) -> Data
     """Distinct attribute rows per key, each with the key's row count."""
     counts = _key_counts(dim, key, as_name, "_rows")
     variants = dim.select(F.col(key).alias(as_name), *attrs).distinct()
-    return join_dimension(variants, counts, as_name)
+    return variants.join(counts, as_name)
 
 
 def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
@@ -154,14 +147,13 @@ def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, sto
     """Same rows as ``customer_monthly_spend(customer_extract(enrich(...)))``."""
     facts = sales.select("customer_id", "store_id", "sales_person_id",
                          month_of("sales_date").alias("sales_date_month"), "total_cost")
-    facts = join_dimension(facts, _key_counts(store, "id", "store_id", "_ns"), "store_id")
-    facts = join_dimension(facts, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
-                           "sales_person_id")
+    facts = facts.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
+    facts = facts.join(_key_counts(sales_team, "id", "sales_person_id", "_nt"), "sales_person_id")
     sums = facts.groupBy("customer_id", "sales_date_month").agg(
         F.sum(F.col("total_cost") * (F.col("_ns") * F.col("_nt"))).alias("_sum"))
     people = _attribute_rows(customer, "customer_id", "customer_id", [
         full_name("first_name", "last_name").alias("full_name"), "address", "phone_number"])
-    j = join_dimension(sums, people, "customer_id")
+    j = sums.join(people, "customer_id")
     return j.select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
                     money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
 
@@ -173,16 +165,13 @@ def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame,
                          month_of("sales_date").alias("sales_month"), "total_cost")
     per_customer = facts.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
         F.sum("total_cost").alias("_a"))
-    per_customer = join_dimension(per_customer,
-                                  _key_counts(customer, "customer_id", "customer_id", "_nc"),
-                                  "customer_id")
-    per_customer = join_dimension(per_customer, _key_counts(store, "id", "store_id", "_ns"),
-                                  "store_id")
+    per_customer = per_customer.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
+    per_customer = per_customer.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
     sums = per_customer.groupBy("store_id", "sales_person_id", "sales_month").agg(
         F.sum(F.col("_a") * (F.col("_nc") * F.col("_ns"))).alias("_sum"))
     people = _attribute_rows(sales_team, "id", "sales_person_id", [
         full_name("first_name", "last_name").alias("full_name")])
-    j = join_dimension(sums, people, "sales_person_id")
+    j = sums.join(people, "sales_person_id")
     return j.select("store_id", "sales_person_id", "full_name", "sales_month",
                     money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
 
@@ -195,11 +184,9 @@ def daily_store_sales_from_sales(sales: DataFrame, customer: DataFrame, store: D
     the same way."""
     pre = sales.groupBy("customer_id", "store_id", "sales_person_id", "sales_date").agg(
         F.sum("total_cost").alias("_a"), F.count(F.lit(1)).alias("_c"))
-    pre = join_dimension(pre, _key_counts(customer, "customer_id", "customer_id", "_nc"),
-                         "customer_id")
-    pre = join_dimension(pre, _key_counts(store, "id", "store_id", "_ns"), "store_id")
-    pre = join_dimension(pre, _key_counts(sales_team, "id", "sales_person_id", "_nt"),
-                         "sales_person_id")
+    pre = pre.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
+    pre = pre.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
+    pre = pre.join(_key_counts(sales_team, "id", "sales_person_id", "_nt"), "sales_person_id")
     weight = F.col("_nc") * F.col("_ns") * F.col("_nt")
     return pre.groupBy("store_id", "sales_date").agg(
         money(F.sum(F.col("_a") * weight)).alias("total_sales"),

@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.functions.expressions import fold_columns, full_name, incentive, money, month_of
 from tillflow.operators import enrich as E
 from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
 from tillflow.plans import sinks as S
-from tillflow.plans.broadcast import is_bounded, join_aggregate
+from tillflow.plans import batch_run as B
 from tillflow.plans.scratch import fresh_dir
 from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
                              SALES_TEAM_EXTRACT_COLUMNS)
@@ -44,32 +45,8 @@ def _dims(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None):
             TB.store(spark, sf_dir), TB.sales_team(spark, sf_dir))
 
 
-# Plan choice, measured on sf0.1 with every dimension broadcast (median of 7,
-# interleaved in one session): the customer mart is faster aggregate-first
-# (3.1 s against 4.5 s); the sales-team and daily marts are faster as one
-# pipeline of broadcast joins feeding a partial aggregate (4.0 against 4.3 s,
-# 2.6 against 3.3 s).  Once a dimension is beyond the broadcast bound, the
-# aggregate-first form keeps the customer join off the sales rows.
-
-def _all_broadcast(*dims: DataFrame) -> bool:
-    return all(is_bounded(d) for d in dims)
-
-
-def salesperson_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                             sales_team: DataFrame) -> DataFrame:
-    if _all_broadcast(customer, store, sales_team):
-        return M.salesperson_monthly_sales(
-            M.sales_team_extract(E.enrich(sales, customer, store, sales_team)))
-    return M.salesperson_monthly_sales_from_sales(sales, customer, store, sales_team)
-
-
-def customer_monthly_from(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                          sales_team: DataFrame) -> DataFrame:
-    return M.customer_monthly_spend_from_sales(sales, customer, store, sales_team)
-
-
 def salesperson_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return salesperson_monthly_from(facts(spark, sf_dir), *_dims(spark, sf_dir))
+    return M.salesperson_monthly_sales_from_sales(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def top_seller_incentive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +58,7 @@ def sales_rank_in_store_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_monthly_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_monthly_from(facts(spark, sf_dir), *_dims(spark, sf_dir))
+    return M.customer_monthly_spend_from_sales(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def enrich_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,26 +94,30 @@ QUERIES: dict[str, Query] = {
 # --- more marts over the same enrichment --------------------------------------
 
 def customer_spend_shared_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_monthly_from(facts(spark, sf_dir),
+    return M.customer_monthly_spend_from_sales(facts(spark, sf_dir),
                                  *_dims(spark, sf_dir, TB.customer_with_renames(spark, sf_dir)))
 
 
 def daily_store_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales, dims = facts(spark, sf_dir), _dims(spark, sf_dir)
-    if _all_broadcast(*dims):
-        return M.daily_store_sales(E.enrich(sales, *dims))
-    return M.daily_store_sales_from_sales(sales, *dims)
+    return M.daily_store_sales_from_sales(facts(spark, sf_dir), *_dims(spark, sf_dir))
 
 
 def product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.product_monthly_sales(TB.sales(spark, sf_dir), TB.product(spark, sf_dir))
+    sales = TB.sales(spark, sf_dir, extra=("l_partkey",), with_product=False)
+    return M.product_monthly_sales(sales, TB.product(spark, sf_dir), key="l_partkey")
 
 
-# Fixed value: the region whose store list the orphan report is checked against.
+def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without a customer, store or sales person in the full tables."""
+    return E.orphan_sales(TB.sales(spark, sf_dir), *_dims(spark, sf_dir))
+
+
+# Fixed value: the region whose own store list the report below is checked against.
 ORPHAN_REGION = "AMERICA"
 
 
-def orphan_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orphan_sales_of_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales that one region's system, which knows its own stores only, can't place."""
     return E.orphan_sales(TB.sales(spark, sf_dir), TB.customer(spark, sf_dir),
                           TB.store_in_region(spark, sf_dir, ORPHAN_REGION),
                           TB.sales_team(spark, sf_dir))
@@ -165,12 +146,17 @@ def _ingested(spark: SparkSession, sf_dir: str):
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FS.file_manifest(spark, drops_for(spark, sf_dir))
+    """Folders, kinds and extensions of the landed files (how many files a folder
+    has depends on how Spark wrote it)."""
+    m = FS.file_manifest(spark, drops_for(spark, sf_dir))
+    return m.select("source_folder", "kind",
+                    F.regexp_extract("file_name", r"([.][^.]+)$", 1).alias("extension")).distinct()
 
 
 def csv_header_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = FS.file_manifest(spark, drops_for(spark, sf_dir))
-    gate = FS.header_gate(manifest.where(F.col("kind") == FS.KIND_CSV))
+    landing = drops_for(spark, sf_dir)
+    manifest = FS.file_manifest(spark, landing)
+    gate = FS.header_gate(manifest.where(F.col("kind") == FS.KIND_CSV), FS.text_lines(spark, landing))
     return gate.select(
         "source_folder",
         F.concat_ws(",", "header").alias("header"),
@@ -181,7 +167,8 @@ def csv_header_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_ingest_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ingested(spark, sf_dir)[0]
+    sales = _ingested(spark, sf_dir)[0]
+    return sales.withColumn("price", money("price")).withColumn("total_cost", money("total_cost"))
 
 
 def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,39 +216,76 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_dir(spark, "customer-mart-snapshots")
     sales, dims = facts(spark, sf_dir), _dims(spark, sf_dir)
     early = sales.where(F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"))
-    S.write_snapshot(customer_monthly_from(early, *dims), root, run_id=1)
-    S.write_snapshot(customer_monthly_from(sales, *dims), root, run_id=2)
+    S.write_snapshot(M.customer_monthly_spend_from_sales(early, *dims), root, run_id=1)
+    S.write_snapshot(M.customer_monthly_spend_from_sales(sales, *dims), root, run_id=2)
     return S.read_latest(spark, root)
 
 
 def mart_month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales arrive in two loads; after the second, only the months it touches
     are recomputed from the partitioned fact mart and replaced in the monthly
-    mart.  The result equals a full recomputation."""
+    mart.  The result equals a full recomputation.  Each load has partitions of
+    its own, so one that is repeated replaces itself."""
     base = fresh_dir(spark, "month-refresh")
     facts_path, mart_path = f"{base}/facts", f"{base}/monthly"
     ext = sales_team_mart_extract(spark, sf_dir)
-    cut = F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date")
-    first, second = ext.where(cut), ext.where(~cut | F.col("sales_date").isNull())
-
-    S.write_partitioned(first, facts_path, ["sales_month"])
-    facts = S.read_partitioned(spark, facts_path, ext.schema)
-    mart = M.top_seller_incentive(M.salesperson_monthly_sales(facts))
-    S.refresh_months(mart, mart_path)
-
-    # The second load lands once; its months come from its partition folders,
-    # then it is appended to the fact mart.
-    incoming = f"{base}/incoming"
-    S.write_partitioned(second, incoming, ["sales_month"])
-    landed = S.read_partitioned(spark, incoming, ext.schema)
-    touched = landed.select("sales_month").distinct()
-    S.write_partitioned(landed, facts_path, ["sales_month"], mode="append")
-    facts = S.read_partitioned(spark, facts_path, ext.schema)
-    affected = join_aggregate(facts, touched, "sales_month", "left_semi")
-    S.refresh_months(M.top_seller_incentive(M.salesperson_monthly_sales(affected)), mart_path)
+    cut = F.coalesce(F.col("sales_date") < F.lit(FIRST_LOAD_BEFORE).cast("date"), F.lit(False))
+    schema = T.StructType(ext.schema.fields + [T.StructField("load", T.IntegerType())])
+    for load, rows in ((1, ext.where(cut)), (2, ext.where(~cut))):
+        S.write_partitioned(rows.withColumn("load", F.lit(load)), facts_path,
+                            ["sales_month", "load"], dynamic=True)
+        facts = S.read_partitioned(spark, facts_path, schema)
+        months = S.months_in(facts.where(F.col("load") == load))
+        touched = facts.where(S.in_months(F.col("sales_month"), months)).drop("load")
+        mart = M.top_seller_incentive(M.salesperson_monthly_sales(touched))
+        S.refresh_months(mart, mart_path, months)
     return S.read_partitioned(spark, mart_path, mart.schema).select(*mart.columns)
 
 
+# One month and store of the partitioned mart.
+PRUNED_MONTH, PRUNED_STORE = "1998-05", 7
+
+
+def partitioned_mart_one_store_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole extract is written by month and store; one store's month is read back,
+    from its folder alone."""
+    path = fresh_dir(spark, "sales-team-partitioned")
+    extract = sales_team_mart_extract(spark, sf_dir)
+    S.write_partitioned(extract, path, ["sales_month", "store_id"])
+    mart = S.read_partitioned(spark, path, extract.schema)
+    return mart.where((F.col("sales_month") == PRUNED_MONTH) & (F.col("store_id") == PRUNED_STORE)).select(
+        *SALES_TEAM_EXTRACT_COLUMNS)
+
+
+# --- files to both marts ---------------------------------------------------------
+
+def _batch(spark: SparkSession, sf_dir: str) -> str:
+    out = fresh_dir(spark, "batch-run")
+    B.run_batch(spark, drops_for(spark, sf_dir), out, *_dims(spark, sf_dir), run_id="run-1")
+    return out
+
+
+def files_to_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.customer_mart(spark, _batch(spark, sf_dir))
+
+
+def files_to_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.sales_team_mart(spark, _batch(spark, sf_dir))
+
+
+def files_ledger_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status, by folder, of the files that a batch run processed, whether each has its
+    two events, and whether the run stamped them with its own time."""
+    began = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    events = L.read_events(spark, f"{_batch(spark, sf_dir)}/ledger")
+    status = L.current_status(events)
+    return status.select(
+        F.element_at(F.split("file_location", "/"), -2).alias("source_folder"), "status",
+        (F.col("event_count") == 2).alias("opened_and_closed"),
+        F.col("updated_at").between(F.lit(began), F.current_timestamp()).alias("stamped"),
+    ).distinct()
+
+
 # --- stream --------------------------------------------------------------------
 
 def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +297,7 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = _dims(spark, sf_dir)
 
     def build(sales: DataFrame) -> DataFrame:
-        return customer_monthly_from(sales, *dims)
+        return M.customer_monthly_spend_from_sales(sales, *dims)
 
     # Files per micro-batch (fixed): several batches, so later ones refresh
     # months that earlier ones wrote.
@@ -284,6 +308,23 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.stream_mart(spark, f"{run}/out", schema).select(*schema.fieldNames())
 
 
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of files, by folder, that the stream has moved to its archive.  A file is
+    moved when a later micro-batch is done: each layout's files are a micro-batch,
+    and the folder that comes last (``late``, a copy of another) is still landed."""
+    run = fresh_dir(spark, "stream-archive")
+    landing = DR.write_drops(spark, sf_dir, f"{run}/drops")
+    streamed = lambda: ST.ingest_available_now(
+        spark, landing, f"{run}/out", f"{run}/checkpoint", archive_dir=f"{run}/archive")
+    streamed()
+    for _ in range(2):  # the first run's files move once a second batch follows
+        late = spark.read.text(f"{landing}/{DR.NOT_CSV_FOLDER}")
+        late.write.mode("append").text(f"{landing}/late")
+        streamed()
+    archived = FS.file_manifest(spark, f"{run}/archive")
+    return archived.where("source_folder <> 'late'").select("source_folder", "kind").distinct()
+
+
 QUERIES.update({
     "customer_spend_shared_key": customer_spend_shared_key,
     "daily_store_sales": daily_store_sales,
@@ -301,5 +342,11 @@ QUERIES.update({
     "partitioned_mart_month": partitioned_mart_month,
     "latest_snapshot": latest_snapshot,
     "mart_month_refresh": mart_month_refresh,
+    "partitioned_mart_one_store_month": partitioned_mart_one_store_month,
+    "files_to_customer_mart": files_to_customer_mart,
+    "files_to_sales_team_mart": files_to_sales_team_mart,
+    "files_ledger_status": files_ledger_status,
+    "orphan_sales_of_region": orphan_sales_of_region,
+    "stream_archive": stream_archive,
     "stream_ingest_available_now": stream_ingest_available_now,
 })

@@ -122,6 +122,14 @@ ingested AS (
          END AS additional_column
   FROM sales_x WHERE {ACCEPTED_WHERE})"""
 
+INGESTED_EXTRACT = """
+extract_i AS (
+  SELECT c.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
+         i.sales_date, i.total_cost
+  FROM ingested i JOIN dim_customer c ON i.customer_id = c.customer_id
+  JOIN dim_store st ON st.id = i.store_id
+  JOIN dim_sales_team t ON t.id = i.sales_person_id)"""
+
 # The drop layouts; a layout exists when its priority has sales.
 LAYOUTS = """
 layouts(priority, source_folder, header, accepted, missing_columns, extra_columns) AS (VALUES
@@ -194,6 +202,14 @@ SELECT s.product_name, strftime(s.sales_date, '%Y-%m') AS sales_month,
 FROM sales s JOIN by_name b ON s.product_name = b.product_name
 GROUP BY s.product_name, strftime(s.sales_date, '%Y-%m'), b.list_price""",
     "orphan_sales": f"""WITH {RETAIL},
+flagged AS (
+  SELECT {SALES_COLS},
+         NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = s.customer_id) AS missing_customer,
+         NOT EXISTS (SELECT 1 FROM dim_store r WHERE r.id = s.store_id) AS missing_store,
+         NOT EXISTS (SELECT 1 FROM dim_sales_team t WHERE t.id = s.sales_person_id) AS missing_sales_person
+  FROM sales s)
+SELECT * FROM flagged WHERE missing_customer OR missing_store OR missing_sales_person""",
+    "orphan_sales_of_region": f"""WITH {RETAIL},
 region_stores AS (SELECT n_nationkey AS id FROM nation JOIN region ON n_regionkey = r_regionkey
                   WHERE r_name = 'AMERICA'),
 flagged AS (
@@ -237,11 +253,37 @@ WHERE f.has_partial = 1
     "partitioned_mart_month": f"WITH {ENRICHED} SELECT * FROM sales_team_extract",
     "latest_snapshot": f"WITH {ENRICHED}" + customer_monthly_sql("customer_extract"),
     "mart_month_refresh": TOP_SELLER_INCENTIVE,
-    "stream_ingest_available_now": f"""WITH {INGESTED},
-extract_i AS (
-  SELECT c.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
-         i.sales_date, i.total_cost
+    "partitioned_mart_one_store_month": f"""WITH {ENRICHED}
+SELECT * FROM sales_team_extract WHERE sales_month = '1998-05' AND store_id = 7""",
+    "file_manifest": f"""WITH {LAYOUTS}
+SELECT source_folder, 'CSV' AS kind, '.csv' AS extension FROM layouts
+WHERE priority IN (SELECT o.o_orderpriority FROM orders o
+                   JOIN lineitem l ON l.l_orderkey = o.o_orderkey)
+UNION ALL
+SELECT 'misc', 'NOT_CSV', '.json' FROM region HAVING count(*) > 0""",
+    "stream_archive": f"""WITH {LAYOUTS}
+SELECT source_folder, 'CSV' AS kind FROM layouts
+WHERE priority IN (SELECT o.o_orderpriority FROM orders o
+                   JOIN lineitem l ON l.l_orderkey = o.o_orderkey)
+UNION ALL
+SELECT 'misc', 'NOT_CSV' FROM region HAVING count(*) > 0""",
+    "files_ledger_status": f"""WITH {LAYOUTS}
+SELECT source_folder, 'I' AS status, true AS opened_and_closed, true AS stamped FROM layouts
+WHERE accepted AND priority IN (SELECT o.o_orderpriority FROM orders o
+                                JOIN lineitem l ON l.l_orderkey = o.o_orderkey)""",
+    "files_to_customer_mart": f"WITH {INGESTED},{INGESTED_EXTRACT}" + customer_monthly_sql("extract_i"),
+    "files_to_sales_team_mart": f"""WITH {INGESTED},
+sums AS (
+  SELECT CAST(i.store_id AS BIGINT) AS store_id, i.sales_person_id,
+         t.first_name || ' ' || t.last_name AS full_name,
+         strftime(i.sales_date, '%Y-%m') AS sales_month,
+         CAST(sum(i.total_cost) AS DECIMAL(18,2)) AS total_sales
   FROM ingested i JOIN dim_customer c ON i.customer_id = c.customer_id
   JOIN dim_store st ON st.id = i.store_id
-  JOIN dim_sales_team t ON t.id = i.sales_person_id)""" + customer_monthly_sql("extract_i"),
+  JOIN dim_sales_team t ON t.id = i.sales_person_id
+  GROUP BY 1, 2, 3, 4)
+SELECT *, CAST(CASE WHEN total_sales = max(total_sales) OVER (PARTITION BY store_id, sales_month)
+               THEN round(total_sales * 0.01, 2) ELSE 0 END AS DECIMAL(18,2)) AS incentive
+FROM sums""",
+    "stream_ingest_available_now": f"WITH {INGESTED},{INGESTED_EXTRACT}" + customer_monthly_sql("extract_i"),
 })

@@ -2,8 +2,9 @@
 
 On a cluster the shared folder is the one the session names in
 ``spark.checkpoint.dir``; executors can be lost, so intermediate results are
-written there (never to a machine-local folder) and re-read.  Only a session
-without that setting (a test, a laptop) gets a fresh folder of its own.
+written there (never to a machine-local folder) and re-read.  Only a local
+session without that setting (a test, a laptop) gets a fresh folder of its own;
+on a cluster the setting is required.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Unset only outside a cluster: give this session its own folder.
+        master = spark.conf.get("spark.master", None)
+        if sc is None or not (master or "").split("-")[0].startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        # One machine: give this session its own folder.
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir()
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -48,6 +49,13 @@ def stable_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tillflow/{name}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder or file, if it is there, through the path's own file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when Spark can list ``path``; no job runs."""
     try:

@@ -10,16 +10,19 @@
 * ``write_snapshot`` / ``read_latest``  run-stamped copies below one root,
   ``run_id`` as a partition column; the newest is selected by a partition
   filter, so only its files are scanned.
-* ``refresh_months``  dynamic partition overwrite: only the months present in
-  the new data are replaced.
+* ``refresh_months``  replaces the months it is told; a month without new rows
+  is removed, others stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillflow.plans.scratch import remove_path
+
+
 def write_mart(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -30,10 +33,10 @@ def rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def write_partitioned(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite",
                       dynamic: bool = False) -> None:
-    writer = rebalanced(df, cols).write.mode(mode).partitionBy(*cols)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    """``dynamic``: an overwrite replaces the partitions that ``df`` has rows for;
+    otherwise it replaces everything below ``path``, whatever the session's mode."""
+    (rebalanced(df, cols).write.mode(mode).partitionBy(*cols)
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path))
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -57,9 +60,34 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
     return snaps.where(F.col("run_id") == F.lit(latest)).drop("run_id")
 
 
-def refresh_months(new_rows: DataFrame, path: str, month_col: str = "sales_month") -> None:
-    """Replaces the month partitions present in ``new_rows``; others stay."""
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns, order and types of ``schema``."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def months_in(df: DataFrame, month_col: str = "sales_month") -> list[str | None]:
+    """The months of ``df``, NULL among them: as many values as there are months."""
+    return [r[0] for r in df.select(month_col).distinct().collect()]
+
+
+def in_months(month: Column, months: list[str | None]) -> Column:
+    """Whether a month is one of ``months``, as literals, so that a scan is pruned."""
+    dated = [m for m in months if m is not None]
+    hit = month.isin(dated) if dated else F.lit(False)
+    return hit | month.isNull() if None in months else hit
+
+
+def refresh_months(new_rows: DataFrame, path: str, months: list[str | None],
+                   month_col: str = "sales_month") -> None:
+    """Replaces ``months`` by ``new_rows``: a month of which no row is left is removed."""
     write_partitioned(new_rows, path, [month_col], mode="overwrite", dynamic=True)
+    spark = new_rows.sparkSession
+    left = set(months_in(spark.read.schema(new_rows.schema).parquet(path)
+                         .where(in_months(F.col(month_col), months)), month_col))
+    written = set(months_in(new_rows, month_col)) if left else set()
+    for m in set(months) & left - written:
+        folder = "__HIVE_DEFAULT_PARTITION__" if m is None else m
+        remove_path(spark, f"{path}/{month_col}={folder}")
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

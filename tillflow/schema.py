@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 # a tie for the top seller cannot flip between runs.
 MONEY = T.DecimalType(18, 2)
 
+# Amounts as files carry them: kept in full until a total is rounded to MONEY.
+RAW_MONEY = T.DecimalType(24, 6)
+
 # The mandatory sales columns, in the order the sales files carry them.
 MANDATORY_COLUMNS = [
     "customer_id",
@@ -34,9 +37,9 @@ MANDATORY_TYPES: dict[str, T.DataType] = {
     "product_name": T.StringType(),
     "sales_date": T.DateType(),
     "sales_person_id": T.LongType(),
-    "price": MONEY,
+    "price": RAW_MONEY,
     "quantity": T.IntegerType(),
-    "total_cost": MONEY,
+    "total_cost": RAW_MONEY,
 }
 
 SALES_SCHEMA = T.StructType(
@@ -75,6 +78,57 @@ SALES_TEAM_SCHEMA = T.StructType(
     ]
 )
 
+# Columns that the tables have beyond those the marts read.
+CUSTOMER_TABLE_SCHEMA = T.StructType(
+    CUSTOMER_SCHEMA.fields + [T.StructField("customer_joining_date", T.DateType(), True)])
+
+STORE_TABLE_SCHEMA = T.StructType(
+    STORE_SCHEMA.fields
+    + [
+        T.StructField("store_pincode", T.StringType(), True),
+        T.StructField("store_opening_date", T.DateType(), True),
+        T.StructField("reviews", T.StringType(), True),
+    ]
+)
+
+SALES_TEAM_TABLE_SCHEMA = T.StructType(
+    SALES_TEAM_SCHEMA.fields + [T.StructField("joining_date", T.DateType(), True)])
+
+PRODUCT_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType(), False),
+        T.StructField("name", T.StringType(), True),
+        T.StructField("current_price", MONEY, True),
+        T.StructField("old_price", MONEY, True),
+        T.StructField("created_date", T.TimestampType(), True),
+        T.StructField("updated_date", T.TimestampType(), True),
+        T.StructField("expiry_date", T.DateType(), True),
+    ]
+)
+
+# The two monthly marts as they are stored.
+CUSTOMER_MART_SCHEMA = T.StructType(
+    [
+        T.StructField("customer_id", T.LongType(), True),
+        T.StructField("full_name", T.StringType(), True),
+        T.StructField("address", T.StringType(), True),
+        T.StructField("phone_number", T.StringType(), True),
+        T.StructField("sales_date_month", T.StringType(), True),
+        T.StructField("total_sales", MONEY, True),
+    ]
+)
+
+SALES_TEAM_MART_SCHEMA = T.StructType(
+    [
+        T.StructField("store_id", T.LongType(), True),
+        T.StructField("sales_person_id", T.LongType(), True),
+        T.StructField("full_name", T.StringType(), True),
+        T.StructField("sales_month", T.StringType(), True),
+        T.StructField("total_sales", MONEY, True),
+        T.StructField("incentive", MONEY, True),
+    ]
+)
+
 # Ledger of sales files: an append-only event log; the current state of a file
 # is its latest event.  Fixed values: A = active (being processed), I = inactive (done).
 STATUS_ACTIVE = "A"
@@ -91,7 +145,7 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
-# Columns of the two row-level extracts.
+# Columns of the two row-level extracts.
 CUSTOMER_EXTRACT_COLUMNS = [
     "customer_id",
     "first_name",

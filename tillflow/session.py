@@ -22,7 +22,6 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         # to many partition folders, instead of coalescing to one.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )

@@ -8,8 +8,7 @@
 * product     from ``part``
 
 Every reader selects only the columns it needs, so the Parquet scans are pruned
-(``ReadSchema``), and the small sides of the adapter joins go through the
-size-checked broadcast.
+(``ReadSchema``).
 """
 
 from __future__ import annotations
@@ -18,26 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import money
-from tillflow.plans.broadcast import join_dimension, maybe_broadcast, spread_small_scan
-from tillflow.plans.layout import bucketed, fact_buckets
-from tillflow.schema import MONEY
-
-
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
-def _path(sf_dir: str, name: str) -> str:
-    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the file listing and footer read happen once per session
-    (the tables are read-only inputs)."""
-    path = _path(sf_dir, name)
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _name_part(c: str, part: int):
@@ -50,9 +33,8 @@ def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
 
     The product name and price are looked up in the part catalog (a left join:
     the lookup never adds or drops a sale).  With ``with_product=False`` the
-    lookup is skipped and both columns stay NULL -- the marts never read them,
-    and at scale the part catalog is too big to broadcast, so the lookup would
-    cost a shuffle of every sale.
+    lookup is skipped and the layout lacks both columns -- the marts never read
+    them, and at scale the lookup would cost a shuffle of every sale.
 
     ``extra`` names driver columns to carry along (used to derive the drop
     files); they are not part of the retail model.
@@ -60,34 +42,26 @@ def sales(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = (),
     line_cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice", "l_shipdate"]
     line_cols += [c for c in extra if c.startswith("l_") and c not in line_cols]
-    order_cols = ["o_orderkey", "o_custkey"] + [c for c in extra if c.startswith("o_")]
-    buckets = fact_buckets(spark)
-    if buckets:
-        # bucketed by the order key on both sides: the join below needs no exchange
-        lineitem = bucketed(spark, table(spark, sf_dir, "lineitem"), _path(sf_dir, "lineitem"),
-                            "l_orderkey", buckets).select(*line_cols)
-        orders = bucketed(spark, table(spark, sf_dir, "orders"), _path(sf_dir, "orders"),
-                          "o_orderkey", buckets).select(*order_cols)
-    else:
-        lineitem = spread_small_scan(table(spark, sf_dir, "lineitem").select(*line_cols))
-        orders = table(spark, sf_dir, "orders").select(*order_cols)
+    lineitem = table(spark, sf_dir, "lineitem").select(*line_cols)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", *[c for c in extra if c.startswith("o_")])
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
 
-    j = join_dimension(lineitem, orders, lineitem.l_orderkey == orders.o_orderkey)
-    j = join_dimension(j, supplier, j.l_suppkey == supplier.s_suppkey)
+    j = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    j = j.join(supplier, j.l_suppkey == supplier.s_suppkey)
+    product_name = price = []
     if with_product:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-        j = join_dimension(j, part, j.l_partkey == part.p_partkey, "left")
-        product_name, price = F.col("p_name"), money("p_retailprice")
-    else:
-        product_name, price = F.lit(None).cast("string"), F.lit(None).cast(MONEY)
+        j = j.join(part, j.l_partkey == part.p_partkey, "left")
+        product_name = [F.col("p_name").alias("product_name")]
+        price = [money("p_retailprice").alias("price")]
     return j.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("s_nationkey").alias("store_id"),
-        product_name.alias("product_name"),
+        *product_name,
         F.col("l_shipdate").cast("date").alias("sales_date"),
         F.col("l_suppkey").alias("sales_person_id"),
-        price.alias("price"),
+        *price,
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_cost"),
         *[F.col(c) for c in extra],
@@ -127,7 +101,7 @@ def store_in_region(spark: SparkSession, sf_dir: str, region_name: str) -> DataF
     """Store list of one business region (the stores one regional system knows)."""
     region = table(spark, sf_dir, "region").where(F.col("r_name") == region_name)
     nation = table(spark, sf_dir, "nation")
-    keys = nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey,
+    keys = nation.join(region, nation.n_regionkey == region.r_regionkey,
                        "left_semi").select(F.col("n_nationkey").alias("id"))
     return store(spark, sf_dir).join(keys, "id", "left_semi")
 
@@ -135,11 +109,9 @@ def store_in_region(spark: SparkSession, sf_dir: str, region_name: str) -> DataF
 def sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     # One manager per nation: an aggregate (partial per task, one row per nation),
-    # not a window that would hold a whole nation in one task.  Its probe is a
-    # pass over the supplier keys (dimension-sized), and broadcasting it keeps
-    # the supplier table from being shuffled by its 25 nation keys.
+    # not a window that would hold a whole nation in one task.
     managers = supplier.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
-    j = join_dimension(supplier, managers, "s_nationkey")
+    j = supplier.join(managers, "s_nationkey")
     return j.select(
         F.col("s_suppkey").alias("id"),
         _name_part("s_name", 1).alias("first_name"),

@@ -6,15 +6,17 @@ source); the checkpoint remembers which files were handed out, in place of the
 retail job's staging table.  Each micro-batch runs the batch ingest of
 ``sources.files`` on exactly its files:
 
-* the parsed rows go to ``<out>/facts`` partitioned by ``batch_id`` and the
-  quarantine to ``<out>/quarantine`` -- both with dynamic partition overwrite,
-  so a micro-batch replayed after a failure replaces its own output;
+* the parsed rows go to ``<out>/facts`` partitioned by ``sales_month`` and
+  ``batch_id``, the quarantine (written first) to ``<out>/quarantine`` -- both by
+  dynamic partition overwrite, so a micro-batch replayed after a failure replaces
+  its own output;
 * the ledger gets an A event per accepted file before the write and an I event
   after it (see ``operators.ledger``), stored per (micro-batch, status), so a
   replay rewrites its own events;
 * with a mart builder, the months the micro-batch touched are recomputed from
-  all ingested facts and replaced in ``<out>/mart`` (dynamic overwrite by
-  month) -- the stream needs no state of its own, and a replay changes nothing.
+  the facts of these months and replaced in ``<out>/mart``.  The months are
+  literals in the filter on the partition column, so a micro-batch reads the
+  months it touches and not the history; a replay changes nothing.
 
 ``trigger(availableNow=True)`` processes what is there and stops.  With an
 archive folder the source moves finished files there (``cleanSource``); it
@@ -30,8 +32,9 @@ from pyspark.sql import types as T
 from collections.abc import Callable
 
 from tillflow.functions.expressions import month_of
-from tillflow.operators.ledger import close_events, open_events
-from tillflow.plans.sinks import refresh_months
+from tillflow.operators.ledger import close_events, open_events, write_events
+from tillflow.plans.sinks import in_months, months_in, refresh_months
+from tillflow.schema import SALES_SCHEMA
 from tillflow.sources import files as FS
 
 MartBuilder = Callable[[DataFrame], DataFrame]
@@ -47,42 +50,43 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def _write_events(events: DataFrame, out: str) -> None:
-    """Ledger events of one micro-batch and status; a replayed batch replaces
-    its own events instead of adding copies."""
-    (events.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "status").parquet(f"{out}/ledger"))
+MONTH = "sales_month"
+FACTS_SCHEMA = T.StructType(SALES_SCHEMA.fields + [
+    T.StructField(MONTH, T.StringType(), True), T.StructField("batch_id", T.LongType(), True)])
 
 
-def _refresh_mart(spark: SparkSession, out: str, batch_sales: DataFrame,
-                  build: MartBuilder, month_col: str) -> None:
-    touched = batch_sales.select(month_of("sales_date").alias("_month")).distinct()
-    facts = spark.read.parquet(f"{out}/facts").drop("batch_id")
-    affected = facts.join(touched, month_of("sales_date").eqNullSafe(F.col("_month")),
-                          "left_semi")
-    refresh_months(build(affected), f"{out}/mart", month_col)
+def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+
+
+def touched_facts(spark: SparkSession, out: str, months: list[str | None]) -> DataFrame:
+    """The facts of some months: other months' folders are not read."""
+    facts = spark.read.schema(FACTS_SCHEMA).parquet(f"{out}/facts")
+    return facts.where(in_months(F.col(MONTH), months)).select(*SALES_SCHEMA.fieldNames())
 
 
 def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, month_col: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         manifest = FS.classify(batch).where(F.col("kind") != FS.KIND_HIDDEN)
-        gate = FS.header_gate(manifest.where(F.col("kind") == FS.KIND_CSV)).checkpoint(eager=True)
-        accepted = gate.where("accepted").select("file_name", F.col("path").alias("file_location"))
+        # The paths of one micro-batch: at most as many as its limit of files.
+        lines = FS.text_lines(spark, [r["path"] for r in manifest.select("path").collect()])
+        files = FS.judged(manifest, lines)
+        accepted = files.where("accepted").select("file_name", F.col("path").alias("file_location"))
         run_id = f"batch-{batch_id}"
-        now = F.current_timestamp()
-        _write_events(open_events(accepted, now, run_id, seq=1), out)
+        ledger = f"{out}/ledger"
+        write_events(open_events(accepted, F.current_timestamp(), run_id, seq=1), ledger)
         stage = f"{out}/staged/batch_id={batch_id}"
-        FS.read_accepted(spark, gate).write.mode("overwrite").parquet(stage)
+        FS.stage(lines, files).write.mode("overwrite").parquet(stage)
         staged = spark.read.parquet(stage)
-        (FS.sales_rows(staged).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(f"{out}/facts"))
-        if build is not None:
-            _refresh_mart(spark, out, FS.sales_rows(staged), build, month_col)
-        (FS.quarantine(spark, manifest, gate, staged).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id", "reason").parquet(f"{out}/quarantine"))
-        _write_events(close_events(accepted, F.current_timestamp(), run_id, seq=2), out)
+        _replace_partitions(FS.quarantine(files, staged).withColumn("batch_id", F.lit(batch_id)),
+                            f"{out}/quarantine", "batch_id", "reason")
+        sales = FS.sales_rows(staged).withColumn(MONTH, month_of("sales_date"))
+        _replace_partitions(sales.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                            f"{out}/facts", MONTH, "batch_id")
+        months = months_in(sales, MONTH) if build is not None else []
+        if months:
+            refresh_months(build(touched_facts(spark, out, months)), f"{out}/mart", months, month_col)
+        write_events(close_events(accepted, F.current_timestamp(), run_id, seq=2), ledger)
 
     return run
 
@@ -109,7 +113,7 @@ def ingest_available_now(spark: SparkSession, landing: str, out: str, checkpoint
 
 
 def ingested_sales(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/facts").drop("batch_id")
+    return spark.read.schema(FACTS_SCHEMA).parquet(f"{out}/facts").select(*SALES_SCHEMA.fieldNames())
 
 
 def stream_mart(spark: SparkSession, out: str, schema) -> DataFrame:
