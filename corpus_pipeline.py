@@ -14,7 +14,7 @@ from tillflow.llm.common import table, written
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more go; the model learns from the labelled documents."""
     model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return toxicity.with_score(docs, model, name="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    return toxicity.below(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

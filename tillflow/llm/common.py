@@ -37,6 +37,14 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[col(c) for c in df.columns])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with so many _ that no column of ``df`` is called like it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settle(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder: later reads do not
     run its plan again and survive the loss of executors."""

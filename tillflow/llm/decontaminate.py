@@ -305,7 +305,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, *, text: str = "text",
     column exists, is set to the new number of characters).  A document of which no
     word is left goes; one without a hit stays as it is."""
     found = find_contamination(docs, items, text=text, **options)
-    cut = F.udf(lambda t, s: without_spans(t, [tuple(x) for x in s]), "string")
+    cut = F.udf(lambda t, s: without_spans(t, [tuple(x) for x in s]) if len(s) else t, "string", useArrow=True)
     hit = F.size("spans") > 0
     out = found.withColumn("_cut", F.when(hit, cut("text", "spans")))
     left = F.col("n_words") - F.aggregate("spans", F.lit(0).cast("bigint"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import col
+from tillflow.llm.common import col, unused
 
 ROUNDS = 10
 DIGITS = "0123456789"
@@ -208,7 +208,8 @@ def _email(found: str, key: bytes, back: bool) -> str | None:
     kinds = [DIGITS if ch in DIGITS else LOWER for ch in name.lower() if ch in DIGITS + LOWER]
     own = "".join(ch for ch in name.lower() if ch in DIGITS + LOWER)
     it = iter(permuted_string(own, kinds, key, b"mail" + domain.lower().encode(), back))
-    return "".join(ch if ch not in DIGITS + LOWER + UPPER else next(it) for ch in name) + "@" + domain
+    return "".join(ch if ch not in DIGITS + LOWER + UPPER else next(it).upper() if ch in UPPER else next(it)
+                   for ch in name) + "@" + domain
 
 
 def _secret(found: str, key: bytes, back: bool) -> str | None:
@@ -287,11 +288,13 @@ def pseudonymized(text: str | None, key: bytes, back: bool = False) -> tuple[str
 
 
 def with_pseudonyms(docs: DataFrame, key: str, *, text: str = "text") -> DataFrame:
-    """``docs`` with the texts replaced, and a struct ``pseudonyms``: kinds, begins and
-    ends (in characters of the old text) of what was replaced."""
+    """``docs`` with the texts replaced, and as last column a struct ``pseudonyms`` (with
+    _ added if there is such a column): kinds, begins and ends (in characters of the old
+    text) of what was replaced."""
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
     names = docs.columns
     at = names.index(text)
+    added = unused(docs, "pseudonyms")
 
     def replace(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -302,12 +305,12 @@ def with_pseudonyms(docs: DataFrame, key: str, *, text: str = "text") -> DataFra
                 [pa.array([[s[k] for s in spans] for _, spans in got], pa.list_(kind))
                  for k, kind in ((0, pa.string()), (1, pa.int64()), (2, pa.int64()))],
                 names=["kinds", "begins", "ends"])
-            yield pa.RecordBatch.from_arrays([*columns, extra], names=[*part.schema.names, "pseudonyms"])
+            yield pa.RecordBatch.from_arrays([*columns, extra], names=[*part.schema.names, added])
 
     extra = T.StructType([T.StructField("kinds", T.ArrayType(T.StringType())),
                           T.StructField("begins", T.ArrayType(T.LongType())),
                           T.StructField("ends", T.ArrayType(T.LongType()))])
-    return docs.mapInArrow(replace, T.StructType([*docs.schema.fields, T.StructField("pseudonyms", extra)]))
+    return docs.mapInArrow(replace, T.StructType([*docs.schema.fields, T.StructField(added, extra)]))
 
 
 def pseudonym_report(docs: DataFrame, key: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import WORD_BYTES, batches, col, words, written
+from tillflow.llm.common import WORD_BYTES, batches, col, unused, words, written
 
 #: Labelled rows used for fitting, at most.
 SAMPLE_ROWS = 12_000
@@ -46,7 +46,8 @@ REPORTING = frozenset(w.encode() for w in (
 _QUOTED = re.compile(rb'"[^"\n]*"|\xe2\x80\x9c[^\n]*?\xe2\x80\x9d|\xe2\x80\x9e[^\n]*?\xe2\x80\x9c'
                      rb"|\xc2\xab[^\n]*?\xc2\xbb")
 #: Starting point of the model: bias, plain hits, misspelled hits, quoted hits, densest window.
-PRIOR = np.array([-4.0, 5.0, 3.0, 0.8, 0.5])
+#: One plain hit is over 0.5, a quoted one is not.
+PRIOR = np.array([-4.0, 6.5, 5.5, 0.8, 0.5])
 FEATURES = ["plain", "misspelled", "quoted", "densest"]
 
 
@@ -350,6 +351,12 @@ def with_score(docs: DataFrame, model: ToxicityModel, *, text: str = "text",
     return docs.mapInArrow(score, schema)
 
 
+def below(docs: DataFrame, model: ToxicityModel, *, text: str = "text", bound: float = 0.5) -> DataFrame:
+    """``docs`` scored under ``bound``, columns unchanged."""
+    name = unused(docs, "_toxicity")
+    return with_score(docs, model, text=text, name=name).where(col(name) < bound).drop(name)
+
+
 def toxicity_report(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
                     text: str = "text", held_out: int = 5, **options) -> DataFrame:
     model = train(docs, labels, doc_id=doc_id, text=text, held_out=held_out, **options)
@@ -362,4 +369,4 @@ def toxicity_report(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
 def without_toxic(docs: DataFrame, labels: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """``docs`` less those scored 0.5 or more, columns unchanged."""
     model = train(docs, labels, text=text, **options)
-    return with_score(docs, model, text=text, name="_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    return below(docs, model, text=text)
