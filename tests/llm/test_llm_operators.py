@@ -560,3 +560,9 @@ def test_pipeline_stages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in clean.values())
     mixed = collections.Counter(r["doc_id"] for r in docs.collect())
     assert set(mixed) <= set(clean) and max(mixed.values()) <= 2
+
+
+def test_operators_run_where_workers_lack_the_package(tmp_dir):
+    from test_workers import run_elsewhere
+
+    run_elsewhere(["op4_decontaminate", "op5_pseudonyms", "op10_toxicity"], tmp_dir)

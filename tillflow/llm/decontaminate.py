@@ -165,6 +165,13 @@ class Phrases:
         self.owners = list(owners.values())
         self.shortest = int(self.lengths.min()) if owners else 0
 
+    @classmethod
+    def of(cls, parts: dict) -> Phrases:
+        """Of the attributes of another: a broadcast carries plain data only."""
+        own = cls.__new__(cls)
+        own.__dict__.update(parts)
+        return own
+
 
 def _runs(symbols: np.ndarray, shortest: int) -> list[tuple[int, int]]:
     """Stretches of known words that can hold a window."""
@@ -233,7 +240,7 @@ def _pass(phrases):
     """Task: adds what one block of items finds to (row, text, n_words, spans, items)."""
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: Phrases = phrases.value
+        block = Phrases.of(phrases.value)
         get = block.symbols.get
         for part in parts:
             names = part.schema.names
@@ -283,7 +290,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
         block = queries.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == b)
         # At most about BLOCK_BYTES of text, whatever the number of items.
         rows = sorted((r["i"] or "", r["t"]) for r in block.toLocalIterator())
-        phrases = spark.sparkContext.broadcast(Phrases(rows, window))
+        phrases = spark.sparkContext.broadcast(vars(Phrases(rows, window)))
         out = out.mapInArrow(_pass(phrases), schema)
     return out
 

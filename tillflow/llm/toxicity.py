@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -308,7 +308,7 @@ def fit(features: np.ndarray, toxic: np.ndarray, strength: float = 2.0) -> np.nd
 
 
 class ToxicityModel:
-    def __init__(self, scanner: Scanner, weights: np.ndarray):
+    def __init__(self, scanner: Scanner, weights: Iterable[float]):
         self.scanner, self.weights = scanner, [float(v) for v in weights]
 
     def score(self, text: str | None) -> float:
@@ -338,10 +338,13 @@ def train(docs: DataFrame, labels: DataFrame, *, extra_terms=None, **options) ->
 def with_score(docs: DataFrame, model: ToxicityModel, *, text: str = "text",
                name: str = "score") -> DataFrame:
     """``docs`` with one more column, the score of the whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain data: a broadcast is unpickled without the package's classes.
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.scanner.terms, model.scanner.innocent, model.weights))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        terms, innocent, weights = shared.value
+        own = ToxicityModel(Scanner(terms, innocent), weights)
         for part in parts:
             texts = part.column(part.schema.names.index(text))
             got = pa.array([own.score(t.as_py()) for t in texts], pa.float64())
