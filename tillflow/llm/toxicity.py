@@ -256,18 +256,20 @@ def learn_lexicon(sample: DataFrame, extra_terms: dict[str, tuple[bool, int]] |
     pure = F.col("toxic") >= 4 * F.col("clean")
     best = [F.desc("toxic"), F.asc("word")]
     terms = {r["word"]: (False, edits_allowed(r["word"], r["toxic"])) for r in
-             counts.where(pure & (F.col("toxic") >= 5) & (F.col("uses") >= 5) & (F.length("word") > 2))
+             counts.where(pure & (F.col("toxic") >= 5) & (F.col("uses") >= 5)
+                          & (4 * F.col("uses") >= F.col("toxic")) & (F.length("word") > 2))
              .orderBy(*best).limit(LEXICON_TERMS).collect()}
-    # Stems: prefixes whose words are toxic, where several different letters follow.
+    # Stems: prefixes of which nearly every word is toxic, with several letters following.
     prefixes = F.explode(F.transform(F.sequence(F.lit(3), F.least(F.lit(9), F.length("word") - 1)),
                                      lambda n: F.substring("word", F.lit(1), n)))
     stems = (counts.where(F.length("word") > 3)
              .select(prefixes.alias("stem"), "word", "toxic", "clean", "uses")
              .groupBy("stem").agg(
                  F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
-                 F.count("*").alias("n"), F.sum("uses").alias("uses"),
+                 F.count("*").alias("n"), F.count_if(pure).alias("pure_words"), F.sum("uses").alias("uses"),
                  F.count_distinct(F.substring("word", F.length("stem") + 1, F.lit(1))).alias("ways"))
              .where(pure & (F.col("toxic") >= 8) & (F.col("uses") >= 8) & (F.col("n") >= 4)
+                    & (F.col("pure_words") >= 0.9 * F.col("n"))
                     & (F.col("ways") >= 3))
              .orderBy(F.length("stem"), F.desc("toxic"), "stem").limit(LEXICON_TERMS).collect())
     chosen: list[str] = []
