@@ -9,7 +9,7 @@ first document is lower stays, of the same document the one of lower digest.
 By pigeonhole, a line within t edits of another contains one of its t + 1 segments,
 near its place.  So each line is indexed by its segments, and probes for the segments
 of lines of its own length and up to t shorter, at the places that t edits allow.
-Candidates are verified by banded bit-parallel edit distance, many pairs at a time.
+Candidates are verified by banded bit-parallel edit distance, many pairs of many segments at a time.
 
 How it runs: index and probe entries are hashes, sorted by hash in one shuffle; only
 hashes that an index entry and another line share go on (few).  The texts of their
@@ -264,66 +264,91 @@ def bitmap_of(lines: DataFrame, name: str = "line") -> bytes:
 _SIMILAR = "h1 bigint, h2 bigint, by1 bigint, by2 bigint"
 
 
-def similar_earlier(first, digests, lines, kinds, across: list[int] | None) -> list[tuple[int, int]]:
-    """For each line one earlier similar line: (line, earlier), the earliest.
-
-    ``first`` and ``digests`` give the order; ``across`` limits pairs to two sides."""
-    n = len(lines)
-    rank = sorted(range(n), key=lambda i: (first[i], digests[i]))
-    place = np.empty(n, np.int64)
-    place[rank] = np.arange(n)
-    size = np.array([len(x) for x in lines])
-    by_size = np.argsort(size, kind="stable")
-    kind = np.array(kinds)
-    side = None if across is None else np.array(across)
-    width = int(size.max())
-    codes = np.zeros((n, width), np.uint32)
-    for i, x in enumerate(lines):
-        codes[i, :len(x)] = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) + 1
-    best = np.full(n, n, np.int64)
-    at_once = max(1, (1 << 22) // max(1, width))
-    sizes = size[by_size]
-    held_a: list[np.ndarray] = []
-    held_b: list[np.ndarray] = []
-    held = 0
-
-    def verify():
-        a, b = np.concatenate(held_a), np.concatenate(held_b)
-        for k in range(0, len(a), at_once):
-            x, y = a[k:k + at_once], b[k:k + at_once]
-            ok = edits_within(codes[x], size[x], codes[y], size[y])
-            x, y = x[ok], y[ok]
-            later = np.where(place[x] > place[y], x, y)
-            np.minimum.at(best, later, np.minimum(place[x], place[y]))
-
-    for pos in range(n):  # every line with those before it in order of size, up to EDITS shorter
-        i = by_size[pos]
-        cand = by_size[np.searchsorted(sizes, size[i] - EDITS):pos]
-        ok = (kind[cand] == INDEX) | (kind[i] == INDEX)
-        if side is not None:
-            ok &= side[cand] != side[i]
-        cand = cand[ok]
-        if len(cand):
-            held_a.append(np.full(len(cand), i))
-            held_b.append(cand)
-            held += len(cand)
-        if held >= at_once:
-            verify()
-            held_a, held_b, held = [], [], 0
-    if held:
-        verify()
-    return [(i, rank[best[i]]) for i in range(n) if best[i] < n]
-
-
-def _verify(group: pa.Table) -> pa.Table:
-    d = group.to_pydict()
-    h = list(zip(d["h1"], d["h2"]))
-    i, j = d["i"][0], d["j"][0]
-    across = None if i == j else [int(b == j) for b in d["block"]]
-    got = similar_earlier(d["first"], h, d["text"], d["kind"], across)
-    return pa.table([pa.array([h[x][0] for x, _ in got], pa.int64()), pa.array([h[x][1] for x, _ in got], pa.int64()),
-                     pa.array([h[y][0] for _, y in got], pa.int64()), pa.array([h[y][1] for _, y in got], pa.int64())],
-                    names=["h1", "h2", "by1", "by2"])
+def candidate_pairs(size: np.ndarray, kind: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a, b) of lines of one segment with size[a] >= size[b], at most ``EDITS``
+    apart in size, of which one is an index entry; across the sides, if given."""
+    order = np.argsort(size, kind="stable")
+    sizes = size[order]
+    low = np.searchsorted(sizes, sizes - EDITS)
+    times = np.arange(len(size)) - low  # each with those before it, in order of size
+    at = np.repeat(np.arange(len(size)), times)
+    b = order[at - 1 - (np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times))]
+    a = order[at]
+    ok = (kind[a] == INDEX) | (kind[b] == INDEX)
+    if side is not None:
+        ok &= side[a] != side[b]
+    return a[ok], b[ok]
+
+
+class Verifier:
+    """Gathers candidate pairs of many segments, verifies them together, and keeps for
+    each line one earlier similar line, the earliest."""
+
+    PAIRS, CELLS = 20_000, 1 << 22
+
+    def __init__(self):
+        self.pairs: list[tuple[tuple, tuple]] = []
+
+    def add(self, group: list[tuple]) -> bool:
+        """``group``: (first, digest, text, kind, side or None) of the lines of a task.
+        True when it is time to verify."""
+        size = np.array([len(x[2]) for x in group])
+        kind = np.array([x[3] for x in group])
+        side = None if group[0][4] is None else np.array([x[4] for x in group])
+        a, b = candidate_pairs(size, kind, side)
+        self.pairs += [(group[x], group[y]) for x, y in zip(a.tolist(), b.tolist())]
+        return len(self.pairs) >= self.PAIRS
+
+    def verified(self) -> dict[tuple, tuple]:
+        """Digest of a line -> order (first, digest) of its earliest similar line."""
+        best: dict[tuple, tuple] = {}
+        self.pairs.sort(key=lambda p: len(p[0][2]))
+        begin = 0
+        while begin < len(self.pairs):
+            end = begin + 1  # as many pairs as fit a matrix of the last one's width
+            while end < len(self.pairs) and (end + 1 - begin) * len(self.pairs[end][0][2]) <= self.CELLS:
+                end += 1
+            chunk = self.pairs[begin:end]
+            begin = end
+            width = len(chunk[-1][0][2])
+            codes = []
+            for side in (0, 1):
+                m = np.zeros((len(chunk), width), np.uint32)
+                for row, pair in zip(m, chunk):
+                    x = pair[side][2]
+                    row[:len(x)] = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) + 1
+                codes.append(m)
+            sizes = [np.array([len(p[side][2]) for p in chunk]) for side in (0, 1)]
+            for k in np.flatnonzero(edits_within(codes[0], sizes[0], codes[1], sizes[1])).tolist():
+                early, late = sorted((chunk[k][0][:2], chunk[k][1][:2]))
+                if late[1] not in best or early < best[late[1]]:
+                    best[late[1]] = early
+        self.pairs = []
+        return best
+
+
+_SIMILAR = "h1 bigint, h2 bigint, first bigint, by1 bigint, by2 bigint"
+_SIMILAR_ARROW = pa.schema([(n, pa.int64()) for n in ("h1", "h2", "first", "by1", "by2")])
+
+
+def _verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: rows (segment, i, j, block, kind, h1, h2, first, text) sorted by segment and
+    pair of blocks, as a stream -> for lines, one earlier similar line."""
+
+    def rows():
+        buffer = Verifier()
+        task, group = None, []
+        for segment, i, j, block, kind, h1, h2, first, text in tuples(parts):
+            if (segment, i, j) != task:
+                if group and buffer.add(group):
+                    yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
+                task, group = (segment, i, j), []
+            group.append((first, (h1, h2), text, kind, None if i == j else int(block == j)))
+        if group:
+            buffer.add(group)
+        yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
+
+    yield from batches(rows(), _SIMILAR_ARROW, 20_000)
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -333,7 +358,8 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def similar_lines(own: DataFrame) -> DataFrame:
-    """(h1, h2, by1, by2): every line that has an earlier similar one, with the earliest."""
+    """(h1, h2, first, by1, by2): every line that has an earlier similar one, with the
+    earliest of those."""
     spark = own.sparkSession
     live = written(own.mapInArrow(_entries, "segment bigint, kind tinyint, line bigint")
                    .repartition("segment").sortWithinPartitions("segment", "kind", "line")
@@ -352,8 +378,10 @@ def similar_lines(own: DataFrame) -> DataFrame:
                      .alias("o"), "kind", "h1", "h2", "first", "text")
              .select("segment", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
                      "block", "kind", "h1", "h2", "first", "text"))
-    found = dealt.groupBy("segment", "i", "j").applyInArrow(_verify, _SIMILAR)
-    return found.groupBy("h1", "h2").agg(F.min(F.struct("by1", "by2")).alias("by")).select("h1", "h2", "by.*")
+    found = (dealt.repartition("segment", "i", "j").sortWithinPartitions("segment", "i", "j")
+             .mapInArrow(_verify, _SIMILAR))
+    return (found.groupBy("h1", "h2").agg(F.min(F.struct("first", "by1", "by2")).alias("by"))
+            .select("h1", "h2", "by.*"))
 
 
 def _without(text: str | None, removed: list[int] | None) -> str | None:
