@@ -91,6 +91,9 @@ def test_blocks_of_awkward_pages():
     assert lines('<p>a<script>if (x < "</p>") y()</script>b</p><!-- <p>no</p> --><style>p{}</style>') == ["ab"]
     assert lines('<div role="navigation">n</div><p hidden>h</p><p style="display: none">d</p><p>t') == ["t"]
     assert lines("<p title='a > b'>q</p><br/>r<br>s") == ["q", "r s"]
+    assert lines('<div class="site-header">Shop</div><div class="post-header"><h1>T</h1></div><p>t</p>'
+                 '<ins class="adsbygoogle">x</ins><section id="reader-comments"><article class="comment">c</article>'
+                 '</section><div class=sidebar>s</div>') == ["T", "t"]
 
 
 def test_lines_that_neighbours_share_are_deleted_without_landmarks(spark):

@@ -53,11 +53,13 @@ NOT_TEXT = frozenset("head nav footer aside form menu dialog button label fields
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert "
                            "alertdialog menu menubar toolbar status".split())
 NOT_TEXT_NAMES = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside widget widgets "
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
+    "nav navbar navigation sidenav topnav subnav topbar menu submenu breadcrumb breadcrumbs "
+    "footer sidebar aside widget widgets ad ads adbox adslot adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations comment comments disqus "
     "respond reply replies pagination pager toolbar masthead copyright disclaimer".split())
+#: A header by class is the page's, unless one of these names it the article's.
+ARTICLE_NAMES = frozenset("article post entry story content title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
@@ -93,6 +95,8 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bo
             or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes):
         return True, False
     names = set(_NAME.findall((got.get("class", "") + " " + got.get("id", "")).lower()))
+    if "header" in names and not inside_article and not names & ARTICLE_NAMES:
+        return True, False
     return bool(names & NOT_TEXT_NAMES), False
 
 
