@@ -220,7 +220,7 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+def without_spans(text: str, spans: list) -> str:
     """``text`` less the words of the spans and what stands between them."""
     data = text.encode("utf-8", "surrogatepass")
     flags = np.frombuffer(data.translate(WORD_BYTES), np.uint8) != 32
@@ -236,8 +236,9 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 # -- the pass over the documents ------------------------------------------------
 
-def _pass(phrases):
-    """Task: adds what one block of items finds to (row, text, n_words, spans, items)."""
+def _pass(phrases, cut: bool):
+    """Task: adds what one block of items finds to (row, text, n_words, spans, items);
+    with ``cut``, the spans are cut out of the text."""
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Phrases.of(phrases.value)
@@ -262,6 +263,9 @@ def _pass(phrases):
             spans = [[list(s) for s in merge_spans([tuple(x) for x in old] + new)]
                      for old, (new, _) in zip(old_spans, hits)]
             items = [sorted(set(old) | new) for old, (_, new) in zip(old_items, hits)]
+            if cut:
+                texts = pa.array([without_spans(t.as_py(), s) if s else t.as_py()
+                                  for t, s in zip(texts, spans)], pa.string())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), texts, pa.array(n_words, pa.int64()),
                  pa.array(spans, pa.list_(pa.list_(pa.int64()))),
@@ -272,10 +276,10 @@ def _pass(phrases):
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
                        item_id: str = "item_id", item_text: str = "text", window: int = 10,
-                       keep: Column | None = None) -> DataFrame:
-    """Rows ``row`` (struct of ``keep``, by default all columns of ``docs``), ``text``,
-    ``n_words``, ``spans`` (merged [first word, word after]) and ``items`` (ids as
-    strings, in order) for every row of ``docs``."""
+                       keep: Column | None = None, cut: bool = False) -> DataFrame:
+    """Rows ``row`` (struct of ``keep``, by default all columns of ``docs``), ``text``
+    (with ``cut``, less the spans), ``n_words``, ``spans`` (merged [first word, word
+    after]) and ``items`` (ids as strings, in order) for every row of ``docs``."""
     spark = docs.sparkSession
     queries = items.select(col(item_id).cast("string").alias("i"),
                            col(item_text).cast("string").alias("t")).where("t IS NOT NULL")
@@ -291,7 +295,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
         # At most about BLOCK_BYTES of text, whatever the number of items.
         rows = sorted((r["i"] or "", r["t"]) for r in block.toLocalIterator())
         phrases = spark.sparkContext.broadcast(vars(Phrases(rows, window)))
-        out = out.mapInArrow(_pass(phrases), schema)
+        out = out.mapInArrow(_pass(phrases, cut and b == n_blocks - 1), schema)
     return out
 
 
@@ -311,15 +315,13 @@ def decontaminated(docs: DataFrame, items: DataFrame, *, text: str = "text",
     """``docs`` with the removal spans cut out of the texts (``length``, if such a
     column exists, is set to the new number of characters).  A document of which no
     word is left goes; one without a hit stays as it is."""
-    found = find_contamination(docs, items, text=text, **options)
-    cut = F.udf(lambda t, s: without_spans(t, [tuple(x) for x in s]) if len(s) else t, "string", useArrow=True)
+    out = find_contamination(docs, items, text=text, cut=True, **options)
     hit = F.size("spans") > 0
-    out = found.withColumn("_cut", F.when(hit, cut("text", "spans")))
     left = F.col("n_words") - F.aggregate("spans", F.lit(0).cast("bigint"),
                                           lambda a, s: a + s[1] - s[0])
     out = out.where(~hit | (left > 0))
     return out.select(*[
-        F.when(hit, F.col("_cut")).otherwise(F.col("row").getField(c)).alias(c) if c == text
-        else F.when(hit, F.char_length("_cut").cast(docs.schema[c].dataType))
+        F.when(hit, F.col("text")).otherwise(F.col("row").getField(c)).alias(c) if c == text
+        else F.when(hit, F.char_length("text").cast(docs.schema[c].dataType))
         .otherwise(F.col("row").getField(c)).alias(c) if c == length
         else F.col("row").getField(c).alias(c) for c in docs.columns])

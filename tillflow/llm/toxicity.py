@@ -150,7 +150,7 @@ class LexiconAutomaton:
 class Scanner:
     """Counts a text's hits.  ``innocent``: words near a term that clean texts use."""
 
-    CACHE = 500_000
+    CACHE = 200_000
 
     def __init__(self, terms: dict[str, tuple[bool, int]], innocent: set[bytes]):
         self.terms, self.innocent = terms, innocent
