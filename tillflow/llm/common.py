@@ -45,19 +45,47 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared checkpoint folder: later reads do not
-    run its plan again and survive the loss of executors."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as Parquet in the shared checkpoint folder: later reads do
+    not run its plan again and survive the loss of executors."""
+    return written_to(df)[0]
 
 
-def written(df: DataFrame) -> DataFrame:
-    """As :func:`settle`, as compressed Parquet: for rows that carry texts."""
+def written_to(df: DataFrame) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the path."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tillflow-llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+#: A key with more than this share of the rows is split by :func:`spread_join`.
+HOT_SHARES = 1000
+
+
+def spread_join(rows: DataFrame, per_key: DataFrame, on: list[str], count: str, total: int | None = None) -> DataFrame:
+    """``rows`` joined (inner) with ``per_key``, which has one row for each key and in
+    ``count`` the number of rows that have it; hot keys are split.
+
+    A key with more than 1 / HOT_SHARES of all rows is dealt in pieces of that size, by
+    a hash of the row; fewer than HOT_SHARES keys can be that hot, so they are broadcast
+    to mark their rows.  ``total`` is the sum of the counts, if known."""
+    if total is None:
+        total = per_key.agg(F.sum(count).alias("n")).first()["n"] or 0
+    share = max(1, total // HOT_SHARES)
+    pieces = F.ceil(F.col(count) / share)
+    key = [f"_key{k}" for k in range(len(on))]
+    hot = per_key.where(F.col(count) > share).select(
+        *[F.col(c).alias(k) for c, k in zip(on, key)], pieces.alias("_pieces"))
+    same = lambda a, b: [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)]
+    marked = rows.join(F.broadcast(hot), same(on, key), "left").withColumn(
+        "_piece", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_pieces")), F.lit(0))).drop(*key, "_pieces")
+    last = F.when(F.col(count) > share, pieces - 1).otherwise(F.lit(0)).cast("bigint")
+    dealt = per_key.select(
+        *[F.col(c).alias(k) for c, k in zip(on, key)], *[c for c in per_key.columns if c not in on],
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_its_piece"))
+    joined = marked.join(dealt, [*same(on, key), F.col("_piece") == F.col("_its_piece")])
+    return joined.drop(*key, "_piece", "_its_piece")
 
 
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096,

@@ -2,8 +2,8 @@
 
 Every round links each node to the lowest node of its neighbourhood, first for its
 higher neighbours, then for its lower ones; components shrink to stars around their
-lowest node in a few rounds.  Each round is written to the checkpoint folder.  Only a
-count and a checksum reach the driver.
+lowest node in a few rounds.  Each round is written to the checkpoint folder, and the
+one before removed.  Only a count and a checksum reach the driver.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import settle
+from tillflow.llm.common import written_to
+from tillflow.plans.scratch import remove_path
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def _stars(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; component is its lowest node."""
-    now = settle(edges.where(F.col(a) != F.col(b)).select(
+    now, path = written_to(edges.where(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).distinct())
     state = None
     while True:
@@ -38,6 +39,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         if (seen["n"], seen["h"]) == state or not seen["n"]:
             break
         state = (seen["n"], seen["h"])
-        now = settle(_stars(now))
+        old = path
+        now, path = written_to(_stars(now))
+        remove_path(now.sparkSession, old)
     own = now.select(F.col("high").alias("node"), F.col("low").alias("component"))
     return own.unionByName(now.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import batches, col, settle, tuples, written
+from tillflow.llm.common import batches, col, spread_join, tuples, written
 
 EDITS = 2
 FUZZY_CHARS = 24
@@ -396,11 +396,11 @@ def decisions(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     its lines that go, in order, and how many of them go for a similar line only."""
     own = _own(docs, doc_id, text)
     lines = own.mapInArrow(_occurrences, "h1 bigint, h2 bigint, doc bigint, version bigint, place int, again boolean")
-    first = lines.groupBy("h1", "h2").agg(F.min("doc").alias("first"))
-    similar = settle(similar_lines(own)).select(F.col("h1").alias("s1"), F.col("h2").alias("s2"))
-    first = (first.join(similar, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")), "left")
-             .select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first", F.col("s1").isNotNull().alias("similar")))
-    judged = lines.join(first, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")))
+    first = lines.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.count("*").alias("n"))
+    similar = written(similar_lines(own)).select(F.col("h1").alias("s1"), F.col("h2").alias("s2"))
+    first = written(first.join(similar, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")), "left")
+                    .select("h1", "h2", "first", "n", F.col("s1").isNotNull().alias("similar")))
+    judged = spread_join(lines, first, ["h1", "h2"], "n")  # a line may be in a third of all texts
     equal = F.col("again") | (F.col("doc") > F.col("first"))
     return judged.groupBy("doc", "version").agg(
         F.count_distinct("place").alias("n_lines"),

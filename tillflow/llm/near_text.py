@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import col, words, written
+from tillflow.llm.common import col, spread_join, words, written
 from tillflow.llm.components import connected_components
 
 K = 5
@@ -58,7 +58,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 1_000_000):
+    def __init__(self, bound: int = 250_000):
         self.seen: dict[bytes, int] = {}
         self.bound = bound
 
@@ -181,10 +181,10 @@ def _keyed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*part.schema.names, "_key"])
 
 
-def with_key(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` as a struct ``_row``, with ``_text`` and ``_key``."""
-    own = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"),
-                      col(text).cast("string").alias("_text"))
+def with_key(docs: DataFrame, doc_id: str, text: str, row: bool) -> DataFrame:
+    """``_id``, ``_text`` and ``_key`` of ``docs``, with ``row`` all columns as ``_row``."""
+    own = docs.select(*[F.struct(*[col(c) for c in docs.columns]).alias("_row")] * row,
+                      col(doc_id).cast("bigint").alias("_id"), col(text).cast("string").alias("_text"))
     return own.mapInArrow(_keyed, T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
 
 
@@ -260,10 +260,11 @@ def _check(group: pa.Table) -> pa.Table:
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, texts): rows has ``doc_id`` and ``key`` of every document; texts has, for each
-    ``key``, ``class_key`` and ``class_id``, the lowest doc_id of the class."""
+    ``key``, its number of rows ``n``, its lowest ``first_id``, and ``class_key`` and
+    ``class_id``, the lowest doc_id of the class."""
     own = docs.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).cast("string").alias("text"))
     rows = written(own.mapInArrow(_sketch, "doc_id bigint, key binary, sketches array<bigint>"))
-    ids = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    ids = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     agree = (rows.where("sketches IS NOT NULL")
              .select(F.explode("sketches").alias("sketch"), "key"))
     least = (agree.groupBy("sketch").agg(F.min("key").alias("low"), F.max("key").alias("high"))
@@ -274,8 +275,10 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     sizes = loose.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     loose = (loose.join(sizes, "component")
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    texts = with_key(own, "text").select("_key", "_text")
-    one_each = (loose.join(texts, F.col("node") == F.col("_key"))
+    # One document of each text is read: its id goes into the join, so that copies don't meet.
+    loose = loose.join(ids, F.col("node") == F.col("key")).drop("key", "n")
+    texts = with_key(own, "doc_id", "text", row=False)
+    one_each = (loose.join(texts, (F.col("node") == F.col("_key")) & F.col("first_id").eqNullSafe(F.col("_id")))
                 .groupBy("node", "component", "blocks", "block").agg(F.first("_text").alias("text")))
     # Each text meets every block of its group: its own, and one task for each other.
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
@@ -284,16 +287,18 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     links = dealt.groupBy("component", "i", "j").applyInArrow(_check, "a binary, b binary")
     members = connected_components(links)
     named = (ids.join(members, F.col("key") == F.col("node"), "left")
-             .select("key", "doc_id", F.coalesce("component", "key").alias("class_key")))
-    lowest = named.groupBy("class_key").agg(F.min("doc_id").alias("class_id"))
-    return rows.select("doc_id", "key"), named.select("key", "class_key").join(lowest, "class_key")
+             .select("key", "first_id", "n", F.coalesce("component", "key").alias("class_key")))
+    lowest = (named.groupBy("class_key").agg(F.min("first_id").alias("class_id"), F.count("*").alias("keys")))
+    return rows.select("doc_id", "key"), written(spread_join(named, lowest, ["class_key"], "keys"))
 
 
 def near_duplicate_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, class_id, kept (whether it is the document of its class that stays)."""
     rows, texts = classes(docs, **options)
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return (rows.join(texts.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left")
+    alone = rows.where("key IS NULL").select("doc_id", "key", F.lit(None).cast("bigint").alias("class_id"))
+    known = spread_join(rows.where("key IS NOT NULL"), texts.select("key", "n", "class_id"), ["key"], "n")
+    return (known.select("doc_id", "key", "class_id").unionByName(alone)
             .select("doc_id", own.alias("class_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
@@ -303,8 +308,8 @@ def without_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: st
     the class, one); wordless documents stay."""
     _, texts = classes(docs, doc_id=doc_id, text=text)
     alone = docs.where(~F.coalesce(col(text).cast("string").rlike(WORD_CHARACTER), F.lit(False)))
-    one = (with_key(docs, text).where("_key IS NOT NULL")
-           .join(texts.withColumnRenamed("key", "k"), F.col("_key") == F.col("k"))
-           .where(F.col("_row").getField(doc_id).cast("bigint").eqNullSafe(F.col("class_id")))
+    chosen = texts.where(F.col("first_id").eqNullSafe(F.col("class_id"))).select("key", "class_key", "class_id")
+    one = (with_key(docs, doc_id, text, row=True)
+           .join(chosen, (F.col("_key") == F.col("key")) & F.col("_id").eqNullSafe(F.col("class_id")))
            .dropDuplicates(["class_key"]).select("_row.*"))
     return one.unionByName(alone)
