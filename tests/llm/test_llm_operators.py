@@ -569,3 +569,71 @@ def test_operators_run_where_workers_lack_the_package(tmp_dir):
     from test_workers import run_elsewhere
 
     run_elsewhere(["op4_decontaminate", "op5_pseudonyms", "op10_toxicity"], tmp_dir)
+
+
+def word_edited(rnd, w, edits):
+    w = w[:]
+    for _ in range(edits):
+        k = rnd.randrange(len(w) + 1)
+        w[k:k + rnd.randint(0, 1)] = rnd.choice([[], [f"new{rnd.randrange(99)}"], [f"new{rnd.randrange(99)}"]])
+    return w
+
+
+def test_lines_within_their_edits_of_words_meet_in_an_entry():
+    rnd = random.Random(18)
+    met = 0
+    for _ in range(1500):
+        n = rnd.choice([10, 11, 12, 19, 20, 21, 30, 32, 40, 79, 81, 90, 120, 400])
+        a = [rnd.choice("the of and in to w1 w2 w3 w4 w5 w6 w7 w8".split()) for _ in range(n)]
+        b = word_edited(rnd, a, rnd.randint(0, n // 10 + 1))
+        most = max(len(a), len(b)) // 10
+        if a == b or near_text.edit_distance_within(a, b, most) < 0:
+            continue
+        entries = line_dedup.WordEntries()
+        entries.add(" ".join(a).encode(), 1)
+        entries.add(" ".join(b).encode(), 2)
+        keys, ids = entries.taken()
+        assert set(keys[ids == 1]) & set(keys[ids == 2]), (a, b)
+        met += 1
+    assert met > 500
+
+
+def test_entries_of_a_long_line_are_those_of_its_whole(monkeypatch):
+    rnd = random.Random(19)
+    line = " ".join(f"w{rnd.randrange(500)}" for _ in range(5000)).encode()
+
+    def entries():
+        e = line_dedup.WordEntries()
+        e.add(line, 1)
+        return set(e.taken()[0].tolist())
+
+    whole = entries()
+    monkeypatch.setattr(line_dedup, "CHUNK", 1000)
+    monkeypatch.setattr(line_dedup, "PIECE", 70)
+    assert entries() == whole
+
+
+def test_near_copied_lines_go_however_long(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    rnd = random.Random(20)
+    base = [[f"w{rnd.randrange(3000)}" for _ in range(n)] for n in (9, 10, 15, 20, 40, 64, 100, 150)]
+    shared = [f"s{k}" for k in range(30)]  # a passage of lines that differ otherwise
+    docs = []
+    for i in range(80):
+        w = rnd.choice(base)
+        lines = [" ".join(word_edited(rnd, w, rnd.choice([0, 1, len(w) // 20, len(w) // 8])))]
+        if i % 4 == 0:
+            lines.append(" ".join([f"u{rnd.randrange(9000)}" for _ in range(30)] + shared))
+        docs.append((i, "\n".join(lines)))
+    first = {}
+    for i, t in docs:
+        for x in t.split("\n"):
+            first.setdefault(x, i)
+    order = sorted(first, key=lambda x: (first[x], line_dedup.digest(x)))
+    near = lambda a, b: edit_distance(a.split(), b.split()) <= max(len(a.split()), len(b.split())) // 10 \
+        or abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= line_dedup.EDITS
+    similar = {b for k, b in enumerate(order) if any(near(a, b) for a in order[:k])}
+    want = {i: [k for k, x in enumerate(t.split("\n")) if first[x] < i or x in similar] for i, t in docs}
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want and len(similar) > 20

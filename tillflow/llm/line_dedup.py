@@ -1,9 +1,11 @@
 """Line dedup by a segment-partition edit join.
 
 Lines (split at \\n) are compared after trimming white space.  A line goes if an equal
-line comes earlier, or a similar one: at most ``EDITS`` edits apart, both of at least
-``FUZZY_CHARS`` characters.  Earlier means: in a document of lower doc_id (null last),
-or before it in the same document; of two similar, different lines the one whose
+line comes earlier, or a similar one.  Similar are two lines of at least ``FUZZY_CHARS``
+characters that are at most ``EDITS`` characters apart, or that are apart by at most a
+word in ``WORDS_AN_EDIT`` of the longer one (words inserted, deleted or replaced; a word
+is a run without ASCII white space).  Earlier means: in a document of lower doc_id (null
+last), or before it in the same document; of two similar, different lines the one whose
 first document is lower stays, of the same document the one of lower digest.
 
 By pigeonhole, a line within t edits of another contains one of its t + 1 segments,
@@ -11,12 +13,19 @@ near its place.  So each line is indexed by its segments, and probes for the seg
 of lines of its own length and up to t shorter, at the places that t edits allow.
 Candidates are verified by banded bit-parallel edit distance, many pairs of many segments at a time.
 
+For words t grows with the line, and t edits leave one of t + 1 runs of words whole: a
+run of :func:`whole_run` words.  Of every window of so many words a line enters the
+``GRAM`` words of least hash; two lines that share the run share that entry.  (A shorter
+line has a smaller window, and enters what larger windows would, and more.)  Candidates
+are verified by their words' histograms and grams, which t edits can change only so far,
+and then by banded alignment.
+
 How it runs: index and probe entries are hashes, sorted by hash in one shuffle; only
 hashes that an index entry and another line share go on (few).  The texts of their
 lines are found in a second pass over the documents, through a bitmap of fixed size
 (``BITMAP_BITS``; a fuller bitmap lets more lines through to the exact join).  A hash
-that many lines share is split into blocks, pairs of blocks are tasks, and a task
-returns for each line one earlier similar line.  Decisions are by line digest and
+that many lines share is split into blocks, pairs of blocks are tasks (of hashes that
+the same lines share, one is enough), and a task returns for each line one earlier similar line.  Decisions are by line digest and
 document; texts move only where documents are rewritten.
 
 Defined cases: a null text has no line; blank lines are never removed; documents of
@@ -37,8 +46,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import batches, col, settle, tuples, written
+from tillflow.llm.near_text import edit_distance_within
 
 EDITS = 2
+#: An edited word is allowed for so many words of the longer line.
+WORDS_AN_EDIT = 10
+#: Words of an entry.
+GRAM = 5
 FUZZY_CHARS = 24
 #: Bits of the bitmap of candidate lines: 8 MB, whatever the input.
 BITMAP_BITS = 1 << 26
@@ -46,7 +60,7 @@ BITMAP_BITS = 1 << 26
 BLOCK = 256
 LAST = (1 << 63) - 1
 
-INDEX, PROBE = 0, 1
+INDEX, PROBE, WORDS = 0, 1, 2
 
 
 def digest(line: str) -> tuple[int, int]:
@@ -132,6 +146,157 @@ def edits_within(a: np.ndarray, la: np.ndarray, b: np.ndarray, lb: np.ndarray, m
     return out
 
 
+# -- edits of words ----------------------------------------------------------------
+
+def word_edits(n: int) -> int:
+    """Edits allowed to a line of ``n`` words and one that isn't longer."""
+    return n // WORDS_AN_EDIT
+
+
+def whole_run(n: int) -> int:
+    """Words in a row that a line of ``n`` words or any longer one shares with every
+    line that isn't longer and within its edits.  With t edits n - t words stay, in
+    t + 1 runs at most; the least of it is found within the next lengths, as a longer
+    line of as many words over a multiple has longer runs."""
+    return min(-(-(m - word_edits(m)) // (word_edits(m) + 1)) for m in range(n, n + 2 * WORDS_AN_EDIT))
+
+
+_WINDOWS = np.array([0] * (WORDS_AN_EDIT - 1) + [whole_run(n) - GRAM + 1 for n in range(WORDS_AN_EDIT - 1, 1000)])
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_random = np.random.default_rng(8)
+_BYTES = _random.integers(1, 1 << 63, 256, np.uint64)
+_PLACES = _random.integers(1, 1 << 63, GRAM, np.uint64) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes of lines hashed together, and words of the pieces that longer lines are cut to.
+CHUNK, PIECE = 1 << 20, 50_000
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+class WordEntries:
+    """Gathers lines, and gives the hashes of the grams that they enter."""
+
+    def __init__(self):
+        self.lines: list[bytes] = []
+        self.ids: list[int] = []
+        self.sizes: list[int] = []  # words of the whole line, where this is a piece
+        self.chars = 0
+        self.powers = self.back = np.zeros(0, np.uint64)
+
+    def add(self, line: bytes, own: int) -> bool:
+        """True when it is time to take the entries."""
+        if len(line) > CHUNK:
+            w = line.split()
+            for at in range(0, max(1, len(w) - 16), PIECE):  # a window is of less than 16 words
+                self._add(b" ".join(w[at:at + PIECE + 16]), own, len(w))
+        else:
+            self._add(line, own, 0)
+        return self.chars >= CHUNK
+
+    def _add(self, line: bytes, own: int, size: int):
+        self.lines.append(line)
+        self.ids.append(own)
+        self.sizes.append(size)
+        self.chars += len(line) + 1
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, line) of the entries of the lines gathered; their hashes are odd."""
+        data = np.frombuffer(b"\n".join(self.lines) + b"\n", np.uint8) if self.lines else np.zeros(0, np.uint8)
+        ids, sizes = np.array(self.ids, np.int64), np.array(self.sizes, np.int64)
+        length = np.array([len(x) + 1 for x in self.lines], np.int64)
+        self.lines, self.ids, self.sizes, self.chars = [], [], [], 0
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        space = _SPACE[data]
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space))))
+        begin, end = edge[::2], edge[1::2]
+        if len(begin) < GRAM:
+            return none
+        if len(data) > len(self.powers):
+            self.powers, self.back = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * self.powers[:len(data)], dtype=np.uint64)))
+        word = _mixed((total[end] - total[begin]) * self.back[begin])
+        line = np.repeat(np.arange(len(ids)), length)[begin]
+        n = np.bincount(line, minlength=len(ids))
+        n = np.where(sizes > 0, sizes, n)
+        window = _WINDOWS[np.minimum(n, len(_WINDOWS) - 1)][line]
+        grams = len(word) - GRAM + 1
+        gram = np.zeros(grams, np.uint64)
+        for j in range(GRAM):
+            gram += word[j:j + grams] * _PLACES[j]
+        least = gram = _mixed(gram) | np.uint64(1)
+        found, of = [], []
+        for w in range(1, int(window.max()) + 1):
+            if w > 1:
+                if grams < w:
+                    break
+                least = np.minimum(least[:grams - w + 1], gram[w - 1:])
+            at = np.flatnonzero((window[:len(least)] == w) & (line[:len(least)] == line[GRAM + w - 2:]))
+            if len(at):
+                value, own = least[at], line[at]
+                new = np.concatenate(([True], (value[1:] != value[:-1]) | (own[1:] != own[:-1])))
+                found.append(value[new])
+                of.append(ids[own[new]])
+        return (np.concatenate(found).view(np.int64), np.concatenate(of)) if found else none
+
+
+BINS = 64
+
+
+def near_copies(group: list[tuple]) -> dict[tuple, tuple]:
+    """Of lines (first, digest, text, kind, side or None) those within the edits of words
+    of an earlier one (of the other side, if given): digest -> order (first, digest) of
+    the earliest such line."""
+    group = sorted(group, key=lambda x: x[:2])
+    tokens = [x[2].encode("utf-8", "surrogatepass").split() for x in group]
+    n = np.array([len(w) for w in tokens])
+    bins = np.stack([np.bincount([hash(x) & (BINS - 1) for x in w], minlength=BINS) for w in tokens]).astype(np.int32)
+    side = None if group[0][4] is None else np.array([x[4] for x in group])
+    grams: dict[int, set] = {}
+    held = 0
+
+    def grams_of(k: int) -> set:
+        nonlocal held
+        if k not in grams:
+            w = tokens[k]
+            if held > 500_000:
+                grams.clear()
+                held = 0
+            held += len(w)
+            grams[k] = set(zip(*[w[j:] for j in range(GRAM)]))
+        return grams[k]
+
+    out = {}
+    for late in range(1, len(group)):
+        most = np.maximum(n[:late], n[late]) // WORDS_AN_EDIT
+        ok = np.abs(n[:late] - n[late]) <= most
+        if side is not None:
+            ok &= side[:late] != side[late]
+        at = np.flatnonzero(ok)
+        # an edit takes a word from a bin and adds one to another
+        at = at[np.abs(bins[at] - bins[late]).sum(axis=1) <= 2 * most[at]]
+        for early in at.tolist():
+            if group[early][1] == group[late][1]:
+                continue
+            long, short = (early, late) if n[early] >= n[late] else (late, early)
+            edits = int(most[early])
+            # and changes as many grams as a gram has words
+            if len(grams_of(long) - grams_of(short)) <= GRAM * edits \
+                    and edit_distance_within(tokens[long], tokens[short], edits) >= 0:
+                out[group[late][1]] = group[early][:2]
+                break
+    return out
+
+
 # -- passes over the documents -----------------------------------------------------
 
 def _lines(text: str | None) -> list[str]:
@@ -163,6 +328,7 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     task are left out as far as a bounded memory goes."""
     plans: dict[int, list] = {}
     seen: set[int] = set()
+    by_words = WordEntries()
     hash64 = xxhash.xxh3_64_intdigest
     for part in parts:
         keys, kinds, ids = [], [], []
@@ -185,21 +351,30 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(hash64(line[at:end].encode("utf-8", "surrogatepass"), salt))
                     kinds.append(kind)
                     ids.append(own)
+                if by_words.add(line.encode("utf-8", "surrogatepass"), own):
+                    yield _word_batch(*by_words.taken())
             if len(keys) >= 200_000:
                 yield _entry_batch(keys, kinds, ids)
                 keys, kinds, ids = [], [], []
         yield _entry_batch(keys, kinds, ids)
+    yield _word_batch(*by_words.taken())
+
+
+def _word_batch(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), WORDS, np.int8)), pa.array(ids)],
+                                      names=["segment", "kind", "line"])
 
 
 def _entry_batch(keys, kinds, ids):
+    """Hashes of segments are even, those of words odd: they never meet."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(kinds, np.int8)),
+        [pa.array((np.array(keys, np.uint64) & ~np.uint64(1)).view(np.int64)), pa.array(np.array(kinds, np.int8)),
          pa.array(np.array(ids, np.int64))], names=["segment", "kind", "line"])
 
 
 def _live(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of entries sorted by segment and kind, those of segments that have an index
-    entry and a second line.  One row is held over from batch to batch."""
+    entry (or are words, where all entries are alike) and a second line.  One row is held over from batch to batch."""
     schema = None
     current, has_index, held, live = None, False, None, False
 
@@ -216,7 +391,7 @@ def _live(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for s, k, x in zip(seg[inner].tolist(), kind[inner].tolist(), line[inner].tolist()):
             if s != current:
-                current, has_index, held, live = s, k == INDEX, (s, k, x), False
+                current, has_index, held, live = s, k != PROBE, (s, k, x), False
             elif not has_index:
                 continue
             elif live:
@@ -337,15 +512,22 @@ def _verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows():
         buffer = Verifier()
+
+        def near(group):
+            if group[0][3] == WORDS:
+                yield from ((*h, f, *by) for h, (f, by) in near_copies(group).items())
+            elif buffer.add(group):
+                yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
+
         task, group = None, []
         for segment, i, j, block, kind, h1, h2, first, text in tuples(parts):
             if (segment, i, j) != task:
-                if group and buffer.add(group):
-                    yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
+                if group:
+                    yield from near(group)
                 task, group = (segment, i, j), []
             group.append((first, (h1, h2), text, kind, None if i == j else int(block == j)))
         if group:
-            buffer.add(group)
+            yield from near(group)
         yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
 
     yield from batches(rows(), _SIMILAR_ARROW, 20_000)
@@ -369,8 +551,11 @@ def similar_lines(own: DataFrame) -> DataFrame:
     texts = (own.mapInArrow(_found_lines(bitmap), "h1 bigint, h2 bigint, doc bigint, line string")
              .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
              .withColumnRenamed("line", "text"))
-    sizes = (live.groupBy("segment").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-             .withColumnRenamed("segment", "s"))
+    # Segments that the same lines share in the same way give the same pairs: one is enough.
+    sizes = (live.groupBy("segment").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("line", "kind")).alias("x"),
+                                         F.bit_xor(F.xxhash64("kind", "line")).alias("y"))
+             .groupBy("n", "x", "y").agg(F.min("segment").alias("s"))
+             .select("s", F.ceil(F.col("n") / BLOCK).alias("blocks")))
     dealt = (live.join(sizes, F.col("segment") == F.col("s"))
              .withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")))
              .join(texts, F.col("line") == F.col("h1"))
