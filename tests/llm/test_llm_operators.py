@@ -637,3 +637,40 @@ def test_near_copied_lines_go_however_long(spark, monkeypatch):
     got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(
         spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
     assert got == want and len(similar) > 20
+
+
+@pytest.mark.parametrize("write", ["{k}={v}", '{k} = "{v}"', "{k}:{v}", '"{k}": "{v}"', "{k}  =  '{v}'", "{k} => {v}", "{k}\t: {v}"])
+def test_secrets_in_any_case_and_spacing(write):
+    value = "9233a8ecf7c5b09f"
+    for word in ("password", "passwd", "token", "secret", "api_key"):
+        news = set()
+        for k, v in ((word, value), (word.upper(), value.upper()), (word.title(), value.upper())):
+            text = "set " + write.format(k=k, v=v) + " now"
+            new, spans = pseudonymize.pseudonymized(text, KEY)
+            assert [text[a:b] for _, a, b in spans] == [v] and v not in new
+            assert pseudonymize.pseudonymized(new, KEY, back=True)[0] == text
+            (_, a, b), = spans
+            assert (new[a:b] == new[a:b].upper()) == (v == v.upper())
+            news.add(new[a:b].lower())
+        assert len(news) == 1  # one value in either case
+    for plain in ("if token == other_token_value", "std::token::iterator_of", "a secret"):
+        assert pseudonymize.pseudonymized(plain, KEY) == (plain, [])
+
+
+def test_upper_cased_documents_hide_their_secrets(spark):
+    rows = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("text").where("text like '%token = %'").collect()
+    assert rows
+    for r in rows:
+        for text in (r["text"], r["text"].upper()):
+            new = pseudonymize.pseudonymized(text, KEY)[0]
+            old = re.findall('(?i)token = "([0-9a-f]{8,})"', text)
+            assert old and not any(v in new for v in old)
+            assert pseudonymize.pseudonymized(new, KEY, back=True)[0] == text
+
+
+def test_short_secrets_go_back_among_their_kind():
+    rnd = random.Random(5)
+    for letters in ("0123456789ABCDEF", "0123456789abcdef", "0123456789", "abcdefgh", "ABCDEFab", "0123456789A"):
+        for _ in range(150):
+            text = "token=" + "".join(rnd.choice(letters) for _ in range(8))
+            assert pseudonymize.pseudonymized(pseudonymize.pseudonymized(text, KEY)[0], KEY, back=True)[0] == text

@@ -212,14 +212,21 @@ def _email(found: str, key: bytes, back: bool) -> str | None:
                    for ch in name) + "@" + domain
 
 
+def _hexadecimal(text: str) -> bool:
+    """Whether of hexadecimal digits with a letter, all letters of one case."""
+    return not text.isdigit() and text in (text.lower(), text.upper()) and all(ch in HEX for ch in text.lower())
+
+
 def _secret(found: str, key: bytes, back: bool) -> str | None:
-    hexadecimal = all(ch in HEX for ch in found)
-    kinds = [HEX if hexadecimal else DIGITS if ch in DIGITS else LOWER if ch in LOWER else UPPER
-             for ch in found if ch.isascii() and ch.isalnum()]
     own = "".join(ch for ch in found if ch.isascii() and ch.isalnum())
     if len(own) < 8:
         return None
-    it = iter(permuted_string(own, kinds, key, b"secret", back))
+    if _hexadecimal(own):  # one value in either case
+        new = _walk(own.lower(), lambda x: permuted_string(x, [HEX] * len(x), key, b"secret", back), _hexadecimal)
+        it = iter(new.upper() if own == own.upper() else new)
+    else:
+        kinds = [DIGITS if ch in DIGITS else LOWER if ch in LOWER else UPPER for ch in own]
+        it = iter(_walk(own, lambda x: permuted_string(x, kinds, key, b"secret", back), lambda x: not _hexadecimal(x)))
     return "".join(next(it) if ch.isascii() and ch.isalnum() else ch for ch in found)
 
 
@@ -228,14 +235,16 @@ def _access_key(found: str, key: bytes, back: bool) -> str | None:
     return found[:4] + permuted_string(found[4:], kinds, key, b"access", back)
 
 
+#: Words before a secret, and what stands between: = or : (no comparison, no scope), in
+#: free white space, and quotes.
+_KEYWORDS = r"(?i:password|passwd|token|secret|api_key)"
+_BEFORE = {"secret": _KEYWORDS + r"[\"']?[ \t]*(?::?=(?![=])>?|:(?![:=]))[ \t]*[\"']?"}
+
 FORMATS: dict[str, tuple[str, Callable]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*[A-Za-z0-9][._%+-]*"
               r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
-    "secret": (r"(?<=password=)[^\s\"'<>&;,]{8,}|(?<=passwd=)[^\s\"'<>&;,]{8,}|(?<=token=)[^\s\"'<>&;,]{8,}"
-               r"|(?<=secret=)[^\s\"'<>&;,]{8,}|(?<=api_key=)[^\s\"'<>&;,]{8,}"
-               r"|(?<=token = \")[^\s\"]{8,}|(?<=secret = \")[^\s\"]{8,}|(?<=api_key = \")[^\s\"]{8,}"
-               r"|(?<=password = \")[^\s\"]{8,}", _secret),
+    "secret": (r"(?<=[\"'])[^\s\"']{8,}|(?<![\"'])[^\s\"'<>&;,]{8,}", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     "phone": (r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
               r"|\+[2-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\d)|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
@@ -258,12 +267,12 @@ def _pattern() -> re.Pattern:
             number += 1
             return f"(?P<s{number}>{m[1]})"
         pattern = re.sub(r"\((\[[^\]?]+\])\)", separator, pattern)
-        out.append(f"(?P<{kind}>" + re.sub(r"\\([1-9])", r"(?P=s\1)", pattern) + ")")
+        out.append(f"{_BEFORE.get(kind, '')}(?P<{kind}>" + re.sub(r"\\([1-9])", r"(?P=s\1)", pattern) + ")")
     return re.compile("|".join(out), re.ASCII)
 
 
 _FOUND = _pattern()
-_HINT = re.compile(r"[0-9@]|password|secret|token")
+_HINT = re.compile(r"[0-9@]|" + _KEYWORDS)
 
 
 def pseudonymized(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, list[tuple[str, int, int]]]:
@@ -278,10 +287,10 @@ def pseudonymized(text: str | None, key: bytes, back: bool = False) -> tuple[str
         end = len(text) if end < 0 else end
         for m in _FOUND.finditer(text, begin, end):
             kind = next(k for k in FORMATS if m[k] is not None)
-            new = FORMATS[kind][1](m[0], key, back)
+            new = FORMATS[kind][1](m[kind], key, back)
             if new is not None:
-                out += [text[at:m.start()], new]
-                spans.append((kind, m.start(), m.end()))
+                out += [text[at:m.start(kind)], new]
+                spans.append((kind, m.start(kind), m.end()))
                 at = m.end()
         hint = _HINT.search(text, end)
     return "".join(out) + text[at:], spans
