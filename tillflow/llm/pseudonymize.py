@@ -149,7 +149,8 @@ def _ssn(found: str, key: bytes, back: bool) -> str | None:
 
 
 def _phone(found: str, key: bytes, back: bool) -> str | None:
-    d = _only_digits(found)
+    plain = found.replace("(0)", "\0")  # dialled inside the country only: not of the number
+    d = _only_digits(plain)
     if not 8 <= len(d) <= 15:
         return None
     # The country code stays; of a number without one nothing does.
@@ -158,7 +159,7 @@ def _phone(found: str, key: bytes, back: bool) -> str | None:
     own = d[len(lead):]
     national = lambda x: len(x) != 10 or x[0] not in "01"  # noqa: E731  an area code
     keep = national if national(own) else lambda x: not national(x)
-    return _refilled(found, lead + _digits(own, key, b"phone" + lead.encode(), back, keep))
+    return _refilled(plain, lead + _digits(own, key, b"phone" + lead.encode(), back, keep)).replace("\0", "(0)")
 
 
 def _octets(text: str) -> bool:
@@ -178,10 +179,12 @@ def _ip(found: str, key: bytes, back: bool) -> str | None:
     return _walk(found, step, _octets)
 
 
-#: Notations of a date: pattern, and the places of year, month and day in it.
+#: Notations of a date: pattern, and the places of year, month and day in it.  Day first
+#: is read where month first is no date.
 _DATES = ((re.compile(r"(\d{4})([-/.])(\d{2})\2(\d{2})"), (1, 3, 4)),
           (re.compile(r"(\d{1,2})(\.)(\d{1,2})\2(\d{4})"), (4, 3, 1)),
-          (re.compile(r"(\d{1,2})([/-])(\d{1,2})\2(\d{4})"), (4, 1, 3)))
+          (re.compile(r"(\d{1,2})([/-])(\d{1,2})\2(\d{4})"), (4, 1, 3)),
+          (re.compile(r"(\d{1,2})([/-])(\d{1,2})\2(\d{4})"), (4, 3, 1)))
 
 
 def _date(found: str, key: bytes, back: bool) -> str | None:
@@ -190,14 +193,17 @@ def _date(found: str, key: bytes, back: bool) -> str | None:
         if not got:
             continue
         try:
-            day = (dt.date(int(got[y]), int(got[m]), int(got[d])) - FIRST_DAY).days
+            old = dt.date(int(got[y]), int(got[m]), int(got[d]))
         except ValueError:
-            return None
+            continue
+        day = (old - FIRST_DAY).days
         if not 0 <= day < DAYS:
             return None
         side = 271  # two halves of about equal size: 270 * 271 > DAYS
+        # Days that could be months stay among themselves: the notation is read back alike.
         new = FIRST_DAY + dt.timedelta(days=_walk(
-            day, lambda v: permuted(v, side, side, key, b"date", back), lambda v: v < DAYS))
+            day, lambda v: permuted(v, side, side, key, b"date", back),
+            lambda v: v < DAYS and ((FIRST_DAY + dt.timedelta(days=v)).day > 12) == (old.day > 12)))
         parts = {y: f"{new.year:04d}", m: f"{new.month:02d}", d: f"{new.day:02d}"}
         return parts[1] + got[2] + parts[3] + got[2] + parts[4]
     return None
@@ -238,16 +244,17 @@ def _access_key(found: str, key: bytes, back: bool) -> str | None:
 #: Words before a secret, and what stands between: = or : (no comparison, no scope), in
 #: free white space, and quotes.
 _KEYWORDS = r"(?i:password|passwd|token|secret|api_key)"
+_ACCESS = r"(?:AKIA|ASIA)"
 _BEFORE = {"secret": _KEYWORDS + r"[\"']?[ \t]*(?::?=(?![=])>?|:(?![:=]))[ \t]*[\"']?"}
 
 FORMATS: dict[str, tuple[str, Callable]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*[A-Za-z0-9][._%+-]*"
               r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
-    "access_key": (r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
+    "access_key": (r"(?<![A-Za-z0-9])" + _ACCESS + r"[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
     "secret": (r"(?<=[\"'])[^\s\"']{8,}|(?<![\"'])[^\s\"'<>&;,]{8,}", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     "phone": (r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-              r"|\+[2-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\d)|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+              r"|\+[2-9]\d{0,2}(?:[ .-]?\(0\))?[ .-]?(?:\(?\d{2,4}\)?|\d)(?:[ .-]?\(?\d{2,4}\)?){1,4}(?!\d)|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
               r"|\d{3}[.-]\d{3}[.-]\d{4}(?!\d))", _phone),
     "card": (r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\w])", _card),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
@@ -272,7 +279,8 @@ def _pattern() -> re.Pattern:
 
 
 _FOUND = _pattern()
-_HINT = re.compile(r"[0-9@]|" + _KEYWORDS)
+#: Every format holds a digit, an @ or one of its words.
+_HINT = re.compile(rf"[0-9@]|{_ACCESS}|{_KEYWORDS}")
 
 
 def pseudonymized(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, list[tuple[str, int, int]]]:
