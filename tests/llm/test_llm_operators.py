@@ -705,3 +705,24 @@ def test_dates_in_all_notations_stay_linked():
         assert news[1:] == [f"{m}/{dd}/{y}", f"{dd}.{m}.{y}", f"{dd}/{m}/{y}"][:len(news) - 1]
     for invalid in ("31/04/2020", "13/13/2020", "30/02/2021"):
         assert pseudonymize.pseudonymized(invalid, KEY) == (invalid, [])
+
+
+def test_blocks_are_not_lost_for_a_part_of_a_name():
+    lines = lambda page: [t for t, _ in html_text.blocks(page)]
+    body = "<p>body of it</p>"
+    for page in ('<div id="page" class="has-sidebar"><article>{}</article><div class="sidebar">s</div></div>',
+                 '<div class="sidebar"><article>{}</article><p>s</p></div>',
+                 '<div class="header"><main>{}</main></div>', '<main><div class="widget">w<article>{}</article></div></main>',
+                 '<article class="post category-social">{}</article>', '<article class="sponsored">{}</article>',
+                 '<div class="post tag-promo">{}</div>', '<div class="has-header">{}</div>',
+                 '<article>{}</article><div class="related"><article><p>teaser</p></article></div>',
+                 '<div>{}</div><div class="related"><article><p>teaser</p></article></div>',
+                 '<article>{}<div class="share-buttons">x</div><p class="ad">y</p></article>',
+                 '<article>{}</article><div id="comments"><article><p>a comment longer than the body</p></article></div>',
+                 '<article>{}</article><article class="comment"><p>c</p></article>',
+                 '<main>{}</main><div class="site-footer">f</div><div class="cookie-law-info">c</div>'):
+        assert lines(page.format(body)) == ["body of it"], page
+    assert lines('<article><h2 id="data-sharing">H</h2><p id="notice-period">p</p><h3 id="social">S</h3></article>') == ["H", "p", "S"]
+    assert lines('<main><p>The body stands in main</p><p>and goes on</p><article>teaser</article></main>') == [
+        "The body stands in main", "and goes on", "teaser"]
+    assert lines('<main><p>The body stands in main</p></main><article>teaser</article>') == ["The body stands in main"]

@@ -1,13 +1,16 @@
 """Main text of HTML pages: landmarks, and differencing against the nearest URL.
 
 A page is cut into blocks, its lines.  Elements that are no article by their tag, role
-or class (menus, footers, forms, notices, adverts, comments, ...) are left out.  Then
+or class (menus, footers, forms, notices, adverts, comments, ...) are left out; by class
+or id if it is a listed name or a known compound of one, and never the article itself or
+what holds most of the page's text in an article or main element (comments apart).  Then
 pages are paired with their nearest neighbour by URL path on the same host, the lines
 of both are aligned by longest common subsequence, and shared lines are deleted.
 
 Differencing alone gives wrong results both ways: menus whose entries change from page
 to page are not shared, and sentences that two articles share are no template.  So
-lines inside the page's article (or main) element are protected from deletion, unless
+lines inside the page's article (or main, if articles hold less than half of the text of
+both) element are protected from deletion, unless
 most of the line is links; lines outside it are left out where there is one.  On a page
 without such landmarks every line is open to deletion.  A pair of which 80 % or more of
 the open text is shared is one page twice, not two pages of one template: nothing is
@@ -58,6 +61,15 @@ NOT_TEXT_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations comment comments disqus "
     "respond reply replies pagination pager toolbar masthead copyright disclaimer".split())
+#: Of these an article inside is one too, and the article itself may be one.
+COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
+#: With words of these only, a class or id with a listed name is a known compound of it
+#: (site-footer, nav-menu, comments-list); with any other word it names something else.
+NAME_PARTS = frozenset(
+    "site page main global top bottom left right primary secondary header inner outer wrapper wrap container "
+    "box bar block area section list item items links link buttons button icons panel content row col column "
+    "js wp the post article entry reader user blog form slot unit zone google text body law info policy "
+    "message title posts articles stories".split())
 #: A header by class is the page's, unless one of these names it the article's.
 ARTICLE_NAMES = frozenset("article post entry story content title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -72,50 +84,67 @@ _RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
 
 
 class _Open:
-    __slots__ = ("tag", "out", "article", "main", "header")
+    """``hard``: left out for good.  ``named``: in an element that its name leaves out,
+    but for articles and main elements in it (``lifted``).  ``out``: either."""
 
-    def __init__(self, tag, out, article, main, header):
-        self.tag, self.out, self.article, self.main, self.header = tag, out, article, main, header
+    __slots__ = ("tag", "hard", "named", "lifted", "out", "article", "main", "header")
 
+    def __init__(self, tag, hard, named, lifted, article, main, header):
+        self.tag, self.hard, self.named, self.lifted = tag, hard, named, lifted
+        self.out = hard or named and not lifted
+        self.article, self.main, self.header = article, main, header
 
-def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """(whether the element is no article text, whether it is marked as main)."""
+
+def _is_named(token: list[str], names: frozenset | set) -> bool:
+    """Whether the words of a class or id are one of ``names``, or a known compound of it."""
+    return any(x in names for x in token) and all(x in names or x in NOT_TEXT_NAMES or x in NAME_PARTS for x in token)
+
+
+def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """Whether the element is no article text, whether it is marked as main, and whether
+    its name says that it is no article text."""
     if tag in NOT_TEXT:
-        return True, False
+        return True, False, False
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False, False
+        return False, False, False
     got = {m[0].lower(): (m[1] or m[2] or m[3]) for m in _ATTRIBUTE.findall(attributes)}
     role = got.get("role", "").lower()
     if role in NOT_TEXT_ROLES or got.get("aria-hidden") == "true":
-        return True, False
+        return True, False, False
     main = role in ("main", "article") or got.get("itemprop", "").lower() == "articlebody"
     if tag in ("html", "body", "main") or main:
-        return False, main
+        return False, main, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", got.get("style", "")) \
             or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes):
-        return True, False
-    names = set(_NAME.findall((got.get("class", "") + " " + got.get("id", "")).lower()))
-    if "header" in names and not inside_article and not names & ARTICLE_NAMES:
-        return True, False
-    return bool(names & NOT_TEXT_NAMES), False
+        return True, False, False
+    # the id of a heading or paragraph is made of its text
+    given = got.get("class", "") + ("" if tag in HEADINGS or tag == "p" else " " + got.get("id", ""))
+    tokens = [_NAME.findall(x) for x in given.lower().split()]
+    if any(_is_named(x, COMMENT_NAMES) for x in tokens):
+        return True, False, False
+    if tag == "article":
+        return False, False, False
+    if not inside_article and not any(x in ARTICLE_NAMES for t in tokens for x in t) \
+            and any(_is_named(x, {"header"}) for x in tokens):
+        return False, False, True
+    return False, False, any(_is_named(x, NOT_TEXT_NAMES) for x in tokens)
 
 
 def blocks(page: str | None) -> list[tuple[str, bool]]:
     """(line, open to deletion) for each block that may be article text."""
     if not page:
         return []
-    found: list[tuple[str, int, bool, bool]] = []  # text, link characters, in article, in main
-    stack: list[_Open] = [_Open("", False, False, False, False)]
+    found: list[tuple[str, int, bool, bool, bool]] = []  # text, link characters, in article, in main, named
+    stack: list[_Open] = [_Open("", False, False, False, False, False, False)]
     pieces: list[str] = []
     links = in_link = 0
-    has_article = has_main = False
 
     def flush():
         nonlocal links
         if pieces:
             text = " ".join(html_lib.unescape("".join(pieces)).split())
             if text:
-                found.append((text, links, stack[-1].article, stack[-1].main))
+                found.append((text, links, stack[-1].article, stack[-1].main, stack[-1].named))
             pieces.clear()
         links = 0
 
@@ -180,26 +209,32 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
             continue
         if tag == "a":
             in_link = 1
-        out, main = _left_out(tag, attributes, top.article)
+        hard, main, named = _left_out(tag, attributes, top.article)
         if tag == "header" and not top.article:
-            out = True
+            hard = True
         header = top.header or tag == "header" and top.article
         if header and tag not in HEADINGS and tag in BLOCKS and not top.out:
-            out = out or tag not in ("header", "div", "section")
-        out = out or top.out
-        article = (top.article or tag == "article") and not out
-        main = (top.main or tag == "main" or main) and not out
-        if tag == "main" and top.out and not any(s.tag in NOT_TEXT for s in stack):
-            out, main = False, True  # a wrapper whose class names a sidebar, say
-        has_article |= article and tag == "article"
-        has_main |= main
-        if tag in BLOCKS or out != top.out or main != top.main:
-            stack.append(_Open(tag, out, article, main, header))
+            hard = hard or tag not in ("header", "div", "section")
+        hard = hard or top.hard or named and top.article  # of an article's parts none is an article
+        if tag == "main" and top.hard and not any(s.tag in NOT_TEXT for s in stack):
+            hard = False  # a wrapper that was marked as hidden, say
+        lifted = not named and (top.lifted or tag in ("article", "main") or main)
+        named = named or top.named
+        new = _Open(tag, hard, named, lifted, False, False, header)
+        new.article = (top.article or tag == "article") and not new.out
+        new.main = (top.main or tag == "main" or main) and not new.out
+        if tag in BLOCKS or new.out != top.out or new.main != top.main or named != top.named or lifted != top.lifted:
+            stack.append(new)
     flush()
-    inside = 2 if any(f[2] for f in found) else 3 if any(f[3] for f in found) else None
-    if inside is not None:
+    size = lambda k: sum(len(f[0]) for f in found if k(f))
+    if 2 * size(lambda f: f[4]) <= size(lambda f: True):  # teasers in a list of related pages, say
+        found = [f for f in found if not f[4]]
+    inside = None
+    if any(f[2] or f[3] for f in found):
+        of_both = size(lambda f: f[2] or f[3])
+        inside = 2 if 2 * size(lambda f: f[2]) >= of_both or not any(f[3] for f in found) else 3
         found = [f for f in found if f[inside]]
-    return [(text, inside is None or 2 * n_links > len(text)) for text, n_links, _, _ in found]
+    return [(f[0], inside is None or 2 * f[1] > len(f[0])) for f in found]
 
 
 # -- differencing -------------------------------------------------------------------
