@@ -726,3 +726,16 @@ def test_blocks_are_not_lost_for_a_part_of_a_name():
     assert lines('<main><p>The body stands in main</p><p>and goes on</p><article>teaser</article></main>') == [
         "The body stands in main", "and goes on", "teaser"]
     assert lines('<main><p>The body stands in main</p></main><article>teaser</article>') == ["The body stands in main"]
+
+
+def test_densest_window_is_sought_in_all_of_a_text():
+    scanner = toxicity.Scanner({"vilest": (False, 0)}, set())
+    sparse = ("vilest " + "leaf " * 20) * 2500
+    for text, most in ((sparse, 1), (sparse + "vilest " * 9, 9), ("vilest " * 30, toxicity.WINDOW + 1), ("leaf", 0)):
+        assert scanner.features(text)[3] == math.log1p(most)
+    rnd = random.Random(3)
+    for _ in range(100):
+        w = [rnd.choice(["vilest", "leaf", "leaf"]) for _ in range(60)]
+        at = [k for k, x in enumerate(w) if x == "vilest"]
+        want = max((sum(a <= b <= a + toxicity.WINDOW for b in at) for a in at), default=0)
+        assert scanner.features(" ".join(w))[3] == math.log1p(want)

@@ -184,8 +184,11 @@ class Scanner:
         quoted = self._quoted(text, w, at)
         plain = [k for k in at if k not in quoted]
         exact = sum(known[w[k]] == 0 for k in plain)
-        densest = max((sum(1 for x in plain[i:] if x - plain[i] <= WINDOW)
-                       for i in range(min(len(plain), 2000))), default=0)
+        densest = first = 0
+        for k, x in enumerate(plain):  # the window that ends here begins at first
+            while x - plain[first] > WINDOW:
+                first += 1
+            densest = max(densest, k + 1 - first)
         return (math.log1p(exact), math.log1p(len(plain) - exact), math.log1p(len(quoted)),
                 math.log1p(densest))
 
