@@ -67,3 +67,35 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN per USING (r) LEFT JOIN items USING (r)"""
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+tok AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM tok GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS whole FROM kept GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = s.lang AND c.source = s.source), 0)::HUGEINT AS size
+  FROM (SELECT DISTINCT lang, source FROM d) s),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000 * (coalesce(c.n, 0) + 2) // (g.size + 2 * l.v) AS p,
+    1 + 1000000000 * (k.total + 2) // (l.whole + 2 * l.v) AS q
+  FROM g JOIN l USING (lang) JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM dense WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10"""

@@ -15,6 +15,7 @@ from tillflow.llm import (
     near_text,
     near_vectors,
     pseudonymize,
+    source_divergence,
     toxicity,
 )
 from tillflow.llm.common import table
@@ -75,9 +76,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_chat_format, op3_mix_sources, op4_decontaminate, op5_pseudonyms,
-    op6_near_duplicates, op7_near_vectors, op8_line_dedup, op9_license_scan, op10_toxicity)}
+    op6_near_duplicates, op7_near_vectors, op8_line_dedup, op9_license_scan, op10_toxicity,
+    op11_source_divergence)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
