@@ -9,13 +9,17 @@ above its language.
 
 How it runs (late string materialization):
 
-1. One pass counts terms in bounded tables (``HELD`` entries) and writes a row for each
-   (language, source, term): counts, the term and its 64-bit digest, as Parquet.
-2. Counting reads the columns without the strings: only digests and counts are
-   shuffled, first by (language, source, digest), then the sums by (language, digest).
-3. Strings are read again for digests of enough documents only.  Their lowest and
-   highest string are one unless terms collide; rows of colliding digests, and no
-   others, are counted again by string, so results do not depend on the digest.
+1. A pass over the texts counts documents by (language, term) in bounded tables
+   (``HELD`` entries) and gives rows of a 64-bit digest and a count.  Only those are
+   shuffled; they tell which digests have enough documents.
+2. A second pass counts occurrences by (language, source, term) for the digests that
+   pass a bitmap of the first result (``BITMAP_BITS`` whatever the input; a fuller one
+   lets more through to the exact join).  Its rows are digests and counts; a term's
+   string is written once for each table that held it, in a column that counting does
+   not read.
+3. The lowest and highest string of a digest are one unless terms collide.  Terms of
+   colliding digests, and no others, are counted again by string, so results do not
+   depend on the digest.
 4. Strings are joined to the report's rows last, after the tenth value of a group is
    known (terms that tie with it included).
 
@@ -36,20 +40,23 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import col, tuples, written
+from tillflow.llm.common import batches, col, tuples, written
 
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TOP = 10
 #: Entries of a task's table of counts, at most; beyond it is written and begun anew.
-HELD = 400_000
+HELD = 800_000
+#: Bits of the bitmap of digests with enough documents: 8 MB, whatever the input.
+BITMAP_BITS = 1 << 26
 #: Bytes of text that are split into terms at a time.
 PIECE = 1 << 20
 #: Sources in a block, and terms in a bucket on average: a task compares two blocks.
@@ -59,11 +66,14 @@ BUCKET_TERMS = 4096
 #: A letter's byte stays (A-Z as a-z), as do those of non-ASCII characters; others part terms.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-#: Counts of documents and occurrences in one number.
-_DOC = 1 << 40
+_DOCS = pa.schema([("lang", pa.string()), ("digest", pa.int64()), ("docs", pa.int64())])
+_CELLS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("digest", pa.int64()), ("n", pa.int64()),
+                    ("docs", pa.int64()), ("term", pa.string())])
+_CELLS_SQL = "lang string, source string, digest long, n long, docs long, term string"
 
-_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()),
-                     ("n", pa.int64()), ("docs", pa.int64())])
+
+def digest64(term: bytes) -> int:
+    return int.from_bytes(blake2b(term, digest_size=8).digest(), "little", signed=True)
 
 
 def pieces(data: bytes, size: int) -> Iterator[bytes]:
@@ -78,45 +88,69 @@ def pieces(data: bytes, size: int) -> Iterator[bytes]:
     yield data[start:] if start else data
 
 
-def term_counts(text: str) -> Counter:
-    found: Counter = Counter()
+def _words(text: str) -> Iterator[list[bytes]]:
     for piece in pieces(text.encode("utf-8", "surrogatepass").translate(TERM_BYTES), PIECE):
-        found.update(piece.split())
-    return found
+        yield piece.split()
+
+
+def _document_counts(held: int, digest: Callable[[bytes], int]) -> Callable:
+    """Task: documents by language and term, as digests."""
+    def emptied(tables: dict) -> Iterator[pa.RecordBatch]:
+        for lang, counts in tables.items():
+            whole = pa.Table.from_arrays(
+                [pa.repeat(pa.scalar(lang, pa.string()), len(counts)), pa.array(map(digest, counts), pa.int64()),
+                 pa.array(counts.values(), pa.int64())], schema=_DOCS)
+            yield from whole.to_batches(max_chunksize=50_000)
+
+    def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: dict = {}
+        size = 0
+        for lang, text in tuples(parts):
+            counts = tables.setdefault(lang, Counter())
+            before = len(counts)
+            counts.update(set().union(*_words(text)))
+            size += len(counts) - before
+            if size >= held:
+                yield from emptied(tables)
+                tables, size = {}, 0
+        yield from emptied(tables)
+
+    return count
 
 
-def _counter(held: int) -> Callable:
+def _cell_counts(held: int, digest: Callable[[bytes], int], bitmap) -> Callable:
+    """Task: occurrences by language, source and term for digests in the bitmap, and each
+    such term's string once; a row without a digest for each language and source."""
     def emptied(tables: dict) -> Iterator[pa.RecordBatch]:
-        """A row without a term for each group, then a row for each of its terms."""
-        langs: list = []
-        sources: list = []
-        terms: list = []
-        values: list = []
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        terms = list(set().union(*tables.values()))
+        digests = np.fromiter(map(digest, terms), np.int64, len(terms))
+        at = digests & (BITMAP_BITS - 1)
+        passing = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
+        kept = {terms[k]: int(digests[k]) for k in passing}
+        yield from _rows([None] * len(kept), [None] * len(kept), kept.values(), None, None, kept)
+        langs, sources, found, values = [], [], [], []
         for (lang, source), counts in tables.items():
-            langs += [lang] * (len(counts) + 1)
-            sources += [source] * (len(counts) + 1)
-            terms.append(None)
-            terms += counts.keys()
+            here = [(kept[t], n) for t, n in counts.items() if t in kept]
+            langs += [lang] * (len(here) + 1)
+            sources += [source] * (len(here) + 1)
+            found.append(None)
+            found += [d for d, _ in here]
             values.append(0)
-            values += counts.values()
-        both = np.array(values, dtype=np.int64)
-        whole = pa.Table.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(sources, pa.string()),
-             pa.array(terms, pa.binary()).cast(pa.string()), pa.array(both % _DOC), pa.array(both // _DOC)],
-            schema=_COUNTS)
-        yield from whole.to_batches(max_chunksize=50_000)
+            values += [n for _, n in here]
+        yield from _rows(langs, sources, found, values, None, None)
 
     def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict = {}
         size = 0
         for lang, source, text in tuples(parts):
             if (lang, source) not in tables:
-                tables[lang, source] = {}
+                tables[lang, source] = Counter()
                 size += 1
             counts = tables[lang, source]
             before = len(counts)
-            for term, n in term_counts(text).items():
-                counts[term] = counts.get(term, 0) + n + _DOC
+            for found in _words(text):
+                counts.update(found)
             size += len(counts) - before
             if size >= held:
                 yield from emptied(tables)
@@ -127,6 +161,48 @@ def _counter(held: int) -> Callable:
     return count
 
 
+def _string_counts(digest: Callable[[bytes], int], bitmap) -> Callable:
+    """Task: as the cells, with documents and by string, for the digests in the bitmap."""
+    def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap.value, np.uint8)
+
+        def rows() -> Iterator[tuple]:
+            for lang, source, text in tuples(parts):
+                counts: Counter = Counter()
+                for found in _words(text):
+                    counts.update(found)
+                for term, n in counts.items():
+                    d = digest(term)
+                    at = d & (BITMAP_BITS - 1)
+                    if bits[at >> 3] >> (at & 7) & 1:
+                        yield lang, source, d, n, 1, term.decode("utf-8", "surrogatepass")
+
+        yield from batches(rows(), _CELLS)
+
+    return count
+
+
+def _rows(langs, sources, digests, n, docs, terms) -> Iterator[pa.RecordBatch]:
+    size = len(langs)
+    whole = pa.Table.from_arrays(
+        [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(digests, pa.int64()),
+         *(pa.nulls(size, pa.int64()) if v is None else pa.array(v, pa.int64()) for v in (n, docs)),
+         pa.nulls(size, pa.string()) if terms is None else pa.array(terms, pa.binary()).cast(pa.string())],
+        schema=_CELLS)
+    yield from whole.to_batches(max_chunksize=50_000)
+
+
+def bitmap_of(digests: DataFrame) -> bytes:
+    """The bits ``digest`` modulo ``BITMAP_BITS``; pieces of 4 KB reach the driver."""
+    at = F.pmod(F.col("digest"), F.lit(BITMAP_BITS))
+    found = (digests.select(F.floor(at / 32768).cast("int").alias("piece"), (at % 32768).alias("bit"))
+             .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    out = bytearray(BITMAP_BITS // 8)
+    for r in found.toLocalIterator():
+        out[r["piece"] * 4096:(r["piece"] + 1) * 4096] = r["bits"]
+    return bytes(out)
+
+
 def _share(count: str, whole: str) -> str:
     """SQL for the share of ``count`` in ``whole``; null if ``whole`` is 0."""
     return (f"1 + cast({SCALE} as decimal(10,0)) * cast({count} + 2 as decimal(20,0)) "
@@ -169,32 +245,44 @@ def _common_terms(frame: pd.DataFrame) -> pd.DataFrame:
 
 def divergence_report(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
                       min_docs: int = MIN_DOCS, top: int = TOP, held: int = HELD,
-                      digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+                      digest: Callable[[bytes], int] = digest64) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` holds every other source of
     the language, part ``term`` the ``top`` terms a source uses above its language."""
     spark = docs.sparkSession
     read = docs.select(*[F.coalesce(col(c).cast("string"), F.lit("")).alias(a)
                          for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
-    counted = written(read.mapInArrow(_counter(held), "lang string, source string, term string, n long, docs long")
-                      .withColumn("digest", F.when(F.col("term").isNotNull(), digest(F.col("term")).cast("long"))))
-
-    # Digests and counts only: the Parquet scan leaves the strings out.
-    sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
-    by_digest = counted.where("digest is not null").groupBy("lang", "source", "digest").agg(*sums)
-    candidates = written(_frequent(by_digest.withColumn("variant", F.lit(None).cast("string")), min_docs))
-    names = written(counted.select("digest", "term").join(candidates.select("digest").distinct(), "digest", "left_semi")
-                    .distinct().groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
+    # Digests with enough documents: a language's terms, and others that share their digest.
+    enough = written(read.select("lang", "text").mapInArrow(
+        _document_counts(held, digest), "lang string, digest long, docs long")
+        .groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs))
+    passing = spark.sparkContext.broadcast(bitmap_of(enough))
+    counted = written(read.mapInArrow(_cell_counts(held, digest, passing), _CELLS_SQL))
+    by_digest = (counted.where("digest is not null and lang is not null").groupBy("lang", "source", "digest")
+                 .agg(F.sum("n").alias("n")).withColumn("variant", F.lit(None).cast("string")))
+    candidates = by_digest.join(enough.select("lang", "digest"), ["lang", "digest"], "left_semi")
+    names = written(counted.where("term is not null").select("digest", "term").distinct()
+                    .groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")))
     colliding = names.where("low <> high").select("digest")
-    apart = (counted.join(colliding, "digest", "left_semi").withColumn("variant", F.col("term"))
-             .groupBy("lang", "source", "digest", "variant").agg(*sums))
-    cells = candidates.join(colliding, "digest", "left_anti").unionByName(_frequent(apart, min_docs))
+    if colliding.isEmpty():
+        cells = candidates
+    else:
+        again = spark.sparkContext.broadcast(bitmap_of(colliding))
+        apart = (read.mapInArrow(_string_counts(digest, again), _CELLS_SQL).join(colliding, "digest", "left_semi")
+                 .groupBy("lang", "source", "digest", F.col("term").alias("variant"))
+                 .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+        whole = F.sum("docs").over(Window.partitionBy("lang", "digest", "variant"))
+        apart = apart.withColumn("whole", whole).where(F.col("whole") >= min_docs)
+        cells = candidates.join(colliding, "digest", "left_anti").unionByName(
+            apart.select("lang", "source", "digest", "variant", "n"))
+    term = Window.partitionBy("lang", "digest", "variant")
+    cells = cells.select("lang", "source", "digest", "variant", "n", F.sum("n").over(term).alias("total"))
 
     # Sources of a language, numbered, with their sums.
     kept = written(cells)
     per_lang = (kept.groupBy("lang", "digest", "variant").agg(F.max("total").alias("total"))
                 .groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("whole")))
     per_source = kept.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    groups = (counted.where("term is null").select("lang", "source").distinct()
+    groups = (counted.where("digest is null").select("lang", "source").distinct()
               .join(per_source, ["lang", "source"], "left").join(per_lang, "lang", "left")
               .select("lang", "source", F.coalesce("size", F.lit(0)).alias("size"),
                       F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("whole", F.lit(0)).alias("whole"))
@@ -208,14 +296,6 @@ def divergence_report(docs: DataFrame, *, text: str = "text", lang: str = "lang"
     return _pairs(groups, scored).unionByName(_terms(scored, names, top))
 
 
-def _frequent(cells: DataFrame, min_docs: int) -> DataFrame:
-    """Cells of the terms with enough documents in their language, with the term's
-    ``total`` there.  A term has one row for each source."""
-    term = Window.partitionBy("lang", "digest", "variant")
-    return (cells.withColumn("total", F.sum("n").over(term)).withColumn("in_docs", F.sum("docs").over(term))
-            .where(F.col("in_docs") >= min_docs).select("lang", "source", "digest", "variant", "n", "total"))
-
-
 def _pairs(groups: DataFrame, scored: DataFrame) -> DataFrame:
     one = groups.select("lang", F.col("number").alias("a"), F.col("p0").alias("a0"), "v")
     other = groups.select("lang", F.col("number").alias("b"), F.col("p0").alias("b0"))
