@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from oracle_check import compare
 from pyspark.sql import functions as F
 
+from tillflow.llm import common
 from tillflow.llm import source_divergence as sd
 
 SCHEMA = "doc_id long, text string, lang string, source string"
@@ -82,7 +83,8 @@ def test_colliding_digests_are_split(spark, values):
 def test_small_blocks_tables_and_pieces(spark, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK", 2)
     monkeypatch.setattr(sd, "BUCKET_TERMS", 3)
-    monkeypatch.setattr(sd, "PIECE", 5)
+    monkeypatch.setattr(common, "PIECE", 5)
+    monkeypatch.setattr(sd, "STEP", 40)
     rows = some_documents(3)
     got = found(sd.divergence_report(spark.createDataFrame(rows, SCHEMA).repartition(5), min_docs=3, held=20))
     assert got == plain(rows, 3)
@@ -91,9 +93,9 @@ def test_small_blocks_tables_and_pieces(spark, monkeypatch):
 def test_pieces_cut_between_terms():
     data = b"a bb  ccc dddddddddd e"
     for size in range(1, 30):
-        assert b"".join(sd.pieces(data, size)) == data
-        assert [w for p in sd.pieces(data, size) for w in p.split()] == data.split()
-    assert list(sd.pieces(b"", 4)) == [b""]
+        assert b"".join(common.pieces(data, size)) == data
+        assert [w for p in common.pieces(data, size) for w in p.split()] == data.split()
+    assert list(common.pieces(b"", 4)) == [b""]
 
 
 def test_ties_long_texts_and_clashing_columns(spark):

@@ -23,6 +23,22 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
+#: Bytes of text that are split into words at a time.
+PIECE = 1 << 20
+
+
+def pieces(data: bytes, size: int | None = None) -> Iterator[bytes]:
+    """``data`` in parts of about ``size`` bytes, cut at blanks only."""
+    start, size = 0, size or PIECE
+    while len(data) - start > size:
+        end = data.find(b" ", start + size)
+        if end < 0:
+            break
+        yield data[start:end]
+        start = end
+    yield data[start:] if start else data
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

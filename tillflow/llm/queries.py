@@ -15,7 +15,9 @@ from tillflow.llm import (
     near_text,
     near_vectors,
     pseudonymize,
+    quality_rules,
     source_divergence,
+    token_alignment,
     toxicity,
 )
 from tillflow.llm.common import table
@@ -24,6 +26,10 @@ from tillflow.llm.common import table
 #: Stands for the secret that a deployment brings.
 PSEUDONYM_KEY = "tillflow-demonstration-key"
 
+#: Public tokenizers, read by the driver.
+BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 #: A conversation that imitates the template of common chat models.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -80,10 +86,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.divergence_report(table(spark, sf_dir, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_chat_format, op3_mix_sources, op4_decontaminate, op5_pseudonyms,
     op6_near_duplicates, op7_near_vectors, op8_line_dedup, op9_license_scan, op10_toxicity,
-    op11_source_divergence)}
+    op11_source_divergence, op12_quality_rules, op13_token_alignment)}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,9 +38,10 @@ order of the item's UTF-8 bytes.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from hashlib import blake2b
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -48,17 +49,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import batches, col, tuples, written
+from tillflow.llm.common import col, pieces, written
 
 MIN_DOCS = 10
 SCALE = 1_000_000_000
 TOP = 10
 #: Entries of a task's table of counts, at most; beyond it is written and begun anew.
-HELD = 800_000
+HELD = 1_000_000
+#: Words that a task gathers before it counts them.
+STEP = 2_000_000
 #: Bits of the bitmap of digests with enough documents: 8 MB, whatever the input.
 BITMAP_BITS = 1 << 26
-#: Bytes of text that are split into terms at a time.
-PIECE = 1 << 20
 #: Sources in a block, and terms in a bucket on average: a task compares two blocks.
 BLOCK = 256
 BUCKET_TERMS = 4096
@@ -76,118 +77,110 @@ def digest64(term: bytes) -> int:
     return int.from_bytes(blake2b(term, digest_size=8).digest(), "little", signed=True)
 
 
-def pieces(data: bytes, size: int) -> Iterator[bytes]:
-    """``data`` in parts of about ``size`` bytes, cut at blanks only."""
-    start = 0
-    while len(data) - start > size:
-        end = data.find(b" ", start + size)
-        if end < 0:
-            break
-        yield data[start:end]
-        start = end
-    yield data[start:] if start else data
+def _numbered(data: bytes, number: dict) -> np.ndarray:
+    """The terms of a text by their number, in order."""
+    got = []
+    for piece in pieces(data.translate(TERM_BYTES)):
+        found = piece.split()
+        got.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+    return got[0] if len(got) == 1 else np.concatenate(got)
+
+
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _tables(parts: Iterable[pa.RecordBatch], held: int, documents: bool) -> Iterator[tuple]:
+    """Counts by (other columns, term) of rows whose last column is a text, in tables of
+    about ``held`` entries: (groups, terms, group of an entry, term of an entry, count).
+    Counted are occurrences, or documents."""
+    def begun():
+        return defaultdict(count().__next__), defaultdict(count().__next__), np.zeros((2, 0), np.int64), []
+
+    groups, number, (keys, counts), new = begun()
+    waiting = 0
 
+    def settled() -> tuple[np.ndarray, np.ndarray]:
+        more, times = np.unique(np.concatenate(new), return_counts=True)
+        return _merged(np.concatenate([keys, more]), np.concatenate([counts, times]))
 
-def _words(text: str) -> Iterator[list[bytes]]:
-    for piece in pieces(text.encode("utf-8", "surrogatepass").translate(TERM_BYTES), PIECE):
-        yield piece.split()
+    for part in parts:
+        *names, text = part.columns
+        for group, data in zip(zip(*[c.to_pylist() for c in names]), text.cast(pa.binary()).to_pylist()):
+            found = _numbered(data, number)
+            new.append((np.unique(found) if documents else found) + (groups[group] << 32))
+            waiting += len(found)
+            if waiting >= STEP:
+                (keys, counts), new, waiting = settled(), [], 0
+                if len(keys) >= held:
+                    yield list(groups), list(number), keys >> 32, keys & 0xFFFFFFFF, counts
+                    groups, number, (keys, counts), new = begun()
+    if groups:
+        keys, counts = settled() if new else (keys, counts)
+        yield list(groups), list(number), keys >> 32, keys & 0xFFFFFFFF, counts
+
+
+def _digests(terms: list[bytes], digest: Callable[[bytes], int]) -> np.ndarray:
+    return np.fromiter(map(digest, terms), np.int64, len(terms))
+
+
+def _in_bitmap(digests: np.ndarray, bitmap) -> np.ndarray:
+    at = digests & (BITMAP_BITS - 1)
+    return (np.frombuffer(bitmap.value, np.uint8)[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def _document_counts(held: int, digest: Callable[[bytes], int]) -> Callable:
     """Task: documents by language and term, as digests."""
-    def emptied(tables: dict) -> Iterator[pa.RecordBatch]:
-        for lang, counts in tables.items():
-            whole = pa.Table.from_arrays(
-                [pa.repeat(pa.scalar(lang, pa.string()), len(counts)), pa.array(map(digest, counts), pa.int64()),
-                 pa.array(counts.values(), pa.int64())], schema=_DOCS)
-            yield from whole.to_batches(max_chunksize=50_000)
-
-    def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict = {}
-        size = 0
-        for lang, text in tuples(parts):
-            counts = tables.setdefault(lang, Counter())
-            before = len(counts)
-            counts.update(set().union(*_words(text)))
-            size += len(counts) - before
-            if size >= held:
-                yield from emptied(tables)
-                tables, size = {}, 0
-        yield from emptied(tables)
-
-    return count
+    def counted(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups, terms, group, term, docs in _tables(parts, held, documents=True):
+            langs = pa.array([lang for lang, in groups], pa.string())
+            yield from pa.Table.from_arrays(
+                [langs.take(pa.array(group)), pa.array(_digests(terms, digest)[term]), pa.array(docs)],
+                schema=_DOCS).to_batches(max_chunksize=50_000)
+
+    return counted
 
 
 def _cell_counts(held: int, digest: Callable[[bytes], int], bitmap) -> Callable:
     """Task: occurrences by language, source and term for digests in the bitmap, and each
     such term's string once; a row without a digest for each language and source."""
-    def emptied(tables: dict) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
-        terms = list(set().union(*tables.values()))
-        digests = np.fromiter(map(digest, terms), np.int64, len(terms))
-        at = digests & (BITMAP_BITS - 1)
-        passing = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
-        kept = {terms[k]: int(digests[k]) for k in passing}
-        yield from _rows([None] * len(kept), [None] * len(kept), kept.values(), None, None, kept)
-        langs, sources, found, values = [], [], [], []
-        for (lang, source), counts in tables.items():
-            here = [(kept[t], n) for t, n in counts.items() if t in kept]
-            langs += [lang] * (len(here) + 1)
-            sources += [source] * (len(here) + 1)
-            found.append(None)
-            found += [d for d, _ in here]
-            values.append(0)
-            values += [n for _, n in here]
-        yield from _rows(langs, sources, found, values, None, None)
-
-    def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict = {}
-        size = 0
-        for lang, source, text in tuples(parts):
-            if (lang, source) not in tables:
-                tables[lang, source] = Counter()
-                size += 1
-            counts = tables[lang, source]
-            before = len(counts)
-            for found in _words(text):
-                counts.update(found)
-            size += len(counts) - before
-            if size >= held:
-                yield from emptied(tables)
-                tables, size = {}, 0
-        if tables:
-            yield from emptied(tables)
-
-    return count
-
-
-def _string_counts(digest: Callable[[bytes], int], bitmap) -> Callable:
-    """Task: as the cells, with documents and by string, for the digests in the bitmap."""
-    def count(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap.value, np.uint8)
-
-        def rows() -> Iterator[tuple]:
-            for lang, source, text in tuples(parts):
-                counts: Counter = Counter()
-                for found in _words(text):
-                    counts.update(found)
-                for term, n in counts.items():
-                    d = digest(term)
-                    at = d & (BITMAP_BITS - 1)
-                    if bits[at >> 3] >> (at & 7) & 1:
-                        yield lang, source, d, n, 1, term.decode("utf-8", "surrogatepass")
-
-        yield from batches(rows(), _CELLS)
-
-    return count
-
-
-def _rows(langs, sources, digests, n, docs, terms) -> Iterator[pa.RecordBatch]:
-    size = len(langs)
+    def counted(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups, terms, group, term, n in _tables(parts, held, documents=False):
+            digests = _digests(terms, digest)
+            passing = _in_bitmap(digests, bitmap)
+            here = passing[term]
+            langs, sources = (pa.array([g[k] for g in groups], pa.string()) for k in (0, 1))
+            yield from _rows(lang=langs, source=sources)
+            yield from _rows(digest=digests[passing],
+                             term=pa.array([terms[k] for k in np.flatnonzero(passing)], pa.binary()).cast(pa.string()))
+            at = pa.array(group[here])
+            yield from _rows(lang=langs.take(at), source=sources.take(at), digest=digests[term[here]], n=n[here])
+
+    return counted
+
+
+def _string_counts(held: int, digest: Callable[[bytes], int], bitmap, documents: bool) -> Callable:
+    """Task: occurrences, or documents, by language, source and string, for the digests in
+    the bitmap."""
+    def counted(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups, terms, group, term, n in _tables(parts, held, documents):
+            digests = _digests(terms, digest)
+            here = _in_bitmap(digests, bitmap)[term]
+            langs, sources = (pa.array([g[k] for g in groups], pa.string()) for k in (0, 1))
+            at, strings = pa.array(group[here]), pa.array(terms, pa.binary()).cast(pa.string())
+            yield from _rows(lang=langs.take(at), source=sources.take(at), digest=digests[term[here]],
+                             term=strings.take(pa.array(term[here])), **{"docs" if documents else "n": n[here]})
+
+    return counted
+
+
+def _rows(**columns) -> Iterator[pa.RecordBatch]:
+    size = len(next(iter(columns.values())))
     whole = pa.Table.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(digests, pa.int64()),
-         *(pa.nulls(size, pa.int64()) if v is None else pa.array(v, pa.int64()) for v in (n, docs)),
-         pa.nulls(size, pa.string()) if terms is None else pa.array(terms, pa.binary()).cast(pa.string())],
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in _CELLS],
         schema=_CELLS)
     yield from whole.to_batches(max_chunksize=50_000)
 
@@ -267,7 +260,9 @@ def divergence_report(docs: DataFrame, *, text: str = "text", lang: str = "lang"
         cells = candidates
     else:
         again = spark.sparkContext.broadcast(bitmap_of(colliding))
-        apart = (read.mapInArrow(_string_counts(digest, again), _CELLS_SQL).join(colliding, "digest", "left_semi")
+        apart = (read.mapInArrow(_string_counts(held, digest, again, False), _CELLS_SQL)
+                 .unionByName(read.mapInArrow(_string_counts(held, digest, again, True), _CELLS_SQL))
+                 .join(colliding, "digest", "left_semi")
                  .groupBy("lang", "source", "digest", F.col("term").alias("variant"))
                  .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
         whole = F.sum("docs").over(Window.partitionBy("lang", "digest", "variant"))
