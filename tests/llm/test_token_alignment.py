@@ -13,13 +13,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
-from tokenizers import Tokenizer, decoders
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from tillflow.llm import token_alignment as ta
 from tillflow.llm.queries import BYTE_TOKENIZER, PIECE_TOKENIZER
 
 SCHEMA = "doc_id long, text string"
+with open(BYTE_TOKENIZER, "rb") as file:
+    BY_RANK = ta.byte_tokens(file.read())
+BY_FILE = Tokenizer.from_file(BYTE_TOKENIZER)
+BY_FILE.encode_special_tokens = True
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +91,16 @@ ODD = ["", None, " ", "a", "  two blanks ", "\n\n\t", "<|endoftext|> and </s><s>
        "The quick brown fox", "The quick brown fox", "ab" * 5000, "​‍﻿", "line\r\nline\r\n"]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=5))
+def test_ranks_give_the_ids_of_the_file(texts):
+    a = BY_FILE
+    assert BY_RANK.encode(texts) == [
+        a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    for t, ids in zip(texts, BY_RANK.encode(texts)):
+        assert b"".join(BY_RANK.data[k] for k in ids) == b" " + t.encode()
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 400), unique=True), st.lists(st.integers(0, 400), unique=True, min_size=1))
 def test_gallop_finds_every_place(short, long):
@@ -103,7 +117,8 @@ def test_large_groups_give_the_same_links():
         a, b = (np.array([rnd.randint(0, 3) for _ in range(s.sum())]) for s in sizes)
         def total(limit):
             c = Counter()
-            for g, x, y, n in zip(*(v.tolist() for v in ta.group_links(a, b, *sizes, limit=limit))):
+            *links, times = ta.group_links(a, b, *sizes, limit=limit)
+            for g, x, y, n in zip(*links, np.ones(len(links[0]), int) if times is None else times):
                 c[g, x, y] += n
             return c
         assert total(0) == total(5) == total(100)

@@ -7,8 +7,9 @@ counts the documents that hold it linked.
 How it runs:
 
 1. One pass encodes each text by both tokenizers and intersects their lists of token
-   ends by galloping: every end of the shorter list looks for its place in the longer by
-   steps of doubled length, from where its rank suggests, then by halving.  The common
+   ends by galloping: every end of the shorter list looks for its place in the longer
+   from that of an end shortly before it, by steps of doubled length, then by halving;
+   ends at equal distance from such a one go together.  The common
    ends' ranks in both lists give the groups, their differences the number of tokens in
    each.  Several texts make one run of bytes, as the end of each is common.  A row for
    each document is written, with its digest and its distinct pairs.
@@ -29,6 +30,7 @@ counted by distinct ids; an empty table gives no rows; other columns are ignored
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
 from pathlib import Path
@@ -43,6 +45,8 @@ from tillflow.llm.common import col, written
 
 #: Characters of text encoded and aligned together, about.
 BATCH_CHARS = 400_000
+#: Distance of the ends whose places the others start from.
+STRIDE = 16
 #: Links of a group that are made one by one; larger groups by distinct ids.
 GROUP_LINKS = 4096
 #: Pairs sent to all workers, at most: those with a share of 1 / HEAVY of all entries.
@@ -51,35 +55,29 @@ HEAVY = 1 << 16
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """For each number of ``short`` the first place in ``long`` whose number is not lower;
-    both ascend.  Steps double from the place that the rank suggests, then halve."""
+    both ascend.  A number starts at the place of one that ``STRIDE`` numbers or fewer
+    precede it, goes ahead by steps that double, then halves the last step."""
     n = len(long)
-    at = np.arange(len(short)) * n // max(len(short), 1)
-    # long[low - 1] < number <= long[high], where those places exist.
-    low, high = at.copy(), at.copy()
-    up = np.flatnonzero(long[at] < short)
+    low = np.zeros(len(short), np.int64)
+    if len(short) > STRIDE:
+        low = np.repeat(gallop(short[::STRIDE], long), STRIDE)[:len(short)]
+    high = low.copy()  # long[low - 1] < number <= long[high], where those places exist
+    ahead = np.flatnonzero(high < n)
+    ahead = ahead[long[high[ahead]] < short[ahead]]
     step = 1
-    while len(up):
-        low[up] = high[up] + 1
-        high[up] = np.minimum(high[up] + step, n)
-        up = up[high[up] < n]
-        up = up[long[high[up]] < short[up]]
+    while len(ahead):
+        low[ahead] = high[ahead] + 1
+        high[ahead] = np.minimum(high[ahead] + step, n)
+        ahead = ahead[high[ahead] < n]
+        ahead = ahead[long[high[ahead]] < short[ahead]]
         step *= 2
-    down = np.flatnonzero((long[at] >= short) & (at > 0))
-    step = 1
-    while len(down):
-        low[down] = np.maximum(high[down] - step, 0)
-        fits = long[low[down]] >= short[down]
-        high[down[fits]] = low[down[fits]]
-        low[down[~fits]] += 1
-        down = down[fits & (low[down] > 0)]
-        step *= 2
-    open_ = np.flatnonzero(low < high)
-    while len(open_):
-        middle = (low[open_] + high[open_]) >> 1
-        less = long[middle] < short[open_]
-        low[open_[less]] = middle[less] + 1
-        high[open_[~less]] = middle[~less]
-        open_ = open_[low[open_] < high[open_]]
+    between = np.flatnonzero(low < high)
+    while len(between):
+        middle = (low[between] + high[between]) >> 1
+        less = long[middle] < short[between]
+        low[between[less]] = middle[less] + 1
+        high[between[~less]] = middle[~less]
+        between = between[low[between] < high[between]]
     return low
 
 
@@ -95,8 +93,9 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def group_links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray,
-                limit: int = GROUP_LINKS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(group, A id, B id, times) of all links: ids in groups of the given sizes."""
+                limit: int = GROUP_LINKS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """(group, A id, B id, times) of all links: ids in groups of the given sizes.  Times
+    are None if all are 1."""
     a_from, b_from = np.cumsum(a_sizes) - a_sizes, np.cumsum(b_sizes) - b_sizes
     small = a_sizes * b_sizes <= limit
     token = np.flatnonzero(np.repeat(small, a_sizes))
@@ -104,8 +103,10 @@ def group_links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.n
     times = b_sizes[group]
     before = np.repeat(np.cumsum(times) - times, times)
     groups = np.repeat(group, times)
-    parts = [(groups, np.repeat(a[token], times), b[np.arange(len(before)) - before + b_from[groups]],
-              np.ones(len(before), np.int64))]
+    one_by_one = (groups, np.repeat(a[token], times), b[np.arange(len(before)) - before + b_from[groups]])
+    if small.all():
+        return *one_by_one, None
+    parts = [(*one_by_one, np.ones(len(before), np.int64))]
     for g in np.flatnonzero(~small):
         x, x_times = np.unique(a[a_from[g]:a_from[g] + a_sizes[g]], return_counts=True)
         y, y_times = np.unique(b[b_from[g]:b_from[g] + b_sizes[g]], return_counts=True)
@@ -129,26 +130,52 @@ def byte_alphabet() -> dict[str, int]:
 class Tokens:
     """A tokenizer's ids: their bytes, lengths and decimal names with what follows them."""
 
-    def __init__(self, data: list[bytes], encode: Callable[[list[str]], list[list[int]]], inside: str, last: str):
-        self.data, self.encode = data, encode
+    def __init__(self, data: list[bytes], encode: Callable[[list[str]], list], inside: str, last: str,
+                 lossless: bool = False):
+        self.data, self.encode, self.lossless = data, encode, lossless
         self.sizes = np.array([len(d) for d in data], np.int64)
         self.inside = np.array([f"{k}{inside}".encode() for k in range(len(data))])
         self.last = np.array([f"{k}{last}".encode() for k in range(len(data))])
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.data.__getitem__, ids))
-
-
-def byte_tokens(json: bytes) -> Tokens:
-    """Tokenizer A: byte-level BPE, on a blank and the text."""
+    def spells(self, ids, data: bytes) -> bool:
+        """Whether the tokens' bytes join to ``data``.  Those of a lossless tokenizer do."""
+        return self.lossless or b"".join(map(self.data.__getitem__, ids)) == data
+
+
+#: The words of a byte-level vocabulary (a fixed value).
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_tokens(file: bytes) -> Tokens:
+    """Tokenizer A: byte-level BPE, on a blank and the text.
+
+    A file whose merges are in the order of their ids, with all bytes and no normaliser, is
+    encoded by ranks, which gives the same ids several times faster and always spells the
+    text: every character is in a word, every byte a token.  Other files are encoded by
+    the library they are made for."""
+    spec = json.loads(file)
+    vocab, byte_of = spec["model"]["vocab"], byte_alphabet()
+    special = {t["content"] for t in spec["added_tokens"]}
+    ids = {**{t["content"]: t["id"] for t in spec["added_tokens"]}, **vocab}
+    data = [b""] * (max(ids.values()) + 1)
+    for piece, k in ids.items():
+        data[k] = piece.encode() if piece in special else byte_level(piece, byte_of)
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
+    words = spec["pre_tokenizer"] or {}
+    if (spec["normalizer"] is None and words.get("type") == "ByteLevel" and words.get("use_regex", True)
+            and not words["add_prefix_space"] and not spec["model"]["ignore_merges"]
+            and [vocab[m] for m in merges] == list(range(256, 256 + len(merges)))
+            and all(c in vocab for c in byte_of)):
+        from tiktoken import Encoding
+
+        ranks = {data[k]: k for piece, k in vocab.items() if piece not in special}
+        by_rank = Encoding("byte-level", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+        return Tokens(data, lambda texts: [by_rank.encode_ordinary(" " + t) for t in texts], ",", "|", lossless=True)
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(json.decode("utf-8"))
+    tokenizer = Tokenizer.from_str(file.decode("utf-8"))
     tokenizer.encode_special_tokens = True
-    data, byte_of = [b""] * tokenizer.get_vocab_size(), byte_alphabet()
-    for piece, k in tokenizer.get_vocab().items():
-        data[k] = byte_level(piece, byte_of) if all(c in byte_of for c in piece) else piece.encode()
-    return Tokens(data, lambda texts: [e.ids for e in tokenizer.encode_batch_fast(
+    return Tokens(data, lambda texts: [e.ids for e in tokenizer.encode_batch(
         [" " + t for t in texts], add_special_tokens=False)], ",", "|")
 
 
@@ -178,7 +205,7 @@ def align(texts: list[str | None], a: Tokens, b: Tokens) -> tuple:
     held, ids = [], ([], [])
     for k, x, y in zip(some, a.encode([texts[k] for k in some]), b.encode([texts[k] for k in some])):
         data = b" " + texts[k].encode("utf-8", "surrogatepass")
-        if a.joined(x) == data == b.joined(y):
+        if a.spells(x, data) and b.spells(y, data):
             held.append(k)
             ids[0].append(x)
             ids[1].append(y)
@@ -213,9 +240,12 @@ def align(texts: list[str | None], a: Tokens, b: Tokens) -> tuple:
     group, left, right, times = group_links(x, y, x_sizes, y_sizes)
     pairs = len(a.data) * len(b.data)
     keys = text_of[group] * pairs + left * len(b.data) + right
-    order = np.argsort(keys, kind="stable")
-    keys, first = np.unique(keys[order], return_index=True)
-    times = np.add.reduceat(times[order], first)
+    if times is None:
+        keys, times = np.unique(keys, return_counts=True)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, first = np.unique(keys[order], return_index=True)
+        times = np.add.reduceat(times[order], first)
     begins = np.searchsorted(keys, np.arange(len(texts) + 1) * pairs)
     return *sizes, n_groups, n_links, digests, keys % pairs, times, begins
 
