@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.functions.expressions import full_name, incentive, money, month_of
-from tillflow.operators.ranking import rank_desc
 from tillflow.schema import CUSTOMER_EXTRACT_COLUMNS, SALES_TEAM_EXTRACT_COLUMNS
 
 
@@ -73,8 +72,11 @@ def salesperson_monthly_sales(extract: DataFrame) -> DataFrame:
 
 def sales_rank(monthly: DataFrame) -> DataFrame:
     """Rank by total within store and month: ties share a rank and leave a gap,
-    NULL totals come last (``operators.ranking``)."""
-    return rank_desc(monthly, ["store_id", "sales_month"], "total_sales", "sales_rank")
+    NULL totals come last.  A group has a row for each person of the store, so a
+    window holds the staff of one store; groups of any size are ranked by
+    ``operators.ranking``."""
+    order = Window.partitionBy("store_id", "sales_month").orderBy(F.col("total_sales").desc_nulls_last())
+    return monthly.withColumn("sales_rank", F.rank().over(order))
 
 
 def top_seller_incentive(monthly: DataFrame) -> DataFrame:
@@ -120,16 +122,18 @@ def product_monthly_sales(sales: DataFrame, product: DataFrame,
     return sums.join(by_name, F.col("product_name") == F.col("_name")).drop("_name")
 
 
-# --- marts straight from sales, aggregating before the large joins -------------
+# --- marts straight from sales ---------------------------------------------------
 #
-# Sales are summed per customer and month (or per customer, store, person and
-# month or day) with partial aggregation, and only those sums meet the customer
-# table, which at scale is too large to broadcast.  The inner joins of ``enrich``
-# survive as weights -- each sale counts once per matching row of every
-# dimension (0 drops it, 2 doubles it) -- so the totals equal the sums over the
-# enriched rows, duplicate dimension keys included.  A customer holding a third
-# of all sales becomes one row per month before any shuffle by customer.  The
-# same plan serves every size; how each join runs is left to statistics and AQE.
+# The inner joins of ``enrich`` enter as weights -- each sale counts once per
+# matching row of every dimension (0 drops it, 2 doubles it) -- so the totals
+# equal the sums over the enriched rows, duplicate dimension keys included, and a
+# join carries a key and a count instead of a dimension's columns.  The customer
+# mart is summed per customer and month before it meets the customer table.  The
+# other marts meet the customers' counts first, in one exchange by customer, and
+# are then summed to (store, person, month) or (store, day): sums per customer as
+# well would keep nearly every sale, so they are not made.  A customer holding a
+# third of all sales is split by AQE's skew join.  The same plan serves every
+# size; how each join runs is left to statistics and AQE.
 
 def _key_counts(dim: DataFrame, key: str, as_name: str, count_name: str) -> DataFrame:
     return dim.groupBy(F.col(key).alias(as_name)).agg(F.count(F.lit(1)).alias(count_name))
@@ -142,53 +146,63 @@ def _attribute_rows(dim: DataFrame, key: str, as_name: str, attrs: list) -> Data
     return variants.join(counts, as_name)
 
 
-def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                                      sales_team: DataFrame) -> DataFrame:
-    """Same rows as ``customer_monthly_spend(customer_extract(enrich(...)))``."""
+def customer_month_sums(sales: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
+    """(customer_id, sales_date_month, amount) of sales with a store and a sales person."""
     facts = sales.select("customer_id", "store_id", "sales_person_id",
                          month_of("sales_date").alias("sales_date_month"), "total_cost")
     facts = facts.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
     facts = facts.join(_key_counts(sales_team, "id", "sales_person_id", "_nt"), "sales_person_id")
-    sums = facts.groupBy("customer_id", "sales_date_month").agg(
-        F.sum(F.col("total_cost") * (F.col("_ns") * F.col("_nt"))).alias("_sum"))
+    return facts.groupBy("customer_id", "sales_date_month").agg(
+        F.sum(F.col("total_cost") * (F.col("_ns") * F.col("_nt"))).alias("amount"))
+
+
+def customer_spend_of_sums(sums: DataFrame, customer: DataFrame) -> DataFrame:
     people = _attribute_rows(customer, "customer_id", "customer_id", [
         full_name("first_name", "last_name").alias("full_name"), "address", "phone_number"])
     j = sums.join(people, "customer_id")
     return j.select("customer_id", "full_name", "address", "phone_number", "sales_date_month",
-                    money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
+                    money(F.col("amount") * F.col("_rows")).alias("total_sales"))
 
 
-def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
-                                         sales_team: DataFrame) -> DataFrame:
-    """Same rows as ``salesperson_monthly_sales(sales_team_extract(enrich(...)))``."""
+def customer_monthly_spend_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                                      sales_team: DataFrame) -> DataFrame:
+    """Same rows as ``customer_monthly_spend(customer_extract(enrich(...)))``."""
+    return customer_spend_of_sums(customer_month_sums(sales, store, sales_team), customer)
+
+
+def salesperson_month_sums(sales: DataFrame, customer: DataFrame, store: DataFrame) -> DataFrame:
+    """(store_id, sales_person_id, sales_month, amount) of sales with a customer and a store."""
     facts = sales.select("customer_id", "store_id", "sales_person_id",
                          month_of("sales_date").alias("sales_month"), "total_cost")
-    per_customer = facts.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
-        F.sum("total_cost").alias("_a"))
-    per_customer = per_customer.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
-    per_customer = per_customer.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
-    sums = per_customer.groupBy("store_id", "sales_person_id", "sales_month").agg(
-        F.sum(F.col("_a") * (F.col("_nc") * F.col("_ns"))).alias("_sum"))
+    facts = facts.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
+    facts = facts.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
+    return facts.groupBy("store_id", "sales_person_id", "sales_month").agg(
+        F.sum(F.col("total_cost") * (F.col("_nc") * F.col("_ns"))).alias("amount"))
+
+
+def salesperson_sales_of_sums(sums: DataFrame, sales_team: DataFrame) -> DataFrame:
     people = _attribute_rows(sales_team, "id", "sales_person_id", [
         full_name("first_name", "last_name").alias("full_name")])
     j = sums.join(people, "sales_person_id")
     return j.select("store_id", "sales_person_id", "full_name", "sales_month",
-                    money(F.col("_sum") * F.col("_rows")).alias("total_sales"))
+                    money(F.col("amount") * F.col("_rows")).alias("total_sales"))
+
+
+def salesperson_monthly_sales_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
+                                         sales_team: DataFrame) -> DataFrame:
+    """Same rows as ``salesperson_monthly_sales(sales_team_extract(enrich(...)))``."""
+    return salesperson_sales_of_sums(salesperson_month_sums(sales, customer, store), sales_team)
 
 
 def daily_store_sales_from_sales(sales: DataFrame, customer: DataFrame, store: DataFrame,
                                  sales_team: DataFrame) -> DataFrame:
-    """Same rows as ``daily_store_sales(enrich(...))``: sales are summed per
-    (customer, store, person, day) first, each group weighted by its matching
-    dimension rows, then summed per (store, day); the sale count is weighted
-    the same way."""
-    pre = sales.groupBy("customer_id", "store_id", "sales_person_id", "sales_date").agg(
-        F.sum("total_cost").alias("_a"), F.count(F.lit(1)).alias("_c"))
-    pre = pre.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
-    pre = pre.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
-    pre = pre.join(_key_counts(sales_team, "id", "sales_person_id", "_nt"), "sales_person_id")
+    """Same rows as ``daily_store_sales(enrich(...))``; the count is weighted the same way."""
+    facts = sales.select("customer_id", "store_id", "sales_person_id", "sales_date", "total_cost")
+    facts = facts.join(_key_counts(store, "id", "store_id", "_ns"), "store_id")
+    facts = facts.join(_key_counts(sales_team, "id", "sales_person_id", "_nt"), "sales_person_id")
+    facts = facts.join(_key_counts(customer, "customer_id", "customer_id", "_nc"), "customer_id")
     weight = F.col("_nc") * F.col("_ns") * F.col("_nt")
-    return pre.groupBy("store_id", "sales_date").agg(
-        money(F.sum(F.col("_a") * weight)).alias("total_sales"),
-        F.sum(F.col("_c") * weight).alias("sales_count"),
+    return facts.groupBy("store_id", "sales_date").agg(
+        money(F.sum(F.col("total_cost") * weight)).alias("total_sales"),
+        F.sum(weight).alias("sales_count"),
     )

@@ -18,7 +18,8 @@ from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
 from tillflow.plans import sinks as S
 from tillflow.plans import batch_run as B
-from tillflow.plans.scratch import fresh_dir
+from tillflow.plans import catalog_tables as CT
+from tillflow.plans.scratch import fresh_dir, path_exists
 from tillflow.schema import (ADDITIONAL_COLUMN, FOLD_SEPARATOR, MANDATORY_COLUMNS,
                              SALES_TEAM_EXTRACT_COLUMNS)
 from tillflow.sources import drops as DR
@@ -286,6 +287,133 @@ def files_ledger_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
+# --- runs over a growing landing folder -------------------------------------------
+
+# The drop layouts that land before the first of two runs, by priority;
+# the others and the file that is not CSV land before the second.
+FIRST_RUN = ["1-URGENT", "3-MEDIUM", "4-NOT SPECIFIED"]
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Files land in two parts, each followed by a run that archives them; a third run
+    finds nothing new.  The queries below look at what the runs left, which is made
+    once in a session."""
+    drops = drops_for(spark, sf_dir).removesuffix("/landing")
+    base = f"{drops}-two-runs"
+    if path_exists(spark, f"{base}/ready"):
+        return base
+    landing, out = f"{base}/landing", f"{base}/out"
+    staged = spark.read.parquet(f"{drops}/staged_sales")
+
+    def run(run_id: str) -> None:
+        B.run_batch(spark, landing, out, *_dims(spark, sf_dir), run_id=run_id, archive=f"{base}/archive")
+
+    DR.land(staged, landing, FIRST_RUN)
+    run("run-1")
+    DR.land(staged, landing, [p for p in DR.LAYOUT_BY_PRIORITY if p not in FIRST_RUN])
+    TB.table(spark, sf_dir, "region").write.mode("overwrite").json(f"{landing}/{DR.NOT_CSV_FOLDER}")
+    run("run-2")
+    run("run-3")
+    spark.range(1).write.mode("overwrite").parquet(f"{base}/ready")
+    return base
+
+
+def two_runs_customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer mart after two runs: that of one run over all files."""
+    return B.customer_mart(spark, f"{_two_runs(spark, sf_dir)}/out")
+
+
+def two_runs_sales_team_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales-team mart after two runs; top sellers are those of the whole months."""
+    return B.sales_team_mart(spark, f"{_two_runs(spark, sf_dir)}/out")
+
+
+def two_runs_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which run took the files of each folder, and what became of them."""
+    out = f"{_two_runs(spark, sf_dir)}/out"
+    folder = lambda path: F.element_at(F.split(path, "/"), -2).alias("source_folder")
+    taken = L.read_events(spark, f"{out}/ledger").select(folder("file_location"), "run_id", "status")
+    rejected = B.quarantine(spark, out).select(folder("path"), "run_id", F.col("reason").alias("status"))
+    return taken.unionByName(rejected).distinct()
+
+
+def two_runs_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the landed files are after two runs with an archive, by run and folder."""
+    base = _two_runs(spark, sf_dir)
+    parts = F.split("path", "/")
+    places = [FS.file_manifest(spark, f"{base}/archive").select(
+        F.element_at(parts, -4).alias("place"), F.element_at(parts, -3).alias("run_id"), "source_folder", "kind")]
+    places.append(FS.file_manifest(spark, f"{base}/landing").select(
+        F.lit("landing").alias("place"), F.lit(None).cast("string").alias("run_id"), "source_folder", "kind"))
+    return places[0].unionByName(places[1]).distinct()
+
+
+def two_runs_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales-team extract of both runs, kept by run, month and store."""
+    return B.sales_team_extract(spark, f"{_two_runs(spark, sf_dir)}/out").withColumn("total_cost", money("total_cost"))
+
+
+def published_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots of the monthly sales per person, the last one empty, one dropped:
+    what is published, and what a reader of the latest gets."""
+    root = fresh_dir(spark, "published-snapshots")
+    monthly = salesperson_monthly_sales(spark, sf_dir)
+    for run, rows in ((1, monthly.where("sales_month < '1996'")), (2, monthly), (3, monthly.where("false"))):
+        S.write_snapshot(rows, root, run_id=run)
+    S.drop_old_snapshots(spark, root, keep=2)
+    read = S.read_latest(spark, root).agg(F.count("*").alias("rows_read"), F.lit(3).cast("long").alias("latest"))
+    kept = S.published_snapshots(spark, root).select("run_id", "n_rows")
+    return kept.join(read, F.col("run_id") == F.col("latest"), "left").select("run_id", "n_rows", "rows_read")
+
+
+# --- SQL over catalog tables --------------------------------------------------------
+
+def _catalog(spark: SparkSession, sf_dir: str) -> str:
+    """A database of its own with the retail tables, filled from the given ones, and both
+    marts built by SQL."""
+    base = fresh_dir(spark, "catalog")
+    db = "tillflow_" + base.rsplit("-", 1)[1]
+    CT.create(spark, db, base)
+    customer, store, sales_team = _dims(spark, sf_dir)
+    for name, rows in (("sales", facts(spark, sf_dir)), ("customer", customer), ("store", store),
+                       ("sales_team", sales_team), ("product", TB.product(spark, sf_dir)),
+                       ("product_staging", TB.daily_file_events(spark, sf_dir))):
+        CT.insert(rows, db, name)
+    CT.build_marts(spark, db)
+    return db
+
+
+def catalog_customers_data_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM {_catalog(spark, sf_dir)}.customers_data_mart")
+
+
+def catalog_sales_team_data_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM {_catalog(spark, sf_dir)}.sales_team_data_mart")
+
+
+def catalog_open_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are still being processed, asked of the staging table in SQL."""
+    return spark.sql(f"""
+        SELECT file_name FROM {_catalog(spark, sf_dir)}.product_staging
+        GROUP BY file_name HAVING max_by(status, struct(event_ts, seq)) = 'A'""")
+
+
+# Fixed value: stores whose name begins so are asked for below.
+STORE_PREFIX = "NATION_2"
+
+
+def mart_of_some_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly sales of some stores from the extract by month and store.  The filter is on
+    the store table; the scan learns the store folders from it when it runs."""
+    path = fresh_dir(spark, "sales-team-partitioned")
+    extract = sales_team_mart_extract(spark, sf_dir)
+    S.write_partitioned(extract, path, ["sales_month", "store_id"])
+    mart = S.read_partitioned(spark, path, extract.schema)
+    stores = TB.store(spark, sf_dir).where(F.col("address").startswith(STORE_PREFIX))
+    return mart.join(stores, mart["store_id"] == stores["id"]).groupBy("store_id", "address", "sales_month").agg(
+        money(F.sum("total_cost")).alias("total_sales"), F.count(F.lit(1)).alias("sales_count"))
+
+
 # --- stream --------------------------------------------------------------------
 
 def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,6 +475,16 @@ QUERIES.update({
     "files_to_sales_team_mart": files_to_sales_team_mart,
     "files_ledger_status": files_ledger_status,
     "orphan_sales_of_region": orphan_sales_of_region,
+    "two_runs_customer_mart": two_runs_customer_mart,
+    "two_runs_sales_team_mart": two_runs_sales_team_mart,
+    "two_runs_files": two_runs_files,
+    "two_runs_archive": two_runs_archive,
+    "two_runs_extract": two_runs_extract,
+    "published_snapshots": published_snapshots,
+    "catalog_customers_data_mart": catalog_customers_data_mart,
+    "catalog_sales_team_data_mart": catalog_sales_team_data_mart,
+    "catalog_open_files": catalog_open_files,
+    "mart_of_some_stores": mart_of_some_stores,
     "stream_archive": stream_archive,
     "stream_ingest_available_now": stream_ingest_available_now,
 })

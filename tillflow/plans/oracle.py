@@ -287,3 +287,45 @@ SELECT *, CAST(CASE WHEN total_sales = max(total_sales) OVER (PARTITION BY store
 FROM sums""",
     "stream_ingest_available_now": f"WITH {INGESTED},{INGESTED_EXTRACT}" + customer_monthly_sql("extract_i"),
 })
+
+
+# Folders by run: the first run's priorities, then the others and the file that is not CSV.
+RUNS = f"""{LAYOUTS},
+landed AS (
+  SELECT *, CASE WHEN priority IN ('1-URGENT', '3-MEDIUM', '4-NOT SPECIFIED') THEN 'run-1' ELSE 'run-2' END AS run_id
+  FROM layouts
+  WHERE priority IN (SELECT o.o_orderpriority FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey))"""
+
+ORACLES.update({
+    "two_runs_customer_mart": ORACLES["files_to_customer_mart"],
+    "two_runs_sales_team_mart": ORACLES["files_to_sales_team_mart"],
+    "two_runs_files": f"""WITH {RUNS}
+SELECT source_folder, run_id, unnest(['A', 'I']) AS status FROM landed WHERE accepted
+UNION ALL
+SELECT source_folder, run_id, 'MISSING_COLUMNS' FROM landed WHERE NOT accepted
+UNION ALL
+SELECT 'plain_high', 'run-2', 'CORRUPT_ROW' FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderpriority = '2-HIGH' AND l.l_discount > 0.095 HAVING count(*) > 0
+UNION ALL
+SELECT 'misc', 'run-2', 'NOT_CSV' FROM region HAVING count(*) > 0""",
+    "two_runs_archive": f"""WITH {RUNS}
+SELECT CASE WHEN accepted THEN 'processed' ELSE 'rejected' END AS place, run_id, source_folder, 'CSV' AS kind FROM landed
+UNION ALL
+SELECT 'rejected', 'run-2', 'misc', 'NOT_CSV' FROM region HAVING count(*) > 0""",
+    "two_runs_extract": f"""WITH {INGESTED}
+SELECT i.store_id, i.sales_person_id, t.first_name AS sales_person_first_name, t.last_name AS sales_person_last_name,
+       st.store_manager_name, t.manager_id, t.is_manager, t.address AS sales_person_address,
+       t.pincode AS sales_person_pincode, i.sales_date, i.total_cost, strftime(i.sales_date, '%Y-%m') AS sales_month
+FROM ingested i JOIN dim_customer c ON i.customer_id = c.customer_id
+JOIN dim_store st ON st.id = i.store_id JOIN dim_sales_team t ON t.id = i.sales_person_id""",
+    "published_snapshots": f"""WITH {ENRICHED},{SALESPERSON_MONTHLY}
+SELECT 2 AS run_id, count(*) AS n_rows, CAST(NULL AS BIGINT) AS rows_read FROM salesperson_monthly
+UNION ALL SELECT 3, 0, 0""",
+    "catalog_customers_data_mart": ORACLES["customer_monthly_spend"],
+    "catalog_sales_team_data_mart": TOP_SELLER_INCENTIVE,
+    "catalog_open_files": f"WITH {LEDGER} SELECT file_name FROM current_status WHERE status = 'A'",
+    "mart_of_some_stores": f"""WITH {ENRICHED}
+SELECT store_id, store_address AS address, strftime(sales_date, '%Y-%m') AS sales_month,
+       CAST(sum(total_cost) AS DECIMAL(18,2)) AS total_sales, count(*) AS sales_count
+FROM enriched WHERE starts_with(store_address, 'NATION_2') GROUP BY ALL""",
+})

@@ -7,20 +7,24 @@
   one per upstream task, and AQE splits an oversized value (a store-month
   holding a third of all sales) over several tasks and merges small ones, by
   ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
-* ``write_snapshot`` / ``read_latest``  run-stamped copies below one root,
-  ``run_id`` as a partition column; the newest is selected by a partition
-  filter, so only its files are scanned.
+* ``write_snapshot`` / ``read_latest``  run-stamped copies: rows below
+  ``<root>/rows/run_id=...`` and, written last, a marker with the row count and
+  the schema below ``<root>/published``.  Readers follow the newest marker, so an
+  empty snapshot reads as empty and one that is being written, or was broken off,
+  is not seen.  ``drop_old_snapshots`` keeps the newest ones.
 * ``refresh_months``  replaces the months it is told; a month without new rows
   is removed, others stay.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.plans.scratch import remove_path
+from tillflow.plans.scratch import fresh_dir, path_exists, remove_path
 
 
 def write_mart(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -45,19 +49,51 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return spark.read.schema(schema).parquet(path)
 
 
+PUBLISHED_SCHEMA = T.StructType([
+    T.StructField("n_rows", T.LongType(), False),
+    T.StructField("schema", T.StringType(), False),
+    T.StructField("published_at", T.TimestampType(), False),
+    T.StructField("run_id", T.LongType(), False),
+])
+
+
 def write_snapshot(df: DataFrame, root: str, run_id: int) -> None:
-    (df.withColumn("run_id", F.lit(run_id).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(root))
+    """A snapshot of that run, in place of an earlier one; published when it is whole.
+    A published run that is written again stays as it was until the new marker."""
+    spark = df.sparkSession
+    place = f"{root}/rows/run_id={run_id}"
+    df.write.mode("overwrite").parquet(place)
+    written = spark.read.schema(df.schema).parquet(place).count()  # from the files' footers
+    marker = spark.range(1).select(
+        F.lit(written).cast("long").alias("n_rows"), F.lit(df.schema.json()).alias("schema"),
+        F.current_timestamp().alias("published_at"), F.lit(run_id).cast("long").alias("run_id"))
+    (marker.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+     .parquet(f"{root}/published"))
+
+
+def published_snapshots(spark: SparkSession, root: str) -> DataFrame:
+    """(n_rows, schema, published_at, run_id), a row for each published snapshot."""
+    if not path_exists(spark, f"{root}/published"):
+        return spark.createDataFrame([], PUBLISHED_SCHEMA)
+    return spark.read.schema(PUBLISHED_SCHEMA).parquet(f"{root}/published")
 
 
 def read_latest(spark: SparkSession, root: str) -> DataFrame:
-    # The newest run id comes from the file listing (one row per file, no file
-    # body read); one value reaches the driver, and the filter on the partition
-    # column then prunes the scan to that run's folder.
-    listing = spark.read.format("binaryFile").load(root).select("run_id")
-    latest = listing.agg(F.max("run_id")).first()[0]
-    snaps = spark.read.parquet(root)
-    return snaps.where(F.col("run_id") == F.lit(latest)).drop("run_id")
+    """The newest published snapshot; only its files are scanned."""
+    newest = published_snapshots(spark, root).orderBy(F.desc("run_id")).first()
+    if newest is None:
+        raise LookupError(f"no published snapshot below {root}")
+    schema = T.StructType.fromJson(json.loads(newest["schema"]))
+    return spark.read.schema(schema).parquet(f"{root}/rows/run_id={newest['run_id']}")
+
+
+def drop_old_snapshots(spark: SparkSession, root: str, keep: int) -> list[int]:
+    """Removes all published snapshots but the newest ``keep``, markers first; their runs."""
+    runs = [r["run_id"] for r in published_snapshots(spark, root).select("run_id").orderBy(F.desc("run_id")).collect()]
+    for run in runs[max(keep, 1):]:
+        remove_path(spark, f"{root}/published/run_id={run}")
+        remove_path(spark, f"{root}/rows/run_id={run}")
+    return runs[max(keep, 1):]
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -79,15 +115,19 @@ def in_months(month: Column, months: list[str | None]) -> Column:
 
 def refresh_months(new_rows: DataFrame, path: str, months: list[str | None],
                    month_col: str = "sales_month") -> None:
-    """Replaces ``months`` by ``new_rows``: a month of which no row is left is removed."""
-    write_partitioned(new_rows, path, [month_col], mode="overwrite", dynamic=True)
+    """Replaces ``months`` by ``new_rows``: a month of which no row is left is removed.
+    The rows are computed once, into folders by month, whose names are the months
+    they came in; then they are copied over those of the mart."""
     spark = new_rows.sparkSession
-    left = set(months_in(spark.read.schema(new_rows.schema).parquet(path)
-                         .where(in_months(F.col(month_col), months)), month_col))
-    written = set(months_in(new_rows, month_col)) if left else set()
-    for m in set(months) & left - written:
+    built = fresh_dir(spark, "built-months")
+    write_partitioned(new_rows, built, [month_col])
+    rows = read_partitioned(spark, built, new_rows.schema).select(*new_rows.columns)
+    written = set(months_in(rows, month_col))
+    write_partitioned(rows, path, [month_col], mode="overwrite", dynamic=True)
+    for m in set(months) - written:
         folder = "__HIVE_DEFAULT_PARTITION__" if m is None else m
         remove_path(spark, f"{path}/{month_col}={folder}")
+    remove_path(spark, built)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
