@@ -16,6 +16,7 @@ from tillflow.functions.expressions import fold_columns, full_name, incentive, m
 from tillflow.operators import enrich as E
 from tillflow.operators import ledger as L
 from tillflow.operators import marts as M
+from tillflow.operators import monthly_sums as MS
 from tillflow.plans import sinks as S
 from tillflow.plans import batch_run as B
 from tillflow.plans import catalog_tables as CT
@@ -419,21 +420,16 @@ def mart_of_some_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drops are written to a fresh landing folder and streamed once with
     availableNow (files archived as they are finished); the stream keeps the
-    customer mart up to date month by month, and the query reads that mart."""
+    customer mart by its sums, month by month, and the query reads that mart."""
     run = fresh_dir(spark, "stream")
     landing = DR.write_drops(spark, sf_dir, f"{run}/drops")
-    dims = _dims(spark, sf_dir)
-
-    def build(sales: DataFrame) -> DataFrame:
-        return M.customer_monthly_spend_from_sales(sales, *dims)
-
-    # Files per micro-batch (fixed): several batches, so later ones refresh
-    # months that earlier ones wrote.
+    # Files per micro-batch and compaction (fixed): several batches, so later ones add
+    # to months that earlier ones wrote, and sums are put together on the way.
+    mart = MS.customer_mart(*_dims(spark, sf_dir))
     ST.ingest_available_now(spark, landing, f"{run}/out", f"{run}/checkpoint",
-                            archive_dir=f"{run}/archive", mart_builder=build,
-                            max_files_per_batch=16)
-    schema = build(ST.ingested_sales(spark, f"{run}/out")).schema
-    return ST.stream_mart(spark, f"{run}/out", schema).select(*schema.fieldNames())
+                            archive_dir=f"{run}/archive", marts=[mart],
+                            max_files_per_batch=16, compact_every=2)
+    return spark.read.schema(mart.schema).parquet(f"{run}/out/{mart.name}").select(*mart.schema.fieldNames())
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
