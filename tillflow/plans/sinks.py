@@ -116,12 +116,12 @@ def in_months(month: Column, months: list[str | None]) -> Column:
 def refresh_months(new_rows: DataFrame, path: str, months: list[str | None],
                    month_col: str = "sales_month") -> None:
     """Replaces ``months`` by ``new_rows``: a month of which no row is left is removed.
-    The rows are computed once, into folders by month, whose names are the months
-    they came in; then they are copied over those of the mart."""
+    The rows are computed once, into scratch, where their months are read from one
+    column; then they are written over those of the mart."""
     spark = new_rows.sparkSession
     built = fresh_dir(spark, "built-months")
-    write_partitioned(new_rows, built, [month_col])
-    rows = read_partitioned(spark, built, new_rows.schema).select(*new_rows.columns)
+    new_rows.write.parquet(built)
+    rows = spark.read.schema(new_rows.schema).parquet(built)
     written = set(months_in(rows, month_col))
     write_partitioned(rows, path, [month_col], mode="overwrite", dynamic=True)
     for m in set(months) - written:
