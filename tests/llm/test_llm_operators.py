@@ -411,8 +411,17 @@ def dedup_lines(docs):
                 first.setdefault(x.strip(), i)
     order = sorted(first, key=lambda x: (first[x], line_dedup.digest(x)))
     long = [x for x in order if len(x) >= line_dedup.FUZZY_CHARS]
-    similar = {b for k, b in enumerate(long) for a in long[:k]
-               if abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= line_dedup.EDITS}
+    split = {x: x.encode().split() for x in long}
+    bags = {x: collections.Counter(w) for x, w in split.items()}
+
+    def near(a, b):
+        if abs(len(a) - len(b)) <= line_dedup.EDITS and edit_distance(a, b) <= line_dedup.EDITS:
+            return True
+        n = max(len(split[a]), len(split[b]))
+        common = (bags[a] & bags[b]).total() if 10 * abs(len(split[a]) - len(split[b])) <= n else 0
+        return 10 * (n - common) <= n and 10 * edit_distance(split[a], split[b]) <= n
+
+    similar = {b for k, b in enumerate(long) if any(near(a, b) for a in long[:k])}
     out = {}
     for i, t in docs:
         seen, gone = set(), []
@@ -625,18 +634,10 @@ def test_near_copied_lines_go_however_long(spark, monkeypatch):
         if i % 4 == 0:
             lines.append(" ".join([f"u{rnd.randrange(9000)}" for _ in range(30)] + shared))
         docs.append((i, "\n".join(lines)))
-    first = {}
-    for i, t in docs:
-        for x in t.split("\n"):
-            first.setdefault(x, i)
-    order = sorted(first, key=lambda x: (first[x], line_dedup.digest(x)))
-    near = lambda a, b: edit_distance(a.split(), b.split()) <= max(len(a.split()), len(b.split())) // 10 \
-        or abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= line_dedup.EDITS
-    similar = {b for k, b in enumerate(order) if any(near(a, b) for a in order[:k])}
-    want = {i: [k for k, x in enumerate(t.split("\n")) if first[x] < i or x in similar] for i, t in docs}
+    want = dedup_lines(docs)
     got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(
         spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
-    assert got == want and len(similar) > 20
+    assert got == want and sum(map(len, want.values())) > 50
 
 
 @pytest.mark.parametrize("write", ["{k}={v}", '{k} = "{v}"', "{k}:{v}", '"{k}": "{v}"', "{k}  =  '{v}'", "{k} => {v}", "{k}\t: {v}"])
@@ -739,3 +740,21 @@ def test_densest_window_is_sought_in_all_of_a_text():
         at = [k for k, x in enumerate(w) if x == "vilest"]
         want = max((sum(a <= b <= a + toxicity.WINDOW for b in at) for a in at), default=0)
         assert scanner.features(" ".join(w))[3] == math.log1p(want)
+
+
+def test_automaton_forgets_and_finds_the_same(monkeypatch):
+    rnd = random.Random(31)
+    letters = "abcdef"
+    word = lambda a, b: "".join(rnd.choice(letters) for _ in range(rnd.randint(a, b)))
+    terms = {word(3, 10): (rnd.random() < 0.1, rnd.choice([0, 1, 2])) for _ in range(300)}
+    fresh = [word(2, 12) for _ in range(3000)]
+    whole = toxicity.LexiconAutomaton(terms)
+    want = [whole.edits(x) for x in fresh]
+    monkeypatch.setattr(toxicity.LexiconAutomaton, "HELD", 5_000)
+    small = toxicity.LexiconAutomaton(terms)
+    assert [small.edits(x) for x in fresh] == want and whole.held > 20_000
+    assert small.held < 5_000 + 12 * 10_000 and len(small.sets) < len(whole.sets)
+    for x, got in zip(fresh[:400], want):
+        best = [edit_distance(x, t) for t, (_, e) in terms.items() if edit_distance(x, t) <= e]
+        stems = [0 for t, (stem, _) in terms.items() if stem and x.startswith(t)]
+        assert got == min(best + stems, default=-1)

@@ -18,7 +18,8 @@ run of :func:`whole_run` words.  Of every window of so many words a line enters
 ``GRAM`` words of least hash; two lines that share the run share that entry.  (A shorter
 line has a smaller window, and enters what larger windows would, and more.)  Candidates
 are verified by their words' histograms and grams, which t edits can change only so far,
-and then by banded alignment.
+and then by banded alignment.  Lines of ``BY_WORDS`` words enter their words only: two
+edits of characters are within their edits of words.
 
 How it runs: index and probe entries are hashes, sorted by hash in one shuffle; only
 hashes that an index entry and another line share go on (few).  The texts of their
@@ -54,6 +55,9 @@ WORDS_AN_EDIT = 10
 #: Words of an entry.
 GRAM = 5
 FUZZY_CHARS = 24
+#: An edit of a character edits two words at most (it joins or parts them).  Lines of so
+#: many words, and those within ``EDITS`` of them, are thus within the edits of words.
+BY_WORDS = 2 * EDITS * WORDS_AN_EDIT + EDITS
 #: Bits of the bitmap of candidate lines: 8 MB, whatever the input.
 BITMAP_BITS = 1 << 26
 #: Lines of a block, on average, where many share a segment.
@@ -324,7 +328,7 @@ def _occurrences(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(segment hash, kind, line): what each line enters; lines met before in this
+    """(segment hash and kind, line): what each line enters; lines met before in this
     task are left out as far as a bounded memory goes."""
     plans: dict[int, list] = {}
     seen: set[int] = set()
@@ -342,6 +346,11 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 if len(seen) < 500_000:
                     seen.add(own)
+                data = line.encode("utf-8", "surrogatepass")
+                if by_words.add(data, own):
+                    yield _word_batch(*by_words.taken())
+                if len(data.split(None, BY_WORDS - 1)) >= BY_WORDS:
+                    continue
                 if n not in plans:
                     if len(plans) > 50_000:
                         plans.clear()
@@ -351,8 +360,6 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(hash64(line[at:end].encode("utf-8", "surrogatepass"), salt))
                     kinds.append(kind)
                     ids.append(own)
-                if by_words.add(line.encode("utf-8", "surrogatepass"), own):
-                    yield _word_batch(*by_words.taken())
             if len(keys) >= 200_000:
                 yield _entry_batch(keys, kinds, ids)
                 keys, kinds, ids = [], [], []
@@ -361,27 +368,26 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_batch(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), WORDS, np.int8)), pa.array(ids)],
-                                      names=["segment", "kind", "line"])
+    return _entry_batch(keys.view(np.uint64), WORDS | 4, ids)
 
 
-def _entry_batch(keys, kinds, ids):
-    """Hashes of segments are even, those of words odd: they never meet."""
-    return pa.RecordBatch.from_arrays(
-        [pa.array((np.array(keys, np.uint64) & ~np.uint64(1)).view(np.int64)), pa.array(np.array(kinds, np.int8)),
-         pa.array(np.array(ids, np.int64))], names=["segment", "kind", "line"])
+def _entry_batch(keys, kinds, ids) -> pa.RecordBatch:
+    """Hash and kind in one number, which sorts by hash, then kind.  The third bit parts
+    segments from words: they never meet."""
+    key = np.array(keys, np.uint64) & ~np.uint64(7) | np.array(kinds, np.uint64)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.array(ids, np.int64))],
+                                      names=["entry", "line"])
 
 
 def _live(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of entries sorted by segment and kind, those of segments that have an index
     entry (or are words, where all entries are alike) and a second line.  One row is held over from batch to batch."""
-    schema = None
+    schema = pa.schema([("segment", pa.int64()), ("kind", pa.int8()), ("line", pa.int64())])
     current, has_index, held, live = None, False, None, False
 
     for part in parts:
-        schema = schema or part.schema
-        seg = part.column(0).to_numpy()
-        kind, line = part.column(1).to_numpy(), part.column(2).to_numpy()
+        entry, line = part.column(0).to_numpy(), part.column(1).to_numpy()
+        seg, kind = entry >> 2, entry & 3
         if not len(seg):
             continue
         # Rows whose segment stands alone can't be live: leave them out at once.
@@ -543,8 +549,8 @@ def similar_lines(own: DataFrame) -> DataFrame:
     """(h1, h2, first, by1, by2): every line that has an earlier similar one, with the
     earliest of those."""
     spark = own.sparkSession
-    live = written(own.mapInArrow(_entries, "segment bigint, kind tinyint, line bigint")
-                   .repartition("segment").sortWithinPartitions("segment", "kind", "line")
+    live = written(own.mapInArrow(_entries, "entry bigint, line bigint")
+                   .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
                    .mapInArrow(_live, "segment bigint, kind tinyint, line bigint")
                    .groupBy("segment", "line").agg(F.min("kind").alias("kind")))
     bitmap = spark.sparkContext.broadcast(bitmap_of(live))

@@ -34,8 +34,6 @@ from tillflow.llm.common import WORD_BYTES, batches, col, unused, words, written
 
 #: Labelled rows used for fitting, at most.
 SAMPLE_ROWS = 12_000
-#: Terms kept, at most (the best supported ones).
-LEXICON_TERMS = 5_000
 #: Words before and after a hit that count as its context.
 WINDOW = 12
 #: Words that report speech (English, German, French, Spanish).
@@ -61,7 +59,10 @@ class LexiconAutomaton:
     """Trie of terms crossed with their Levenshtein automata, states made on demand.
 
     ``terms`` maps a term to (is a stem, edits allowed).  A stem matches any word
-    that begins with it, without edits."""
+    that begins with it, without edits.  States hold ``HELD`` places in the trie
+    together, at most; beyond it they are dropped and made anew as words need them."""
+
+    HELD = 400_000
 
     def __init__(self, terms: dict[str, tuple[bool, int]]):
         self.children: list[dict[str, int]] = [{}]
@@ -81,11 +82,15 @@ class LexiconAutomaton:
                 self.reach[at] = max(self.reach[at], edits)
             old = self.ends.get(at, (False, 0))
             self.ends[at] = (old[0] or stem, max(old[1], edits))
-        start = self._closed({(0, 0)})
-        self.states = {start: 0}
-        self.sets = [start]
+        self._start = self._closed({(0, 0)})
+        self._forget()
+
+    def _forget(self) -> None:
+        self.states = {self._start: 0}
+        self.sets = [self._start]
         self.moves: list[dict[str, int]] = [{}]
-        self.accepts = [self._accept(start)]
+        self.accepts = [self._accept(self._start)]
+        self.held = len(self._start)
 
     def _closed(self, items: set[tuple[int, int]]) -> frozenset:
         """With all skips of term letters, and for each node the fewest edits."""
@@ -116,9 +121,12 @@ class LexiconAutomaton:
             if node == -1:  # inside a word that began with a stem
                 out.add((-1, 0))
                 continue
-            out.add((node, e + 1))
-            for letter, child in self.children[node].items():
-                out.add((child, e if letter == ch else e + 1))
+            child = self.children[node].get(ch)
+            if child is not None:
+                out.add((child, e))
+            if e < self.reach[node]:  # an edit that some term below allows
+                out.add((node, e + 1))
+                out.update((child, e + 1) for child in self.children[node].values())
         out |= {(-1, 0) for node, e in out if e == 0 and self.ends.get(node, (False,))[0]}
         items = self._closed(out)
         if not items:
@@ -131,11 +139,14 @@ class LexiconAutomaton:
             self.sets.append(items)
             self.moves.append({})
             self.accepts.append(self._accept(items))
+            self.held += len(items)
         self.moves[state][ch] = target
         return target
 
     def edits(self, word: str) -> int:
         """Fewest edits from the word to a term that allows them; -1 for none."""
+        if self.held > self.HELD:
+            self._forget()
         state, moves = 0, self.moves
         for ch in word:
             nxt = moves[state].get(ch)
@@ -257,11 +268,10 @@ def learn_lexicon(sample: DataFrame, extra_terms: dict[str, tuple[bool, int]] |
                                    F.count_distinct("context").alias("uses")))
     counts = written(counts)
     pure = F.col("toxic") >= 4 * F.col("clean")
-    best = [F.desc("toxic"), F.asc("word")]
     terms = {r["word"]: (False, edits_allowed(r["word"], r["toxic"])) for r in
              counts.where(pure & (F.col("toxic") >= 5) & (F.col("uses") >= 5)
                           & (4 * F.col("uses") >= F.col("toxic")) & (F.length("word") > 2))
-             .orderBy(*best).limit(LEXICON_TERMS).collect()}
+             .collect()}  # each is in five sampled documents or more
     # Stems: prefixes of which nearly every word is toxic, with several letters following.
     prefixes = F.explode(F.transform(F.sequence(F.lit(3), F.least(F.lit(9), F.length("word") - 1)),
                                      lambda n: F.substring("word", F.lit(1), n)))
@@ -274,12 +284,12 @@ def learn_lexicon(sample: DataFrame, extra_terms: dict[str, tuple[bool, int]] |
              .where(pure & (F.col("toxic") >= 8) & (F.col("uses") >= 8) & (F.col("n") >= 4)
                     & (F.col("pure_words") >= 0.9 * F.col("n"))
                     & (F.col("ways") >= 3))
-             .orderBy(F.length("stem"), F.desc("toxic"), "stem").limit(LEXICON_TERMS).collect())
-    chosen: list[str] = []
-    for r in stems:  # the shortest stem of several that extend each other
-        if not any(r["stem"].startswith(s) for s in chosen):
-            chosen.append(r["stem"])
-    terms = {t: v for t, v in terms.items() if not any(t.startswith(s) for s in chosen)}
+             .collect())
+    found = {r["stem"] for r in stems}
+    begins = lambda t, n: any(t[:k] in found for k in range(1, n))
+    # The shortest stem of several that extend each other.
+    chosen = [s for s in sorted(found) if not begins(s, len(s))]
+    terms = {t: v for t, v in terms.items() if not begins(t, len(t) + 1)}
     terms |= {s: (True, 0) for s in chosen}
     terms |= extra_terms or {}
     automaton = LexiconAutomaton(terms)
