@@ -436,7 +436,7 @@ def dedup_lines(docs):
 
 def test_line_dedup_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "BLOCK", 3)  # shared segments span several tasks
-    monkeypatch.setattr(line_dedup.Verifier, "PAIRS", 20)
+    monkeypatch.setattr(line_dedup, "CELLS", 400)
     rnd = random.Random(10)
     base = ["".join(rnd.choice("abcdefgh ") for _ in range(rnd.choice([10, 24, 30, 45]))).strip() or "x" for _ in range(12)]
     docs = []

@@ -11,23 +11,26 @@ first document is lower stays, of the same document the one of lower digest.
 By pigeonhole, a line within t edits of another contains one of its t + 1 segments,
 near its place.  So each line is indexed by its segments, and probes for the segments
 of lines of its own length and up to t shorter, at the places that t edits allow.
-Candidates are verified by banded bit-parallel edit distance, many pairs of many segments at a time.
+Candidates are verified by banded bit-parallel edit distance, many pairs at a time.
 
 For words t grows with the line, and t edits leave one of t + 1 runs of words whole: a
 run of :func:`whole_run` words.  Of every window of so many words a line enters the
 ``GRAM`` words of least hash; two lines that share the run share that entry.  (A shorter
 line has a smaller window, and enters what larger windows would, and more.)  Candidates
-are verified by their words' histograms and grams, which t edits can change only so far,
-and then by banded alignment.  Lines of ``BY_WORDS`` words enter their words only: two
+are verified by the same bit-parallel distance over words.  Lines of ``BY_WORDS`` words enter their words only: two
 edits of characters are within their edits of words.
 
 How it runs: index and probe entries are hashes, sorted by hash in one shuffle; only
-hashes that an index entry and another line share go on (few).  The texts of their
-lines are found in a second pass over the documents, through a bitmap of fixed size
-(``BITMAP_BITS``; a fuller bitmap lets more lines through to the exact join).  A hash
-that many lines share is split into blocks, pairs of blocks are tasks (of hashes that
-the same lines share, one is enough), and a task returns for each line one earlier similar line.  Decisions are by line digest and
-document; texts move only where documents are rewritten.
+hashes that an index entry and another line share go on (few).  Their lines are found
+in a second pass over the documents, through a bitmap of fixed size (``BITMAP_BITS``; a
+fuller bitmap lets more lines through to the exact join), and sketched: size and
+histograms.  Of the lines that share a hash only sketches move; pairs whose sketches allow
+similarity are made distinct, and the texts of these pairs alone are compared, each pair
+once.  A hash that many lines share (of hashes that the same lines share, one is enough) is
+split into blocks.  Every block gives each line its earliest candidate there; lines that
+are not similar to it meet the other blocks, and those with candidates still, but no similar
+line, all candidates: so a group of similar lines costs pairs in proportion to its lines.
+Decisions are by line digest and document; texts move only where documents are rewritten.
 
 Defined cases: a null text has no line; blank lines are never removed; documents of
 equal doc_id and text are decided alike (a copy within the id keeps what the first
@@ -38,7 +41,10 @@ removed, goes from :func:`deduplicated` (it holds nothing that others don't).
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -253,51 +259,101 @@ class WordEntries:
         return (np.concatenate(found).view(np.int64), np.concatenate(of)) if found else none
 
 
-BINS = 64
-
-
-def near_copies(group: list[tuple]) -> dict[tuple, tuple]:
-    """Of lines (first, digest, text, kind, side or None) those within the edits of words
-    of an earlier one (of the other side, if given): digest -> order (first, digest) of
-    the earliest such line."""
-    group = sorted(group, key=lambda x: x[:2])
-    tokens = [x[2].encode("utf-8", "surrogatepass").split() for x in group]
-    n = np.array([len(w) for w in tokens])
-    bins = np.stack([np.bincount([hash(x) & (BINS - 1) for x in w], minlength=BINS) for w in tokens]).astype(np.int32)
-    side = None if group[0][4] is None else np.array([x[4] for x in group])
-    grams: dict[int, set] = {}
-    held = 0
-
-    def grams_of(k: int) -> set:
-        nonlocal held
-        if k not in grams:
-            w = tokens[k]
-            if held > 500_000:
-                grams.clear()
-                held = 0
-            held += len(w)
-            grams[k] = set(zip(*[w[j:] for j in range(GRAM)]))
-        return grams[k]
-
-    out = {}
-    for late in range(1, len(group)):
-        most = np.maximum(n[:late], n[late]) // WORDS_AN_EDIT
-        ok = np.abs(n[:late] - n[late]) <= most
-        if side is not None:
-            ok &= side[:late] != side[late]
-        at = np.flatnonzero(ok)
-        # an edit takes a word from a bin and adds one to another
-        at = at[np.abs(bins[at] - bins[late]).sum(axis=1) <= 2 * most[at]]
-        for early in at.tolist():
-            if group[early][1] == group[late][1]:
-                continue
-            long, short = (early, late) if n[early] >= n[late] else (late, early)
-            edits = int(most[early])
-            # and changes as many grams as a gram has words
-            if len(grams_of(long) - grams_of(short)) <= GRAM * edits \
-                    and edit_distance_within(tokens[long], tokens[short], edits) >= 0:
-                out[group[late][1]] = group[early][:2]
-                break
+# -- candidates and their verification ------------------------------------------------
+
+BINS, CHAR_BINS = 64, 32
+#: Cells of a matrix of lines compared together.
+CELLS = 1 << 22
+
+
+def sketch(line: str) -> tuple[int, int, bytes]:
+    """Words, characters, and how many of each kind (by hash, counts up to 255).  Sketches
+    of lines within their edits differ by two for each edit at most."""
+    words = line.encode("utf-8", "surrogatepass").split()
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    bins = np.concatenate([np.bincount([crc32(w) & (BINS - 1) for w in words], minlength=BINS),
+                           np.bincount(codes & (CHAR_BINS - 1), minlength=CHAR_BINS)])
+    return len(words), len(line), np.minimum(bins, 255).astype(np.uint8).tobytes()
+
+
+def near_sketches(group: np.ndarray, role: np.ndarray, kind: np.ndarray, line: np.ndarray, words: np.ndarray,
+                  chars: np.ndarray, bins: np.ndarray, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (late, early) of one group, of different lines, whose sketches may be those of
+    similar lines.  Rows stand in order of the line within their group; role 1 may be
+    early, 2 late, 3 both.  ``every``: all such pairs, else the earliest for each late row."""
+    best = np.full(len(group), -1)
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    left = np.arange(len(group))
+    d = 1
+    while len(left):
+        left = left[left + d < len(group)]
+        left = left[group[left + d] == group[left]]
+        a = left[(role[left] & 1 > 0) & (role[left + d] & 2 > 0)]
+        b = a + d
+        by_words = kind[a] == WORDS
+        most = np.where(by_words, np.maximum(words[a], words[b]) // WORDS_AN_EDIT, EDITS)
+        apart = np.abs(np.where(by_words, words[a] - words[b], chars[a] - chars[b]))
+        ok = (apart <= most) & (line[a] != line[b]) & (by_words | (kind[a] == INDEX) | (kind[b] == INDEX))
+        a, b, most, by_words = a[ok], b[ok], most[ok], by_words[ok]
+        for at, part in ((by_words, slice(0, BINS)), (~by_words, slice(BINS, None))):
+            x, y = a[at], b[at]
+            near = np.abs(bins[x, part].astype(np.int16) - bins[y, part]).sum(axis=1) <= 2 * most[at]
+            best[y[near]] = x[near]  # of growing distance: the earliest stays
+            if every:
+                found.append((y[near], x[near]))
+        d += 1
+    if every:
+        return tuple(np.concatenate(c) for c in zip(*found)) if found else (best[:0], best[:0])
+    late = np.flatnonzero(best >= 0)
+    return late, best[late]
+
+
+def _matrix(rows: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width), np.uint32)
+    for to, x in zip(out, rows):
+        to[:len(x)] = x
+    return out
+
+
+def pairs_within(pairs: list[tuple[np.ndarray, np.ndarray]], most: int) -> np.ndarray:
+    """Whether the sequences (of numbers from 1 on) of each pair are ``most`` edits apart
+    at most, many pairs of like length together."""
+    out = np.zeros(len(pairs), bool)
+    if 2 * most + 1 > 63:  # wider than a machine word
+        for k, (x, y) in enumerate(pairs):
+            a, b = (x, y) if len(x) >= len(y) else (y, x)
+            out[k] = edit_distance_within(a.tolist(), b.tolist(), most) >= 0
+        return out
+    order = sorted(range(len(pairs)), key=lambda k: max(len(pairs[k][0]), len(pairs[k][1])))
+    begin = 0
+    while begin < len(order):
+        end = begin + 1  # as many pairs as fit a matrix of the last one's width
+        while end < len(order) and (end + 1 - begin) * max(map(len, pairs[order[end]])) <= CELLS:
+            end += 1
+        both = [sorted(pairs[k], key=len, reverse=True) for k in order[begin:end]]
+        width = max(len(a) for a, _ in both)
+        sizes = [np.array([len(p[side]) for p in both]) for side in (0, 1)]
+        out[order[begin:end]] = edits_within(_matrix([a for a, _ in both], width), sizes[0],
+                                             _matrix([b for _, b in both], width), sizes[1], most)
+        begin = end
+    return out
+
+
+def similar_texts(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Whether the lines of each pair are similar, by characters or by words."""
+    out = np.zeros(len(pairs), bool)
+    at = [k for k, (x, y) in enumerate(pairs) if abs(len(x) - len(y)) <= EDITS]
+    codes = [tuple(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) + 1 for t in pairs[k]) for k in at]
+    out[at] = pairs_within(codes, EDITS)
+    number: dict = defaultdict(count(1).__next__)
+    by_edits: dict[int, list] = {}
+    for k in np.flatnonzero(~out).tolist():
+        x, y = (np.array([number[w] for w in t.encode("utf-8", "surrogatepass").split()], np.uint32) for t in pairs[k])
+        most = word_edits(max(len(x), len(y)))
+        if most and abs(len(x) - len(y)) <= most:
+            by_edits.setdefault(most, []).append((k, (x, y)))
+    for most, some in by_edits.items():
+        out[[k for k, _ in some]] = pairs_within([p for _, p in some], most)
     return out
 
 
@@ -442,101 +498,73 @@ def bitmap_of(lines: DataFrame, name: str = "line") -> bytes:
     return bytes(out)
 
 
-_SIMILAR = "h1 bigint, h2 bigint, by1 bigint, by2 bigint"
-
-
-def candidate_pairs(size: np.ndarray, kind: np.ndarray, side: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (a, b) of lines of one segment with size[a] >= size[b], at most ``EDITS``
-    apart in size, of which one is an index entry; across the sides, if given."""
-    order = np.argsort(size, kind="stable")
-    sizes = size[order]
-    low = np.searchsorted(sizes, sizes - EDITS)
-    times = np.arange(len(size)) - low  # each with those before it, in order of size
-    at = np.repeat(np.arange(len(size)), times)
-    b = order[at - 1 - (np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times))]
-    a = order[at]
-    ok = (kind[a] == INDEX) | (kind[b] == INDEX)
-    if side is not None:
-        ok &= side[a] != side[b]
-    return a[ok], b[ok]
+_SKETCHED = ("h1 bigint, h2 bigint, first bigint, text string, words int, chars int, sketch binary")
+_PAIR = "late1 bigint, late2 bigint, early1 bigint, early2 bigint"
 
 
-class Verifier:
-    """Gathers candidate pairs of many segments, verifies them together, and keeps for
-    each line one earlier similar line, the earliest."""
-
-    PAIRS, CELLS = 20_000, 1 << 22
+def _sketched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        made = [sketch(t) for t in part.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*part.columns, *[pa.array([m[k] for m in made], kind)
+                              for k, kind in ((0, pa.int32()), (1, pa.int32()), (2, pa.binary()))]],
+            names=[*part.schema.names, "words", "chars", "sketch"])
+
+
+def _candidates(every: bool) -> object:
+    """Task: rows (segment, i, j, role, kind, h1, h2, words, chars, sketch) sorted by group and
+    order of the line -> pairs of lines worth comparing.  Whole groups at a time."""
+    def pairs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def taken(table: pa.Table) -> pa.RecordBatch:
+            c = {n: table.column(n).to_numpy() for n in table.schema.names if n != "sketch"}
+            new = np.ones(table.num_rows, bool)
+            for n in ("segment", "i", "j"):
+                new[1:] &= c[n][1:] == c[n][:-1]
+            new[1:] = ~new[1:]
+            bins = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS + CHAR_BINS)
+            late, early = near_sketches(np.cumsum(new), c["role"], c["kind"], c["h1"], c["words"].astype(np.int64),
+                                        c["chars"].astype(np.int64), bins, every)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c[n][at]) for at in (late, early) for n in ("h1", "h2")],
+                names=["late1", "late2", "early1", "early2"])
+
+        for part in parts:
+            if not part.num_rows:
+                continue
+            held.append(part)
+            if sum(p.num_rows for p in held) < 20_000:
+                continue
+            table = pa.Table.from_batches(held)
+            key = [table.column(n).to_numpy() for n in ("segment", "i", "j")]
+            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))
+            if len(cut):  # the last group may go on
+                end = int(cut[-1]) + 1
+                yield taken(table.slice(0, end))
+                held = table.slice(end).combine_chunks().to_batches()
+        if held:
+            yield taken(pa.Table.from_batches(held))
 
-    def __init__(self):
-        self.pairs: list[tuple[tuple, tuple]] = []
-
-    def add(self, group: list[tuple]) -> bool:
-        """``group``: (first, digest, text, kind, side or None) of the lines of a task.
-        True when it is time to verify."""
-        size = np.array([len(x[2]) for x in group])
-        kind = np.array([x[3] for x in group])
-        side = None if group[0][4] is None else np.array([x[4] for x in group])
-        a, b = candidate_pairs(size, kind, side)
-        self.pairs += [(group[x], group[y]) for x, y in zip(a.tolist(), b.tolist())]
-        return len(self.pairs) >= self.PAIRS
-
-    def verified(self) -> dict[tuple, tuple]:
-        """Digest of a line -> order (first, digest) of its earliest similar line."""
-        best: dict[tuple, tuple] = {}
-        self.pairs.sort(key=lambda p: len(p[0][2]))
-        begin = 0
-        while begin < len(self.pairs):
-            end = begin + 1  # as many pairs as fit a matrix of the last one's width
-            while end < len(self.pairs) and (end + 1 - begin) * len(self.pairs[end][0][2]) <= self.CELLS:
-                end += 1
-            chunk = self.pairs[begin:end]
-            begin = end
-            width = len(chunk[-1][0][2])
-            codes = []
-            for side in (0, 1):
-                m = np.zeros((len(chunk), width), np.uint32)
-                for row, pair in zip(m, chunk):
-                    x = pair[side][2]
-                    row[:len(x)] = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) + 1
-                codes.append(m)
-            sizes = [np.array([len(p[side][2]) for p in chunk]) for side in (0, 1)]
-            for k in np.flatnonzero(edits_within(codes[0], sizes[0], codes[1], sizes[1])).tolist():
-                early, late = sorted((chunk[k][0][:2], chunk[k][1][:2]))
-                if late[1] not in best or early < best[late[1]]:
-                    best[late[1]] = early
-        self.pairs = []
-        return best
-
-
-_SIMILAR = "h1 bigint, h2 bigint, first bigint, by1 bigint, by2 bigint"
-_SIMILAR_ARROW = pa.schema([(n, pa.int64()) for n in ("h1", "h2", "first", "by1", "by2")])
+    return pairs
 
 
 def _verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: rows (segment, i, j, block, kind, h1, h2, first, text) sorted by segment and
-    pair of blocks, as a stream -> for lines, one earlier similar line."""
-
-    def rows():
-        buffer = Verifier()
-
-        def near(group):
-            if group[0][3] == WORDS:
-                yield from ((*h, f, *by) for h, (f, by) in near_copies(group).items())
-            elif buffer.add(group):
-                yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
+    """Task: rows (late1, late2, late text, early text) -> (late1, late2, similar)."""
+    for part in parts:
+        ok = similar_texts(list(zip(part.column(2).to_pylist(), part.column(3).to_pylist())))
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(ok)],
+                                         names=["late1", "late2", "similar"])
 
-        task, group = None, []
-        for segment, i, j, block, kind, h1, h2, first, text in tuples(parts):
-            if (segment, i, j) != task:
-                if group:
-                    yield from near(group)
-                task, group = (segment, i, j), []
-            group.append((first, (h1, h2), text, kind, None if i == j else int(block == j)))
-        if group:
-            yield from near(group)
-        yield from ((*h, f, *by) for h, (f, by) in buffer.verified().items())
 
-    yield from batches(rows(), _SIMILAR_ARROW, 20_000)
+def _compared(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(late1, late2, similar): lines with a candidate, and whether one is similar."""
+    late, early = (lines.select(F.col("h1").alias(f"{n}1"), F.col("h2").alias(f"{n}2"), F.col("text").alias(f"{n}_text"))
+                   for n in ("late", "early"))
+    texts = pairs.distinct().join(late, ["late1", "late2"]).join(early, ["early1", "early2"])
+    return written(texts.select("late1", "late2", "late_text", "early_text")
+                   .mapInArrow(_verify, "late1 bigint, late2 bigint, similar boolean")
+                   .groupBy("late1", "late2").agg(F.max("similar").alias("similar")))
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -546,33 +574,63 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def similar_lines(own: DataFrame) -> DataFrame:
-    """(h1, h2, first, by1, by2): every line that has an earlier similar one, with the
-    earliest of those."""
+    """(h1, h2): every line that has an earlier similar one."""
     spark = own.sparkSession
     live = written(own.mapInArrow(_entries, "entry bigint, line bigint")
                    .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
                    .mapInArrow(_live, "segment bigint, kind tinyint, line bigint")
                    .groupBy("segment", "line").agg(F.min("kind").alias("kind")))
     bitmap = spark.sparkContext.broadcast(bitmap_of(live))
-    texts = (own.mapInArrow(_found_lines(bitmap), "h1 bigint, h2 bigint, doc bigint, line string")
-             .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
-             .withColumnRenamed("line", "text"))
+    lines = written(own.mapInArrow(_found_lines(bitmap), "h1 bigint, h2 bigint, doc bigint, line string")
+                    .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
+                    .select("h1", "h2", "first", F.col("line").alias("text")).mapInArrow(_sketched, _SKETCHED))
     # Segments that the same lines share in the same way give the same pairs: one is enough.
     sizes = (live.groupBy("segment").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("line", "kind")).alias("x"),
                                          F.bit_xor(F.xxhash64("kind", "line")).alias("y"))
              .groupBy("n", "x", "y").agg(F.min("segment").alias("s"))
              .select("s", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    dealt = (live.join(sizes, F.col("segment") == F.col("s"))
-             .withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")))
-             .join(texts, F.col("line") == F.col("h1"))
-             .select("segment", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-                     .alias("o"), "kind", "h1", "h2", "first", "text")
-             .select("segment", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
-                     "block", "kind", "h1", "h2", "first", "text"))
-    found = (dealt.repartition("segment", "i", "j").sortWithinPartitions("segment", "i", "j")
-             .mapInArrow(_verify, _SIMILAR))
-    return (found.groupBy("h1", "h2").agg(F.min(F.struct("first", "by1", "by2")).alias("by"))
-            .select("h1", "h2", "by.*"))
+    rows = written(live.join(sizes, F.col("segment") == F.col("s")).select(
+        "segment", "kind", "line", "blocks", F.pmod(F.xxhash64("line"), F.col("blocks")).alias("block")))
+    slim = lines.select("h1", "h2", "first", "words", "chars", "sketch")
+    group = ["segment", "i", "j"]
+
+    def pairs(dealt: DataFrame, every: bool) -> DataFrame:
+        whole = dealt.join(slim, F.col("line") == F.col("h1")).select(
+            *group, "role", "kind", "h1", "h2", "first", "words", "chars", "sketch")
+        return (whole.repartition(*group).sortWithinPartitions(*group, "first", "h1", "h2", "role").drop("first")
+                .mapInArrow(_candidates(every), _PAIR))
+
+    # First each block by itself, and of the candidates of a line the earliest one.
+    here = rows.select(F.col("segment"), F.col("block").alias("i"), F.col("block").alias("j"),
+                       F.lit(3).alias("role"), "kind", "line")
+    first = _compared(pairs(here, False), lines)
+
+    def across(late: DataFrame) -> DataFrame:
+        """Rows of the segments of ``late`` (line): those lines against all blocks."""
+        late_rows = rows.join(late, "line", "left_semi")
+        late_blocks = late_rows.select(F.col("segment").alias("of"), F.col("block").alias("i")).distinct()
+        early = rows.join(late_blocks, F.col("segment") == F.col("of")).select(
+            "segment", "i", F.col("block").alias("j"), F.lit(1).alias("role"), "kind", "line")
+        return early.unionByName(late_rows.select(
+            "segment", F.col("block").alias("i"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("j"),
+            F.lit(2).alias("role"), "kind", "line"))
+
+    def still_open(*done: DataFrame) -> DataFrame:
+        out = slim.select(F.col("h1").alias("line"), "h2")
+        for d in done:
+            gone = d.where("similar").select(F.col("late1").alias("line"), F.col("late2").alias("h2"))
+            out = out.join(gone, ["line", "h2"], "left_anti")
+        return out.select("line")
+
+    # Then lines without a similar one yet, in segments of several blocks, against the other blocks.
+    wide = rows.where("blocks > 1").select("line").distinct()
+    second = _compared(pairs(across(still_open(first).join(wide, "line", "left_semi")).where("i <> j"), False), lines)
+    # At last, where the earliest candidate was not similar, all candidates of such a line.
+    tried = first.unionByName(second).where("not similar").select(F.col("late1").alias("line"))
+    third = _compared(pairs(across(still_open(first, second).join(tried, "line", "left_semi")), True), lines)
+    return (first.unionByName(second).unionByName(third).where("similar")
+            .select(F.col("late1").alias("h1"), F.col("late2").alias("h2")).distinct())
 
 
 def _without(text: str | None, removed: list[int] | None) -> str | None:
