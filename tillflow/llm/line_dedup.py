@@ -27,9 +27,9 @@ fuller bitmap lets more lines through to the exact join), and sketched: size and
 histograms.  Of the lines that share a hash only sketches move; pairs whose sketches allow
 similarity are made distinct, and the texts of these pairs alone are compared, each pair
 once.  A hash that many lines share (of hashes that the same lines share, one is enough) is
-split into blocks.  Every block gives each line its earliest candidate there; lines that
-are not similar to it meet the other blocks, and those with candidates still, but no similar
-line, all candidates: so a group of similar lines costs pairs in proportion to its lines.
+split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there; lines that
+are not similar to it meet the other blocks of like size, and those with candidates still, but no similar
+line, all candidates (of like size): so a group of similar lines costs pairs in proportion to its lines.
 Decisions are by line digest and document; texts move only where documents are rewritten.
 
 Defined cases: a null text has no line; blank lines are never removed; documents of
@@ -41,6 +41,7 @@ removed, goes from :func:`deduplicated` (it holds nothing that others don't).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -587,11 +588,21 @@ def similar_lines(own: DataFrame) -> DataFrame:
     # Segments that the same lines share in the same way give the same pairs: one is enough.
     sizes = (live.groupBy("segment").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("line", "kind")).alias("x"),
                                          F.bit_xor(F.xxhash64("kind", "line")).alias("y"))
-             .groupBy("n", "x", "y").agg(F.min("segment").alias("s"))
-             .select("s", F.ceil(F.col("n") / BLOCK).alias("blocks")))
-    rows = written(live.join(sizes, F.col("segment") == F.col("s")).select(
-        "segment", "kind", "line", "blocks", F.pmod(F.xxhash64("line"), F.col("blocks")).alias("block")))
+             .groupBy("n", "x", "y").agg(F.min("segment").alias("s")).select("s", "n"))
     slim = lines.select("h1", "h2", "first", "words", "chars", "sketch")
+    # Of many lines that share words, those of like size: lines within their edits of words
+    # are of one class, or of two next to each other.
+    of_size = F.when((F.col("n") > BLOCK) & (F.col("kind") == WORDS), F.floor(
+        F.log(F.col("words").cast("double")) / -math.log(1 - 1 / WORDS_AN_EDIT))).otherwise(0)
+    sized = written(live.join(sizes, F.col("segment") == F.col("s"))
+                    .join(lines.select(F.col("h1").alias("line_"), "words").distinct(), F.col("line") == F.col("line_"))
+                    .select("segment", "kind", "line", of_size.cast("int").alias("size")).distinct())
+    counts = sized.groupBy("segment", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    wide_segments = counts.groupBy("segment").agg(F.sum("blocks").alias("all")).where(F.col("all") > 1)
+    counts = counts.join(wide_segments, "segment", "left")
+    rows = written(sized.join(counts, ["segment", "size"]).select(
+        "segment", "kind", "line", "size", (F.coalesce("all", F.lit(1)) > 1).alias("wide"),
+        (F.shiftleft(F.col("size").cast("bigint"), 32) + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("block")))
     group = ["segment", "i", "j"]
 
     def pairs(dealt: DataFrame, every: bool) -> DataFrame:
@@ -606,15 +617,19 @@ def similar_lines(own: DataFrame) -> DataFrame:
     first = _compared(pairs(here, False), lines)
 
     def across(late: DataFrame) -> DataFrame:
-        """Rows of the segments of ``late`` (line): those lines against all blocks."""
+        """Rows of the segments of ``late`` (line): those lines against the blocks of like size."""
         late_rows = rows.join(late, "line", "left_semi")
-        late_blocks = late_rows.select(F.col("segment").alias("of"), F.col("block").alias("i")).distinct()
-        early = rows.join(late_blocks, F.col("segment") == F.col("of")).select(
-            "segment", "i", F.col("block").alias("j"), F.lit(1).alias("role"), "kind", "line")
-        return early.unionByName(late_rows.select(
-            "segment", F.col("block").alias("i"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("j"),
-            F.lit(2).alias("role"), "kind", "line"))
+        like = lambda size: F.explode(F.array(*[F.col(size) + F.lit(d) for d in (-1, 0, 1)]))
+        late_blocks = late_rows.select(F.col("segment").alias("of"), F.col("block").alias("i"), "size").distinct()
+        blocks = rows.select("segment", F.col("block").alias("j"), "size").distinct()
+        late_blocks = late_blocks.withColumn("size", like("size"))
+        met = (late_blocks.join(blocks, (F.col("of") == F.col("segment")) & (late_blocks["size"] == blocks["size"]))
+               .select("of", "i", "j").distinct())
+        met = written(met)
+        early = rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("j"))).select(
+            "segment", "i", "j", F.lit(1).alias("role"), "kind", "line")
+        return early.unionByName(late_rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("i")))
+                                 .select("segment", "i", "j", F.lit(2).alias("role"), "kind", "line"))
 
     def still_open(*done: DataFrame) -> DataFrame:
         out = slim.select(F.col("h1").alias("line"), "h2")
@@ -624,7 +639,7 @@ def similar_lines(own: DataFrame) -> DataFrame:
         return out.select("line")
 
     # Then lines without a similar one yet, in segments of several blocks, against the other blocks.
-    wide = rows.where("blocks > 1").select("line").distinct()
+    wide = rows.where("wide").select("line").distinct()
     second = _compared(pairs(across(still_open(first).join(wide, "line", "left_semi")).where("i <> j"), False), lines)
     # At last, where the earliest candidate was not similar, all candidates of such a line.
     tried = first.unionByName(second).where("not similar").select(F.col("late1").alias("line"))
