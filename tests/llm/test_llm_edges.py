@@ -3,6 +3,8 @@ extra columns whose names clash with its own."""
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +170,26 @@ def test_vectors(spark):
         [(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True),
          (6, 0, 6, True), (7, 0, 7, True), (8, 0, 8, True), (9, 0, 9, True), (None, 0, None, True)], key=str)
     assert near_vectors.range_join(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_form_around_the_body_is_its_frame():
+    text = lambda page: "\n".join(x for x, _ in html_text.blocks(page))
+    body = "<article><h1>Title</h1><p>The body of the page.</p><form><p>Your mail</p></form></article>"
+    got = text(f'<body><form id="f" method="post"><nav>Menu</nav>{body}<footer>Foot</footer></form></body>')
+    assert got == "Title\nThe body of the page."
+    assert text(f"<body><form><p>Search here</p></form>{body}</body>") == got
+    assert text(f"<FORM><main>{body}</main></FORM>") == got
+
+
+def test_end_tags_without_a_partner_cost_no_search():
+    begin = time.perf_counter()
+    got = html_text.blocks("<article>" + "<div>" * 20_000 + "x" + "</p>" * 20_000 + "</article>")
+    assert [x for x, _ in got] == ["x"] and time.perf_counter() - begin < 5
+
+
+def test_vectors_of_extreme_length_link_by_direction(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e-200, 1e-200]), (3, [1.0, 1.01]), (4, [-1e200, 1e200]), (5, [5e-324, 5e-324]),
+            (6, [0.0, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in
+           near_vectors.range_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4), 6: (0, 6)}

@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -130,6 +132,10 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bo
     return False, False, any(_is_named(x, NOT_TEXT_NAMES) for x in tokens)
 
 
+_FORM_END = re.compile(r"</form", re.I)
+_BODY = re.compile(r"<(?:article|main)\b", re.I)
+
+
 def blocks(page: str | None) -> list[tuple[str, bool]]:
     """(line, open to deletion) for each block that may be article text."""
     if not page:
@@ -139,6 +145,21 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     pieces: list[str] = []
     links = in_link = 0
 
+    open_tags: Counter[str] = Counter()  # open elements by tag: an end tag without one needs no search
+
+    def cut(k: int):
+        for s in stack[k:]:
+            open_tags[s.tag] -= 1
+        del stack[k:]
+
+    form_ends = [m.start() for m in _FORM_END.finditer(page)] if "form" in page.lower() else []
+    bodies = [m.start() for m in _BODY.finditer(page)] if form_ends else []
+
+    def wraps_body(at: int) -> bool:
+        """Whether the form that begins here holds an article or a main element."""
+        k, b = bisect_left(form_ends, at), bisect_left(bodies, at)
+        return b < len(bodies) and (k == len(form_ends) or bodies[b] < form_ends[k])
+
     def flush():
         nonlocal links
         if pieces:
@@ -176,9 +197,9 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
                 in_link = 0
             if tag in BLOCKS:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[k].tag == tag:
-                    del stack[k:]
+                    cut(k)
                     break
                 # an inline end tag doesn't close blocks
                 if tag not in BLOCKS and stack[k].tag in BLOCKS:
@@ -192,13 +213,13 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
         if tag in BLOCKS:
             flush()
             if stack[-1].tag == "p" or stack[-1].tag in HEADINGS and tag in HEADINGS:
-                stack.pop()
+                cut(len(stack) - 1)
             elif tag in CLOSES_ITSELF:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag in CLOSES_ITSELF[tag]:
                         break
                     if stack[k].tag == tag:
-                        del stack[k:]
+                        cut(k)
                         break
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
@@ -209,7 +230,9 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
             continue
         if tag == "a":
             in_link = 1
-        hard, main, named = _left_out(tag, attributes, top.article)
+        # A form around the body is the page's frame, as some servers write it.
+        frame = tag == "form" and not top.article and wraps_body(at)
+        hard, main, named = _left_out("div" if frame else tag, attributes, top.article)
         if tag == "header" and not top.article:
             hard = True
         header = top.header or tag == "header" and top.article
@@ -225,6 +248,7 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
         new.main = (top.main or tag == "main" or main) and not new.out
         if tag in BLOCKS or new.out != top.out or new.main != top.main or named != top.named or lifted != top.lifted:
             stack.append(new)
+            open_tags[tag] += 1
     flush()
     size = lambda k: sum(len(f[0]) for f in found if k(f))
     if 2 * size(lambda f: f[4]) <= size(lambda f: True):  # teasers in a list of related pages, say

@@ -28,7 +28,7 @@ histograms.  Of the lines that share a hash only sketches move; pairs whose sket
 similarity are made distinct, and the texts of these pairs alone are compared, each pair
 once.  A hash that many lines share (of hashes that the same lines share, one is enough) is
 split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there; lines that
-are not similar to it meet the other blocks of like size, and those with candidates still, but no similar
+are not similar to it meet all blocks of like size, and those with candidates still, but no similar
 line, all candidates (of like size): so a group of similar lines costs pairs in proportion to its lines.
 Decisions are by line digest and document; texts move only where documents are rewritten.
 
@@ -180,7 +180,7 @@ _BYTES = _random.integers(1, 1 << 63, 256, np.uint64)
 _PLACES = _random.integers(1, 1 << 63, GRAM, np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 #: Bytes of lines hashed together, and words of the pieces that longer lines are cut to.
-CHUNK, PIECE = 1 << 20, 50_000
+CHUNK, PIECE = 1 << 18, 50_000
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -264,7 +264,7 @@ class WordEntries:
 
 BINS, CHAR_BINS = 64, 32
 #: Cells of a matrix of lines compared together.
-CELLS = 1 << 22
+CELLS = 1 << 20
 
 
 def sketch(line: str) -> tuple[int, int, bytes]:
@@ -618,9 +618,16 @@ def similar_lines(own: DataFrame) -> DataFrame:
 
     def across(late: DataFrame) -> DataFrame:
         """Rows of the segments of ``late`` (line): those lines against the blocks of like size."""
-        late_rows = rows.join(late, "line", "left_semi")
+        # Those lines are few as a rule: in blocks of their own, they meet few copies of the others.
+        late_rows = rows.join(late, "line", "left_semi").select("segment", "kind", "line", "size")
+        own_blocks = late_rows.groupBy(F.col("segment").alias("of"), F.col("size").alias("like")).agg(
+            F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        late_rows = written(late_rows.join(own_blocks, (F.col("segment") == F.col("of")) & (F.col("size") == F.col("like")))
+                            .select("segment", "kind", "line", "size", (
+                                F.shiftleft(F.col("size").cast("bigint"), 32)
+                                + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("i")))
         like = lambda size: F.explode(F.array(*[F.col(size) + F.lit(d) for d in (-1, 0, 1)]))
-        late_blocks = late_rows.select(F.col("segment").alias("of"), F.col("block").alias("i"), "size").distinct()
+        late_blocks = late_rows.select(F.col("segment").alias("of"), "i", "size").distinct()
         blocks = rows.select("segment", F.col("block").alias("j"), "size").distinct()
         late_blocks = late_blocks.withColumn("size", like("size"))
         met = (late_blocks.join(blocks, (F.col("of") == F.col("segment")) & (late_blocks["size"] == blocks["size"]))
@@ -628,7 +635,8 @@ def similar_lines(own: DataFrame) -> DataFrame:
         met = written(met)
         early = rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("j"))).select(
             "segment", "i", "j", F.lit(1).alias("role"), "kind", "line")
-        return early.unionByName(late_rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("i")))
+        return early.unionByName(late_rows.join(met.withColumnRenamed("i", "block"), (F.col("segment") == F.col("of"))
+                                                & (F.col("i") == F.col("block")))
                                  .select("segment", "i", "j", F.lit(2).alias("role"), "kind", "line"))
 
     def still_open(*done: DataFrame) -> DataFrame:
@@ -638,9 +646,9 @@ def similar_lines(own: DataFrame) -> DataFrame:
             out = out.join(gone, ["line", "h2"], "left_anti")
         return out.select("line")
 
-    # Then lines without a similar one yet, in segments of several blocks, against the other blocks.
+    # Then lines without a similar one yet, in segments of several blocks, against all blocks.
     wide = rows.where("wide").select("line").distinct()
-    second = _compared(pairs(across(still_open(first).join(wide, "line", "left_semi")).where("i <> j"), False), lines)
+    second = _compared(pairs(across(still_open(first).join(wide, "line", "left_semi")), False), lines)
     # At last, where the earliest candidate was not similar, all candidates of such a line.
     tried = first.unionByName(second).where("not similar").select(F.col("late1").alias("line"))
     third = _compared(pairs(across(still_open(first, second).join(tried, "line", "left_semi")), True), lines)

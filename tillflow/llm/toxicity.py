@@ -62,7 +62,7 @@ class LexiconAutomaton:
     that begins with it, without edits.  States hold ``HELD`` places in the trie
     together, at most; beyond it they are dropped and made anew as words need them."""
 
-    HELD = 400_000
+    HELD = 200_000
 
     def __init__(self, terms: dict[str, tuple[bool, int]]):
         self.children: list[dict[str, int]] = [{}]
@@ -161,7 +161,7 @@ class LexiconAutomaton:
 class Scanner:
     """Counts a text's hits.  ``innocent``: words near a term that clean texts use."""
 
-    CACHE = 200_000
+    CACHE = 100_000
 
     def __init__(self, terms: dict[str, tuple[bool, int]], innocent: set[bytes]):
         self.terms, self.innocent = terms, innocent
