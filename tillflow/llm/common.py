@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,3 +103,18 @@ def tuples(parts: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches, one batch in memory at a time."""
     for part in parts:
         yield from zip(*[c.to_pylist() for c in part.columns])
+
+
+def trimmed(task: Callable) -> Callable:
+    """A task that, when it ends, gives the memory it held back to the system: workers
+    are kept for later tasks, and several of them share an executor's memory."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(parts)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return run

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import WORD_BYTES, col, whole_row, words
+from tillflow.llm.common import WORD_BYTES, col, trimmed, whole_row, words
 
 #: Bytes of item text searched for in one pass, and bytes of text of a shard.
 BLOCK_BYTES = 32 << 20
@@ -295,7 +295,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, text: str = "text",
         # At most about BLOCK_BYTES of text, whatever the number of items.
         rows = sorted((r["i"] or "", r["t"]) for r in block.toLocalIterator())
         phrases = spark.sparkContext.broadcast(vars(Phrases(rows, window)))
-        out = out.mapInArrow(_pass(phrases, cut and b == n_blocks - 1), schema)
+        out = out.mapInArrow(trimmed(_pass(phrases, cut and b == n_blocks - 1)), schema)
     return out
 
 

@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import batches, col, settle, tuples, written
+from tillflow.llm.common import batches, col, settle, trimmed, tuples, written
 from tillflow.llm.near_text import edit_distance_within
 
 EDITS = 2
@@ -564,7 +564,7 @@ def _compared(pairs: DataFrame, lines: DataFrame) -> DataFrame:
                    for n in ("late", "early"))
     texts = pairs.distinct().join(late, ["late1", "late2"]).join(early, ["early1", "early2"])
     return written(texts.select("late1", "late2", "late_text", "early_text")
-                   .mapInArrow(_verify, "late1 bigint, late2 bigint, similar boolean")
+                   .mapInArrow(trimmed(_verify), "late1 bigint, late2 bigint, similar boolean")
                    .groupBy("late1", "late2").agg(F.max("similar").alias("similar")))
 
 
@@ -577,14 +577,14 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def similar_lines(own: DataFrame) -> DataFrame:
     """(h1, h2): every line that has an earlier similar one."""
     spark = own.sparkSession
-    live = written(own.mapInArrow(_entries, "entry bigint, line bigint")
+    live = written(own.mapInArrow(trimmed(_entries), "entry bigint, line bigint")
                    .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
-                   .mapInArrow(_live, "segment bigint, kind tinyint, line bigint")
+                   .mapInArrow(trimmed(_live), "segment bigint, kind tinyint, line bigint")
                    .groupBy("segment", "line").agg(F.min("kind").alias("kind")))
     bitmap = spark.sparkContext.broadcast(bitmap_of(live))
-    lines = written(own.mapInArrow(_found_lines(bitmap), "h1 bigint, h2 bigint, doc bigint, line string")
+    lines = written(own.mapInArrow(trimmed(_found_lines(bitmap)), "h1 bigint, h2 bigint, doc bigint, line string")
                     .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
-                    .select("h1", "h2", "first", F.col("line").alias("text")).mapInArrow(_sketched, _SKETCHED))
+                    .select("h1", "h2", "first", F.col("line").alias("text")).mapInArrow(trimmed(_sketched), _SKETCHED))
     # Segments that the same lines share in the same way give the same pairs: one is enough.
     sizes = (live.groupBy("segment").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("line", "kind")).alias("x"),
                                          F.bit_xor(F.xxhash64("kind", "line")).alias("y"))
@@ -609,7 +609,7 @@ def similar_lines(own: DataFrame) -> DataFrame:
         whole = dealt.join(slim, F.col("line") == F.col("h1")).select(
             *group, "role", "kind", "h1", "h2", "first", "words", "chars", "sketch")
         return (whole.repartition(*group).sortWithinPartitions(*group, "first", "h1", "h2", "role").drop("first")
-                .mapInArrow(_candidates(every), _PAIR))
+                .mapInArrow(trimmed(_candidates(every)), _PAIR))
 
     # First each block by itself, and of the candidates of a line the earliest one.
     here = rows.select(F.col("segment"), F.col("block").alias("i"), F.col("block").alias("j"),
@@ -667,7 +667,7 @@ def decisions(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     """(doc, version, n_lines, removed, n_similar) of every document with lines: places of
     its lines that go, in order, and how many of them go for a similar line only."""
     own = _own(docs, doc_id, text)
-    lines = own.mapInArrow(_occurrences, "h1 bigint, h2 bigint, doc bigint, version bigint, place int, again boolean")
+    lines = own.mapInArrow(trimmed(_occurrences), "h1 bigint, h2 bigint, doc bigint, version bigint, place int, again boolean")
     first = lines.groupBy("h1", "h2").agg(F.min("doc").alias("first"))
     similar = settle(similar_lines(own)).select(F.col("h1").alias("s1"), F.col("h2").alias("s2"))
     first = (first.join(similar, (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")), "left")

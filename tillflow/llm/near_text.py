@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import col, words, written
+from tillflow.llm.common import col, trimmed, words, written
 from tillflow.llm.components import connected_components
 
 K = 5
@@ -185,7 +185,7 @@ def with_key(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` as a struct ``_row``, with ``_text`` and ``_key``."""
     own = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"),
                       col(text).cast("string").alias("_text"))
-    return own.mapInArrow(_keyed, T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
+    return own.mapInArrow(trimmed(_keyed), T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
 
 
 # -- checking loose groups ---------------------------------------------------------
@@ -262,7 +262,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     """(rows, texts): rows has ``doc_id`` and ``key`` of every document; texts has, for each
     ``key``, ``class_key`` and ``class_id``, the lowest doc_id of the class."""
     own = docs.select(col(doc_id).cast("bigint").alias("doc_id"), col(text).cast("string").alias("text"))
-    rows = written(own.mapInArrow(_sketch, "doc_id bigint, key binary, sketches array<bigint>"))
+    rows = written(own.mapInArrow(trimmed(_sketch), "doc_id bigint, key binary, sketches array<bigint>"))
     ids = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     agree = (rows.where("sketches IS NOT NULL")
              .select(F.explode("sketches").alias("sketch"), "key"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillflow.llm.common import WORD_BYTES, batches, col, unused, words, written
+from tillflow.llm.common import WORD_BYTES, batches, col, trimmed, unused, words, written
 
 #: Labelled rows used for fitting, at most.
 SAMPLE_ROWS = 12_000
@@ -263,7 +263,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id
 def learn_lexicon(sample: DataFrame, extra_terms: dict[str, tuple[bool, int]] | None = None
                   ) -> tuple[dict[str, tuple[bool, int]], set[bytes]]:
     """Terms, and the words of clean texts that misspelling would confuse with them."""
-    counts = (sample.mapInArrow(_word_rows, "word string, toxic long, clean long, context long")
+    counts = (sample.mapInArrow(trimmed(_word_rows), "word string, toxic long, clean long, context long")
               .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
                                    F.count_distinct("context").alias("uses")))
     counts = written(counts)
@@ -299,7 +299,7 @@ def learn_lexicon(sample: DataFrame, extra_terms: dict[str, tuple[bool, int]] |
             near = [x for x in part.column(0).to_pylist() if automaton.edits(x) > 0]
             yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["word"])
 
-    innocent = counts.where("clean > 0").select("word").mapInArrow(confused, "word string").collect()
+    innocent = counts.where("clean > 0").select("word").mapInArrow(trimmed(confused), "word string").collect()
     return terms, {r["word"].encode() for r in innocent}
 
 
@@ -344,7 +344,7 @@ def train(docs: DataFrame, labels: DataFrame, *, extra_terms=None, **options) ->
                 [pa.array([float(g[k]) for g in got], pa.float64()) for k in range(4)]
                 + [part.column("toxic").cast(pa.int32())], names=[*FEATURES, "toxic"])
 
-    rows = sample.mapInArrow(measure, ", ".join(f"{f} double" for f in FEATURES) + ", toxic int")
+    rows = sample.mapInArrow(trimmed(measure), ", ".join(f"{f} double" for f in FEATURES) + ", toxic int")
     got = sorted(tuple(r) for r in rows.collect())  # SAMPLE_ROWS rows of five numbers at most
     x = np.array(got, float).reshape(len(got), 5)
     return ToxicityModel(scanner, fit(x[:, :4], x[:, 4]))
@@ -366,7 +366,7 @@ def with_score(docs: DataFrame, model: ToxicityModel, *, text: str = "text",
             yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*part.schema.names, name])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(trimmed(score), schema)
 
 
 def below(docs: DataFrame, model: ToxicityModel, *, text: str = "text", bound: float = 0.5) -> DataFrame:
