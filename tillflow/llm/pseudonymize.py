@@ -6,14 +6,19 @@ stay digits, check digits stay valid, separators stay where they are.  The permu
 is a Feistel network over mixed radices; where not every string of the format is valid
 it walks on until it meets a valid one.  As it is a permutation under one key, equal
 values get equal pseudonyms in all documents, however they are written (a card with or
-without blanks, a date in any of its notations), and different values different ones.
-Who holds the key can turn them back.
+without blanks, a date in any of its notations, a phone number with +, with 00 or as it is
+written inside the United States, with separators or without), and different values
+different ones.  Who holds the key can turn them back.  A phone number keeps its country's
+calling code, an address of mail its domain.  National numbers of other countries are not
+found: nothing in the text says which country is meant.
 
 How it runs: one pass over the texts, no shuffle; text without a digit, @ or keyword is
 passed over at once.
 
 Defined cases: a null or empty text holds nothing and stays as it is; strings that fail
-validation stay as they are; repeated rows are answered alike; extra columns are kept.
+validation stay as they are; of formats that begin at one place the first in ``FORMATS``
+counts; repeated rows are answered alike; an empty table gives an empty one; a text of any
+length is read line by line; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -53,6 +58,9 @@ def _round(key: bytes, tweak: bytes, number: int, value: int, size: int) -> int:
 
 def permuted(value: int, a: int, b: int, key: bytes, tweak: bytes, back: bool = False) -> int:
     """A keyed permutation of the numbers below a * b."""
+    if a == 1:  # no second half to mix with: one cycle through all numbers, in a keyed order
+        cycle = sorted(range(b), key=lambda v: _round(key, tweak, v, 0, 1 << 64))
+        return cycle[(cycle.index(value) + (-1 if back else 1)) % b]
     left, right = divmod(value, b)
     rounds = range(ROUNDS)
     sign = -1 if back else 1
@@ -148,18 +156,32 @@ def _ssn(found: str, key: bytes, back: bool) -> str | None:
     return _refilled(found, _digits(d, key, b"ssn", back, _valid_ssn)) if _valid_ssn(d) else None
 
 
+#: Calling codes of one and of two digits; all others have three.
+_SHORT_CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()
+
+
+def calling_code(digits: str) -> str:
+    """The country's code that an international number begins with: no code begins another."""
+    return next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3])
+
+
 def _phone(found: str, key: bytes, back: bool) -> str | None:
     plain = found.replace("(0)", "\0")  # dialled inside the country only: not of the number
     d = _only_digits(plain)
+    prefix = "00" if d.startswith("00") and not found.startswith("+") else ""
+    d = d[len(prefix):]
     if not 8 <= len(d) <= 15:
         return None
-    # The country code stays; of a number without one nothing does.
-    m = re.match(r"\+(\d{1,3}?)(?=[ .(-])", found) or re.match(r"\+(\d)", found)
-    lead = m[1] if m else ""
-    own = d[len(lead):]
+    # Without a code it is a number of country 1: ten digits, or a 1 before them.
+    shown = calling_code(d) if found[0] == "+" or prefix or len(d) == 11 else ""
+    code, own = shown or "1", d[len(shown):]
+    if len(own) < 4:
+        return None
     national = lambda x: len(x) != 10 or x[0] not in "01"  # noqa: E731  an area code
     keep = national if national(own) else lambda x: not national(x)
-    return _refilled(plain, lead + _digits(own, key, b"phone" + lead.encode(), back, keep)).replace("\0", "(0)")
+    new = _digits(own, key, b"phone" + code.encode(), back, keep)
+    return _refilled(plain, prefix + shown + new).replace("\0", "(0)")
 
 
 def _octets(text: str) -> bool:
@@ -223,7 +245,15 @@ def _hexadecimal(text: str) -> bool:
     return not text.isdigit() and text in (text.lower(), text.upper()) and all(ch in HEX for ch in text.lower())
 
 
+def _git_token(found: str, key: bytes, back: bool) -> str:
+    kinds = [DIGITS if ch in DIGITS else LOWER if ch in LOWER else UPPER for ch in found[4:]]
+    return found[:4] + permuted_string(found[4:], kinds, key, b"git", back)
+
+
 def _secret(found: str, key: bytes, back: bool) -> str | None:
+    git = re.fullmatch(f"({_GIT})([^A-Za-z0-9]*)", found)
+    if git:  # the same value as without a keyword
+        return _git_token(git[1], key, back) + git[2]
     own = "".join(ch for ch in found if ch.isascii() and ch.isalnum())
     if len(own) < 8:
         return None
@@ -245,17 +275,22 @@ def _access_key(found: str, key: bytes, back: bool) -> str | None:
 #: free white space, and quotes.
 _KEYWORDS = r"(?i:password|passwd|token|secret|api_key)"
 _ACCESS = r"(?:AKIA|ASIA)"
+#: Tokens of hosted repositories.
+_GIT = r"gh[opsu]_[A-Za-z0-9]{36}"
 _BEFORE = {"secret": _KEYWORDS + r"[\"']?[ \t]*(?::?=(?![=])>?|:(?![:=]))[ \t]*[\"']?"}
 
 FORMATS: dict[str, tuple[str, Callable]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]*[A-Za-z0-9][._%+-]*"
               r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     "access_key": (r"(?<![A-Za-z0-9])" + _ACCESS + r"[0-9A-Z]{16}(?![A-Za-z0-9])", _access_key),
+    "git_token": (r"(?<![A-Za-z0-9_])" + _GIT + r"(?![A-Za-z0-9_])", _git_token),
     "secret": (r"(?<=[\"'])[^\s\"']{8,}|(?<![\"'])[^\s\"'<>&;,]{8,}", _secret),
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     "phone": (r"(?<![\w+])(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
               r"|\+[2-9]\d{0,2}(?:[ .-]?\(0\))?[ .-]?(?:\(?\d{2,4}\)?|\d)(?:[ .-]?\(?\d{2,4}\)?){1,4}(?!\d)|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
-              r"|\d{3}[.-]\d{3}[.-]\d{4}(?!\d))", _phone),
+              r"|(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}(?!\d)|1[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+              r"|00[2-9]\d{0,2}[ .-](?:\(0\)[ .-]?)?(?:\(?\d{2,4}\)?|\d)(?:[ .-]?\(?\d{2,4}\)?){1,4}(?!\d)"
+              r"|001[ .-]\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d))", _phone),
     "card": (r"(?<![\w.])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{5})(?![\w])", _card),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     "date": (r"(?<![\w./-])(?:\d{4}([-/.])\d{2}\3\d{2}|\d{1,2}([./-])\d{1,2}\4\d{4})(?![\w/-]|\.\d)", _date),
@@ -280,7 +315,7 @@ def _pattern() -> re.Pattern:
 
 _FOUND = _pattern()
 #: Every format holds a digit, an @ or one of its words.
-_HINT = re.compile(rf"[0-9@]|{_ACCESS}|{_KEYWORDS}")
+_HINT = re.compile(rf"[0-9@]|{_ACCESS}|gh[opsu]_|{_KEYWORDS}")
 
 
 def pseudonymized(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, list[tuple[str, int, int]]]:
