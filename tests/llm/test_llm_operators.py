@@ -354,6 +354,53 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert {r["doc_id"] for r in near_text.without_near_duplicates(docs).collect()} == set(want.values())
 
 
+def test_short_texts_of_one_class_share_a_key():
+    rnd = random.Random(23)
+    hashes = near_text.WordHashes()
+    tried = 0
+    for _ in range(6000):
+        n = rnd.randrange(1, 25)
+        a = [b"w%d" % rnd.randrange(rnd.choice((4, 30, 1000))) for _ in range(n)]
+        b = list(a)
+        for _ in range(rnd.choice((1, 1, 2))):
+            at = rnd.choice((0, len(b) - 1, rnd.randrange(max(1, len(b)))))
+            edit = rnd.randrange(3)
+            b[at:at + (edit < 2)] = [b"x%d" % rnd.randrange(50)] if edit else []
+            if not b:
+                b = list(a)
+        x, y = (near_text.labelled_kmers(hashes(w)) for w in (a, b))
+        both = len(np.intersect1d(x, y))
+        if both < 0.8 * (len(x) + len(y) - both) - 1e-9 or max(len(x), len(y)) > near_text.SHORT:
+            continue
+        tried += a != b
+        assert set(near_text.short_keys(x).tolist()) & set(near_text.short_keys(y).tolist())
+        assert len(near_text.short_keys(x)) <= 35
+    assert tried > 400
+
+
+def test_near_duplicates_of_nine_words_are_all_found(spark):
+    """Nine words against the first eight of them: similarity 0.8."""
+    rnd = random.Random(29)
+    rows = []
+    for k in range(3000):
+        w = [f"{rnd.choice('abcdefgh')}{rnd.randrange(10 ** 6)}" for _ in range(9)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:8]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_text.near_duplicate_report(docs).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_copies_of_a_text_stay_in_their_task(spark):
+    docs = spark.range(4000).selectExpr("4000 - id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'one text of many copies here' "
+                                        "ELSE concat('text ', id, ' of its own words') END AS text").coalesce(1)
+    sent = near_text.first_copies(docs, "doc_id", "text")
+    falling = sent.where("_text LIKE 'one%'").count()  # ids fall, each may be the lowest
+    rising = near_text.first_copies(docs.sortWithinPartitions("doc_id"), "doc_id", "text").where("_text LIKE 'one%'").count()
+    assert (falling, rising) == (1334, 1)
+    one = near_text.without_near_duplicates(docs).where("text LIKE 'one%'").collect()
+    assert [r["doc_id"] for r in one] == [1]
+
+
 # 7 ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("cell, block", [(8192, 4096), (20, 7)])

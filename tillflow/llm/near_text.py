@@ -6,9 +6,13 @@ of ``SKETCHES`` hash functions the ``TAKEN`` labelled k-mers of least hash are t
 and kept in text order: the sketch.  Documents that agree in a sketch are candidates.
 Two documents are linked if the Jaccard similarity of their labelled k-mers is at
 least 0.8 and a banded alignment of their words finds an edit similarity of at least
-0.8.  At similarity 0.8 a pair is missed with probability (1 - 0.8^4)^24 < 4e-6.
+0.8.  A pair of similarity 0.8 agrees in no sketch with probability below 1e-5 if its
+longer text has more than ``SHORT`` k-mers (4e-6 for long texts).  Among shorter ones,
+where sketches miss more, no pair is missed: they also enter by every ``SUBSET`` of the
+least k-mers of which two texts of that similarity must share as many.
 
-How it runs: equal word sequences are one text, represented once.  Agreement in any
+How it runs: equal word sequences are one text, represented once; of its copies a task
+sends on only those that could be the one that stays.  Agreement in any
 sketch joins texts into loose groups (by stars, so rows grow with the texts).  Each
 loose group is checked in full: it is split into blocks of bounded size, each pair of
 blocks is a task, all pairs of a task are compared by k-mers, and those that are not
@@ -18,13 +22,17 @@ group is expanded into its pairs.
 
 Defined cases: a null, empty or wordless text is a class of its own; fewer than five
 words are one k-mer; the class id is the lowest doc_id of the class (null if all are
-null); equal rows are of one class; extra columns are kept.
+null); equal rows are of one class, of which one stays; an empty table gives an empty one;
+a text of any length is sketched in parts of bounded memory; extra columns are kept, and
+columns may have any names.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +46,10 @@ from tillflow.llm.components import connected_components
 K = 5
 SKETCHES, TAKEN = 24, 4
 SIMILARITY = 0.8
+#: Texts of so many k-mers at most are found by exact keys, of so many k-mers each.
+SHORT, SUBSET = 20, 3
+#: Texts that a task remembers, to pass over their copies.
+REMEMBERED = 200_000
 #: What a word is made of (see ``common.WORD_BYTES``).
 WORD_CHARACTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Texts of a block, on average: a task compares two blocks.
@@ -119,6 +131,29 @@ def order_sketches(kmers: np.ndarray, sketches: int = SKETCHES, taken: int = TAK
     return out.view(np.int64)
 
 
+@cache
+def _subsets(prefix: int, size: int) -> np.ndarray:
+    return np.array(list(combinations(range(prefix), size)), np.int64)
+
+
+def short_keys(kmers: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Keys of which any two short texts of that similarity share one.
+
+    Such texts have ``least`` k-mers in common, as many as the similarity takes of the
+    longer one.  The first ``SUBSET`` of them, in order of their hashes, are among the
+    first n - least + ``SUBSET`` of a text of n."""
+    n = len(kmers)
+    if not 0 < n <= SHORT:
+        return np.zeros(0, np.int64)
+    least = int(np.ceil(similarity * n - 1e-9))
+    size = min(SUBSET, least)
+    first = np.sort(kmers)[:n - least + size]
+    key = np.full(1, _GOLD, np.uint64)
+    for column in _subsets(len(first), size).T:
+        key = _mixed(key * _MIX + first[column])
+    return key.view(np.int64)
+
+
 def edit_distance_within(a, b, most: int) -> int:
     """Edits (insert, delete, replace) between two sequences, or -1 if over ``most``.
 
@@ -166,26 +201,47 @@ def _sketch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key is None or key in done:  # a copy seen in this task: its first has the sketch
                 sketches.append(None)
                 continue
-            if len(done) < 200_000:
+            if len(done) < REMEMBERED:
                 done.add(key)
-            sketches.append(order_sketches(labelled_kmers(hashes(w))))
+            kmers = labelled_kmers(hashes(w))
+            sketches.append(np.concatenate((order_sketches(kmers), short_keys(kmers))))
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))],
             names=["doc_id", "key", "sketches"])
 
 
-def _keyed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_copies(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the key of ``_text``, and passes over copies of a text of which this task gave
+    out one of an id as low: neither the text nor the lowest id of a class is lost."""
+    lowest: dict[bytes, int | None] = {}
     for part in parts:
-        keys = [text_key(words(cell.as_py())) for cell in part.column("_text")]
-        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())],
-                                         names=[*part.schema.names, "_key"])
+        taken, keys = [], []
+        for at, (cell, id_) in enumerate(zip(part.column("_text"), part.column("_id").to_pylist())):
+            key = text_key(words(cell.as_py()))
+            if key is None:
+                continue
+            if key in lowest:
+                before = lowest[key]
+                if id_ is None or before is not None and before <= id_:
+                    continue
+                lowest[key] = id_
+            elif len(lowest) < REMEMBERED:
+                lowest[key] = id_
+            taken.append(at)
+            keys.append(key)
+        if taken:
+            part = part.take(pa.array(taken, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())],
+                                             names=[*part.schema.names, "_key"])
 
 
-def with_key(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` as a struct ``_row``, with ``_text`` and ``_key``."""
+def first_copies(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` as a struct ``_row``, with ``_id``, ``_text`` and ``_key``, without rows that
+    have no words and without most copies (see ``_first_copies``)."""
     own = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"),
-                      col(text).cast("string").alias("_text"))
-    return own.mapInArrow(trimmed(_keyed), T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
+                      col(doc_id).cast("bigint").alias("_id"), col(text).cast("string").alias("_text"))
+    return own.mapInArrow(trimmed(_first_copies),
+                          T.StructType([*own.schema.fields, T.StructField("_key", T.BinaryType())]))
 
 
 # -- checking loose groups ---------------------------------------------------------
@@ -274,7 +330,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     sizes = loose.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     loose = (loose.join(sizes, "component")
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    texts = with_key(own, "text").select("_key", "_text")
+    texts = first_copies(own, "doc_id", "text").select("_key", "_text")
     one_each = (loose.join(texts, F.col("node") == F.col("_key"))
                 .groupBy("node", "component", "blocks", "block").agg(F.first("_text").alias("text")))
     # Each text meets every block of its group: its own, and one task for each other.
@@ -303,8 +359,8 @@ def without_near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: st
     the class, one); wordless documents stay."""
     _, texts = classes(docs, doc_id=doc_id, text=text)
     alone = docs.where(~F.coalesce(col(text).cast("string").rlike(WORD_CHARACTER), F.lit(False)))
-    one = (with_key(docs, text).where("_key IS NOT NULL")
+    one = (first_copies(docs, doc_id, text).select("_row", "_id", "_key")
            .join(texts.withColumnRenamed("key", "k"), F.col("_key") == F.col("k"))
-           .where(F.col("_row").getField(doc_id).cast("bigint").eqNullSafe(F.col("class_id")))
+           .where(F.col("_id").eqNullSafe(F.col("class_id")))
            .dropDuplicates(["class_key"]).select("_row.*"))
     return one.unionByName(alone)
