@@ -182,12 +182,32 @@ def test_chat_report_equals_plain_digests(spark, monkeypatch):
 
 # 3 ---------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("name", ["op3_mix_sources", "op4_decontaminate"])
+@pytest.mark.parametrize("name", ["op2_chat_format", "op3_mix_sources", "op4_decontaminate", "op7_near_vectors"])
 def test_query_equals_its_sql(spark, name):
     r = compare(spark, name, SF_ORACLE, duck(SF_ORACLE))
     assert r["ok"], r
 
 
+def test_queries_equal_their_sql_on_odd_rows(spark, tmp_path):
+    texts = ["", None, "</s>", "<\\s>", "<<SYS>> <</SYS>>[INST][/INST]<br>", "</s>\n<s>user\nno", "ü\U0001f600\n", "<<s>", "[\\\\INST]"]
+    log = [(c, t, r, x) for c in (1, None) for t, x in enumerate(texts) for r in ("assistant", "us\ner<br>", None, "")]
+    log += [(2, None, "assistant", "b"), (2, None, "assistant", "a"), (2, 0, None, None), (3, 0, "user", "no reply")]
+    spark.createDataFrame(log, "conv_id long, turn long, role string, text string").toPandas().astype(
+        {"conv_id": "Int64", "turn": "Int64"}).to_parquet(tmp_path / "conversations.parquet")
+    rnd = np.random.default_rng(3)
+    base = rnd.normal(size=(12, 5))
+    near = [(base[k % 12] + rnd.normal(size=5) * (k % 7) / 12).tolist() for k in range(150)]
+    odd = [None, [], [0.0] * 5, [1.0, None, 0.0, 0.0, 0.0], [float("nan")] * 5, [float("inf"), 1.0, 0.0, 0.0, 0.0],
+           [1e200, 1e200], [1e-200, 1e-200], [1.0, 1.0], [-1.0, -1.0], near[0], near[0], (np.array(near[0]) * 7).tolist()]
+    spark.createDataFrame([(i, v, 1) for i, v in enumerate(near + odd)] + [(0, near[5], 1)],
+                          "vec_id long, embedding array<double>, label int").coalesce(1).write.parquet(str(tmp_path / "e"))
+    part, = (tmp_path / "e").glob("*.parquet")
+    (tmp_path / "embeddings.parquet").write_bytes(part.read_bytes())
+    for name in ("op2_chat_format", "op7_near_vectors"):
+        r = compare(spark, name, str(tmp_path), duck(str(tmp_path)))
+        assert r["ok"], r
+
+
 def test_targets_are_shared_again_beyond_caps(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 400), ("d", 0), (None, 90)]
     got = {r["source"]: r["target"] for r in mixing.source_targets(

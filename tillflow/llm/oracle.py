@@ -99,3 +99,41 @@ rows AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows)
 SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+#: Characters that escaping adds: one for each control string of the template.
+_ADDED = r"len(regexp_extract_all({}, '[<\[]\\*(?:/?s>|/?INST\]|</?SYS>>|br>)'))"
+
+ORACLES["op2_chat_format"] = rf"""
+WITH log AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (SELECT conv_id::BIGINT AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM log)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<s>') + length(role) + {_ADDED.format("role")} + 3 * (length(role) - length(replace(role, chr(10), '')))
+      + 1 + length(text) + {_ADDED.format("text")} + length('</s>') + 1)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+# Vectors are divided by their largest component, so that no square overflows or vanishes.
+ORACLES["op7_near_vectors"] = """
+WITH RECURSIVE given AS (SELECT row_number() OVER () AS r, vec_id::BIGINT AS vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+scaled AS (
+  SELECT r, vec_id, [x / list_max([abs(y) for y in v]) for x in v] AS v
+  FROM given WHERE len(v) > 0 AND list_count(v) = len(v) AND list_bool_and([isfinite(x) for x in v])
+    AND list_max([abs(x) for x in v]) > 0),
+units AS (SELECT r, vec_id, [x / sqrt(list_dot_product(v, v)) for x in v] AS v FROM scaled),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM units a JOIN units b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_dot_product(a.v, b.v) END >= 0.9),
+reach AS (
+  SELECT DISTINCT a AS r, a AS other FROM links
+  UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.other = links.a),
+lowest AS (SELECT reach.r, min(given.vec_id) AS component_id FROM reach JOIN given ON reach.other = given.r GROUP BY reach.r),
+counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links,
+  CASE WHEN n IS NULL THEN vec_id ELSE component_id END AS component_id,
+  vec_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN vec_id ELSE component_id END AS kept
+FROM given LEFT JOIN counts USING (r) LEFT JOIN lowest USING (r)"""
