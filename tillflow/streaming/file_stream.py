@@ -41,7 +41,7 @@ from tillflow.functions.expressions import month_of
 from tillflow.operators.ledger import close_events, open_events, write_events
 from tillflow.operators.monthly_sums import MonthlyMart
 from tillflow.plans import sinks as S
-from tillflow.plans.scratch import path_exists, remove_path
+from tillflow.plans.scratch import CODEC, path_exists, remove_path
 from tillflow.plans.sinks import in_months, months_in, refresh_months
 from tillflow.schema import SALES_SCHEMA
 from tillflow.sources import files as FS
@@ -68,7 +68,8 @@ FACTS_SCHEMA = T.StructType(SALES_SCHEMA.fields + [
 
 
 def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+     .partitionBy(*by).parquet(path))
 
 
 def touched_facts(spark: SparkSession, out: str, months: list[str | None]) -> DataFrame:
@@ -129,7 +130,7 @@ def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, mont
         ledger = f"{out}/ledger"
         write_events(open_events(accepted, F.current_timestamp(), run_id, seq=1), ledger)
         stage = f"{out}/staged/batch_id={batch_id}"
-        FS.stage(lines, files).write.mode("overwrite").parquet(stage)
+        FS.stage(lines, files).write.mode("overwrite").option("compression", CODEC).parquet(stage)
         staged = spark.read.parquet(stage)
         _replace_partitions(FS.quarantine(files, staged).withColumn("batch_id", F.lit(batch_id)),
                             f"{out}/quarantine", "batch_id", "reason")
