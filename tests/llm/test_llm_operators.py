@@ -707,6 +707,49 @@ def test_near_copied_lines_go_however_long(spark, monkeypatch):
     assert got == want and sum(map(len, want.values())) > 50
 
 
+def test_rarest_grams_of_near_copies_meet_in_any_order():
+    rnd = random.Random(21)
+    met = 0
+    for _ in range(800):
+        n = rnd.choice([9, 10, 11, 18, 19, 20, 27, 40, 81, 90, 120])
+        a = [rnd.choice("the of and in to w1 w2 w3 w4 w5 w6 w7 w8".split()) for _ in range(n)]
+        b = word_edited(rnd, a, rnd.randint(0, n // 10 + 1))
+        most = max(len(a), len(b)) // 10
+        if a == b or near_text.edit_distance_within(a, b, most) < 0:
+            continue
+        e = line_dedup.WordEntries()
+        add = lambda: [e._add(" ".join(x).encode(), k, 0) for k, x in enumerate((a, b), 1)]
+        add()
+        common = np.unique(e.whole()[0])[::2]
+        add()
+        keys, ids = e.rarest(common, np.array([rnd.randrange(9) for _ in common]))
+        assert set(keys[ids == 1]) & set(keys[ids == 2]), (a, b)
+        assert (ids == 1).sum() <= line_dedup.enough(len(a))
+        met += 1
+    assert met > 250
+
+
+def test_a_phrase_of_many_lines_pairs_none_of_them(spark, monkeypatch):
+    """Lines that share a passage and are not similar meet in blocks of one passage at first,
+    then only where they share something rare: rows in proportion to the lines, not blocks."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "MET", 1)
+    monkeypatch.setattr(line_dedup, "COUNTED", 1)
+    rnd = random.Random(22)
+    passage = " ".join(f"s{k}" for k in range(12))
+    words = lambda n: " ".join(f"u{rnd.randrange(10 ** 6)}" for _ in range(n))
+    lines = [f"{words(20)} {passage} {words(20)}" for _ in range(120)]
+    near = lines[5].rsplit(" ", 2)[0] + " other end"
+    df = spark.createDataFrame(list(enumerate([*lines, near])), "doc_id long, text string")
+    made, blocked = [], line_dedup._blocked
+    monkeypatch.setattr(line_dedup, "_blocked", lambda *a: made.append(blocked(*a)) or made[-1])
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(df.repartition(4)).collect()}
+    assert got == {i: [0] if i == 120 else [] for i in range(121)}
+    windows, rare = made
+    assert windows.where("wide").select("line").distinct().count() == 121
+    assert {r["n"] for r in rare.groupBy("segment").count().withColumnRenamed("count", "n").collect()} == {2}
+
+
 @pytest.mark.parametrize("write", ["{k}={v}", '{k} = "{v}"', "{k}:{v}", '"{k}": "{v}"', "{k}  =  '{v}'", "{k} => {v}", "{k}\t: {v}"])
 def test_secrets_in_any_case_and_spacing(write):
     value = "9233a8ecf7c5b09f"

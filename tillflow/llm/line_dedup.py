@@ -27,9 +27,12 @@ fuller bitmap lets more lines through to the exact join), and sketched: size and
 histograms.  Of the lines that share a hash only sketches move; pairs whose sketches allow
 similarity are made distinct, and the texts of these pairs alone are compared, each pair
 once.  A hash that many lines share (of hashes that the same lines share, one is enough) is
-split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there; lines that
-are not similar to it meet all blocks of like size, and those with candidates still, but no similar
-line, all candidates (of like size): so a group of similar lines costs pairs in proportion to its lines.
+split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there.  Lines
+that are not similar to it meet all blocks of like size, or, where a hash of words has over
+``MET`` times ``BLOCK`` lines, those that share one of their rarest ``GRAM`` words
+(:func:`enough`), whatever number shares the frequent ones, and those with candidates still, but no similar line, all
+candidates: so neither a group of similar lines nor a phrase in many lines costs pairs
+beyond proportion to its lines.
 Decisions are by line digest and document; texts move only where documents are rewritten.
 
 Defined cases: a null text has no line; blank lines are never removed; documents of
@@ -53,8 +56,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import batches, col, settle, trimmed, tuples, written
+from tillflow.llm.common import batches, col, settle, trimmed, tuples
 from tillflow.llm.near_text import edit_distance_within
+from tillflow.plans.scratch import kept
 
 EDITS = 2
 #: An edited word is allowed for so many words of the longer line.
@@ -69,6 +73,11 @@ BY_WORDS = 2 * EDITS * WORDS_AN_EDIT + EDITS
 BITMAP_BITS = 1 << 26
 #: Lines of a block, on average, where many share a segment.
 BLOCK = 256
+#: Blocks of lines that share words up to which an open line meets them all; so many blocks of
+#: open lines meet the others at once.
+MET = 4
+#: Frequent grams that are told apart, by their counts in one of so many lines.
+COMMON, COUNTED = 1 << 18, 8
 LAST = (1 << 63) - 1
 
 INDEX, PROBE, WORDS = 0, 1, 2
@@ -172,6 +181,14 @@ def whole_run(n: int) -> int:
     return min(-(-(m - word_edits(m)) // (word_edits(m) + 1)) for m in range(n, n + 2 * WORDS_AN_EDIT))
 
 
+def enough(n):
+    """Grams, the first in one order of all grams, of which a line of ``n`` words shares one
+    with every line within its edits.  The longest of those has n + n // 9 words and n // 9
+    edits, and an edit takes ``GRAM`` grams at most; of the grams that stay the first one
+    comes after no more than those in either line."""
+    return GRAM * (n // (WORDS_AN_EDIT - 1)) + 1
+
+
 _WINDOWS = np.array([0] * (WORDS_AN_EDIT - 1) + [whole_run(n) - GRAM + 1 for n in range(WORDS_AN_EDIT - 1, 1000)])
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -220,18 +237,16 @@ class WordEntries:
         self.sizes.append(size)
         self.chars += len(line) + 1
 
-    def taken(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, line) of the entries of the lines gathered; their hashes are odd."""
+    def _grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the lines gathered: the hash (odd) of the gram that begins at each word, the
+        number of each word's line, and words and ids of the lines."""
         data = np.frombuffer(b"\n".join(self.lines) + b"\n", np.uint8) if self.lines else np.zeros(0, np.uint8)
         ids, sizes = np.array(self.ids, np.int64), np.array(self.sizes, np.int64)
         length = np.array([len(x) + 1 for x in self.lines], np.int64)
         self.lines, self.ids, self.sizes, self.chars = [], [], [], 0
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
         space = _SPACE[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([True], space))))
         begin, end = edge[::2], edge[1::2]
-        if len(begin) < GRAM:
-            return none
         if len(data) > len(self.powers):
             self.powers, self.back = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * self.powers[:len(data)], dtype=np.uint64)))
@@ -239,12 +254,21 @@ class WordEntries:
         line = np.repeat(np.arange(len(ids)), length)[begin]
         n = np.bincount(line, minlength=len(ids))
         n = np.where(sizes > 0, sizes, n)
-        window = _WINDOWS[np.minimum(n, len(_WINDOWS) - 1)][line]
-        grams = len(word) - GRAM + 1
+        grams = max(0, len(word) - GRAM + 1)
         gram = np.zeros(grams, np.uint64)
         for j in range(GRAM):
             gram += word[j:j + grams] * _PLACES[j]
-        least = gram = _mixed(gram) | np.uint64(1)
+        return _mixed(gram) | np.uint64(1), line, n, ids
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, line) of the entries of the lines gathered; their hashes are odd."""
+        gram, line, n, ids = self._grams()
+        grams = len(gram)
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not grams:
+            return none
+        window = _WINDOWS[np.minimum(n, len(_WINDOWS) - 1)][line]
+        least = gram
         found, of = [], []
         for w in range(1, int(window.max()) + 1):
             if w > 1:
@@ -259,6 +283,29 @@ class WordEntries:
                 of.append(ids[own[new]])
         return (np.concatenate(found).view(np.int64), np.concatenate(of)) if found else none
 
+    def whole(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, number of the line, words of the line) of every gram of the lines gathered."""
+        gram, line, n, _ = self._grams()
+        at = np.flatnonzero(line[:len(gram)] == line[GRAM - 1:]) if len(gram) else np.zeros(0, np.int64)
+        return gram[at], line[at], n[line[at]]
+
+    def rarest(self, common: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, line) of the :func:`enough` rarest grams of each line gathered.  ``common``
+        (sorted) are frequent grams, ``often`` how frequent; others are rarer, by hash."""
+        ids = np.array(self.ids, np.int64)
+        gram, line, n = self.whole()
+        rank = np.zeros(len(gram), np.int64)
+        if len(common):
+            at = np.minimum(np.searchsorted(common, gram), len(common) - 1)
+            rank = np.where(common[at] == gram, often[at], 0)
+        order = np.lexsort((gram, rank, line))
+        gram, line, n = gram[order], line[order], n[order]
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (line[1:] != line[:-1])
+        gram, line, n = gram[new], line[new], n[new]
+        few = np.arange(len(line)) - np.searchsorted(line, line) < enough(n)
+        return gram[few].view(np.int64), ids[line[few]]
+
 
 # -- candidates and their verification ------------------------------------------------
 
@@ -478,8 +525,7 @@ def _found_lines(bitmap) -> object:
                 for line in set(_lines(text)):
                     if len(line) >= FUZZY_CHARS:
                         h1, h2 = digest(line)
-                        at = h1 & (BITMAP_BITS - 1)
-                        if bits[at >> 3] >> (at & 7) & 1:
+                        if _has(bits, h1):
                             yield h1, h2, doc, line
 
         yield from batches(rows(), schema, 10_000)
@@ -487,6 +533,11 @@ def _found_lines(bitmap) -> object:
     return scan
 
 
+def _has(bits: np.ndarray, number: int) -> bool:
+    at = number & (BITMAP_BITS - 1)
+    return bool(bits[at >> 3] >> (at & 7) & 1)
+
+
 def bitmap_of(lines: DataFrame, name: str = "line") -> bytes:
     """A bitmap of the numbers in a column, modulo ``BITMAP_BITS``."""
     at = F.pmod(F.col(name), F.lit(BITMAP_BITS))
@@ -494,7 +545,7 @@ def bitmap_of(lines: DataFrame, name: str = "line") -> bytes:
     pieces = (lines.select(F.floor(at / size).cast("int").alias("piece"), (at % size).cast("bigint").alias("bit"))
               .groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits")))
     out = bytearray(BITMAP_BITS // 8)
-    for r in pieces.toLocalIterator():  # at most BITMAP_BITS / 32,768 rows of 4 KB
+    for r in pieces.collect():  # in one job; at most BITMAP_BITS / 32,768 rows of 4 KB
         out[r["piece"] * 4096:(r["piece"] + 1) * 4096] = r["bits"]
     return bytes(out)
 
@@ -558,14 +609,88 @@ def _verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["late1", "late2", "similar"])
 
 
+def _counted_grams(chosen) -> object:
+    """Task: rows (line, text) -> (gram, n): grams of one in ``COUNTED`` of the lines chosen,
+    summed as far as a bounded memory goes."""
+    schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
+
+    def count_grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(chosen.value, np.uint8)
+        gathered = WordEntries()
+
+        def taken() -> pa.RecordBatch:
+            gram, line, _ = gathered.whole()
+            gram = np.unique(np.stack([line.astype(np.uint64), gram]), axis=1)[1]  # a line counts once
+            gram, n = np.unique(gram, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n, pa.int64())], schema=schema)
+
+        for own, text in tuples(parts):
+            if own % COUNTED == 0 and _has(bits, own):
+                gathered._add(text.encode("utf-8", "surrogatepass"), own, 0)
+                if gathered.chars >= 4 * CHUNK:
+                    yield taken()
+        yield taken()
+
+    return count_grams
+
+
+def _rare_entries(chosen, late, common) -> object:
+    """Task: rows (line, text) -> (entry, line) of the rarest grams of the lines chosen;
+    those of late lines are index entries, those of others probes."""
+    def enter(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, open_bits = (np.frombuffer(b.value, np.uint8) for b in (chosen, late))
+        known, often = common.value
+        gathered = WordEntries()
+
+        def taken() -> pa.RecordBatch:
+            gram, line = gathered.rarest(known, often)
+            mine = {x: INDEX if _has(open_bits, x) else PROBE for x in np.unique(line).tolist()}
+            # Mixed again: they are no entries of windows.
+            return _entry_batch(_mixed(gram.view(np.uint64)), np.array([mine[x] for x in line.tolist()], np.uint64)
+                                | np.uint64(4), line)
+
+        for own, text in tuples(parts):
+            if _has(bits, own):
+                gathered._add(text.encode("utf-8", "surrogatepass"), own, 0)
+                if gathered.chars >= CHUNK:
+                    yield taken()
+        yield taken()
+
+    return enter
+
+
+def _by_rare_grams(lines: DataFrame, chosen: DataFrame, late: DataFrame) -> DataFrame:
+    """(segment, kind, line): of the lines chosen, those that share one of their rarest
+    grams with a late one.  Two similar lines do (by words), however many lines share
+    the others, so a frequent phrase costs nothing here.  Any order of grams will do: which
+    are frequent is told by counts of a part of the lines, and of the most frequent only."""
+    sc = lines.sparkSession.sparkContext
+    chosen_bits, late_bits = (sc.broadcast(bitmap_of(x)) for x in (chosen, late))
+    texts = lines.select("h1", "text")
+    counts = (texts.mapInArrow(trimmed(_counted_grams(chosen_bits)), "gram bigint, n bigint").groupBy("gram")
+              .agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK // COUNTED)
+              .orderBy(F.desc("n"), "gram").limit(COMMON).collect())
+    gram = np.array([r["gram"] for r in counts], np.int64).view(np.uint64)
+    often = np.array([r["n"] for r in counts], np.int64)
+    order = np.argsort(gram)
+    common = sc.broadcast((gram[order], often[order]))
+    live = kept(texts.mapInArrow(trimmed(_rare_entries(chosen_bits, late_bits, common)), "entry bigint, line bigint")
+                .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
+                .mapInArrow(trimmed(_live), "segment bigint, kind tinyint, line bigint")
+                .select("segment", F.lit(WORDS).cast("tinyint").alias("kind"), "line").distinct(), "line-dedup")
+    for b in (chosen_bits, late_bits, common):
+        b.destroy()
+    return live
+
+
 def _compared(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """(late1, late2, similar): lines with a candidate, and whether one is similar."""
     late, early = (lines.select(F.col("h1").alias(f"{n}1"), F.col("h2").alias(f"{n}2"), F.col("text").alias(f"{n}_text"))
                    for n in ("late", "early"))
     texts = pairs.distinct().join(late, ["late1", "late2"]).join(early, ["early1", "early2"])
-    return written(texts.select("late1", "late2", "late_text", "early_text")
-                   .mapInArrow(trimmed(_verify), "late1 bigint, late2 bigint, similar boolean")
-                   .groupBy("late1", "late2").agg(F.max("similar").alias("similar")))
+    return kept(texts.select("late1", "late2", "late_text", "early_text")
+                .mapInArrow(trimmed(_verify), "late1 bigint, late2 bigint, similar boolean")
+                .groupBy("late1", "late2").agg(F.max("similar").alias("similar")), "line-dedup")
 
 
 def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -574,40 +699,49 @@ def _own(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                        F.xxhash64(t, F.length(t)).alias("version"), t.alias("text"))
 
 
-def similar_lines(own: DataFrame) -> DataFrame:
-    """(h1, h2): every line that has an earlier similar one."""
-    spark = own.sparkSession
-    live = written(own.mapInArrow(trimmed(_entries), "entry bigint, line bigint")
-                   .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
-                   .mapInArrow(trimmed(_live), "segment bigint, kind tinyint, line bigint")
-                   .groupBy("segment", "line").agg(F.min("kind").alias("kind")))
-    bitmap = spark.sparkContext.broadcast(bitmap_of(live))
-    lines = written(own.mapInArrow(trimmed(_found_lines(bitmap)), "h1 bigint, h2 bigint, doc bigint, line string")
-                    .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
-                    .select("h1", "h2", "first", F.col("line").alias("text")).mapInArrow(trimmed(_sketched), _SKETCHED))
+def _blocked(live: DataFrame, lines: DataFrame) -> DataFrame:
+    """Rows of ``live`` in blocks: (segment, kind, line, first, until, size, n, wide, block)."""
     # Segments that the same lines share in the same way give the same pairs: one is enough.
     sizes = (live.groupBy("segment").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("line", "kind")).alias("x"),
                                          F.bit_xor(F.xxhash64("kind", "line")).alias("y"))
              .groupBy("n", "x", "y").agg(F.min("segment").alias("s")).select("s", "n"))
-    slim = lines.select("h1", "h2", "first", "words", "chars", "sketch")
     # Of many lines that share words, those of like size: lines within their edits of words
     # are of one class, or of two next to each other.
     of_size = F.when((F.col("n") > BLOCK) & (F.col("kind") == WORDS), F.floor(
         F.log(F.col("words").cast("double")) / -math.log(1 - 1 / WORDS_AN_EDIT))).otherwise(0)
-    sized = written(live.join(sizes, F.col("segment") == F.col("s"))
-                    .join(lines.select(F.col("h1").alias("line_"), "words").distinct(), F.col("line") == F.col("line_"))
-                    .select("segment", "kind", "line", of_size.cast("int").alias("size")).distinct())
-    counts = sized.groupBy("segment", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    wide_segments = counts.groupBy("segment").agg(F.sum("blocks").alias("all")).where(F.col("all") > 1)
+    own = lines.groupBy(F.col("h1").alias("line_"), "words").agg(F.min("first").alias("first"), F.max("first").alias("until"))
+    sized = kept(live.join(sizes, F.col("segment") == F.col("s")).join(own, F.col("line") == F.col("line_"))
+                 .select("segment", "kind", "line", "first", "until", of_size.cast("int").alias("size")), "line-dedup")
+    counts = sized.groupBy("segment", "size").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("rows"))
+    wide_segments = (counts.groupBy("segment").agg(F.sum("blocks").alias("all"), F.sum("rows").alias("n"))
+                     .where(F.col("all") > 1))
     counts = counts.join(wide_segments, "segment", "left")
-    rows = written(sized.join(counts, ["segment", "size"]).select(
-        "segment", "kind", "line", "size", (F.coalesce("all", F.lit(1)) > 1).alias("wide"),
-        (F.shiftleft(F.col("size").cast("bigint"), 32) + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("block")))
+    return kept(sized.join(counts, ["segment", "size"]).select(
+        "segment", "kind", "line", "first", "until", "size", F.coalesce("n", F.lit(1)).alias("n"), F.col("all").isNotNull().alias("wide"),
+        (F.shiftleft(F.col("size").cast("bigint"), 32) + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("block")),
+        "line-dedup")
+
+
+def similar_lines(own: DataFrame) -> DataFrame:
+    """(h1, h2): every line that has an earlier similar one."""
+    spark = own.sparkSession
+    live = kept(own.mapInArrow(trimmed(_entries), "entry bigint, line bigint")
+                .repartition(F.shiftright("entry", 2)).sortWithinPartitions("entry")
+                .mapInArrow(trimmed(_live), "segment bigint, kind tinyint, line bigint")
+                .groupBy("segment", "line").agg(F.min("kind").alias("kind")), "line-dedup")
+    bitmap = spark.sparkContext.broadcast(bitmap_of(live))
+    lines = kept(own.mapInArrow(trimmed(_found_lines(bitmap)), "h1 bigint, h2 bigint, doc bigint, line string")
+                 .groupBy("h1", "h2", "line").agg(F.min("doc").alias("first"))
+                 .select("h1", "h2", "first", F.col("line").alias("text")).mapInArrow(trimmed(_sketched), _SKETCHED),
+                 "line-dedup")
+    bitmap.destroy()
+    slim = lines.select("h1", "h2", "first", "words", "chars", "sketch")
+    rows = _blocked(live, lines)
     group = ["segment", "i", "j"]
 
     def pairs(dealt: DataFrame, every: bool) -> DataFrame:
         whole = dealt.join(slim, F.col("line") == F.col("h1")).select(
-            *group, "role", "kind", "h1", "h2", "first", "words", "chars", "sketch")
+            *group, "role", "kind", "h1", "h2", slim["first"], "words", "chars", "sketch")
         return (whole.repartition(*group).sortWithinPartitions(*group, "first", "h1", "h2", "role").drop("first")
                 .mapInArrow(trimmed(_candidates(every)), _PAIR))
 
@@ -616,24 +750,26 @@ def similar_lines(own: DataFrame) -> DataFrame:
                        F.lit(3).alias("role"), "kind", "line")
     first = _compared(pairs(here, False), lines)
 
-    def across(late: DataFrame) -> DataFrame:
-        """Rows of the segments of ``late`` (line): those lines against the blocks of like size."""
+    def across(rows: DataFrame, late: DataFrame) -> DataFrame:
+        """Rows of the segments of ``late`` (line): those lines against the blocks of like size,
+        less what stands in no earlier document than any of them."""
         # Those lines are few as a rule: in blocks of their own, they meet few copies of the others.
-        late_rows = rows.join(late, "line", "left_semi").select("segment", "kind", "line", "size")
+        late_rows = rows.join(late, "line", "left_semi").select("segment", "kind", "line", "until", "size")
         own_blocks = late_rows.groupBy(F.col("segment").alias("of"), F.col("size").alias("like")).agg(
-            F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        late_rows = written(late_rows.join(own_blocks, (F.col("segment") == F.col("of")) & (F.col("size") == F.col("like")))
-                            .select("segment", "kind", "line", "size", (
-                                F.shiftleft(F.col("size").cast("bigint"), 32)
-                                + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("i")))
-        like = lambda size: F.explode(F.array(*[F.col(size) + F.lit(d) for d in (-1, 0, 1)]))
-        late_blocks = late_rows.select(F.col("segment").alias("of"), "i", "size").distinct()
-        blocks = rows.select("segment", F.col("block").alias("j"), "size").distinct()
-        late_blocks = late_blocks.withColumn("size", like("size"))
-        met = (late_blocks.join(blocks, (F.col("of") == F.col("segment")) & (late_blocks["size"] == blocks["size"]))
-               .select("of", "i", "j").distinct())
-        met = written(met)
-        early = rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("j"))).select(
+            F.ceil(F.count("*") / (MET * BLOCK)).alias("blocks"))
+        late_rows = kept(late_rows.join(own_blocks, (F.col("segment") == F.col("of")) & (F.col("size") == F.col("like")))
+                         .select("segment", "kind", "line", "until", "size", (
+                             F.shiftleft(F.col("size").cast("bigint"), 32)
+                             + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("i")), "line-dedup")
+        like = F.explode(F.array(*[F.col("size") + F.lit(d) for d in (-1, 0, 1)]))
+        late_blocks = (late_rows.groupBy(F.col("segment").alias("of"), "i", "size").agg(F.max("until").alias("last"))
+                       .withColumn("size", like))
+        blocks = rows.groupBy("segment", F.col("block").alias("j"), "size").agg(F.min("first").alias("begin"))
+        met = kept(late_blocks.join(blocks, (F.col("of") == F.col("segment")) & (late_blocks["size"] == blocks["size"])
+                                    & (F.col("begin") <= F.col("last")))
+                   .select("of", "i", "j", "last").distinct(), "line-dedup")
+        early = rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("j"))
+                          & (F.col("first") <= F.col("last"))).select(
             "segment", "i", "j", F.lit(1).alias("role"), "kind", "line")
         return early.unionByName(late_rows.join(met.withColumnRenamed("i", "block"), (F.col("segment") == F.col("of"))
                                                 & (F.col("i") == F.col("block")))
@@ -646,12 +782,19 @@ def similar_lines(own: DataFrame) -> DataFrame:
             out = out.join(gone, ["line", "h2"], "left_anti")
         return out.select("line")
 
-    # Then lines without a similar one yet, in segments of several blocks, against all blocks.
+    # Then lines without a similar one yet, in segments of several blocks.  Where those are many and
+    # words, such a line meets only those that share one of its rarest grams; else all blocks.
     wide = rows.where("wide").select("line").distinct()
-    second = _compared(pairs(across(still_open(first).join(wide, "line", "left_semi")), False), lines)
+    late = kept(still_open(first).join(wide, "line", "left_semi"), "line-dedup")
+    phrase = F.col("wide") & (F.col("n") > MET * BLOCK) & (F.col("kind") == WORDS)
+    phrased = rows.where(phrase).select("line").distinct()
+    rare = _blocked(_by_rare_grams(lines, phrased, late.join(phrased, "line", "left_semi")), lines)
+    rest = rows.where(~phrase)
+    second = _compared(pairs(across(rest.where("wide").unionByName(rare), late), False), lines)
     # At last, where the earliest candidate was not similar, all candidates of such a line.
     tried = first.unionByName(second).where("not similar").select(F.col("late1").alias("line"))
-    third = _compared(pairs(across(still_open(first, second).join(tried, "line", "left_semi")), True), lines)
+    third = _compared(pairs(across(rest.unionByName(rare), still_open(first, second).join(tried, "line", "left_semi")),
+                            True), lines)
     return (first.unionByName(second).unionByName(third).where("similar")
             .select(F.col("late1").alias("h1"), F.col("late2").alias("h2")).distinct())
 
