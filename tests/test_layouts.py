@@ -6,6 +6,7 @@ import os
 import random
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,3 +116,40 @@ def test_stream_keeps_marts_by_their_sums(spark, tmp_dir):
     before = marts[0].merged(ST.stream_sums(spark, out, marts[0], schema)).orderBy("sales_date_month").collect()
     ST._keep_mart(spark, out, marts[0], sales.limit(1), 3, 1000)
     assert marts[0].merged(ST.stream_sums(spark, out, marts[0], schema)).orderBy("sales_date_month").collect() == before
+
+
+def test_stream_builds_the_months_of_many_batches_once(spark, tmp_dir, monkeypatch):
+    landing, out, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "out", "ckpt"))
+    dims = [spark.createDataFrame([(1, "a", "b", "x", "1", "2")], CUSTOMER_SCHEMA),
+            spark.createDataFrame([(7, "s", "m")], STORE_SCHEMA),
+            spark.createDataFrame([(3, "p", "q", 3, "Y", "x", "1")], SALES_TEAM_SCHEMA)]
+    mart = MS.customer_mart(*dims)
+    built, refresh = [], ST.refresh_months
+
+    def run(refreshed):
+        monkeypatch.setattr(ST, "refresh_months", refreshed)
+        ST.ingest_available_now(spark, landing, out, ckpt, marts=[mart], max_files_per_batch=1, compact_every=2)
+
+    def counted(rows, path, months, month_col):
+        built.append(sorted(months))
+        refresh(rows, path, months, month_col)
+
+    def breaks(*_):
+        raise RuntimeError("lost")
+
+    def land(names):
+        for k in names:
+            with open(os.path.join(landing, f"d{k}.csv"), "w") as f:
+                f.write(f"{','.join(MANDATORY_COLUMNS)}\n1,7,pen,2001-0{k % 2 + 1}-05,3,1.50,2,{k + 1}.00\n")
+
+    os.makedirs(landing)
+    land(range(3))  # three batches; sums are put together after the second
+    with pytest.raises(RuntimeError):
+        run(breaks)
+    run(counted)  # nothing new: what the first run noted
+    land([4])
+    run(counted)
+    run(counted)
+    assert built == [["2001-01", "2001-02"], ["2001-01"]]
+    got = {r["sales_date_month"]: r["total_sales"] for r in spark.read.schema(mart.schema).parquet(f"{out}/{mart.name}").collect()}
+    assert got == {"2001-01": D("9.00"), "2001-02": D("2.00")}

@@ -14,9 +14,11 @@ retail job's staging table.  Each micro-batch runs the batch ingest of
   after it (see ``operators.ledger``), stored per (micro-batch, status), so a
   replay rewrites its own events;
 * a monthly mart is kept by its sums (``operators.monthly_sums``): a micro-batch
-  adds its own by month, and the months it touched are built from the sums of
-  all micro-batches and replaced in ``<out>/<mart>``.  Facts of earlier batches
-  are not read.  Every ``compact_every`` batches the sums so far are put together
+  adds its own by month and notes the months it touched.  When the stream has
+  processed what is there, the months noted are built once from the sums of all
+  micro-batches and replaced in ``<out>/<mart>``, however many batches touched them;
+  months that a broken-off run noted are built by the next one.  Facts of earlier
+  batches are not read.  Every ``compact_every`` batches the sums so far are put together
   into one published snapshot that stands for them, so a month is a bounded
   number of folders however long the stream lives; a batch that is replayed after
   that is already in it and not counted again;
@@ -104,10 +106,7 @@ def _keep_mart(spark: SparkSession, out: str, mart: MonthlyMart, sales: DataFram
     if not path_exists(spark, f"{place}/batches"):
         return
     mine = spark.read.schema(schema).parquet(f"{place}/batches").where(F.col("batch_id") == batch_id)
-    months = months_in(mine, mart.month)
-    if months:
-        touched = stream_sums(spark, out, mart, schema).where(in_months(F.col(mart.month), months))
-        refresh_months(mart.rows(touched), f"{out}/{mart.name}", months, mart.month)
+    _replace_partitions(mine.select(F.col(mart.month).alias("month"), "batch_id").distinct(), f"{place}/touched", "batch_id")
     if (batch_id + 1) % compact_every == 0:
         whole = mart.merged(stream_sums(spark, out, mart, schema)).sort(mart.month)
         S.write_snapshot(whole, f"{place}/base", run_id=batch_id)
@@ -118,6 +117,23 @@ def _keep_mart(spark: SparkSession, out: str, mart: MonthlyMart, sales: DataFram
             remove_path(spark, f"{place}/batches/{mart.month}={month}/batch_id={r[1]}")
 
 
+def _refresh_mart(spark: SparkSession, out: str, mart: MonthlyMart) -> None:
+    """Builds the months that micro-batches noted since the last refresh.  Notes go when the
+    months are replaced, so a refresh that breaks off is done again."""
+    place = f"{out}/{mart.name}_sums"
+    if not path_exists(spark, f"{place}/touched"):
+        return
+    noted = spark.read.schema("month string, batch_id long").parquet(f"{place}/touched").distinct().collect()
+    months = list(dict.fromkeys(r["month"] for r in noted))
+    if not months:
+        return
+    schema = _sums_schema(mart, mart.sums(spark.createDataFrame([], SALES_SCHEMA)))
+    touched = stream_sums(spark, out, mart, schema).where(in_months(F.col(mart.month), months))
+    refresh_months(mart.rows(touched), f"{out}/{mart.name}", months, mart.month)
+    for batch_id in {r["batch_id"] for r in noted}:
+        remove_path(spark, f"{place}/touched/batch_id={batch_id}")
+
+
 def _ingest_batch(spark: SparkSession, out: str, build: MartBuilder | None, month_col: str,
                   marts: Sequence[MonthlyMart], compact_every: int):
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -167,6 +183,8 @@ def ingest_available_now(spark: SparkSession, landing: str, out: str, checkpoint
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    for mart in marts:
+        _refresh_mart(spark, out, mart)
 
 
 def ingested_sales(spark: SparkSession, out: str) -> DataFrame:
