@@ -77,7 +77,7 @@ BLOCK = 256
 #: open lines meet the others at once.
 MET = 4
 #: Frequent grams that are told apart, by their counts in one of so many lines.
-COMMON, COUNTED = 1 << 18, 8
+COMMON, COUNTED = 1 << 17, 8
 LAST = (1 << 63) - 1
 
 INDEX, PROBE, WORDS = 0, 1, 2
@@ -667,11 +667,10 @@ def _by_rare_grams(lines: DataFrame, chosen: DataFrame, late: DataFrame) -> Data
     sc = lines.sparkSession.sparkContext
     chosen_bits, late_bits = (sc.broadcast(bitmap_of(x)) for x in (chosen, late))
     texts = lines.select("h1", "text")
-    counts = (texts.mapInArrow(trimmed(_counted_grams(chosen_bits)), "gram bigint, n bigint").groupBy("gram")
-              .agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK // COUNTED)
-              .orderBy(F.desc("n"), "gram").limit(COMMON).collect())
-    gram = np.array([r["gram"] for r in counts], np.int64).view(np.uint64)
-    often = np.array([r["n"] for r in counts], np.int64)
+    counts = kept(texts.mapInArrow(trimmed(_counted_grams(chosen_bits)), "gram bigint, n bigint").groupBy("gram")
+                  .agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK // COUNTED)
+                  .orderBy(F.desc("n"), "gram").limit(COMMON), "line-dedup").toArrow()  # 2 MB at most
+    gram, often = counts.column("gram").to_numpy().view(np.uint64), counts.column("n").to_numpy()
     order = np.argsort(gram)
     common = sc.broadcast((gram[order], often[order]))
     live = kept(texts.mapInArrow(trimmed(_rare_entries(chosen_bits, late_bits, common)), "entry bigint, line bigint")
