@@ -750,6 +750,55 @@ def test_a_phrase_of_many_lines_pairs_none_of_them(spark, monkeypatch):
     assert {r["n"] for r in rare.groupBy("segment").count().withColumnRenamed("count", "n").collect()} == {2}
 
 
+def test_near_copies_of_a_line_meet_it_and_not_each_other(spark, monkeypatch):
+    """Many copies of a line, each with its own edits: two of them are often not similar, each
+    is to the line they come from.  This one stands in all blocks, so that none is left open."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rnd = random.Random(23)
+    base = [f"b{k}" for k in range(30)]
+    copies = {" ".join(w if k not in edited else f"{w}x{i}" for k, w in enumerate(base))
+              for i in range(60) for edited in [rnd.sample(range(30), 3)]}
+    docs = list(enumerate([" ".join(base), *sorted(copies)]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rounds, compared = [], line_dedup._compared
+    monkeypatch.setattr(line_dedup, "_compared", lambda *a: rounds.append(compared(*a)) or rounds[-1])
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(df.repartition(4)).collect()}
+    assert got == dedup_lines(docs)
+    first, second, third = rounds
+    assert first.where("similar").count() == len(copies) and second.count() == third.count() == 0
+
+
+def test_lines_a_few_characters_apart_meet_by_their_words():
+    """Lines of 20 words and more enter no segments: words find those that differ by characters."""
+    rnd = random.Random(24)
+    met = 0
+    for _ in range(1000):
+        a = " ".join(rnd.choice("aa bb c dd ee ff".split()) for _ in range(rnd.choice([18, 19, 20, 21, 22, 25, 30, 41])))
+        x = list(a)
+        for _ in range(rnd.randint(1, 2)):
+            k = rnd.randrange(len(x) + 1)
+            x[k:k + rnd.randint(0, 1)] = rnd.choice(["", " ", "z"])
+        b = "".join(x).strip()
+        if a == b or max(len(a.split()), len(b.split())) < line_dedup.BY_GRAMS or edit_distance(a, b) > 2:
+            continue
+        e = line_dedup.WordEntries()
+        add = lambda: [e._add(t.encode(), k, 0) for k, t in enumerate((a, b), 1)]
+        add()
+        keys, ids = e.taken()
+        assert set(keys[ids == 1]) & set(keys[ids == 2]), (a, b)
+        add()
+        common = np.unique(e.whole()[0])[::2]
+        add()
+        keys, ids = e.rarest(common, np.array([rnd.randrange(9) for _ in common]))
+        assert set(keys[ids == 1]) & set(keys[ids == 2]), (a, b)
+        words, chars, bins = line_dedup.sketches([a, b], line_dedup.WordHashes())
+        late, _ = line_dedup.near_sketches(np.zeros(2, int), np.full(2, 3), np.full(2, line_dedup.WORDS), np.arange(2),
+                                           words, chars, bins, False)
+        assert len(late) == 1 and line_dedup.similar_texts([(a, b)])[0]
+        met += 1
+    assert met > 250
+
+
 @pytest.mark.parametrize("write", ["{k}={v}", '{k} = "{v}"', "{k}:{v}", '"{k}": "{v}"', "{k}  =  '{v}'", "{k} => {v}", "{k}\t: {v}"])
 def test_secrets_in_any_case_and_spacing(write):
     value = "9233a8ecf7c5b09f"

@@ -17,8 +17,9 @@ For words t grows with the line, and t edits leave one of t + 1 runs of words wh
 run of :func:`whole_run` words.  Of every window of so many words a line enters the
 ``GRAM`` words of least hash; two lines that share the run share that entry.  (A shorter
 line has a smaller window, and enters what larger windows would, and more.)  Candidates
-are verified by the same bit-parallel distance over words.  Lines of ``BY_WORDS`` words enter their words only: two
-edits of characters are within their edits of words.
+are verified by bit-parallel distance over words.  Lines of ``BY_GRAMS`` words enter their words only: two
+edits of characters leave a run of words whole as well, and the windows are no larger than
+that run; of ``BY_WORDS`` words, these edits are within their edits of words.
 
 How it runs: index and probe entries are hashes, sorted by hash in one shuffle; only
 hashes that an index entry and another line share go on (few).  Their lines are found
@@ -27,7 +28,9 @@ fuller bitmap lets more lines through to the exact join), and sketched: size and
 histograms.  Of the lines that share a hash only sketches move; pairs whose sketches allow
 similarity are made distinct, and the texts of these pairs alone are compared, each pair
 once.  A hash that many lines share (of hashes that the same lines share, one is enough) is
-split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there.  Lines
+split into blocks, of lines of like size where it is words.  Every block gives each line its earliest candidate there
+or of the ``FIRST`` first lines of its hash, which stand in all blocks: of a group of near copies
+these are most often the text that the others come from.  Lines
 that are not similar to it meet all blocks of like size, or, where a hash of words has over
 ``MET`` times ``BLOCK`` lines, those that share one of their rarest ``GRAM`` words
 (:func:`enough`), whatever number shares the frequent ones, and those with candidates still, but no similar line, all
@@ -45,10 +48,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -69,13 +69,18 @@ FUZZY_CHARS = 24
 #: An edit of a character edits two words at most (it joins or parts them).  Lines of so
 #: many words, and those within ``EDITS`` of them, are thus within the edits of words.
 BY_WORDS = 2 * EDITS * WORDS_AN_EDIT + EDITS
+#: Of a line of so many words the runs that edits of characters leave whole have a gram, and
+#: lines within ``EDITS`` of it are of its class of size or of one next to it.
+BY_GRAMS = 20
 #: Bits of the bitmap of candidate lines: 8 MB, whatever the input.
 BITMAP_BITS = 1 << 26
 #: Lines of a block, on average, where many share a segment.
-BLOCK = 256
+BLOCK = 1024
 #: Blocks of lines that share words up to which an open line meets them all; so many blocks of
 #: open lines meet the others at once.
-MET = 4
+MET = 1
+#: Lines of a hash, the first ones of some of its blocks, that all its blocks meet.
+FIRST = 4
 #: Frequent grams that are told apart, by their counts in one of so many lines.
 COMMON, COUNTED = 1 << 17, 8
 LAST = (1 << 63) - 1
@@ -181,15 +186,22 @@ def whole_run(n: int) -> int:
     return min(-(-(m - word_edits(m)) // (word_edits(m) + 1)) for m in range(n, n + 2 * WORDS_AN_EDIT))
 
 
+def char_run(n: int) -> int:
+    """As :func:`whole_run`, where ``EDITS`` characters differ and the longer line has
+    ``BY_GRAMS`` words at least: an edit takes two words that stand together at most."""
+    return -(-(max(n, BY_GRAMS) - 2 * EDITS) // (EDITS + 1))
+
+
 def enough(n):
     """Grams, the first in one order of all grams, of which a line of ``n`` words shares one
     with every line within its edits.  The longest of those has n + n // 9 words and n // 9
-    edits, and an edit takes ``GRAM`` grams at most; of the grams that stay the first one
+    edits, and an edit takes ``GRAM`` grams at most (of a character one more, of two words); of the grams that stay the first one
     comes after no more than those in either line."""
-    return GRAM * (n // (WORDS_AN_EDIT - 1)) + 1
+    return np.maximum(GRAM * (n // (WORDS_AN_EDIT - 1)), EDITS * (GRAM + 1)) + 1
 
 
-_WINDOWS = np.array([0] * (WORDS_AN_EDIT - 1) + [whole_run(n) - GRAM + 1 for n in range(WORDS_AN_EDIT - 1, 1000)])
+_WINDOWS = np.array([0] * (WORDS_AN_EDIT - 1) + [min(whole_run(n), char_run(n)) - GRAM + 1
+                                                 for n in range(WORDS_AN_EDIT - 1, 1000)])
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
 _random = np.random.default_rng(8)
@@ -211,6 +223,26 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class WordHashes:
+    """Hashes of the words of many lines at a time."""
+
+    def __init__(self):
+        self.powers = self.back = np.zeros(0, np.uint64)
+
+    def of(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of each word, and the number of its line."""
+        data = np.frombuffer(b"\n".join(lines) + b"\n", np.uint8) if lines else np.zeros(0, np.uint8)
+        length = np.array([len(x) + 1 for x in lines], np.int64)
+        space = _SPACE[data]
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], space))))
+        begin, end = edge[::2], edge[1::2]
+        if len(data) > len(self.powers):
+            self.powers, self.back = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * self.powers[:len(data)], dtype=np.uint64)))
+        return (_mixed((total[end] - total[begin]) * self.back[begin]),
+                np.repeat(np.arange(len(lines)), length)[begin])
+
+
 class WordEntries:
     """Gathers lines, and gives the hashes of the grams that they enter."""
 
@@ -219,7 +251,7 @@ class WordEntries:
         self.ids: list[int] = []
         self.sizes: list[int] = []  # words of the whole line, where this is a piece
         self.chars = 0
-        self.powers = self.back = np.zeros(0, np.uint64)
+        self.hashes = WordHashes()
 
     def add(self, line: bytes, own: int) -> bool:
         """True when it is time to take the entries."""
@@ -240,18 +272,9 @@ class WordEntries:
     def _grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the lines gathered: the hash (odd) of the gram that begins at each word, the
         number of each word's line, and words and ids of the lines."""
-        data = np.frombuffer(b"\n".join(self.lines) + b"\n", np.uint8) if self.lines else np.zeros(0, np.uint8)
         ids, sizes = np.array(self.ids, np.int64), np.array(self.sizes, np.int64)
-        length = np.array([len(x) + 1 for x in self.lines], np.int64)
+        word, line = self.hashes.of(self.lines)
         self.lines, self.ids, self.sizes, self.chars = [], [], [], 0
-        space = _SPACE[data]
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], space))))
-        begin, end = edge[::2], edge[1::2]
-        if len(data) > len(self.powers):
-            self.powers, self.back = _powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data))
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * self.powers[:len(data)], dtype=np.uint64)))
-        word = _mixed((total[end] - total[begin]) * self.back[begin])
-        line = np.repeat(np.arange(len(ids)), length)[begin]
         n = np.bincount(line, minlength=len(ids))
         n = np.where(sizes > 0, sizes, n)
         grams = max(0, len(word) - GRAM + 1)
@@ -312,16 +335,21 @@ class WordEntries:
 BINS, CHAR_BINS = 64, 32
 #: Cells of a matrix of lines compared together.
 CELLS = 1 << 20
+#: Words from which on only the diagonals within the edits are followed.
+BY_LIST = 5000
 
 
-def sketch(line: str) -> tuple[int, int, bytes]:
-    """Words, characters, and how many of each kind (by hash, counts up to 255).  Sketches
-    of lines within their edits differ by two for each edit at most."""
-    words = line.encode("utf-8", "surrogatepass").split()
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
-    bins = np.concatenate([np.bincount([crc32(w) & (BINS - 1) for w in words], minlength=BINS),
-                           np.bincount(codes & (CHAR_BINS - 1), minlength=CHAR_BINS)])
-    return len(words), len(line), np.minimum(bins, 255).astype(np.uint8).tobytes()
+def sketches(lines: list[str], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, characters, and how many of each kind (by hash, counts up to 255) of each line.
+    An edit changes two counts by one at most, or one and the number of words or characters."""
+    words, line = hashes.of([x.encode("utf-8", "surrogatepass") for x in lines])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    chars = np.array([len(x) for x in lines], np.int64)
+    n = len(lines)
+    counts = np.bincount(line * BINS + (words & np.uint64(BINS - 1)).astype(np.int64), minlength=n * BINS)
+    of_chars = np.bincount(np.repeat(np.arange(n), chars) * CHAR_BINS + (codes & (CHAR_BINS - 1)), minlength=n * CHAR_BINS)
+    bins = np.concatenate([counts.reshape(n, BINS), of_chars.reshape(n, CHAR_BINS)], axis=1)
+    return np.bincount(line, minlength=n), chars, np.minimum(bins, 255).astype(np.uint8)
 
 
 def near_sketches(group: np.ndarray, role: np.ndarray, kind: np.ndarray, line: np.ndarray, words: np.ndarray,
@@ -339,16 +367,21 @@ def near_sketches(group: np.ndarray, role: np.ndarray, kind: np.ndarray, line: n
         a = left[(role[left] & 1 > 0) & (role[left + d] & 2 > 0)]
         b = a + d
         by_words = kind[a] == WORDS
-        most = np.where(by_words, np.maximum(words[a], words[b]) // WORDS_AN_EDIT, EDITS)
-        apart = np.abs(np.where(by_words, words[a] - words[b], chars[a] - chars[b]))
-        ok = (apart <= most) & (line[a] != line[b]) & (by_words | (kind[a] == INDEX) | (kind[b] == INDEX))
-        a, b, most, by_words = a[ok], b[ok], most[ok], by_words[ok]
-        for at, part in ((by_words, slice(0, BINS)), (~by_words, slice(BINS, None))):
-            x, y = a[at], b[at]
-            near = np.abs(bins[x, part].astype(np.int16) - bins[y, part]).sum(axis=1) <= 2 * most[at]
-            best[y[near]] = x[near]  # of growing distance: the earliest stays
-            if every:
-                found.append((y[near], x[near]))
+        ok = (line[a] != line[b]) & (by_words | (kind[a] == INDEX) | (kind[b] == INDEX))
+        a, b, by_words = a[ok], b[ok], by_words[ok]
+        longer = np.maximum(words[a], words[b])
+        near = np.zeros(len(a), bool)
+        # Few words or, in lines where these are not so few words, few characters may differ.
+        for of, size, part, most in ((by_words, words, slice(0, BINS), longer // WORDS_AN_EDIT),
+                                     (~by_words | (longer < BY_WORDS), chars, slice(BINS, None), np.full(len(a), EDITS))):
+            apart = np.abs(size[a] - size[b])
+            at = np.flatnonzero(of & ~near & (apart <= most))
+            near[at] = (np.abs(bins[a[at], part].astype(np.int16) - bins[b[at], part]).sum(axis=1)
+                        + apart[at] <= 2 * most[at])
+        a, b = a[near], b[near]
+        best[b] = a  # of growing distance: the earliest stays
+        if every:
+            found.append((b, a))
         d += 1
     if every:
         return tuple(np.concatenate(c) for c in zip(*found)) if found else (best[:0], best[:0])
@@ -387,21 +420,58 @@ def pairs_within(pairs: list[tuple[np.ndarray, np.ndarray]], most: int) -> np.nd
     return out
 
 
+def _parted(x, y) -> tuple:
+    """Two sequences without what both begin with and what both end with: as many edits."""
+    low, least = 0, min(len(x), len(y))
+    while low < least and x[low] == y[low]:
+        low += 1
+    end = 0
+    while end < least - low and x[-1 - end] == y[-1 - end]:
+        end += 1
+    return x[low:len(x) - end], y[low:len(y) - end]
+
+
+def apart_by(x: list, y: list, most: int) -> bool:
+    """Whether two sequences are ``most`` edits apart at most: bit-parallel, one element of y
+    at a time against all of x."""
+    if not x or not y:
+        return max(len(x), len(y)) <= most
+    places: dict = {}
+    for k, w in enumerate(x):
+        places[w] = places.get(w, 0) | 1 << k
+    mask, last = (1 << len(x)) - 1, 1 << (len(x) - 1)
+    vp, vn, dist = mask, 0, len(x)
+    for left, w in zip(range(len(y) - 1, -1, -1), y):
+        pm = places.get(w, 0)
+        d0 = ((((pm & vp) + vp) ^ vp) | pm | vn) & mask
+        hp, hn = (vn | ~(d0 | vp)) & mask, d0 & vp
+        if hp & last:
+            dist += 1
+        elif hn & last:
+            dist -= 1
+        if dist - left > most:
+            return False
+        hp = hp << 1 | 1
+        vp, vn = (hn << 1 | ~(d0 | hp)) & mask, d0 & hp & mask
+    return dist <= most
+
+
 def similar_texts(pairs: list[tuple[str, str]]) -> np.ndarray:
     """Whether the lines of each pair are similar, by characters or by words."""
     out = np.zeros(len(pairs), bool)
-    at = [k for k, (x, y) in enumerate(pairs) if abs(len(x) - len(y)) <= EDITS]
-    codes = [tuple(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) + 1 for t in pairs[k]) for k in at]
-    out[at] = pairs_within(codes, EDITS)
-    number: dict = defaultdict(count(1).__next__)
-    by_edits: dict[int, list] = {}
-    for k in np.flatnonzero(~out).tolist():
-        x, y = (np.array([number[w] for w in t.encode("utf-8", "surrogatepass").split()], np.uint32) for t in pairs[k])
-        most = word_edits(max(len(x), len(y)))
-        if most and abs(len(x) - len(y)) <= most:
-            by_edits.setdefault(most, []).append((k, (x, y)))
-    for most, some in by_edits.items():
-        out[[k for k, _ in some]] = pairs_within([p for _, p in some], most)
+    by_chars = []
+    for k, (x, y) in enumerate(pairs):
+        a, b = (t.encode("utf-8", "surrogatepass").split() for t in (x, y))
+        longer = max(len(a), len(b))
+        most = word_edits(longer)
+        if most and abs(len(a) - len(b)) <= most:
+            a, b = _parted(a, b)
+            out[k] = apart_by(a, b, most) if longer < BY_LIST else edit_distance_within(a, b, most) >= 0
+        if not out[k] and longer < BY_WORDS and abs(len(x) - len(y)) <= EDITS:
+            by_chars.append(k)
+    codes = [tuple(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) + 1 for t in _parted(*pairs[k]))
+             for k in by_chars]
+    out[by_chars] = pairs_within(codes, EDITS)
     return out
 
 
@@ -453,7 +523,7 @@ def _entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 data = line.encode("utf-8", "surrogatepass")
                 if by_words.add(data, own):
                     yield _word_batch(*by_words.taken())
-                if len(data.split(None, BY_WORDS - 1)) >= BY_WORDS:
+                if len(data.split(None, BY_GRAMS - 1)) >= BY_GRAMS:
                     continue
                 if n not in plans:
                     if len(plans) > 50_000:
@@ -555,12 +625,21 @@ _PAIR = "late1 bigint, late2 bigint, early1 bigint, early2 bigint"
 
 
 def _sketched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
     for part in parts:
-        made = [sketch(t) for t in part.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [*part.columns, *[pa.array([m[k] for m in made], kind)
-                              for k, kind in ((0, pa.int32()), (1, pa.int32()), (2, pa.binary()))]],
-            names=[*part.schema.names, "words", "chars", "sketch"])
+        texts = part.column(3).to_pylist()
+        begin = 0
+        while begin < len(texts):  # about CHUNK characters at a time
+            end, held = begin, 0
+            while end < len(texts) and (end == begin or held + len(texts[end]) <= CHUNK):
+                held += len(texts[end])
+                end += 1
+            words, chars, bins = sketches(texts[begin:end], hashes)
+            yield pa.RecordBatch.from_arrays(
+                [*part.slice(begin, end - begin).columns, pa.array(words, pa.int32()), pa.array(chars, pa.int32()),
+                 pa.array([x.tobytes() for x in bins], pa.binary())],
+                names=[*part.schema.names, "words", "chars", "sketch"])
+            begin = end
 
 
 def _candidates(every: bool) -> object:
@@ -668,7 +747,7 @@ def _by_rare_grams(lines: DataFrame, chosen: DataFrame, late: DataFrame) -> Data
     chosen_bits, late_bits = (sc.broadcast(bitmap_of(x)) for x in (chosen, late))
     texts = lines.select("h1", "text")
     counts = kept(texts.mapInArrow(trimmed(_counted_grams(chosen_bits)), "gram bigint, n bigint").groupBy("gram")
-                  .agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK // COUNTED)
+                  .agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK // 4 // COUNTED)
                   .orderBy(F.desc("n"), "gram").limit(COMMON), "line-dedup").toArrow()  # 2 MB at most
     gram, often = counts.column("gram").to_numpy().view(np.uint64), counts.column("n").to_numpy()
     order = np.argsort(gram)
@@ -721,6 +800,19 @@ def _blocked(live: DataFrame, lines: DataFrame) -> DataFrame:
         "line-dedup")
 
 
+def _first_lines(rows: DataFrame) -> DataFrame:
+    """(segment, i, j, role, kind, line): of each hash and size of several blocks, the first
+    lines of its ``FIRST`` earliest blocks, in all blocks of like size."""
+    blocks = rows.where("wide").groupBy("segment", "size", "block").agg(F.min(F.struct("first", "line", "kind")).alias("x"))
+    leading = (blocks.groupBy(F.col("segment").alias("of"), F.col("size").alias("own"))
+               .agg(F.slice(F.sort_array(F.collect_list("x")), 1, FIRST).alias("xs"))
+               .select("of", F.explode(F.array(*[F.col("own") + F.lit(d) for d in (-1, 0, 1)])).alias("like"), "xs"))
+    return (leading.join(blocks, (F.col("of") == F.col("segment")) & (F.col("like") == F.col("size")))
+            .select("segment", "block", F.explode("xs").alias("y"))
+            .select("segment", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(1).alias("role"),
+                    F.col("y.kind").alias("kind"), F.col("y.line").alias("line")))
+
+
 def similar_lines(own: DataFrame) -> DataFrame:
     """(h1, h2): every line that has an earlier similar one."""
     spark = own.sparkSession
@@ -747,31 +839,32 @@ def similar_lines(own: DataFrame) -> DataFrame:
     # First each block by itself, and of the candidates of a line the earliest one.
     here = rows.select(F.col("segment"), F.col("block").alias("i"), F.col("block").alias("j"),
                        F.lit(3).alias("role"), "kind", "line")
-    first = _compared(pairs(here, False), lines)
+    first = _compared(pairs(here.unionByName(_first_lines(rows)), False), lines)
 
     def across(rows: DataFrame, late: DataFrame) -> DataFrame:
         """Rows of the segments of ``late`` (line): those lines against the blocks of like size,
         less what stands in no earlier document than any of them."""
         # Those lines are few as a rule: in blocks of their own, they meet few copies of the others.
         late_rows = rows.join(late, "line", "left_semi").select("segment", "kind", "line", "until", "size")
-        own_blocks = late_rows.groupBy(F.col("segment").alias("of"), F.col("size").alias("like")).agg(
+        own_blocks = late_rows.groupBy(F.col("segment").alias("of")).agg(
             F.ceil(F.count("*") / (MET * BLOCK)).alias("blocks"))
-        late_rows = kept(late_rows.join(own_blocks, (F.col("segment") == F.col("of")) & (F.col("size") == F.col("like")))
-                         .select("segment", "kind", "line", "until", "size", (
-                             F.shiftleft(F.col("size").cast("bigint"), 32)
-                             + F.pmod(F.xxhash64("line"), F.col("blocks"))).alias("i")), "line-dedup")
+        late_rows = kept(late_rows.join(own_blocks, F.col("segment") == F.col("of"))
+                         .select("segment", "kind", "line", "until", "size",
+                                 F.pmod(F.xxhash64("line"), F.col("blocks")).alias("i")), "line-dedup")
         like = F.explode(F.array(*[F.col("size") + F.lit(d) for d in (-1, 0, 1)]))
         late_blocks = (late_rows.groupBy(F.col("segment").alias("of"), "i", "size").agg(F.max("until").alias("last"))
-                       .withColumn("size", like))
+                       .withColumn("size", like).groupBy("of", "i", "size").agg(F.max("last").alias("last")))
         blocks = rows.groupBy("segment", F.col("block").alias("j"), "size").agg(F.min("first").alias("begin"))
+        # A block of late lines has all sizes: a block of one size meets it once, and its lines of like size only.
         met = kept(late_blocks.join(blocks, (F.col("of") == F.col("segment")) & (late_blocks["size"] == blocks["size"])
                                     & (F.col("begin") <= F.col("last")))
-                   .select("of", "i", "j", "last").distinct(), "line-dedup")
+                   .select("of", "i", "j", blocks["size"].alias("like"), "last"), "line-dedup")
         early = rows.join(met, (F.col("segment") == F.col("of")) & (F.col("block") == F.col("j"))
                           & (F.col("first") <= F.col("last"))).select(
             "segment", "i", "j", F.lit(1).alias("role"), "kind", "line")
-        return early.unionByName(late_rows.join(met.withColumnRenamed("i", "block"), (F.col("segment") == F.col("of"))
-                                                & (F.col("i") == F.col("block")))
+        sides = late_rows.withColumn("size", like)
+        return early.unionByName(sides.join(met.withColumnRenamed("i", "block"), (F.col("segment") == F.col("of"))
+                                            & (F.col("i") == F.col("block")) & (F.col("size") == F.col("like")))
                                  .select("segment", "i", "j", F.lit(2).alias("role"), "kind", "line"))
 
     def still_open(*done: DataFrame) -> DataFrame:
