@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_ORACLE, SF_SMALL
 from hypothesis import given, settings
@@ -978,3 +979,88 @@ def test_automaton_forgets_and_finds_the_same(monkeypatch):
         best = [edit_distance(x, t) for t, (_, e) in terms.items() if edit_distance(x, t) <= e]
         stems = [0 for t, (stem, _) in terms.items() if stem and x.startswith(t)]
         assert got == min(best + stems, default=-1)
+
+
+def packed_parts(batches):
+    """Rows (bucket, entries) sorted by bucket, as the task of live entries gets them."""
+    rows = [(k, v) for b in batches for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    rows.sort(key=lambda r: r[0])
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())],
+                                      names=["bucket", "entries"])
+
+
+def entered(lines):
+    texts = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array(["\n".join(lines)])], names=["doc", "version", "text"])
+    return packed_parts(line_dedup._entries(iter([texts])))
+
+
+def test_similar_lines_stay_among_live_entries_and_others_of_a_passage_go(monkeypatch):
+    """Lines that share a passage only are told apart by the parities that their entries carry;
+    of similar ones, by words or by characters, none is lost, however the buckets are cut."""
+    rnd = random.Random(31)
+    own = lambda x: line_dedup.digest(x)[0]
+    lines, similar = [], set()
+    for n in (5, 9, 10, 12, 19, 20, 25, 41, 60, 200) * 12:
+        a = [f"w{rnd.randrange(400)}" for _ in range(n)]
+        b = word_edited(rnd, a, rnd.randint(0, n // 10)) if rnd.random() < 0.5 else a
+        x, y = " ".join(a), list(" ".join(b))
+        if b is a:
+            for _ in range(rnd.randint(1, 2)):
+                k = rnd.randrange(1, len(y) - 1)
+                y[k:k + rnd.randint(0, 1)] = rnd.choice(["", " ", "z"])
+        y = "".join(y).strip()
+        lines += [x, y]
+        if x != y and min(len(x), len(y)) >= line_dedup.FUZZY_CHARS and line_dedup.similar_texts([(x, y)])[0]:
+            similar.add(frozenset((own(x), own(y))))
+    passage = " ".join(f"s{k}" for k in range(12))
+    apart = [" ".join([f"u{rnd.randrange(10 ** 6)}" for _ in range(20)] + [passage]) for _ in range(60)]
+    part = entered([*lines, *apart])
+    assert len(similar) > 60
+
+    def live(rows, most):
+        monkeypatch.setattr(line_dedup, "ROWS", rows)
+        got = pa.Table.from_batches(line_dedup._live_entries(most)(part.slice(k, 7) for k in range(0, part.num_rows, 7)))
+        return set(zip(*[c.to_pylist() for c in got.columns]))
+
+    whole = live(1 << 20, 1024)
+    pairs = {frozenset((a, b)) for s, _, a, b in whole if s == line_dedup.NONE}
+    segments = {}
+    for s, _, a, _ in whole:
+        if s != line_dedup.NONE:
+            segments.setdefault(s, set()).add(a)
+    assert all(x in pairs or any(x <= v for v in segments.values()) for x in similar)
+    left = {x for s, _, a, b in whole for x in (a, b)} & {own(x) for x in apart}
+    assert len(left) < 6
+    assert live(200, 1024) == whole  # some buckets at a time
+    cut = live(20, 10)  # a hash of many lines goes on before its bucket ends
+    assert {r[2] for r in cut} >= {own(x) for x in apart}
+
+
+def test_a_pair_that_shares_many_hashes_is_told_once():
+    rnd = np.random.default_rng(5)
+    lines, hashes = 12, np.arange(30)
+    has = [np.sort(rnd.choice(hashes, 20, replace=False)) for _ in range(lines)]
+    rows = sorted((int(h), k) for k in range(lines) for h in has[k])
+    segment, line = np.array(rows).T
+    least = np.array([has[k][:line_dedup.LEAST] for k in line])
+    bins = np.zeros((len(rows), line_dedup.BINS + line_dedup.CHAR_BINS), np.uint8)
+    args = (segment, np.full(len(rows), 3), np.full(len(rows), line_dedup.WORDS), line, np.full(len(rows), 20),
+            np.full(len(rows), 100), bins, True)
+    told = lambda got: [(int(line[a]), int(line[b])) for a, b in zip(*got)]
+    every, once = told(line_dedup.near_sketches(*args)), told(line_dedup.near_sketches(*args, segment, least))
+    assert set(once) == set(every) and len(every) > 8 * len(set(every))
+    assert len(once) < 1.1 * len(set(once))
+
+
+def test_pairs_of_few_lines_need_no_blocks(spark, monkeypatch):
+    """Lines that share hashes with a near copy only are paired where their entries meet."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    rnd = random.Random(33)
+    lines = [" ".join(f"v{rnd.randrange(10 ** 6)}" for _ in range(20)) for _ in range(40)]
+    docs = list(enumerate([*lines, *[x.rsplit(" ", 1)[0] + " end" for x in lines]]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    made, blocked = [], line_dedup._blocked
+    monkeypatch.setattr(line_dedup, "_blocked", lambda *a: made.append(blocked(*a)) or made[-1])
+    got = {r["doc_id"]: list(r["removed"]) for r in line_dedup.line_dedup_report(df.repartition(3)).collect()}
+    assert got == {i: [0] if i >= 40 else [] for i in range(80)}
+    assert all(r.count() == 0 for r in made)
