@@ -654,7 +654,7 @@ def _dealt(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch
     """Packed entries as rows (bucket, entries)."""
     bucket, rows = (np.concatenate(x) for x in zip(*held))
     order = np.argsort(bucket, kind="stable")
-    bucket, rows = bucket[order], np.take(rows.view(np.uint32).reshape(len(rows), -1), order, axis=0)
+    bucket, rows = bucket[order], np.take(rows.view(np.uint32).reshape(-1, ENTRY.itemsize // 4), order, axis=0)
     begin = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
     end = np.append(begin[1:], len(rows))
     for k in range(0, len(begin), 256):
