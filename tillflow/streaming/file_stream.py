@@ -101,8 +101,9 @@ def _keep_mart(spark: SparkSession, out: str, mart: MonthlyMart, sales: DataFram
     place = f"{out}/{mart.name}_sums"
     sums = mart.sums(sales)
     schema = _sums_schema(mart, sums)
-    _replace_partitions(sums.withColumn("batch_id", F.lit(batch_id).cast("long")), f"{place}/batches",
-                        mart.month, "batch_id")
+    # A month's sums meet before they are written: else each task has a file for each month.
+    _replace_partitions(S.rebalanced(sums.withColumn("batch_id", F.lit(batch_id).cast("long")), [mart.month]),
+                        f"{place}/batches", mart.month, "batch_id")
     if not path_exists(spark, f"{place}/batches"):
         return
     mine = spark.read.schema(schema).parquet(f"{place}/batches").where(F.col("batch_id") == batch_id)
