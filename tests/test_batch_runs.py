@@ -70,6 +70,22 @@ def test_two_runs_equal_one_run_over_both(spark, place):
     assert (place.spend(), place.files(place.archive)) == before
 
 
+def test_sums_of_a_run_are_not_a_file_for_each_month(spark, place):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        drop(place.landing, "d1.csv", [f"{1 + i % 2},7,pen,20{i:02}-01-05,3,1.50,2,1.25" for i in range(40)] + ["1,7,pen,,3,1.50,2,2.00"])
+        place.run("r1")
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for mart in ("customer_mart", "sales_team_mart"):
+            assert sum(f.endswith(".parquet") for f in place.files(f"{place.out}/{mart}_sums")) <= tasks
+        drop(place.landing, "d2.csv", ["1,7,pen,2000-01-09,3,1.50,2,0.50", "1,7,pen,,3,1.50,2,2.00"])
+        place.run("r2")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spend = place.spend()
+    assert len(spend) == 41 and spend[1, "2000-01"] == D("1.75") and spend[2, "2039-01"] == D("1.25") and spend[1, None] == D("4.00")
+
+
 def test_closed_files_are_skipped_and_open_ones_taken_up_without_an_archive(spark, place):
     drop(place.landing, "d1.csv", ["1,7,pen,2001-01-05,3,1.50,2,3.00"])
     place.run("r1", archive=False)

@@ -86,6 +86,48 @@ def test_two_runs_land_their_files_once(spark):
     assert sorted(landed) == sorted(DR.LAYOUT_BY_PRIORITY)
 
 
+def test_drop_files_do_not_grow_with_the_parts_of_the_staged_table(spark, tmp_dir):
+    from tillflow.sources import drops as DR
+
+    staged = spark.range(400).selectExpr(
+        "id AS customer_id", "1 AS store_id", "'pen' AS product_name", "DATE'2001-01-05' AS sales_date", "3L AS sales_person_id",
+        "1.5 AS price", "2 AS quantity", "3.0 AS total_cost", "'1-URGENT' AS o_orderpriority", "0.0 AS l_discount").repartition(40)
+    staged.write.parquet(f"{tmp_dir}/staged")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        DR.land(spark.read.parquet(f"{tmp_dir}/staged"), f"{tmp_dir}/landing", ["1-URGENT"])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    landed = [f for f in os.listdir(f"{tmp_dir}/landing/plain_urgent") if f.endswith(".csv")]
+    assert len(landed) <= spark.sparkContext.defaultParallelism < 40
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/landing/plain_urgent").distinct().count() == 400
+
+
+def test_sums_of_a_micro_batch_are_a_file_for_each_month(spark, tmp_dir):
+    from tillflow.schema import SALES_SCHEMA
+    from tillflow.streaming import file_stream as ST
+
+    people = spark.createDataFrame([(i, "a", "b", "x", "1", "2") for i in range(50)], CUSTOMER_SCHEMA)
+    mart = MS.customer_mart(people, spark.createDataFrame([(7, "s", "m")], STORE_SCHEMA),
+                            spark.createDataFrame([(3, "p", "q", 3, "Y", "x", "1")], SALES_TEAM_SCHEMA))
+    sales = spark.range(600).selectExpr(
+        "id % 50 AS customer_id", "7 AS store_id", "add_months(DATE'2001-01-05', CAST(id % 12 AS INT)) AS sales_date",
+        "3L AS sales_person_id", "CAST(2 AS DECIMAL(24,6)) AS total_cost")
+    sales = sales.select(*[(F.col(f.name) if f.name in sales.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ST._keep_mart(spark, tmp_dir, mart, sales, 0, 50)
+        ST._refresh_mart(spark, tmp_dir, mart)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/customer_mart_sums/batches") for f in names if f.endswith(".parquet")]
+    assert len(files) == 12
+    got = spark.read.schema(mart.schema).parquet(f"{tmp_dir}/customer_mart")
+    assert got.agg(F.sum("total_sales")).first()[0] == 1200
+
+
 def test_kept_dimension_has_its_real_size(spark):
     a, b = (spark.range(50_000).withColumnRenamed("id", n) for n in ("a", "b"))
     joined = a.join(b, a.a == b.b)

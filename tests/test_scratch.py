@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from tillflow.plans.scratch import fresh_dir, path_exists, scratch_root, stable_dir
 
 
@@ -36,3 +38,11 @@ def test_path_exists(spark):
     assert not path_exists(spark, path)
     spark.range(3).write.parquet(path)
     assert path_exists(spark, path)
+
+
+def test_path_is_looked_up_without_a_listing(spark, tmp_dir):
+    from tillflow.plans.scratch import path_exists
+
+    os.makedirs(f"{tmp_dir}/a[1]{{2}}")
+    assert path_exists(spark, f"{tmp_dir}/a[1]{{2}}") and path_exists(spark, f"file:{tmp_dir}")
+    assert not path_exists(spark, f"{tmp_dir}/b") and not path_exists(spark, f"{tmp_dir}/*")
